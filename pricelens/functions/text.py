@@ -96,7 +96,7 @@ def query_param(url, key: str) -> Column:
     Blank values count as absent (as in parse_qs); '+' decodes to a space;
     an undecodable value is kept literally.
     """
-    raw = first_match(url, r"^[^?#]*\?(?:[^#]*?&)?" + key + r"=([^&#]+)", 1)
+    raw = first_match(url, r"^[^?#]*\?(?:[^#]*?&)??" + key + r"=([^&#]+)", 1)
     return F.coalesce(F.try_url_decode(raw), raw)
 
 

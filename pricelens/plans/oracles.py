@@ -16,7 +16,7 @@ def _dec(x: str) -> str:
 
 
 def _param(key: str) -> str:
-    return f"NULLIF(regexp_extract(url, '^[^?#]*\\?(?:[^#]*?&)?{key}=([^&#]+)', 1), '')"
+    return f"NULLIF(regexp_extract(url, '^[^?#]*\\?(?:[^#]*?&)??{key}=([^&#]+)', 1), '')"
 
 
 _TITLE = """CASE p_type
@@ -70,10 +70,11 @@ def _norm(c: str) -> str:
 
 ORACLES: dict[str, str] = {
     "cheapest_source": """
-WITH o AS (SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_shipdate,
+WITH o AS (SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_shipdate, l_quantity,
                   l_extendedprice / l_quantity AS unit_price FROM lineitem),
   f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_partkey
-          ORDER BY l_shipdate, l_orderkey, l_linenumber) AS rn FROM o) WHERE rn = 1),
+          ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity, unit_price) AS rn FROM o)
+          WHERE rn = 1),
   c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey
           ORDER BY unit_price, l_suppkey) AS rn2 FROM f) WHERE rn2 = 1),
   a AS (SELECT l_partkey, max(unit_price) AS max_price, count(DISTINCT l_suppkey) AS n_sources,
@@ -197,12 +198,15 @@ WITH {_LADDER_RUNGS}
 SELECT {_K}, pos, unit, CU_status, price FROM rungs""",
 
     "bulk_ladder_price": f"""
-WITH {_LADDER_RUNGS},
-  e AS (SELECT *, row_number() OVER (PARTITION BY {_K} ORDER BY unit DESC, price ASC) AS rn
-        FROM rungs WHERE CU_status <> 'original' AND unit <= 12)
-SELECT j.l_orderkey, j.l_linenumber, j.l_partkey, j.l_suppkey, e.price AS price_at_q
-FROM j LEFT JOIN e ON e.l_orderkey = j.l_orderkey AND e.l_linenumber = j.l_linenumber
-  AND e.l_partkey = j.l_partkey AND e.l_suppkey = j.l_suppkey AND e.rn = 1""",
+WITH j AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
+                  l.l_linestatus, p.p_retailprice FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+  c AS (SELECT {_K}, list_filter([
+          {{'u': CAST(1 AS BIGINT), 'np': -(l_extendedprice / l_quantity)}},
+          {{'u': CAST(l_quantity AS BIGINT), 'np': -CAST({_DEC2.format(c='l_extendedprice')} AS DOUBLE)}},
+          CASE WHEN l_linestatus = 'O' THEN
+            {{'u': CAST(l_linenumber AS BIGINT), 'np': -CAST({_DEC2.format(c='p_retailprice')} AS DOUBLE)}} END],
+          lambda x: x IS NOT NULL AND x.u <= 12) AS cands FROM j)
+SELECT {_K}, -(list_max(cands).np) AS price_at_q FROM c""",
 
     "price_ladder_rrp": """
 WITH now AS (SELECT l_partkey, min(l_extendedprice / l_quantity) AS now FROM lineitem GROUP BY l_partkey),
