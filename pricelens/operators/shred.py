@@ -156,7 +156,7 @@ def parse_nodes(html: str | None) -> list[dict] | None:
 
 
 def shred(pages: DataFrame, html_col: str = "html", keep=None,
-          out_col: str = "nodes") -> DataFrame:
+          out_col: str = "nodes", rows_per_batch: int = 256) -> DataFrame:
     """Replace ``html_col`` by ``out_col: array<NODE>``.
 
     ``keep`` lists the pass-through columns (default: all but html).  Filter
@@ -176,10 +176,14 @@ def shred(pages: DataFrame, html_col: str = "html", keep=None,
         ("sib_tag_pos", pa.int32()), ("texts", pa.list_(pa.string()))]))
 
     def run(batches):
-        for rb in batches:
-            htmls = rb.column(rb.schema.get_field_index(html_col)).to_pylist()
-            nodes = pa.array([parse_nodes(h) for h in htmls], type=node_pa)
-            cols = [rb.column(rb.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays(cols + [nodes], names=keep + [out_col])
+        for whole in batches:
+            # Node arrays are several times larger than the markup: emit
+            # bounded output batches whatever the input batch size.
+            for start in range(0, whole.num_rows, rows_per_batch):
+                rb = whole.slice(start, rows_per_batch)
+                htmls = rb.column(rb.schema.get_field_index(html_col)).to_pylist()
+                nodes = pa.array([parse_nodes(h) for h in htmls], type=node_pa)
+                cols = [rb.column(rb.schema.get_field_index(c)) for c in keep]
+                yield pa.RecordBatch.from_arrays(cols + [nodes], names=keep + [out_col])
 
     return src.mapInArrow(run, out_schema)

@@ -59,7 +59,7 @@ _LADDER_RUNGS = f"""j AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_
     SELECT {_K}, 3, CAST(l_linenumber AS BIGINT), 'normal',
            CAST({_DEC2.format(c='p_retailprice')} AS DOUBLE) FROM j WHERE l_linestatus = 'O')"""
 
-_PART_PRODUCT_TS = "make_timestamp(1704067200000000 + p_partkey * 3600000000)"
+_PART_PRODUCT_TS = "make_timestamp(1704067200000000 + p_partkey * 1000000)"
 
 _OFFER_MIN = "SELECT l_partkey, min(l_extendedprice / l_quantity) AS p FROM lineitem"
 

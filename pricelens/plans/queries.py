@@ -413,7 +413,7 @@ def _part_products(spark, sf, where: Column | None = None) -> DataFrame:
         F.concat(F.col("p_size").cast("string"), F.lit("ml x 1")).alias("product_spec"),
         F.array(rung).alias("price"),
         F.lit("PART").alias("_source"),
-        F.timestamp_micros(F.lit(1704067200000000) + F.col("p_partkey") * F.lit(3600000000)).alias("_created_date"))
+        F.timestamp_micros(F.lit(1704067200000000) + F.col("p_partkey") * F.lit(1000000)).alias("_created_date"))
 
 
 def _flat(df: DataFrame, *extra: str) -> DataFrame:

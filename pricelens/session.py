@@ -36,8 +36,6 @@ def build_session(master: str | None = "local[*]", app_name: str = "pricelens",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Pages can be large; keep Arrow batches into the shredder small.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     })
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -48,6 +46,7 @@ def build_session(master: str | None = "local[*]", app_name: str = "pricelens",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_conf(spark)
+    ensure_streaming_conf(spark)
     return spark
 
 
@@ -58,6 +57,19 @@ def ensure_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+HDFS_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+def ensure_streaming_conf(spark: SparkSession) -> None:
+    """State for first-seen dedup grows with the number of keys: keep it in
+    RocksDB (off-heap, spills to local disk, checkpointed to the shared
+    folder) unless the session already chose a provider of its own."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, HDFS_PROVIDER) == HDFS_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; registers a local one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -61,26 +61,38 @@ def read_partitioned(spark: SparkSession, root: str, fmt: str = "json") -> DataF
     return r.format(fmt).load(root)
 
 
+TABLE_PARTITIONS = ["_source", "snapshot_date"]
+
+
 def append_idempotent(df: DataFrame, path: str, keys=("product_id", "_created_date"),
                       fmt: str = "parquet") -> None:
     """Append only rows whose key is not in the table yet.
 
-    Loading the same batch twice leaves the table unchanged.  The target
-    side of the anti join is read with only the key columns (column pruning
-    at the scan) and is narrowed to the sources present in the batch by a
-    semi join, never collected to the driver.
+    Loading the same batch twice (a retried load, a replayed job) leaves the
+    table unchanged.  The table is partitioned by source and UTC snapshot
+    date; the existing side of the anti join is narrowed to the partitions
+    the batch touches (a semi join on partition columns, which dynamic
+    partition pruning turns into a partition filter at the scan) and read
+    with the key columns only, so an append costs the batch's days, not the
+    whole history.
     """
     spark = df.sparkSession
-    batch = df.select(*PRODUCT_COLS)
+    batch = df.select(*PRODUCT_COLS).withColumn(
+        "snapshot_date", F.date_format(F.col("_created_date"), "yyyy-MM-dd"))
     try:
-        existing = spark.read.format(fmt).load(path).select(*keys)
+        existing = spark.read.format(fmt).load(path)
     except Exception as e:  # first load: nothing there yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e) \
                 and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         existing = None
-    new = batch if existing is None else batch.join(existing, list(keys), "left_anti")
-    new.write.mode("append").format(fmt).save(path)
+    if existing is not None:
+        touched = batch.select(*TABLE_PARTITIONS).distinct()
+        existing = (existing.select(*keys, *TABLE_PARTITIONS)
+                    .join(touched, TABLE_PARTITIONS, "left_semi"))
+        batch = batch.join(existing, [*keys, *TABLE_PARTITIONS], "left_anti")
+    (batch.repartition(*[F.col(c) for c in TABLE_PARTITIONS])
+     .write.mode("append").partitionBy(*TABLE_PARTITIONS).format(fmt).save(path))
 
 
 def append_table(df: DataFrame, table: str, keys=("product_id", "_created_date")) -> None:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.session import scratch_dir
+from pricelens.session import ensure_streaming_conf, scratch_dir
 
 
 def land_in_order(df: DataFrame, path: str, order: list[str], slices: int) -> None:
@@ -32,6 +32,8 @@ def first_seen_updates(stream: DataFrame, keys: list[str], order: list[str]) ->
 
 def run_update_stream(updates: DataFrame, out: str, checkpoint: str) -> None:
     """availableNow run of an update-mode stream into per-batch folders."""
+    ensure_streaming_conf(updates.sparkSession)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
