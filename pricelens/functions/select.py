@@ -60,13 +60,27 @@ def selector_regex(css: str) -> str:
     return "".join(out) + "$"
 
 
+def _last_tag(css: str) -> str | None:
+    m = _COMPOUND.match(re.findall(r"[^\s>]+", css.strip())[-1])
+    tag = m.group(1) if m else None
+    return tag.lower() if tag and tag != "*" else None
+
+
 def select(nodes, css: str, where=None) -> Column:
-    """Nodes matching ``css`` (document order); ``where`` adds a lambda."""
+    """Nodes matching ``css`` (document order); ``where`` adds a lambda.
+
+    The node's own tag is tested first (a cheap equality that short-cuts),
+    so the path regex runs only on candidate nodes."""
     rx = selector_regex(css)
+    tag = _last_tag(css)
     col = F.col(nodes) if isinstance(nodes, str) else nodes
-    if where is None:
-        return F.filter(col, lambda n: n["css_path"].rlike(rx))
-    return F.filter(col, lambda n: n["css_path"].rlike(rx) & where(n))
+
+    def test(n):
+        cond = n["css_path"].rlike(rx)
+        if tag is not None:
+            cond = (n["tag"] == F.lit(tag)) & cond
+        return cond if where is None else cond & where(n)
+    return F.filter(col, test)
 
 
 def attr(n: Column, name: str) -> Column:

@@ -140,8 +140,7 @@ class _TreeBuilder(HTMLParser):
             self.text_open[self.stack[-1]] = False
 
 
-def parse_nodes(html: str | None) -> list[dict] | None:
-    """Parse one page into node dicts (also used directly by unit tests)."""
+def _build(html: str | None) -> list | None:
     if html is None:
         return None
     b = _TreeBuilder()
@@ -150,40 +149,92 @@ def parse_nodes(html: str | None) -> list[dict] | None:
         b.close()
     except Exception:  # malformed beyond repair: keep what was built
         pass
+    return b.nodes
+
+
+def parse_nodes(html: str | None) -> list[dict] | None:
+    """Parse one page into node dicts (unit tests and debugging)."""
+    nodes = _build(html)
+    if nodes is None:
+        return None
     return [{"ord": n[0], "parent": n[1], "tag": n[2],
              "attrs": list(n[3].items()), "css_path": n[4],
-             "sib_tag_pos": n[5], "texts": n[6]} for n in b.nodes]
+             "sib_tag_pos": n[5], "texts": n[6]} for n in nodes]
+
+
+def _nodes_array(htmls: list):
+    """Parse a batch of pages straight into one Arrow list<struct> array.
+
+    Built column by column from flat lists and offsets (much cheaper than
+    converting nested Python objects)."""
+    import pyarrow as pa
+
+    ords, parents, tags, paths, sibs = [], [], [], [], []
+    akeys, avals, aoffs = [], [], [0]
+    tvals, toffs = [], [0]
+    noffs, valid = [0], []
+    for h in htmls:
+        nodes = _build(h)
+        valid.append(nodes is not None)
+        for n in nodes or ():
+            ords.append(n[0])
+            parents.append(n[1])
+            tags.append(n[2])
+            for k, v in n[3].items():
+                akeys.append(k)
+                avals.append(v)
+            aoffs.append(len(akeys))
+            paths.append(n[4])
+            sibs.append(n[5])
+            tvals.extend(n[6])
+            toffs.append(len(tvals))
+        noffs.append(len(ords))
+    attrs = pa.MapArray.from_arrays(pa.array(aoffs, pa.int32()), pa.array(akeys, pa.string()),
+                                    pa.array(avals, pa.string()))
+    texts = pa.ListArray.from_arrays(pa.array(toffs, pa.int32()), pa.array(tvals, pa.string()))
+    struct = pa.StructArray.from_arrays(
+        [pa.array(ords, pa.int32()), pa.array(parents, pa.int32()), pa.array(tags, pa.string()), attrs,
+         pa.array(paths, pa.string()), pa.array(sibs, pa.int32()), texts],
+        names=["ord", "parent", "tag", "attrs", "css_path", "sib_tag_pos", "texts"])
+    mask = pa.array([not v for v in valid], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(noffs, pa.int32()), struct, mask=mask)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin small inputs over the cluster before Python-heavy work.
+
+    Only fires when the input has fewer partitions than the cluster has
+    cores (small or oddly packed tables); large scans already arrive in
+    many file splits and are left alone (no shuffle of page bytes)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
 
 
 def shred(pages: DataFrame, html_col: str = "html", keep=None,
-          out_col: str = "nodes", rows_per_batch: int = 256) -> DataFrame:
+          out_col: str = "nodes", rows_per_batch: int = 256,
+          min_partitions: int | None = None) -> DataFrame:
     """Replace ``html_col`` by ``out_col: array<NODE>``.
 
     ``keep`` lists the pass-through columns (default: all but html).  Filter
     and project the pages *before* calling this: Catalyst cannot push
     predicates through a Python step.
     """
-    import pyarrow as pa
-
     keep = [c for c in (keep or pages.columns) if c != html_col]
-    src = pages.select(*keep, html_col)
+    src = spread(pages.select(*keep, html_col), min_partitions)
     out_fields = [f for f in src.schema.fields if f.name in keep]
     out_schema = T.StructType(out_fields + [T.StructField(out_col, NODES_TYPE)])
 
-    node_pa = pa.list_(pa.struct([
-        ("ord", pa.int32()), ("parent", pa.int32()), ("tag", pa.string()),
-        ("attrs", pa.map_(pa.string(), pa.string())), ("css_path", pa.string()),
-        ("sib_tag_pos", pa.int32()), ("texts", pa.list_(pa.string()))]))
-
     def run(batches):
+        import pyarrow as pa
         for whole in batches:
             # Node arrays are several times larger than the markup: emit
             # bounded output batches whatever the input batch size.
             for start in range(0, whole.num_rows, rows_per_batch):
                 rb = whole.slice(start, rows_per_batch)
                 htmls = rb.column(rb.schema.get_field_index(html_col)).to_pylist()
-                nodes = pa.array([parse_nodes(h) for h in htmls], type=node_pa)
                 cols = [rb.column(rb.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays(cols + [nodes], names=keep + [out_col])
+                yield pa.RecordBatch.from_arrays(cols + [_nodes_array(htmls)], names=keep + [out_col])
 
     return src.mapInArrow(run, out_schema)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pricelens.operators import quality as Q
 from pricelens.operators.shred import shred
 from pricelens.schema import PRODUCT, PRODUCT_COLS
+from pricelens.session import stage
 from pricelens.sinks import publish as P
 
 Step = Callable[[DataFrame], DataFrame]
@@ -54,9 +55,16 @@ def run_chain(df: DataFrame, steps: Iterable[Step]) -> DataFrame:
 
 
 def build_catalogue(pages: DataFrame, adapter, site: str | None = None,
-                    steps: Iterable[Step] = (), run_ts=None) -> DataFrame:
-    """Tagged records: ``reject_reason`` null for the clean catalogue."""
+                    steps: Iterable[Step] = (), run_ts=None, staged: bool = True) -> DataFrame:
+    """Tagged records: ``reject_reason`` null for the clean catalogue.
+
+    The extracted records are staged (written once under the shared
+    checkpoint folder): the quality split reads them three times (complete
+    rows, the survivor aggregate, rejects), and the shredder must run once.
+    """
     recs = run_chain(extract_records(pages, adapter, site, run_ts), steps)
+    if staged:
+        recs = stage(recs, "records")
     return Q.tag_quality(recs, order=["fetched_at", "page_id"])
 
 

@@ -322,3 +322,96 @@ FROM part""",
 SELECT 'PART/' || CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
   strftime({_PART_PRODUCT_TS}, {FMT}) AS created FROM part""",
 }
+
+
+# ---- full catalogue job on pages rendered from part -------------------------
+_SITE_A_TITLE = f"""CASE WHEN p_type = 'ECONOMY' AND p_size BETWEEN 4 AND 8 THEN 'X' || CAST(p_size AS VARCHAR) || 'ml x 2'
+  ELSE {_TITLE} END"""
+
+_STAMP_SQL = f"strftime(make_timestamp(1704067200000000 + p_partkey * 1000000), {FMT})"
+
+_SITE_A = f"""b AS (SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,
+    CASE WHEN p_type = 'PROMO' THEN 'P' || CAST(p_size AS VARCHAR)
+         WHEN p_type = 'STANDARD' AND p_size = 50 THEN '' ELSE CAST(p_partkey AS VARCHAR) END AS pid,
+    {_SITE_A_TITLE} AS title,
+    CASE WHEN p_type = 'SMALL' THEN '小號 Small' WHEN p_type = 'LARGE' THEN 'Large 大號'
+         WHEN p_type = 'MEDIUM' AND p_size > 40 THEN '123 456' ELSE p_type END AS cate
+  FROM part),
+  s AS (SELECT *, regexp_extract(title, {_SPEC_RX}, 0) AS spec FROM b),
+  r AS (SELECT *,
+    'http://shop-a.example/index.php?route=product/product&path=' || CAST(p_size AS VARCHAR) || '&product_id=' || pid AS url,
+    CASE WHEN spec = '' THEN title WHEN strpos(title, spec) = 1 THEN substr(title, 1, length(title) - 1)
+         ELSE substr(title, 1, greatest(strpos(title, spec) - 2, 0)) END AS name,
+    COALESCE(NULLIF(regexp_extract(cate, '[一-龥]+', 0), ''), NULLIF(regexp_extract(cate, '[a-zA-Z]+', 0), '')) AS cate_name,
+    p_type = 'ECONOMY' AND p_size <= 3 AS err_page
+  FROM s),
+  e AS (SELECT *, CASE
+      WHEN err_page THEN 'extract_error:error_page'
+      WHEN pid = '' THEN 'extract_error:product_id'
+      WHEN cate_name IS NULL THEN 'extract_error:product_category'
+      WHEN (p_type = 'STANDARD' AND p_size BETWEEN 45 AND 49) OR (p_type = 'SMALL' AND p_size > 47)
+        THEN 'extract_error:price'
+      WHEN name = '' THEN 'missing id or name' END AS err,
+    CASE WHEN pid = '' THEN NULL ELSE 'SITEA/' || pid END AS product_id,
+    CASE WHEN err_page THEN NULL ELSE name END AS product_name
+  FROM r),
+  k AS (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY p_partkey) AS rn FROM e WHERE err IS NULL)"""
+
+_SITE_B = """b AS (SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,
+    CASE WHEN p_type = 'LARGE' THEN 'L' || CAST(p_size AS VARCHAR) ELSE CAST(p_partkey AS VARCHAR) END AS pid,
+    p_type IN ('PROMO', 'SMALL') OR (p_type = 'MEDIUM' AND p_size > 45) AS has_rrp
+  FROM part),
+  e AS (SELECT *, 'https://web.shop-b.example/product/detail?itemno=' || pid AS url,
+    'SITEB/' || pid AS product_id, p_name AS product_name,
+    CASE WHEN p_type = 'ECONOMY' AND p_size < 4 THEN 'extract_error:product_category'
+         WHEN p_type = 'MEDIUM' AND p_size > 45 THEN 'extract_error:price' END AS err
+  FROM b),
+  k AS (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY p_partkey) AS rn FROM e WHERE err IS NULL)"""
+
+_MONEY = "TRY_CAST(CAST(CAST({x} AS DECIMAL(18,2)) AS VARCHAR) AS DOUBLE)"
+
+ORACLES.update({
+    "site_a_catalogue": f"""
+WITH {_SITE_A}
+SELECT product_id, product_name, CASE WHEN p_type = 'LARGE' THEN '' ELSE p_brand || ' ' END AS brand_name,
+  CASE WHEN p_type = 'PROMO' THEN NULL ELSE 'http://img.example/d/' || CAST(p_partkey AS VARCHAR) || '.jpg' END AS product_desc,
+  'http://img.example/p/' || CAST(p_partkey AS VARCHAR) || ' 1.jpg' AS product_image, url AS request_url,
+  cate_name AS category_name, '' AS category_code, spec AS product_spec,
+  CAST(CASE WHEN p_size > 10 THEN 3 ELSE 2 END AS BIGINT) AS n_rungs,
+  'normal' AS status0, {_MONEY.format(x='CAST(p_retailprice AS DECIMAL(18,2)) - p_size')} AS price0,
+  'original' AS status1, {_MONEY.format(x='p_retailprice')} AS price1,
+  CASE WHEN p_size > 10 THEN CAST(length(p_name) AS BIGINT) END AS unit2,
+  CASE WHEN p_size > 10 THEN {_MONEY.format(x='CAST(p_retailprice AS DECIMAL(18,2)) - p_size * 2')} END AS price2,
+  {_STAMP_SQL} AS created, 'SITEA' AS _source
+FROM k WHERE rn = 1""",
+
+    "site_a_rejects": f"""
+WITH {_SITE_A}
+SELECT err AS reason, product_id AS item_id, product_name AS item_name, url AS item_url FROM e WHERE err IS NOT NULL
+UNION ALL
+SELECT 'duplicate item found', product_id, product_name, url FROM k WHERE rn > 1""",
+
+    "site_b_catalogue": f"""
+WITH {_SITE_B}
+SELECT product_id, product_name, CASE WHEN p_type = 'MEDIUM' THEN NULL ELSE p_brand END AS brand_name,
+  p_name || ' ' || p_type AS product_desc,
+  CASE WHEN p_type = 'PROMO' THEN NULL ELSE '/img/' || CAST(p_partkey AS VARCHAR) || '.jpg' END AS product_image,
+  url AS request_url,
+  CASE WHEN p_type = 'SMALL' AND p_size > 45 THEN 'All' ELSE p_type END AS category_name,
+  CAST(p_size AS VARCHAR) AS category_code, CAST(p_size AS VARCHAR) || 'ml' AS product_spec,
+  CAST(CASE WHEN has_rrp THEN 2 ELSE 1 END AS BIGINT) AS n_rungs,
+  CASE WHEN has_rrp THEN 'original' ELSE 'normal' END AS status0,
+  CASE WHEN has_rrp THEN {_MONEY.format(x='p_retailprice')}
+       ELSE {_MONEY.format(x='CAST(p_retailprice AS DECIMAL(18,2)) - p_size')} END AS price0,
+  CASE WHEN has_rrp THEN 'discount' END AS status1,
+  CASE WHEN has_rrp THEN {_MONEY.format(x='CAST(p_retailprice AS DECIMAL(18,2)) - p_size')} END AS price1,
+  CAST(NULL AS BIGINT) AS unit2, CAST(NULL AS DOUBLE) AS price2,
+  {_STAMP_SQL} AS created, 'SITEB' AS _source
+FROM k WHERE rn = 1""",
+
+    "site_b_rejects": f"""
+WITH {_SITE_B}
+SELECT err AS reason, product_id AS item_id, product_name AS item_name, url AS item_url FROM e WHERE err IS NOT NULL
+UNION ALL
+SELECT 'duplicate item found', product_id, product_name, url FROM k WHERE rn > 1""",
+})

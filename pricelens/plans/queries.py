@@ -452,3 +452,43 @@ def stream_first_seen(spark, sf) -> DataFrame:
     out = first_seen_stream(spark, ev, ["user_id", "event_type"], ["ts", "event_id"],
                             slices=6, files_per_trigger=2)
     return _events_first(out)
+
+
+# ---------------------------------------------------------------- full catalogue job on rendered pages
+def _catalogue_rows(df: DataFrame) -> DataFrame:
+    p, c = F.col("price"), F.get(F.col("product_category"), 0)
+    return df.select(
+        "product_id", "product_name", "brand_name", "product_desc", "product_image", "request_url",
+        c["name"].alias("category_name"), c["code"].alias("category_code"), "product_spec",
+        F.size("price").cast("bigint").alias("n_rungs"),
+        F.get(p, 0)["CU_status"].alias("status0"), F.get(p, 0)["price"].alias("price0"),
+        F.get(p, 1)["CU_status"].alias("status1"), F.get(p, 1)["price"].alias("price1"),
+        F.get(p, 2)["unit"].alias("unit2"), F.get(p, 2)["price"].alias("price2"),
+        F.date_format("_created_date", STAMP).alias("created"), "_source")
+
+
+def _site_tagged(spark, sf, which: str) -> DataFrame:
+    from pricelens.plans import derived_sites as D
+    from pricelens.plans.catalogue import build_catalogue
+    from pricelens.plans.sites import LayoutA, LayoutB
+    part = _tbl(spark, sf, "part")
+    if which == "A":
+        return build_catalogue(D.site_a_pages(part), LayoutA(source="SITEA"), site="A")
+    return build_catalogue(D.site_b_pages(part), LayoutB(source="SITEB", link_host=D.HOST_B), site="B")
+
+
+def site_a_catalogue(spark, sf) -> DataFrame:
+    """Rendered layout-A pages -> shred -> extract -> quality -> clean."""
+    return _catalogue_rows(Q.clean(_site_tagged(spark, sf, "A")))
+
+
+def site_a_rejects(spark, sf) -> DataFrame:
+    return Q.rejects(_site_tagged(spark, sf, "A")).select("reason", "item_id", "item_name", "item_url")
+
+
+def site_b_catalogue(spark, sf) -> DataFrame:
+    return _catalogue_rows(Q.clean(_site_tagged(spark, sf, "B")))
+
+
+def site_b_rejects(spark, sf) -> DataFrame:
+    return Q.rejects(_site_tagged(spark, sf, "B")).select("reason", "item_id", "item_name", "item_url")

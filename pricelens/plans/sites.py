@@ -53,32 +53,34 @@ class LayoutA:
     # ---- product pages -------------------------------------------------
     def extract(self, pages: DataFrame) -> DataFrame:
         n = F.col("nodes")
-        h1_texts = S.texts_of(S.select(n, self.error_page_selector))
-        crumbs = S.texts_of(F.filter(n, lambda x: (x["tag"] == "span") & S.attr_equals("itemprop", "title")(x)))
-        cate_text = S.nth(crumbs, 1)
-        cate_name = X.cjk_else_latin(cate_text)
-        image_a = S.select(n, ".product-info.split-60-40 .left .image > a")
-        image = S.first(S.attrs_of(image_a, "href"))
-        title = S.first(S.attrs_of(image_a, "title"))
-        brand = S.first(S.texts_of(S.select(n, ".right .product-options .description > a")))
         price_spans = ".right .product-options .price > span"
-        old_text = S.first(S.texts_of(S.select(n, price_spans, S.attr_equals("class", "price-old"))))
-        new_text = S.first(S.texts_of(S.select(n, price_spans, S.attr_equals("class", "price-new"))))
-        discounts = F.filter(F.transform(S.texts_of(S.select(n, ".discount")), X.strip),
-                             lambda d: d != "")
-        desc = S.first(S.attrs_of(S.select(n, "#tab-description > p > img"), "src"))
-
-        out = pages.select(
+        # 1) every selector runs once over the nodes
+        sel = pages.select(
+            "page_id", "url", "fetched_at",
+            S.texts_of(S.select(n, self.error_page_selector)).alias("_h1"),
+            S.texts_of(F.filter(n, lambda x: (x["tag"] == "span") & S.attr_equals("itemprop", "title")(x)))
+            .alias("_crumbs"),
+            S.select(n, ".product-info.split-60-40 .left .image > a").alias("_image_a"),
+            S.texts_of(S.select(n, ".right .product-options .description > a")).alias("_brand"),
+            S.select(n, price_spans).alias("_prices"),
+            S.texts_of(S.select(n, ".discount")).alias("_discounts"),
+            S.attrs_of(S.select(n, "#tab-description > p > img"), "src").alias("_desc"))
+        # 2) fields from the selections
+        old_text = S.first(S.texts_of(F.filter("_prices", S.attr_equals("class", "price-old"))))
+        new_text = S.first(S.texts_of(F.filter("_prices", S.attr_equals("class", "price-new"))))
+        discounts = F.filter(F.transform("_discounts", X.strip), lambda d: d != "")
+        out = sel.select(
             "page_id", "url", "fetched_at",
-            (F.size(h1_texts) > 0).alias("_error_page"),
+            (F.size("_h1") > 0).alias("_error_page"),
             X.query_param("url", self.id_param).alias("_raw_id"),
-            F.size(crumbs).alias("_n_crumbs"), cate_name.alias("_cate"),
-            image.alias("product_image"), title.alias("_title"),
-            F.coalesce(brand, F.lit("")).alias("brand_name"),
+            F.size("_crumbs").alias("_n_crumbs"), X.cjk_else_latin(S.nth(F.col("_crumbs"), 1)).alias("_cate"),
+            S.first(S.attrs_of(F.col("_image_a"), "href")).alias("product_image"),
+            S.first(S.attrs_of(F.col("_image_a"), "title")).alias("_title"),
+            F.coalesce(S.first(F.col("_brand")), F.lit("")).alias("brand_name"),
             X.first_number(old_text).alias("_old"), X.first_number(new_text).alias("_new"),
             F.transform(discounts, lambda d: _rung(X.first_int(d), "normal",
                                                    X.tagged_price(d))).alias("_bulk"),
-            desc.alias("product_desc"))
+            S.first(F.col("_desc")).alias("product_desc"))
         bulk_ok = ~F.exists("_bulk", lambda r: r["unit"].isNull() | r["price"].isNull())
         err = _first_error([
             ("product_id", F.col("_raw_id").isNotNull()),
@@ -142,29 +144,31 @@ class LayoutB:
 
     def extract(self, pages: DataFrame) -> DataFrame:
         n = F.col("nodes")
-        banner = S.select(n, "div.margin div.location > a")
-        brand = S.first(S.texts_of(F.filter(banner, S.attr_contains("href", "brand"))))
-        cate_links = F.filter(banner, S.attr_contains("href", "cate"))
-        cate_name = S.last(S.texts_of(cate_links))
-        code_url = S.last(S.attrs_of(cate_links, "href"))
         detail = "div.margin div.detail-info.mt-10"
-        image = S.first(S.attrs_of(S.select(n, detail + " div.left > div > img"), "src"))
-        name = S.last(S.texts_of(S.select(n, detail + " div.right div.title > a > span")))
-        lines = S.texts_of(S.select(n, detail + " div.right div.content > div"))
-        now_text = S.first(S.texts_of(S.select(n, detail + " div.right div.content > div > big")))
-        desc = F.array_join(S.texts_of(S.select(
-            n, "div#Detail div.right div.detail-item#chapter-2 div.content > p")), " ")
-        h1 = S.texts_of(S.select(n, "#content > h1"))
-
-        out = pages.select(
+        # 1) every selector runs once over the nodes
+        sel = pages.select(
+            "page_id", "url", "fetched_at",
+            S.select(n, "div.margin div.location > a").alias("_banner"),
+            S.attrs_of(S.select(n, detail + " div.left > div > img"), "src").alias("_images"),
+            S.texts_of(S.select(n, detail + " div.right div.title > a > span")).alias("_names"),
+            S.texts_of(S.select(n, detail + " div.right div.content > div")).alias("_lines"),
+            S.texts_of(S.select(n, detail + " div.right div.content > div > big")).alias("_big"),
+            S.texts_of(S.select(n, "div#Detail div.right div.detail-item#chapter-2 div.content > p")).alias("_desc"),
+            S.texts_of(S.select(n, "#content > h1")).alias("_h1"))
+        # 2) fields from the selections
+        cate_links = F.filter("_banner", S.attr_contains("href", "cate"))
+        mid = sel.select(
             "page_id", "url", "fetched_at",
-            ((F.size(h1) > 0) & F.lit(self.check_error_page)).alias("_error_page"),
+            ((F.size("_h1") > 0) & F.lit(self.check_error_page)).alias("_error_page"),
             X.query_param("url", self.id_param).alias("_raw_id"),
-            brand.alias("brand_name"), cate_name.alias("_cate"),
-            X.query_param(code_url, self.category_param).alias("_code"),
-            image.alias("product_image"), name.alias("product_name"),
-            X.kv_map(lines).alias("_attrs"), X.first_number(now_text).alias("_now"),
-            desc.alias("product_desc"))
+            S.first(S.texts_of(F.filter("_banner", S.attr_contains("href", "brand")))).alias("brand_name"),
+            cate_links.alias("_cate_links"),
+            S.first(F.col("_images")).alias("product_image"), S.last(F.col("_names")).alias("product_name"),
+            X.kv_map(F.col("_lines")).alias("_attrs"), X.first_number(S.first(F.col("_big"))).alias("_now"),
+            F.array_join("_desc", " ").alias("product_desc"))
+        out = mid.select(
+            "*", S.last(S.texts_of(F.col("_cate_links"))).alias("_cate"),
+            X.query_param(S.last(S.attrs_of(F.col("_cate_links"), "href")), self.category_param).alias("_code"))
         has_rrp = F.map_contains_key("_attrs", F.lit("RRP"))
         rrp = X.first_number(F.col("_attrs").getItem("RRP"))
         err = _first_error([

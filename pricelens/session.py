@@ -85,3 +85,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder
+    and read it back: cuts the lineage (expensive upstream steps such as
+    the shredder run once, and a lost executor re-reads the table instead
+    of recomputing), and keeps column pruning and filter pushdown."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
