@@ -206,6 +206,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Only fires when the input has fewer partitions than the cluster has
     cores (small or oddly packed tables); large scans already arrive in
     many file splits and are left alone (no shuffle of page bytes)."""
+    if df.isStreaming:  # micro-batches come from file splits already
+        return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
