@@ -216,6 +216,21 @@ def snapshot_diff(a: DataFrame, b: DataFrame, key: str, price: str) -> DataFrame
                     (F.col("price_b") - F.col("price_a")).alias("delta"))
 
 
+def snapshot_diff_one_pass(df: DataFrame, key: str, snap_col: str, a: str, b: str, price: str) -> DataFrame:
+    """The same diff from one frame holding both snapshots: one scan, one
+    partial-aggregated shuffle on the key, no join."""
+    s = F.col(snap_col)
+    per = (df.filter(s.isin(a, b)).groupBy(key)
+           .agg(F.min(F.when(s == a, F.col(price))).alias("price_a"),
+                F.min(F.when(s == b, F.col(price))).alias("price_b")))
+    status = (F.when(F.col("price_a").isNull(), F.lit("new"))
+              .when(F.col("price_b").isNull(), F.lit("delisted"))
+              .when(F.col("price_a") != F.col("price_b"), F.lit("repriced"))
+              .otherwise(F.lit("same")))
+    return per.select(key, "price_a", "price_b", status.alias("status"),
+                      (F.col("price_b") - F.col("price_a")).alias("delta"))
+
+
 # ---- D-12 ------------------------------------------------------------------
 def brand_rollup(df: DataFrame, source: str, brand: str, list_p: str, current_p: str) -> DataFrame:
     """Counts and prices per (source, brand) with source subtotals and a

@@ -27,6 +27,7 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from pricelens.operators.partitioning import spread
 from pricelens.schema import NODES_TYPE
 
 VOID_TAGS = frozenset(
@@ -200,20 +201,6 @@ def _nodes_array(htmls: list):
     return pa.ListArray.from_arrays(pa.array(noffs, pa.int32()), struct, mask=mask)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin small inputs over the cluster before Python-heavy work.
-
-    Only fires when the input has fewer partitions than the cluster has
-    cores (small or oddly packed tables); large scans already arrive in
-    many file splits and are left alone (no shuffle of page bytes)."""
-    if df.isStreaming:  # micro-batches come from file splits already
-        return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def shred(pages: DataFrame, html_col: str = "html", keep=None,
           out_col: str = "nodes", rows_per_batch: int = 256,
           min_partitions: int | None = None) -> DataFrame:
@@ -224,7 +211,9 @@ def shred(pages: DataFrame, html_col: str = "html", keep=None,
     predicates through a Python step.
     """
     keep = [c for c in (keep or pages.columns) if c != html_col]
-    src = spread(pages.select(*keep, html_col), min_partitions)
+    # Parsing costs far more per byte than scanning: aim at ~256 KB of
+    # markup per task when the input arrives in too few splits.
+    src = spread(pages.select(*keep, html_col), bytes_per_task=256 << 10, max_partitions=min_partitions)
     out_fields = [f for f in src.schema.fields if f.name in keep]
     out_schema = T.StructType(out_fields + [T.StructField(out_col, NODES_TYPE)])
 

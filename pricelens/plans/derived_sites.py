@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.operators.shred import spread
+from pricelens.operators.partitioning import spread
 
 HOST_A = "http://shop-a.example"
 HOST_B = "https://web.shop-b.example"
@@ -82,7 +82,7 @@ def site_a_pages(part: DataFrame) -> DataFrame:
         F.lit('</div></body></html>'))
     error = F.lit('<html><body><div id="content"><h1>Product not found!</h1></div></body></html>')
     html = F.when((t == "ECONOMY") & (sz <= 3), error).otherwise(product)
-    return spread(part).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
+    return spread(part, bytes_per_task=16 << 10).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
                        F.timestamp_micros(F.lit(PAGE_EPOCH_US) + F.col("p_partkey") * F.lit(1000000)).alias("fetched_at"),
                        F.lit("A").alias("site"), F.lit("product").alias("page_type"))
 
@@ -116,6 +116,6 @@ def site_b_pages(part: DataFrame) -> DataFrame:
         F.lit('</div></div></div>'),
         F.lit('<div id="Detail"><div class="right"><div class="detail-item" id="chapter-2"><div class="content">'),
         F.lit('<p>'), F.col("p_name"), F.lit('</p><p>'), t, F.lit('</p></div></div></div></div></body></html>'))
-    return spread(part).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
+    return spread(part, bytes_per_task=16 << 10).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
                        F.timestamp_micros(F.lit(PAGE_EPOCH_US) + F.col("p_partkey") * F.lit(1000000)).alias("fetched_at"),
                        F.lit("B").alias("site"), F.lit("product").alias("page_type"))

@@ -19,6 +19,7 @@ from pricelens.functions import text as X
 from pricelens.operators import compare as C
 from pricelens.operators import quality as Q
 from pricelens.operators.links import frontier
+from pricelens.operators.partitioning import spread
 from pricelens.operators.shred import shred
 from pricelens.session import ensure_conf, scratch_dir
 from pricelens.sinks import publish as P
@@ -206,7 +207,7 @@ def discount_parse(spark, sf) -> DataFrame:
 
 
 def kv_map(spark, sf) -> DataFrame:
-    part = _tbl(spark, sf, "part")
+    part = spread(_tbl(spark, sf, "part"), bytes_per_task=64 << 10)
     rrp_line = F.when(F.col("p_type").isin("PROMO", "SMALL"),
                       F.concat(F.lit("RRP: HKD"), _dec_text("p_retailprice"))).otherwise(F.lit("RRP"))
     lines = F.array(
@@ -237,7 +238,8 @@ def _discount_lines() -> Column:
 
 
 def _ladder_offers(spark, sf) -> DataFrame:
-    li = _tbl(spark, sf, "lineitem")
+    li = spread(_tbl(spark, sf, "lineitem").select(*OFFER_KEY, "l_quantity", "l_extendedprice",
+                                                  "l_returnflag", "l_linestatus"))
     part = _tbl(spark, sf, "part").select("p_partkey", "p_retailprice")
     j = li.join(part, li.l_partkey == part.p_partkey)
     texts = F.filter(F.transform(_discount_lines(), X.strip),
@@ -313,14 +315,13 @@ def first_seen(spark, sf) -> DataFrame:
 
 
 def first_seen_text(spark, sf) -> DataFrame:
-    """Exact-text dedup of documents, first doc_id kept.  The shuffle key is
-    the SHA-256 of the whole text plus its length, so full texts are never
-    shuffled."""
+    """Exact-text dedup of documents, first doc_id kept.  The grouping key
+    is the SHA-256 of the whole text plus its length (full texts are never
+    shuffled); the kept row rides in the min struct, so there is no join."""
     d = _tbl(spark, sf, "documents")
-    keyed = d.select(F.sha2("text", 256).alias("h"), F.length("text").alias("len"), "doc_id")
-    first = keyed.groupBy("h", "len").agg(F.min("doc_id").alias("doc_id"))
-    return first.join(d.select("doc_id", "lang", "source", "n_chars"), "doc_id") \
-        .select("doc_id", "lang", "source", "n_chars")
+    keep = F.min(F.struct("doc_id", "lang", "source", "n_chars")).alias("_k")
+    return (d.groupBy(F.sha2("text", 256).alias("h"), F.length("text").alias("len")).agg(keep)
+            .select("_k.doc_id", "_k.lang", "_k.source", "_k.n_chars"))
 
 
 def run_audit(spark, sf) -> DataFrame:
@@ -364,9 +365,8 @@ def price_history(spark, sf) -> DataFrame:
 
 
 def catalogue_diff(spark, sf) -> DataFrame:
-    o = _offers(spark, sf).withColumn("yr", F.date_format("l_shipdate", "yyyy"))
-    snap = lambda y: o.filter(F.col("yr") == y).groupBy("l_partkey").agg(F.min("unit_price").alias("p"))
-    return C.snapshot_diff(snap(SNAPSHOT_A), snap(SNAPSHOT_B), "l_partkey", "p")
+    o = _offers(spark, sf).withColumn("snapshot", F.date_format("l_shipdate", "yyyy"))
+    return C.snapshot_diff_one_pass(o, "l_partkey", "snapshot", SNAPSHOT_A, SNAPSHOT_B, "unit_price")
 
 
 def _retail_and_offer_catalogues(spark, sf) -> DataFrame:
