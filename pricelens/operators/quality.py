@@ -105,3 +105,20 @@ def profile(df: DataFrame, cols: list[str], key: str | None = None) -> DataFrame
     if key:
         aggs.append(F.count_distinct(key).alias(f"{key}__distinct"))
     return df.agg(*aggs)
+
+
+def catalogue_profile(df: DataFrame) -> DataFrame:
+    """Catalogue health in one aggregate: null/blank rate per field and
+    duplicate ids (see ``ladder_histogram`` for ladder lengths)."""
+    fields = ["product_id", "product_name", "brand_name", "product_desc", "product_image", "product_spec"]
+    aggs = [F.count(F.lit(1)).alias("n_rows"),
+            (F.count(F.lit(1)) - F.count_distinct("product_id")).alias("duplicate_ids")]
+    for c in fields:
+        aggs.append(F.avg(F.when(F.col(c).isNull(), 1.0).otherwise(0.0)).alias(f"{c}__null_rate"))
+        aggs.append(F.avg(F.when(F.trim(F.col(c)) == "", 1.0).otherwise(0.0)).alias(f"{c}__blank_rate"))
+    return df.agg(*aggs)
+
+
+def ladder_histogram(df: DataFrame) -> DataFrame:
+    """Number of records per price-ladder length."""
+    return df.groupBy(F.size("price").cast("bigint").alias("ladder_len")).agg(F.count(F.lit(1)).alias("n"))

@@ -75,3 +75,11 @@ def test_dedup_first_seen_and_missing_never_claims(spark):
     # idempotent: dedup of the clean output changes nothing
     again = Q.tag_quality(Q.clean(t))
     assert again.filter(F.col("reject_reason").isNotNull()).count() == 0
+
+
+def test_catalogue_profile(pages_a):
+    tagged = build_catalogue(pages_a, LayoutA(source="SHOPA"), site="A")
+    p = Q.catalogue_profile(Q.clean(tagged)).first()
+    assert p.n_rows == 3 and p.duplicate_ids == 0
+    assert {r.ladder_len: r.n for r in Q.ladder_histogram(Q.clean(tagged)).collect()} == {4: 1, 2: 2}
+    assert abs(p.product_desc__null_rate - 1 / 3) < 1e-12
