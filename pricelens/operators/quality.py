@@ -75,6 +75,39 @@ def tag_quality(records: DataFrame, order: list[str] | None = None,
     return dedup.unionByName(bad)
 
 
+def split_quality(records: DataFrame, order: list[str] | None = None,
+                  run_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(clean catalogue, rejects) without shuffling whole records.
+
+    The clean catalogue is the first-seen aggregate itself (the record rides
+    in the min struct; map-side combining ships one row per id per map
+    task).  Rejects need only id, name and URL: the duplicate check joins
+    that narrow projection with the survivors' order keys.  Same results as
+    ``tag_quality`` + ``clean`` / ``rejects``.
+    """
+    order = order or ["fetched_at", "page_id"]
+    keys = (run_cols or []) + ["product_id"]
+    has_err = "extract_error" in records.columns
+    err = F.col("extract_error") if has_err else F.lit(None).cast("string")
+    reason = (F.when(err.isNotNull(), F.concat(F.lit("extract_error:"), err))
+              .when(missing_required(), F.lit(MISSING)))
+    pre = records.withColumn("reject_reason", reason)
+    ok = pre.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    good = first_seen(ok.drop(*[c for c in ("extract_error",) if has_err]), keys, order)
+    narrow = ["product_name", "request_url", "_source"]
+    ordkey = F.struct(*[F.col(c) for c in order])
+    winners = ok.groupBy(*keys).agg(F.min(ordkey).alias("_win"))
+    dups = (ok.select(*keys, *order, *narrow).join(winners, keys)
+            .filter(ordkey != F.col("_win"))
+            .withColumn("reject_reason", F.lit(DUPLICATE)))
+    failed = pre.filter(F.col("reject_reason").isNotNull())
+    cols = [F.col("reject_reason").alias("reason"), F.col("product_id").alias("item_id"),
+            F.col("product_name").alias("item_name"), F.col("request_url").alias("item_url"),
+            F.col("_source")]
+    bad = failed.select(*cols).unionByName(dups.select(*cols))
+    return good, bad.select(*REJECT_COLS)
+
+
 def clean(tagged: DataFrame) -> DataFrame:
     return tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 

@@ -68,6 +68,14 @@ def build_catalogue(pages: DataFrame, adapter, site: str | None = None,
     return Q.tag_quality(recs, order=["fetched_at", "page_id"])
 
 
+def build_catalogue_split(pages: DataFrame, adapter, site: str | None = None,
+                          steps: Iterable[Step] = (), run_ts=None) -> tuple[DataFrame, DataFrame]:
+    """(clean catalogue, rejects): the scale path.  Records are staged once;
+    the clean side is one partial aggregate, rejects a narrow join."""
+    recs = stage(run_chain(extract_records(pages, adapter, site, run_ts), steps), "records")
+    return Q.split_quality(recs, order=["fetched_at", "page_id"])
+
+
 def publish(tagged: DataFrame, out_root: str, table_path: str | None = None) -> None:
     """Write the clean records (JSON lines + date-partitioned) and rejects.
 

@@ -293,16 +293,14 @@ def _part_records(spark, sf) -> DataFrame:
                        F.lit("PART").alias("_source"), "p_partkey")
 
 
-def _tagged_parts(spark, sf) -> DataFrame:
-    return Q.tag_quality(_part_records(spark, sf), order=["p_partkey"])
-
-
 def required_filter(spark, sf) -> DataFrame:
-    return Q.clean(_tagged_parts(spark, sf)).select("product_id", "product_name", "request_url", "p_partkey")
+    good, _ = Q.split_quality(_part_records(spark, sf), order=["p_partkey"])
+    return good.select("product_id", "product_name", "request_url", "p_partkey")
 
 
 def rejects(spark, sf) -> DataFrame:
-    return Q.rejects(_tagged_parts(spark, sf)).select("reason", "item_id", "item_name", "item_url")
+    _, bad = Q.split_quality(_part_records(spark, sf), order=["p_partkey"])
+    return bad.select("reason", "item_id", "item_name", "item_url")
 
 
 def _events_first(df: DataFrame) -> DataFrame:
@@ -467,28 +465,28 @@ def _catalogue_rows(df: DataFrame) -> DataFrame:
         F.date_format("_created_date", STAMP).alias("created"), "_source")
 
 
-def _site_tagged(spark, sf, which: str) -> DataFrame:
+def _site_split(spark, sf, which: str) -> tuple[DataFrame, DataFrame]:
     from pricelens.plans import derived_sites as D
-    from pricelens.plans.catalogue import build_catalogue
+    from pricelens.plans.catalogue import build_catalogue_split
     from pricelens.plans.sites import LayoutA, LayoutB
     part = _tbl(spark, sf, "part")
     if which == "A":
-        return build_catalogue(D.site_a_pages(part), LayoutA(source="SITEA"), site="A")
-    return build_catalogue(D.site_b_pages(part), LayoutB(source="SITEB", link_host=D.HOST_B), site="B")
+        return build_catalogue_split(D.site_a_pages(part), LayoutA(source="SITEA"), site="A")
+    return build_catalogue_split(D.site_b_pages(part), LayoutB(source="SITEB", link_host=D.HOST_B), site="B")
 
 
 def site_a_catalogue(spark, sf) -> DataFrame:
     """Rendered layout-A pages -> shred -> extract -> quality -> clean."""
-    return _catalogue_rows(Q.clean(_site_tagged(spark, sf, "A")))
+    return _catalogue_rows(_site_split(spark, sf, "A")[0])
 
 
 def site_a_rejects(spark, sf) -> DataFrame:
-    return Q.rejects(_site_tagged(spark, sf, "A")).select("reason", "item_id", "item_name", "item_url")
+    return _site_split(spark, sf, "A")[1].select("reason", "item_id", "item_name", "item_url")
 
 
 def site_b_catalogue(spark, sf) -> DataFrame:
-    return _catalogue_rows(Q.clean(_site_tagged(spark, sf, "B")))
+    return _catalogue_rows(_site_split(spark, sf, "B")[0])
 
 
 def site_b_rejects(spark, sf) -> DataFrame:
-    return Q.rejects(_site_tagged(spark, sf, "B")).select("reason", "item_id", "item_name", "item_url")
+    return _site_split(spark, sf, "B")[1].select("reason", "item_id", "item_name", "item_url")

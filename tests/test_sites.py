@@ -83,3 +83,13 @@ def test_catalogue_profile(pages_a):
     assert p.n_rows == 3 and p.duplicate_ids == 0
     assert {r.ladder_len: r.n for r in Q.ladder_histogram(Q.clean(tagged)).collect()} == {4: 1, 2: 2}
     assert abs(p.product_desc__null_rate - 1 / 3) < 1e-12
+
+
+def test_split_quality_equals_tagging(pages_a, pages_b):
+    from pricelens.plans.catalogue import build_catalogue_split
+    for pages, ad, site in [(pages_a, LayoutA(source="SHOPA"), "A"),
+                            (pages_b, LayoutB(source="SHOPB", link_host=LINK_HOST_B), "B")]:
+        tagged = build_catalogue(pages, ad, site=site)
+        good, bad = build_catalogue_split(pages, ad, site=site)
+        assert sorted(good.collect()) == sorted(Q.clean(tagged).select(*good.columns).collect())
+        assert sorted(bad.collect()) == sorted(Q.rejects(tagged).collect())
