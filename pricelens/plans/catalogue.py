@@ -76,19 +76,17 @@ def build_catalogue_split(pages: DataFrame, adapter, site: str | None = None,
     return Q.split_quality(recs, order=["fetched_at", "page_id"])
 
 
-def publish(tagged: DataFrame, out_root: str, table_path: str | None = None) -> None:
-    """Write the clean records (JSON lines + date-partitioned) and rejects.
+def publish(clean_df: DataFrame, rejects_df: DataFrame, out_root: str,
+            table_path: str | None = None) -> None:
+    """Write the clean catalogue (JSON lines, date-partitioned layout,
+    optional idempotent table append) and the rejects.
 
-    The tagged frame is written once into a staging table on the shared
-    checkpoint storage, which cuts the lineage: the sinks below re-read it
-    instead of re-running the shred and the dedup for each output.
+    The clean catalogue is staged once under the shared checkpoint folder;
+    the three sinks re-read that table instead of recomputing it.
     """
-    staged = f"{out_root}/_staged"
-    tagged.write.mode("overwrite").parquet(staged)
-    t = tagged.sparkSession.read.parquet(staged)
-    good = Q.clean(t).select(*PRODUCT_COLS)
+    good = stage(clean_df.select(*PRODUCT_COLS), "clean")
     P.write_json_lines(good, f"{out_root}/jsonl")
     P.write_partitioned(good, f"{out_root}/by_day")
-    Q.rejects(t).write.mode("overwrite").json(f"{out_root}/rejects")
+    rejects_df.write.mode("overwrite").json(f"{out_root}/rejects")
     if table_path:
         P.append_idempotent(good, table_path)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from pricelens.operators import quality as Q
-from pricelens.plans.catalogue import build_catalogue, publish
+from pricelens.plans.catalogue import build_catalogue, build_catalogue_split, publish
 from pricelens.plans.sites import LayoutA
 from pricelens.schema import PAGE_SCHEMA, PRODUCT_COLS, PRODUCT_SCHEMA
 from pricelens.session import scratch_dir
@@ -73,7 +73,8 @@ def test_idempotent_append(spark, tmp_path):
 
 def test_publish_job(spark, pages_a):
     out = scratch_dir(spark, "publish-job")
-    publish(build_catalogue(pages_a, LayoutA(source="SHOPA"), site="A"), out, table_path=out + "/table")
+    good, bad = build_catalogue_split(pages_a, LayoutA(source="SHOPA"), site="A")
+    publish(good, bad, out, table_path=out + "/table")
     clean = read_catalogue(spark, out + "/jsonl")
     assert clean.count() == 3
     assert spark.read.json(out + "/rejects").count() == 4
