@@ -97,7 +97,9 @@ def query_param(url, key: str) -> Column:
     an undecodable value is kept literally.
     """
     raw = first_match(url, r"^[^?#]*\?(?:[^#]*?&)??" + key + r"=([^&#]+)", 1)
-    return F.coalesce(F.try_url_decode(raw), raw)
+    # a '%' that does not start a valid escape stays literal, the rest decodes
+    escaped = F.regexp_replace(raw, r"%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(escaped), raw)
 
 
 def url_host(url) -> Column:
