@@ -95,3 +95,73 @@ def test_kv_map_property(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v array<string>")
     got = [r[0] for r in df.orderBy("i").select(X.kv_map("v")).collect()]
     assert got == [_py_kv(v) for v in values]
+
+
+# ---- selectors: regex over css_path == structural CSS matching -------------
+from pricelens.functions.select import selector_regex  # noqa: E402
+from pricelens.operators.shred import parse_nodes  # noqa: E402
+
+TAGS = ["div", "ul", "li", "a", "span", "p"]
+CLASSES = ["a", "b", "mt-10", "mt-100", "x.y"]
+
+
+@st.composite
+def trees(draw, depth=0):
+    n_children = draw(st.integers(0, 3 if depth < 4 else 0))
+    out = ""
+    for _ in range(n_children):
+        tag = draw(st.sampled_from(TAGS))
+        cls = draw(st.lists(st.sampled_from(CLASSES), max_size=2, unique=True))
+        ident = draw(st.sampled_from([None, "c1", "chapter-2"]))
+        attrs = (f' class="{" ".join(cls)}"' if cls else "") + (f' id="{ident}"' if ident else "")
+        out += f"<{tag}{attrs}>t{draw(trees(depth + 1))}</{tag}>"
+    return out
+
+
+compound = st.tuples(st.sampled_from(TAGS + [None]), st.lists(st.sampled_from(["a", "b", "mt-10"]), max_size=2),
+                     st.sampled_from([None, "c1"])).filter(lambda c: c[0] or c[1] or c[2])
+selectors = st.lists(st.tuples(compound, st.sampled_from([" ", " > "])), min_size=1, max_size=3)
+
+
+def _css(sel):
+    parts = []
+    for (tag, cls, ident), comb in sel:
+        parts.append((tag or "") + (f"#{ident}" if ident else "") + "".join("." + c for c in cls))
+        parts.append(comb)
+    return "".join(parts[:-1])
+
+
+def _matches(node, comp):
+    tag, cls, ident = comp
+    attrs = dict(node["attrs"])
+    have = set(attrs.get("class", "").split())
+    return ((tag is None or node["tag"] == tag) and set(cls) <= have
+            and (ident is None or attrs.get("id") == ident))
+
+
+def _structural(nodes, sel):
+    comps = [c for c, _ in sel]
+    combs = [k.strip() for _, k in sel][:-1]
+
+    def up(i, k):  # does node i match compounds[0..k] with node i matching comps[k]?
+        if not _matches(nodes[i], comps[k]):
+            return False
+        if k == 0:
+            return True
+        p = nodes[i]["parent"]
+        if combs[k - 1] == ">":
+            return p >= 0 and up(p, k - 1)
+        while p >= 0:
+            if up(p, k - 1):
+                return True
+            p = nodes[p]["parent"]
+        return False
+    return [n["ord"] for n in nodes if up(n["ord"], len(comps) - 1)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(trees(), selectors)
+def test_selector_regex_equals_structural_match(html, sel):
+    nodes = parse_nodes("<html><body>" + html + "</body></html>")
+    rx = re.compile(selector_regex(_css(sel)))
+    assert [n["ord"] for n in nodes if rx.search(n["css_path"])] == _structural(nodes, sel)

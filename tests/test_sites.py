@@ -93,3 +93,45 @@ def test_split_quality_equals_tagging(pages_a, pages_b):
         good, bad = build_catalogue_split(pages, ad, site=site)
         assert sorted(good.collect()) == sorted(Q.clean(tagged).select(*good.columns).collect())
         assert sorted(bad.collect()) == sorted(Q.rejects(tagged).collect())
+
+
+def test_lost_record_matrix(spark):
+    """Every 'record lost' cell of the mandatory-field matrix gives a reject
+    with the field name; optional fields fall back to '' / null."""
+    from pricelens.schema import PAGE_SCHEMA
+    from tests.fixtures import T0, a_product, b_product
+    a_cases = {
+        "one_crumb": a_product(crumbs=["Home"]),
+        "no_image_link": a_product(image=None),
+        "no_title": a_product(title=None),
+        "no_new_price": a_product(new=None),
+        "bad_old_price": a_product(old="HKD."),
+        "no_id": None,
+    }
+    rows = []
+    for i, (k, html) in enumerate(a_cases.items()):
+        url = f"http://a/p?route=x&product_id={i}&case={k}" if html else "http://a/p?case=no_id"
+        rows.append((i, url, html or a_product(), T0, "A", "product"))
+    got = {r.item_url.split("case=")[1]: r.reason for r in
+           Q.rejects(build_catalogue(spark.createDataFrame(rows, PAGE_SCHEMA), LayoutA(), site="A")).collect()}
+    assert got == {"one_crumb": "extract_error:product_category", "no_image_link": "extract_error:product_image",
+                   "no_title": "extract_error:product_name", "no_new_price": "extract_error:price",
+                   "bad_old_price": "extract_error:price", "no_id": "extract_error:product_id"}
+    b_cases = {
+        "no_cate": b_product(cate_links=()),
+        "no_code": b_product(cate_links=(("Skin", ""),)),
+        "no_name": b_product(name_spans=()),
+        "no_big": b_product(price_big=None),
+        "rrp_no_number": b_product(lines=("RRP: n/a",)),
+        "optional_missing": b_product(brand=None, image=None, lines=(), desc=()),
+    }
+    rows = [(i, f"http://b/detail?itemno={i}&case={k}", html, T0, "B", "product")
+            for i, (k, html) in enumerate(b_cases.items())]
+    tagged = build_catalogue(spark.createDataFrame(rows, PAGE_SCHEMA), LayoutB(link_host="http://b"), site="B")
+    got = {r.request_url.split("case=")[1]: r for r in tagged.collect()}
+    assert {k: v.reject_reason for k, v in got.items()} == {
+        "no_cate": "extract_error:product_category", "no_code": "extract_error:product_category",
+        "no_name": "extract_error:product_name", "no_big": "extract_error:price",
+        "rrp_no_number": "extract_error:price", "optional_missing": None}
+    ok = got["optional_missing"]
+    assert (ok.brand_name, ok.product_image, ok.product_spec, ok.product_desc) == (None, None, "", "")
