@@ -116,7 +116,8 @@ class _TreeBuilder(HTMLParser):
         self._open(tag, attrs, push=True)
 
     def handle_startendtag(self, tag, attrs):
-        self._open(tag, attrs, push=False)
+        # HTML ignores the self-closing slash on non-void elements
+        self._open(tag, attrs, push=True)
 
     def handle_endtag(self, tag):
         if tag in VOID_TAGS:

@@ -69,3 +69,9 @@ def test_shred_in_spark_keeps_columns(spark):
     assert out[1]["nodes"] is None
     first = shred(df).select(S.first(S.texts_of(S.select(F.col("nodes"), "p"))).alias("t")).first()
     assert first["t"] == "x"
+
+
+def test_self_closing_slash_ignored_on_non_void():
+    ns = parse_nodes('<div class="k"/>inside</div><br/>after')
+    assert _by(ns, "div.k")[0]["texts"] == ["inside"]
+    assert [n["tag"] for n in ns] == ["div", "br"]
