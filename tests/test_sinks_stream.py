@@ -100,3 +100,26 @@ def test_stream_equals_batch(spark, pages_a):
     # a second availableNow run over the same checkpoint emits nothing new
     stream_catalogue(spark, landing, adapter, base + "/out", base + "/ckpt", site="A")
     assert sorted(read_catalogue_view(spark, base + "/out").collect()) == sorted(batch.collect())
+
+
+def test_cli_catalogue(spark, pages_a):
+    from pricelens.__main__ import main
+    src = scratch_dir(spark, "cli-pages")
+    pages_a.write.parquet(src)
+    out = scratch_dir(spark, "cli-out")
+    main(["catalogue", "--pages", src, "--layout", "a", "--source", "SHOPA", "--site", "A", "--out", out])
+    assert read_catalogue(spark, out + "/jsonl").count() == 3
+    assert spark.read.json(out + "/rejects").count() == 4
+
+
+def test_hot_key_dedup(spark):
+    """One id holds a third of the rows: same answer, no row lost."""
+    n = 3000
+    rows = [("HOT" if i % 3 == 0 else f"K{i}", f"name{i}", f"u{i}", i) for i in range(n)]
+    df = spark.createDataFrame(rows, "product_id string, product_name string, request_url string, page_id long") \
+        .withColumn("fetched_at", F.lit(None).cast("timestamp")).withColumn("_source", F.lit("X"))
+    good, bad = Q.split_quality(df.repartition(8))
+    assert good.count() == 1 + (n - n // 3)
+    assert good.filter("product_id = 'HOT'").first().page_id == 0
+    assert bad.count() == n // 3 - 1
+    assert good.count() + bad.count() == n
