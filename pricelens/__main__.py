@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 
 from pricelens.plans.sites import LayoutA, LayoutB
-from pricelens.session import build_session, scratch_dir
+from pricelens.session import build_session
 
 
 def _adapter(args):
@@ -51,17 +51,16 @@ def main(argv=None) -> None:
         publish(good, bad, args.out, table_path=args.table)
     elif args.cmd == "stream":
         from pricelens.streaming.catalogue import stream_catalogue
-        stream_catalogue(spark, args.landing, adapter, f"{args.out}/updates", scratch_dir(spark, "stream-ckpt"),
+        # a stable checkpoint next to the output: a restarted run resumes
+        stream_catalogue(spark, args.landing, adapter, f"{args.out}/updates", f"{args.out}/_checkpoint",
                          site=args.site, files_per_trigger=args.files_per_trigger)
     else:
         from pricelens.operators.links import frontier, walk
-        from pricelens.operators.shred import shred
         pages = spark.read.parquet(args.pages)
         if args.site:
             pages = pages.filter(pages.site == args.site)
-        nodes = shred(pages.select("page_id", "url", "html"))
-        reached, links = walk(nodes, adapter, args.seed, args.depth)
-        reached.drop("nodes").write.mode("overwrite").parquet(f"{args.out}/reached")
+        reached, links = walk(pages, adapter, args.seed, args.depth)
+        reached.write.mode("overwrite").parquet(f"{args.out}/reached")
         frontier(links, pages).write.mode("overwrite").parquet(f"{args.out}/frontier")
 
 

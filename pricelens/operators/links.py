@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.schema import HOME
+from pricelens.schema import HOME, LISTING, PAGINATION, PRODUCT, SUBCATEGORY
 
 
 def first_link_per_url(links: DataFrame) -> DataFrame:
@@ -41,16 +41,65 @@ def seed(pages: DataFrame, seeds: list[str]) -> DataFrame:
             .withColumn("subcate_url", F.lit(None).cast("string")))
 
 
+def link_graph(pages: DataFrame, adapter, types: list[str]) -> DataFrame:
+    """Every page's outgoing links under each page type it could have.
+
+    One narrow pass per candidate type over the shredded pages (selectors
+    only, no shuffle of page content).  Lineage used to *build* URLs (the
+    category / subcategory URL a page was reached by) is the page's own URL,
+    which is what a fetched page at that step is."""
+    frames = []
+    for t in types:
+        typed = pages.select("page_id", "url", "nodes", F.lit(t).alias("page_type"),
+                             F.col("url").alias("cate_url"), F.col("url").alias("subcate_url"))
+        frames.append(adapter.links(typed).select(
+            "src_page_id", "ord", F.col("url").alias("dst_url"), F.col("page_type").alias("dst_type"),
+            F.lit(t).alias("src_type")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+WALK_TYPES = [HOME, SUBCATEGORY, PAGINATION, LISTING]
+
+
 def walk(pages: DataFrame, adapter, seeds: list[str], depth: int) -> tuple[DataFrame, DataFrame]:
-    """(reached pages with page_type + lineage, all links) after ``depth`` hops."""
-    level = seed(pages, seeds)
-    reached, all_links = [level], None
+    """(reached pages with page_type + lineage, followed links) after
+    ``depth`` hops, walking the link graph rather than the pages.
+
+    ``pages`` are stored pages (page_id, url, html).  They are shredded
+    once into a staged edge table; each hop is then a join of the small
+    frontier (page, type, lineage) with the edges, a first-link-per-URL
+    aggregate and a join with ``(url, page_id)`` -- no page content moves.
+    """
+    from pricelens.operators.shred import shred
+    from pricelens.session import stage
+    nonlinks = pages.filter(F.coalesce(F.col("page_type") != PRODUCT, F.lit(True))) \
+        if "page_type" in pages.columns else pages
+    edges = stage(link_graph(shred(nonlinks.select("page_id", "url", "html")), adapter, WALK_TYPES), "edges")
+    ids = pages.select("url", "page_id")
+    level = (seed(pages.select("page_id", "url"), seeds)
+             .select("page_id", "url", "page_type", "cate_url", "subcate_url"))
+    reached, followed = [level], []
     for _ in range(depth):
-        links = adapter.links(level)
-        all_links = links if all_links is None else all_links.unionByName(links)
-        level = resolve(links, pages)
+        hop = (level.alias("f").join(edges.alias("e"),
+                                     (F.col("f.page_id") == F.col("e.src_page_id"))
+                                     & (F.col("f.page_type") == F.col("e.src_type")))
+               .select(F.col("e.src_page_id"), F.col("e.ord"), F.col("e.dst_url").alias("url"),
+                       F.col("e.dst_type").alias("page_type"),
+                       F.when(F.col("e.src_type") == HOME, F.col("e.dst_url"))
+                       .otherwise(F.col("f.cate_url")).alias("cate_url"),
+                       F.when(F.col("e.src_type") == SUBCATEGORY, F.col("e.dst_url"))
+                       .otherwise(F.col("f.subcate_url")).alias("subcate_url")))
+        followed.append(hop)
+        first = first_link_per_url(hop).drop("src_page_id", "ord")
+        level = first.join(ids, "url").select("page_id", "url", "page_type", "cate_url", "subcate_url")
         reached.append(level)
     out = reached[0]
     for r in reached[1:]:
-        out = out.unionByName(r, allowMissingColumns=True)
-    return out, all_links
+        out = out.unionByName(r)
+    links = followed[0]
+    for f in followed[1:]:
+        links = links.unionByName(f)
+    return out, links

@@ -1,14 +1,12 @@
 """Walking stored pages: link extraction per page type, resolution, frontier."""
 
 from pricelens.operators.links import frontier, walk
-from pricelens.operators.shred import shred
 from pricelens.plans.sites import LayoutA, LayoutB
 from tests.fixtures import HOST_A, HOST_B, LINK_HOST_B
 
 
 def test_walk_layout_a(pages_a):
-    nodes = shred(pages_a.drop("page_type"))
-    reached, links = walk(nodes, LayoutA(), [f"{HOST_A}/"], depth=3)
+    reached, links = walk(pages_a.drop("page_type"), LayoutA(), [f"{HOST_A}/"], depth=3)
     by_type = {}
     for r in reached.select("url", "page_type", "cate_url").collect():
         by_type.setdefault(r.page_type, set()).add(r.url)
@@ -23,8 +21,7 @@ def test_walk_layout_a(pages_a):
 
 
 def test_walk_layout_b(pages_b):
-    nodes = shred(pages_b.drop("page_type"))
-    reached, links = walk(nodes, LayoutB(link_host=LINK_HOST_B), [f"{HOST_B}/home"], depth=4)
+    reached, links = walk(pages_b.drop("page_type"), LayoutB(link_host=LINK_HOST_B), [f"{HOST_B}/home"], depth=4)
     types = {r.url: r.page_type for r in reached.collect()}
     assert types[f"{HOST_B}/cat?c=1"] == "subcategory"  # http:// + host of the page + href
     assert types[f"{LINK_HOST_B}/sub?c=1"] == "pagination"
