@@ -36,3 +36,11 @@ def test_walk_layout_b(pages_b):
     assert prods == {f"{LINK_HOST_B}/product/detail?itemno={n}" for n in (101, 102, 103)}
     todo = {r.url for r in frontier(links, pages_b).collect()}
     assert todo == {f"{LINK_HOST_B}/sub?c=1&page=4"}
+
+
+def test_category_hook_limits_the_walk(pages_a):
+    cat2 = f"{HOST_A}/index.php?route=product/category&path=2"
+    reached, _ = walk(pages_a.drop("page_type"), LayoutA(categories=[cat2]), [f"{HOST_A}/"], depth=3)
+    got = {r.url for r in reached.filter("page_type = 'pagination'").collect()}
+    assert got == {cat2}
+    assert reached.filter("page_type = 'product'").count() == 3

@@ -135,3 +135,12 @@ def test_lost_record_matrix(spark):
         "rrp_no_number": "extract_error:price", "optional_missing": None}
     ok = got["optional_missing"]
     assert (ok.brand_name, ok.product_image, ok.product_spec, ok.product_desc) == (None, None, "", "")
+
+
+def test_record_chain_steps(pages_a):
+    """Extension surface: steps run in order, each may add columns or drop rows."""
+    steps = [lambda df: df.withColumn("brand_name", F.upper("brand_name")),
+             lambda df: df.filter(F.col("product_spec") != "330mlx24")]
+    tagged = build_catalogue(pages_a, LayoutA(source="SHOPA"), site="A", steps=steps)
+    good = Q.clean(tagged).collect()
+    assert len(good) == 2 and all(r.brand_name == r.brand_name.upper() for r in good)
