@@ -119,13 +119,15 @@ def kv_map(lines) -> Column:
     """
     entries = F.transform(
         F.filter(_c(lines), lambda x: F.instr(x, ":") > 0),
-        lambda x: F.struct(
+        lambda x, i: F.struct(
             F.substring_index(x, ":", 1).alias("key"),
+            i.alias("pos"),
             strip(F.substring(x, F.instr(x, ":") + 1, F.lit(1 << 30))).alias("value")))
-    last = F.filter(entries, lambda e, i: ~F.exists(
-        F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))),
-        lambda o: o["key"] == e["key"]))
-    return F.map_from_entries(last)
+    # sorted by (key, position): the last entry of each key run wins -- O(k log k)
+    ordered = F.array_sort(entries)
+    last = F.filter(ordered, lambda e, i: F.coalesce(
+        F.get(ordered, i + 1)["key"] != e["key"], F.lit(True)))
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"])))
 
 
 def map_get_or(m, key: str, default: str = "") -> Column:

@@ -159,7 +159,7 @@ def _structural(nodes, sel):
     return [n["ord"] for n in nodes if up(n["ord"], len(comps) - 1)]
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(trees(), selectors)
 def test_selector_regex_equals_structural_match(html, sel):
     nodes = parse_nodes("<html><body>" + html + "</body></html>")
