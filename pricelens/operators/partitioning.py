@@ -16,18 +16,34 @@ from pyspark.sql import DataFrame
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan (None if unknown)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return None
 
 
+_SHUFFLING_NODES = ("Repartition", "Aggregate", "Join", "Window", "Sort ", "Distinct")
+
+
+def already_shuffled(df: DataFrame) -> bool:
+    """True when the optimized plan already redistributes rows."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:
+        return False
+    return any(node in plan for node in _SHUFFLING_NODES)
+
+
 def spread(df: DataFrame, bytes_per_task: int = 1 << 20, max_partitions: int | None = None) -> DataFrame:
-    if df.isStreaming:  # micro-batches come from file splits already
+    """Round-robin a small, scan-shaped input over the cluster.
+
+    Decided from the plan alone (nothing is executed): inputs that are
+    already shuffled, or large enough that their file splits give every
+    core work, are returned unchanged."""
+    if df.isStreaming or already_shuffled(df):
         return df
     cap = max_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= cap:
-        return df
     est = estimated_bytes(df)
-    want = cap if est is None else min(cap, max(1, -(-est // bytes_per_task)))
-    return df.repartition(want) if want > have else df
+    if est is None or est > 4 * cap * bytes_per_task:
+        return df
+    want = min(cap, max(1, -(-est // bytes_per_task)))
+    return df.repartition(want) if want > 1 else df
