@@ -17,6 +17,7 @@ from pricelens.operators import quality as Q
 from pricelens.plans.catalogue import extract_records
 from pricelens.schema import PRODUCT_COLS
 from pricelens.sources.pages import read_pages_stream
+from pricelens.session import ensure_streaming_conf
 from pricelens.streaming.dedup import run_update_stream
 
 ORDER = ["fetched_at", "page_id"]
@@ -34,6 +35,34 @@ def stream_catalogue(spark: SparkSession, landing: str, adapter, out: str, check
     run_update_stream(updates, out, checkpoint)
 
 
+def stream_catalogue_bounded(spark: SparkSession, landing: str, adapter, out: str, checkpoint: str,
+                             within: str, site: str | None = None,
+                             files_per_trigger: int | None = None) -> None:
+    """Variant for endless streams: first-seen dedup with state bounded by
+    an event-time watermark on ``fetched_at``.
+
+    A product id is dropped when it was already seen less than ``within``
+    earlier in event time; state older than the watermark is evicted, so
+    memory no longer grows with the number of ids ever seen.  Records go to
+    a plain parquet file sink in append mode (exactly-once through the sink
+    log).  Trade-off, by Spark's definition: among duplicates arriving in
+    the same micro-batch the survivor is not specified, and repeats further
+    apart than ``within`` are kept.
+    """
+    ensure_streaming_conf(spark)
+    pages = read_pages_stream(spark, landing, max_files_per_trigger=files_per_trigger)
+    recs = extract_records(pages, adapter, site)
+    good = (recs.filter(F.col("extract_error").isNull() & ~Q.missing_required())
+            .withWatermark("fetched_at", within)
+            .dropDuplicatesWithinWatermark(["product_id"]))
+    q = (good.select(*PRODUCT_COLS).writeStream.format("parquet").outputMode("append")
+         .option("path", out).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def read_catalogue_view(spark: SparkSession, out: str) -> DataFrame:
     emitted = spark.read.parquet(out)
     best = emitted.groupBy("product_id").agg(F.min("_w").alias("_w"))

@@ -123,3 +123,27 @@ def test_hot_key_dedup(spark):
     assert good.filter("product_id = 'HOT'").first().page_id == 0
     assert bad.count() == n // 3 - 1
     assert good.count() + bad.count() == n
+
+
+def test_stream_bounded_state(spark):
+    from pricelens.streaming.catalogue import stream_catalogue_bounded
+    from tests.fixtures import a_product
+    base = scratch_dir(spark, "stream-bounded")
+    url = "http://a/p?product_id={}"
+    # id 1 repeats after 10 s (dropped).  Batch 3 moves the watermark past the
+    # bound, batch 4 evicts id 1's state (eviction follows the batch's input),
+    # so the repeat 3 days on is kept
+    batches = [[(1, url.format(1), a_product(), datetime(2024, 3, 1, 8), "A", "product"),
+                (2, url.format(2), a_product(), datetime(2024, 3, 1, 8, 0, 5), "A", "product")],
+               [(3, url.format(1), a_product(), datetime(2024, 3, 1, 8, 0, 10), "A", "product")],
+               [(5, url.format(5), a_product(), datetime(2024, 3, 3, 8), "A", "product")],
+               [(6, url.format(6), a_product(), datetime(2024, 3, 3, 9), "A", "product")],
+               [(4, url.format(1), a_product(), datetime(2024, 3, 4, 8), "A", "product")]]
+    for chunk in batches:
+        spark.createDataFrame(chunk, PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(base + "/landing")
+    stream_catalogue_bounded(spark, base + "/landing", LayoutA(source="S"), base + "/out", base + "/ckpt",
+                             within="1 hour", site="A", files_per_trigger=1)
+    got = sorted((r.product_id, r._created_date) for r in spark.read.parquet(base + "/out").collect())
+    assert got == [("S/1", datetime(2024, 3, 1, 8)), ("S/1", datetime(2024, 3, 4, 8)),
+                   ("S/2", datetime(2024, 3, 1, 8, 0, 5)), ("S/5", datetime(2024, 3, 3, 8)),
+                   ("S/6", datetime(2024, 3, 3, 9))]
