@@ -90,3 +90,21 @@ def publish(clean_df: DataFrame, rejects_df: DataFrame, out_root: str,
     rejects_df.write.mode("overwrite").json(f"{out_root}/rejects")
     if table_path:
         P.append_idempotent(good, table_path)
+
+
+def build_all(pages: DataFrame, registry, sites: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Every registered site in one catalogue (same contract, union by name).
+
+    ``sites`` maps source name -> value of the pages' ``site`` column (the
+    source name itself by default).  Each site's pages are narrowed at the
+    scan and extracted by its own adapter; the loop is over adapters, never
+    over data."""
+    goods, bads = [], []
+    for source, adapter in registry.adapters.items():
+        good, bad = build_catalogue_split(pages, adapter, site=(sites or {}).get(source, source))
+        goods.append(good.select(*PRODUCT_COLS))
+        bads.append(bad)
+    good, bad = goods[0], bads[0]
+    for g, b in zip(goods[1:], bads[1:]):
+        good, bad = good.unionByName(g), bad.unionByName(b)
+    return good, bad

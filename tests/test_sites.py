@@ -144,3 +144,13 @@ def test_record_chain_steps(pages_a):
     tagged = build_catalogue(pages_a, LayoutA(source="SHOPA"), site="A", steps=steps)
     good = Q.clean(tagged).collect()
     assert len(good) == 2 and all(r.brand_name == r.brand_name.upper() for r in good)
+
+
+def test_registry_builds_all_sites(pages_a, pages_b):
+    from pricelens.plans.catalogue import build_all
+    from pricelens.plans.sites import Registry
+    reg = Registry().register(LayoutA(source="SHOPA")).register(LayoutB(source="SHOPB", link_host=LINK_HOST_B))
+    good, bad = build_all(pages_a.unionByName(pages_b), reg, sites={"SHOPA": "A", "SHOPB": "B"})
+    counts = {r._source: r.n for r in good.groupBy("_source").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"SHOPA": 3, "SHOPB": 3}
+    assert bad.count() == 4
