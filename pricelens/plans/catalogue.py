@@ -69,10 +69,15 @@ def build_catalogue(pages: DataFrame, adapter, site: str | None = None,
 
 
 def build_catalogue_split(pages: DataFrame, adapter, site: str | None = None,
-                          steps: Iterable[Step] = (), run_ts=None) -> tuple[DataFrame, DataFrame]:
-    """(clean catalogue, rejects): the scale path.  Records are staged once;
-    the clean side is one partial aggregate, rejects a narrow join."""
-    recs = stage(run_chain(extract_records(pages, adapter, site, run_ts), steps), "records")
+                          steps: Iterable[Step] = (), run_ts=None,
+                          staged: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(clean catalogue, rejects): the scale path.  The clean side is one
+    partial aggregate, rejects a narrow join.  Records are staged once when
+    both sides (or several sinks) consume them; a caller that only needs the
+    clean catalogue passes ``staged=False`` and reads the pages once."""
+    recs = run_chain(extract_records(pages, adapter, site, run_ts), steps)
+    if staged:
+        recs = stage(recs, "records")
     return Q.split_quality(recs, order=["fetched_at", "page_id"])
 
 

@@ -465,14 +465,15 @@ def _catalogue_rows(df: DataFrame) -> DataFrame:
         F.date_format("_created_date", STAMP).alias("created"), "_source")
 
 
-def _site_split(spark, sf, which: str) -> tuple[DataFrame, DataFrame]:
+def _site_split(spark, sf, which: str, staged: bool = True) -> tuple[DataFrame, DataFrame]:
     from pricelens.plans import derived_sites as D
     from pricelens.plans.catalogue import build_catalogue_split
     from pricelens.plans.sites import LayoutA, LayoutB
     part = _tbl(spark, sf, "part")
     if which == "A":
-        return build_catalogue_split(D.site_a_pages(part), LayoutA(source="SITEA"), site="A")
-    return build_catalogue_split(D.site_b_pages(part), LayoutB(source="SITEB", link_host=D.HOST_B), site="B")
+        return build_catalogue_split(D.site_a_pages(part), LayoutA(source="SITEA"), site="A", staged=staged)
+    return build_catalogue_split(D.site_b_pages(part), LayoutB(source="SITEB", link_host=D.HOST_B),
+                                 site="B", staged=staged)
 
 
 def site_a_catalogue(spark, sf) -> DataFrame:
