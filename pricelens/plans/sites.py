@@ -21,6 +21,44 @@ from pricelens.functions import select as S
 from pricelens.functions import text as X
 from pricelens.schema import (HOME, LISTING, PAGINATION, PRODUCT, SUBCATEGORY)
 
+# ---------------------------------------------------------------------------
+# These must equal the reference's, or the same pages give
+# different records.  Listed in page order, layout A then layout B.
+# ---------------------------------------------------------------------------
+# price rung status words
+NORMAL, ORIGINAL, DISCOUNT = "normal", "original", "discount"
+
+# layout A
+A_ID_PARAM = "product_id"
+A_ERROR_PAGE = "#content > h1"
+A_CRUMB_TAG, A_CRUMB_ATTR, A_CRUMB_VALUE = "span", "itemprop", "title"
+A_IMAGE_LINK = ".product-info.split-60-40 .left .image > a"
+A_BRAND = ".right .product-options .description > a"
+A_PRICE_SPAN = ".right .product-options .price > span"
+A_PRICE_NEW, A_PRICE_OLD = "price-new", "price-old"
+A_DISCOUNT = ".discount"
+A_DESC_IMAGE = "#tab-description > p > img"
+A_CATEGORY_LINKS = "div.box-category > ul > li > a"
+A_PAGER_LINKS, A_LAST_PAGE_TEXT, A_PAGE_PARAM = "div.pagination > div > a", ">|", "page"
+A_LIST_LINKS = ".product-list-item > div > a"
+
+# layout B
+B_ID_PARAM, B_CATEGORY_PARAM = "itemno", "categoryId"
+B_BANNER_LINKS = "div.margin div.location > a"
+B_BRAND_HREF, B_CATEGORY_HREF = "brand", "cate"
+B_DETAIL = "div.margin div.detail-info.mt-10"
+B_IMAGE = B_DETAIL + " div.left > div > img"
+B_NAME = B_DETAIL + " div.right div.title > a > span"
+B_ATTR_LINES = B_DETAIL + " div.right div.content > div"
+B_PRICE = B_DETAIL + " div.right div.content > div > big"
+B_DESC = "div#Detail div.right div.detail-item#chapter-2 div.content > p"
+B_SPEC_KEY, B_RRP_KEY = "specification", "RRP"
+B_CATEGORY_LINKS = "div.category_expand_item > a"
+B_SUBCATEGORY_LINKS = "div.box_catalog div.content > dl > dt > a"
+B_PAGER_LINKS = "div.pages > a"
+B_LIST_LINKS, B_LIST_LINK_POS = "div.box_list > ul > li > a", 2
+# ---------------------------------------------------------------------------
+
 
 def _first_error(checks: list[tuple[str, Column]]) -> Column:
     """Name of the first failing check (checks are (field, ok) in order)."""
@@ -46,28 +84,28 @@ class LayoutA:
     texts, description image.
     """
     source: str = "SITE_A"
-    error_page_selector: str = "#content > h1"
+    error_page_selector: str = A_ERROR_PAGE
     categories: list | None = None  # optional category URL filter (hook)
-    id_param: str = "product_id"
+    id_param: str = A_ID_PARAM
 
     # ---- product pages -------------------------------------------------
     def extract(self, pages: DataFrame) -> DataFrame:
         n = F.col("nodes")
-        price_spans = ".right .product-options .price > span"
         # 1) every selector runs once over the nodes
         sel = pages.select(
             "page_id", "url", "fetched_at",
             S.texts_of(S.select(n, self.error_page_selector)).alias("_h1"),
-            S.texts_of(F.filter(n, lambda x: (x["tag"] == "span") & S.attr_equals("itemprop", "title")(x)))
+            S.texts_of(F.filter(n, lambda x: (x["tag"] == A_CRUMB_TAG)
+                                & S.attr_equals(A_CRUMB_ATTR, A_CRUMB_VALUE)(x)))
             .alias("_crumbs"),
-            S.select(n, ".product-info.split-60-40 .left .image > a").alias("_image_a"),
-            S.texts_of(S.select(n, ".right .product-options .description > a")).alias("_brand"),
-            S.select(n, price_spans).alias("_prices"),
-            S.texts_of(S.select(n, ".discount")).alias("_discounts"),
-            S.attrs_of(S.select(n, "#tab-description > p > img"), "src").alias("_desc"))
+            S.select(n, A_IMAGE_LINK).alias("_image_a"),
+            S.texts_of(S.select(n, A_BRAND)).alias("_brand"),
+            S.select(n, A_PRICE_SPAN).alias("_prices"),
+            S.texts_of(S.select(n, A_DISCOUNT)).alias("_discounts"),
+            S.attrs_of(S.select(n, A_DESC_IMAGE), "src").alias("_desc"))
         # 2) fields from the selections
-        old_text = S.first(S.texts_of(F.filter("_prices", S.attr_equals("class", "price-old"))))
-        new_text = S.first(S.texts_of(F.filter("_prices", S.attr_equals("class", "price-new"))))
+        old_text = S.first(S.texts_of(F.filter("_prices", S.attr_equals("class", A_PRICE_OLD))))
+        new_text = S.first(S.texts_of(F.filter("_prices", S.attr_equals("class", A_PRICE_NEW))))
         discounts = F.filter(F.transform("_discounts", X.strip), lambda d: d != "")
         out = sel.select(
             "page_id", "url", "fetched_at",
@@ -78,7 +116,7 @@ class LayoutA:
             S.first(S.attrs_of(F.col("_image_a"), "title")).alias("_title"),
             F.coalesce(S.first(F.col("_brand")), F.lit("")).alias("brand_name"),
             X.first_number(old_text).alias("_old"), X.first_number(new_text).alias("_new"),
-            F.transform(discounts, lambda d: _rung(X.first_int(d), "normal",
+            F.transform(discounts, lambda d: _rung(X.first_int(d), NORMAL,
                                                    X.tagged_price(d))).alias("_bulk"),
             S.first(F.col("_desc")).alias("product_desc"))
         bulk_ok = ~F.exists("_bulk", lambda r: r["unit"].isNull() | r["price"].isNull())
@@ -97,7 +135,7 @@ class LayoutA:
             F.col("url").alias("request_url"),
             F.array(F.struct(F.col("_cate").alias("name"), F.lit("").alias("code"))).alias("product_category"),
             X.pack_spec(F.col("_title")).alias("product_spec"),
-            F.concat(F.array(_rung(1, "normal", F.col("_new")), _rung(1, "original", F.col("_old"))),
+            F.concat(F.array(_rung(1, NORMAL, F.col("_new")), _rung(1, ORIGINAL, F.col("_old"))),
                      F.col("_bulk")).alias("price"),
             F.lit(self.source).alias("_source"),
             F.when(F.col("_error_page"), F.lit("error_page")).otherwise(err).alias("extract_error"))
@@ -106,16 +144,17 @@ class LayoutA:
     def links(self, pages: DataFrame) -> DataFrame:
         """Links each non-product page leads to, typed by the next step."""
         n = F.col("nodes")
-        home = S.tail(S.attrs_of(S.select(n, "div.box-category > ul > li > a"), "href"), 1)
+        home = S.tail(S.attrs_of(S.select(n, A_CATEGORY_LINKS), "href"), 1)
         if self.categories is not None:
             home = F.filter(home, lambda u: u.isin(list(self.categories)))
-        last_page = S.first(S.attrs_of(S.select(n, "div.pagination > div > a",
-                                                S.first_text_contains(">|")), "href"))
-        n_pages = F.greatest(F.coalesce(X.query_param(last_page, "page").try_cast("int"), F.lit(1)), F.lit(1))
+        last_page = S.first(S.attrs_of(S.select(n, A_PAGER_LINKS,
+                                                S.first_text_contains(A_LAST_PAGE_TEXT)), "href"))
+        n_pages = F.greatest(F.coalesce(X.query_param(last_page, A_PAGE_PARAM).try_cast("int"), F.lit(1)),
+                             F.lit(1))
         cate_url = F.col("cate_url")
         paged = F.transform(F.sequence(F.lit(1), n_pages),
-                            lambda i: F.concat(cate_url, F.lit("&page="), i.cast("string")))
-        listing = S.attrs_of(S.select(n, ".product-list-item > div > a"), "href")
+                            lambda i: F.concat(cate_url, F.lit(f"&{A_PAGE_PARAM}="), i.cast("string")))
+        listing = S.attrs_of(S.select(n, A_LIST_LINKS), "href")
         pt = F.col("page_type")
         urls = (F.when(pt == HOME, home).when(pt == PAGINATION, paged)
                 .when(pt == LISTING, listing).otherwise(F.array().cast("array<string>")))
@@ -138,30 +177,29 @@ class LayoutB:
     source: str = "SITE_B"
     link_host: str = "https://www.example.com"
     categories: list | None = None
-    id_param: str = "itemno"
-    category_param: str = "categoryId"
+    id_param: str = B_ID_PARAM
+    category_param: str = B_CATEGORY_PARAM
     check_error_page: bool = False  # the reference disables it on this layout
 
     def extract(self, pages: DataFrame) -> DataFrame:
         n = F.col("nodes")
-        detail = "div.margin div.detail-info.mt-10"
         # 1) every selector runs once over the nodes
         sel = pages.select(
             "page_id", "url", "fetched_at",
-            S.select(n, "div.margin div.location > a").alias("_banner"),
-            S.attrs_of(S.select(n, detail + " div.left > div > img"), "src").alias("_images"),
-            S.texts_of(S.select(n, detail + " div.right div.title > a > span")).alias("_names"),
-            S.texts_of(S.select(n, detail + " div.right div.content > div")).alias("_lines"),
-            S.texts_of(S.select(n, detail + " div.right div.content > div > big")).alias("_big"),
-            S.texts_of(S.select(n, "div#Detail div.right div.detail-item#chapter-2 div.content > p")).alias("_desc"),
-            S.texts_of(S.select(n, "#content > h1")).alias("_h1"))
+            S.select(n, B_BANNER_LINKS).alias("_banner"),
+            S.attrs_of(S.select(n, B_IMAGE), "src").alias("_images"),
+            S.texts_of(S.select(n, B_NAME)).alias("_names"),
+            S.texts_of(S.select(n, B_ATTR_LINES)).alias("_lines"),
+            S.texts_of(S.select(n, B_PRICE)).alias("_big"),
+            S.texts_of(S.select(n, B_DESC)).alias("_desc"),
+            S.texts_of(S.select(n, A_ERROR_PAGE)).alias("_h1"))
         # 2) fields from the selections
-        cate_links = F.filter("_banner", S.attr_contains("href", "cate"))
+        cate_links = F.filter("_banner", S.attr_contains("href", B_CATEGORY_HREF))
         mid = sel.select(
             "page_id", "url", "fetched_at",
             ((F.size("_h1") > 0) & F.lit(self.check_error_page)).alias("_error_page"),
             X.query_param("url", self.id_param).alias("_raw_id"),
-            S.first(S.texts_of(F.filter("_banner", S.attr_contains("href", "brand")))).alias("brand_name"),
+            S.first(S.texts_of(F.filter("_banner", S.attr_contains("href", B_BRAND_HREF)))).alias("brand_name"),
             cate_links.alias("_cate_links"),
             S.first(F.col("_images")).alias("product_image"), S.last(F.col("_names")).alias("product_name"),
             X.kv_map(F.col("_lines")).alias("_attrs"), X.first_number(S.first(F.col("_big"))).alias("_now"),
@@ -169,23 +207,23 @@ class LayoutB:
         out = mid.select(
             "*", S.last(S.texts_of(F.col("_cate_links"))).alias("_cate"),
             X.query_param(S.last(S.attrs_of(F.col("_cate_links"), "href")), self.category_param).alias("_code"))
-        has_rrp = F.map_contains_key("_attrs", F.lit("RRP"))
-        rrp = X.first_number(F.col("_attrs").getItem("RRP"))
+        has_rrp = F.map_contains_key("_attrs", F.lit(B_RRP_KEY))
+        rrp = X.first_number(F.col("_attrs").getItem(B_RRP_KEY))
         err = _first_error([
             ("product_id", F.col("_raw_id").isNotNull()),
             ("product_category", F.col("_cate").isNotNull() & F.col("_code").isNotNull()),
             ("product_name", F.col("product_name").isNotNull()),
             ("price", F.col("_now").isNotNull() & (~has_rrp | rrp.isNotNull())),
         ])
-        price = (F.when(has_rrp, F.array(_rung(1, "original", rrp), _rung(1, "discount", F.col("_now"))))
-                 .otherwise(F.array(_rung(1, "normal", F.col("_now")))))
+        price = (F.when(has_rrp, F.array(_rung(1, ORIGINAL, rrp), _rung(1, DISCOUNT, F.col("_now"))))
+                 .otherwise(F.array(_rung(1, NORMAL, F.col("_now")))))
         return out.select(
             "page_id", "fetched_at",
             X.namespaced(self.source, F.col("_raw_id")).alias("product_id"),
             "product_name", "brand_name", "product_desc", "product_image",
             F.col("url").alias("request_url"),
             F.array(F.struct(F.col("_cate").alias("name"), F.col("_code").alias("code"))).alias("product_category"),
-            X.map_get_or("_attrs", "specification").alias("product_spec"),
+            X.map_get_or("_attrs", B_SPEC_KEY).alias("product_spec"),
             price.alias("price"),
             F.lit(self.source).alias("_source"),
             F.when(F.col("_error_page"), F.lit("error_page")).otherwise(err).alias("extract_error"))
@@ -193,16 +231,16 @@ class LayoutB:
     def links(self, pages: DataFrame) -> DataFrame:
         n = F.col("nodes")
         host = F.lit(self.link_host)
-        home = F.transform(S.attrs_of(S.select(n, "div.category_expand_item > a"), "href"),
+        home = F.transform(S.attrs_of(S.select(n, B_CATEGORY_LINKS), "href"),
                            lambda h: F.concat(F.lit("http://"), X.url_host(F.col("url")), h))
         if self.categories is not None:
             home = F.filter(home, lambda u: u.isin(list(self.categories)))
-        subcats = F.transform(S.attrs_of(S.select(n, "div.box_catalog div.content > dl > dt > a"), "href"),
+        subcats = F.transform(S.attrs_of(S.select(n, B_SUBCATEGORY_LINKS), "href"),
                               lambda h: F.concat(host, h))
-        pager = F.transform(S.attrs_of(S.select(n, "div.pages > a", S.first_text_nonempty()), "href"),
+        pager = F.transform(S.attrs_of(S.select(n, B_PAGER_LINKS, S.first_text_nonempty()), "href"),
                             lambda h: F.concat(host, h))
-        paged = F.concat(F.array(F.concat(F.col("subcate_url"), F.lit("&page=1"))), pager)
-        listing = F.transform(S.attrs_of(S.select(n, "div.box_list > ul > li > a", S.nth_of_type(2)), "href"),
+        paged = F.concat(F.array(F.concat(F.col("subcate_url"), F.lit(f"&{A_PAGE_PARAM}=1"))), pager)
+        listing = F.transform(S.attrs_of(S.select(n, B_LIST_LINKS, S.nth_of_type(B_LIST_LINK_POS)), "href"),
                               lambda h: F.concat(host, h))
         pt = F.col("page_type")
         urls = (F.when(pt == HOME, home).when(pt == SUBCATEGORY, subcats)
