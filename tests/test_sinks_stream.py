@@ -147,3 +147,23 @@ def test_stream_bounded_state(spark):
     assert got == [("S/1", datetime(2024, 3, 1, 8)), ("S/1", datetime(2024, 3, 4, 8)),
                    ("S/2", datetime(2024, 3, 1, 8, 0, 5)), ("S/5", datetime(2024, 3, 3, 8)),
                    ("S/6", datetime(2024, 3, 3, 9))]
+
+
+def test_catalog_table_append_is_idempotent(spark, tmp_path):
+    src = read_catalogue(spark, _write_lines(str(tmp_path)))
+    name = "pricelens_test_catalogue"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for _ in range(2):
+        P.append_table(src, name)
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_failed_load_raises(spark, tmp_path):
+    """Unlike a swallowed retry loop, a broken target surfaces as an error."""
+    import pytest
+    src = read_catalogue(spark, _write_lines(str(tmp_path)))
+    path = scratch_dir(spark, "broken")
+    spark.createDataFrame([(1,)], "product_id int").write.parquet(path)  # incompatible table
+    with pytest.raises(Exception):
+        P.append_idempotent(src, path)
