@@ -45,10 +45,13 @@ def main(argv=None) -> None:
     spark = build_session(master=None, shuffle_partitions=None)
     adapter = _adapter(args)
     if args.cmd == "catalogue":
+        from pyspark.sql import Observation
         from pricelens.plans.catalogue import build_catalogue_split, publish
         pages = spark.read.parquet(args.pages)
-        good, bad = build_catalogue_split(pages, adapter, site=args.site)
+        run = Observation("extract")
+        good, bad = build_catalogue_split(pages, adapter, site=args.site, observation=run)
         publish(good, bad, args.out, table_path=args.table)
+        print(f"{args.source}: {run.get}")
     elif args.cmd == "stream":
         from pricelens.streaming.catalogue import stream_catalogue
         # a stable checkpoint next to the output: a restarted run resumes

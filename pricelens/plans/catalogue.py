@@ -12,6 +12,7 @@ The chain of record steps is a list of ``DataFrame -> DataFrame`` functions
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -37,7 +38,7 @@ def product_pages(pages: DataFrame, site: str | None = None) -> DataFrame:
 
 
 def extract_records(pages: DataFrame, adapter, site: str | None = None,
-                    run_ts=None) -> DataFrame:
+                    run_ts=None, observation=None) -> DataFrame:
     """Product fields + extract_error + _created_date for every product page.
 
     The record stamp is the page's fetch time (repeatable), or ``run_ts`` if
@@ -45,7 +46,13 @@ def extract_records(pages: DataFrame, adapter, site: str | None = None,
     """
     recs = adapter.extract(shred(product_pages(pages, site)))
     stamp = F.col("fetched_at") if run_ts is None else F.lit(run_ts).cast("timestamp")
-    return recs.withColumn("_created_date", stamp)
+    # Run metrics (pages, extraction failures) for the run audit.  The
+    # metrics node also keeps later filters on extract_error from being
+    # pushed below the extraction, which would evaluate every selector twice.
+    # Pass a pyspark.sql.Observation to read them after the first action.
+    name = observation or f"extract:{getattr(adapter, 'source', 'site')}:{uuid.uuid4().hex[:8]}"
+    return recs.withColumn("_created_date", stamp).observe(
+        name, F.count(F.lit(1)).alias("pages"), F.count("extract_error").alias("extract_errors"))
 
 
 def run_chain(df: DataFrame, steps: Iterable[Step]) -> DataFrame:
@@ -70,12 +77,14 @@ def build_catalogue(pages: DataFrame, adapter, site: str | None = None,
 
 def build_catalogue_split(pages: DataFrame, adapter, site: str | None = None,
                           steps: Iterable[Step] = (), run_ts=None,
-                          staged: bool = True) -> tuple[DataFrame, DataFrame]:
+                          staged: bool = True, observation=None) -> tuple[DataFrame, DataFrame]:
     """(clean catalogue, rejects): the scale path.  The clean side is one
     partial aggregate, rejects a narrow join.  Records are staged once when
     both sides (or several sinks) consume them; a caller that only needs the
-    clean catalogue passes ``staged=False`` and reads the pages once."""
-    recs = run_chain(extract_records(pages, adapter, site, run_ts), steps)
+    clean catalogue passes ``staged=False`` and reads the pages once (the
+    metrics node in ``extract_records`` keeps that single read from
+    evaluating the selectors twice)."""
+    recs = run_chain(extract_records(pages, adapter, site, run_ts, observation), steps)
     if staged:
         recs = stage(recs, "records")
     return Q.split_quality(recs, order=["fetched_at", "page_id"])

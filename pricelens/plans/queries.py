@@ -477,8 +477,9 @@ def _site_split(spark, sf, which: str, staged: bool = True) -> tuple[DataFrame,
 
 
 def site_a_catalogue(spark, sf) -> DataFrame:
-    """Rendered layout-A pages -> shred -> extract -> quality -> clean."""
-    return _catalogue_rows(_site_split(spark, sf, "A")[0])
+    """Rendered layout-A pages -> shred -> extract -> quality -> clean.
+    Only the clean side is consumed: the pages are read once, unstaged."""
+    return _catalogue_rows(_site_split(spark, sf, "A", staged=False)[0])
 
 
 def site_a_rejects(spark, sf) -> DataFrame:
@@ -486,7 +487,7 @@ def site_a_rejects(spark, sf) -> DataFrame:
 
 
 def site_b_catalogue(spark, sf) -> DataFrame:
-    return _catalogue_rows(_site_split(spark, sf, "B")[0])
+    return _catalogue_rows(_site_split(spark, sf, "B", staged=False)[0])
 
 
 def site_b_rejects(spark, sf) -> DataFrame:

@@ -102,12 +102,13 @@ def test_stream_equals_batch(spark, pages_a):
     assert sorted(read_catalogue_view(spark, base + "/out").collect()) == sorted(batch.collect())
 
 
-def test_cli_catalogue(spark, pages_a):
+def test_cli_catalogue(spark, pages_a, capsys):
     from pricelens.__main__ import main
     src = scratch_dir(spark, "cli-pages")
     pages_a.write.parquet(src)
     out = scratch_dir(spark, "cli-out")
     main(["catalogue", "--pages", src, "--layout", "a", "--source", "SHOPA", "--site", "A", "--out", out])
+    assert "'pages': 7" in capsys.readouterr().out
     assert read_catalogue(spark, out + "/jsonl").count() == 3
     assert spark.read.json(out + "/rejects").count() == 4
 
