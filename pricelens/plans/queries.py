@@ -96,9 +96,9 @@ def page_links_tail(spark, sf) -> DataFrame:
 def page_second_link(spark, sf) -> DataFrame:
     n = F.col("nodes")
     second = S.select(n, "ul > li > a", lambda a: F.get(n, a["parent"])["sib_tag_pos"] == 2)
-    return (_shredded(spark, sf)
-            .select("page_id", S.first(S.attrs_of(second, "href")).alias("href"))
-            .filter(F.col("href").isNotNull()))
+    # 0 or 1 row per page from a generator (a filter on the selection would
+    # be pushed below it and evaluate the selectors twice)
+    return _shredded(spark, sf).select("page_id", F.explode(F.slice(S.attrs_of(second, "href"), 1, 1)).alias("href"))
 
 
 def page_desc_join(spark, sf) -> DataFrame:
