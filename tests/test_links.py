@@ -44,3 +44,14 @@ def test_category_hook_limits_the_walk(pages_a):
     got = {r.url for r in reached.filter("page_type = 'pagination'").collect()}
     assert got == {cat2}
     assert reached.filter("page_type = 'product'").count() == 3
+
+
+def test_single_hop_resolve_takes_first_link(spark, pages_a):
+    from pricelens.operators.links import resolve
+    links = spark.createDataFrame(
+        [(9, 1, f"{HOST_A}/index.php?route=product/category&path=1", "pagination", "c-late", None),
+         (3, 0, f"{HOST_A}/index.php?route=product/category&path=1", "pagination", "c-first", None),
+         (3, 1, f"{HOST_A}/not-stored", "pagination", "c", None)],
+        "src_page_id long, ord int, url string, page_type string, cate_url string, subcate_url string")
+    got = resolve(links, pages_a.select("page_id", "url")).collect()
+    assert [(r.page_type, r.cate_url) for r in got] == [("pagination", "c-first")]

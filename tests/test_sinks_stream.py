@@ -168,3 +168,22 @@ def test_failed_load_raises(spark, tmp_path):
     spark.createDataFrame([(1,)], "product_id int").write.parquet(path)  # incompatible table
     with pytest.raises(Exception):
         P.append_idempotent(src, path)
+
+
+def test_json_text_roundtrip(spark, tmp_path):
+    from pricelens.sources.pages import parse_catalogue_lines
+    src = read_catalogue(spark, _write_lines(str(tmp_path)))
+    lines = P.to_json_lines(src)
+    assert all('"product_desc":' in r.value for r in lines.collect())  # nulls kept
+    back = parse_catalogue_lines(lines)
+    assert sorted(back.collect()) == sorted(src.collect())
+
+
+def test_read_pages_pushes_filters(spark, pages_a):
+    from pricelens.sources.pages import read_pages
+    path = scratch_dir(spark, "pages-src")
+    pages_a.write.parquet(path)
+    df = read_pages(spark, path, sites=["A"], page_types=["product"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "site" in plan.split("PushedFilters")[1][:300]
+    assert df.count() == 7
