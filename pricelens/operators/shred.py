@@ -202,8 +202,22 @@ def _nodes_array(htmls: list):
     return pa.ListArray.from_arrays(pa.array(noffs, pa.int32()), struct, mask=mask)
 
 
+def _slices(lengths: list, max_rows: int, max_bytes: int):
+    """(start, length) slices of at most max_rows rows and, unless a single
+    row is larger, at most max_bytes of markup."""
+    start, size = 0, 0
+    for i, n in enumerate(lengths):
+        n = n or 0
+        if i > start and (i - start >= max_rows or size + n > max_bytes):
+            yield start, i - start
+            start, size = i, 0
+        size += n
+    if start < len(lengths):
+        yield start, len(lengths) - start
+
+
 def shred(pages: DataFrame, html_col: str = "html", keep=None,
-          out_col: str = "nodes", rows_per_batch: int = 256,
+          out_col: str = "nodes", rows_per_batch: int = 256, bytes_per_batch: int = 8 << 20,
           min_partitions: int | None = None) -> DataFrame:
     """Replace ``html_col`` by ``out_col: array<NODE>``.
 
@@ -220,11 +234,14 @@ def shred(pages: DataFrame, html_col: str = "html", keep=None,
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         for whole in batches:
             # Node arrays are several times larger than the markup: emit
-            # bounded output batches whatever the input batch size.
-            for start in range(0, whole.num_rows, rows_per_batch):
-                rb = whole.slice(start, rows_per_batch)
+            # output batches bounded in rows and in markup bytes, whatever
+            # the input batch size.
+            lengths = pc.binary_length(whole.column(whole.schema.get_field_index(html_col))).to_pylist()
+            for start, length in _slices(lengths, rows_per_batch, bytes_per_batch):
+                rb = whole.slice(start, length)
                 htmls = rb.column(rb.schema.get_field_index(html_col)).to_pylist()
                 cols = [rb.column(rb.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays(cols + [_nodes_array(htmls)], names=keep + [out_col])

@@ -75,3 +75,10 @@ def test_self_closing_slash_ignored_on_non_void():
     ns = parse_nodes('<div class="k"/>inside</div><br/>after')
     assert _by(ns, "div.k")[0]["texts"] == ["inside"]
     assert [n["tag"] for n in ns] == ["div", "br"]
+
+
+def test_output_slices_bounded_by_rows_and_bytes():
+    from pricelens.operators.shred import _slices
+    assert list(_slices([1] * 5, 2, 100)) == [(0, 2), (2, 2), (4, 1)]
+    assert list(_slices([60, 60, 10, None, 200, 5], 10, 100)) == [(0, 1), (1, 3), (4, 1), (5, 1)]
+    assert list(_slices([], 3, 10)) == []
