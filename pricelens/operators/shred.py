@@ -51,6 +51,11 @@ SIBLING_CLOSERS = {
 }
 P_SCOPE_BOUNDS = frozenset("table td th button object html".split())
 
+# Fixed value: nesting limit of the lxml/libxml2 parser behind the reference's
+# selectors (huge-tree mode).  Deeper start tags open no new scope, which also
+# bounds every css_path to at most this many segments.
+MAX_DEPTH = 2048
+
 
 def _esc(name: str) -> str:
     return (name.replace("%", "%25").replace("/", "%2F")
@@ -109,7 +114,7 @@ class _TreeBuilder(HTMLParser):
         self.nodes.append([idx, parent, tag, amap, parent_path + "/" + seg,
                            counts[tag], []])
         self.text_open[parent] = False
-        if push and tag not in VOID_TAGS:
+        if push and tag not in VOID_TAGS and len(self.stack) < MAX_DEPTH:
             self.stack.append(idx)
 
     def handle_starttag(self, tag, attrs):

@@ -82,3 +82,10 @@ def test_output_slices_bounded_by_rows_and_bytes():
     assert list(_slices([1] * 5, 2, 100)) == [(0, 2), (2, 2), (4, 1)]
     assert list(_slices([60, 60, 10, None, 200, 5], 10, 100)) == [(0, 1), (1, 3), (4, 1), (5, 1)]
     assert list(_slices([], 3, 10)) == []
+
+
+def test_depth_is_bounded():
+    from pricelens.operators.shred import MAX_DEPTH
+    ns = parse_nodes("<div>" * (MAX_DEPTH + 50) + "deep")
+    assert max(n["css_path"].count("/") for n in ns) == MAX_DEPTH + 1  # leaves under the deepest scope
+    assert len(ns) == MAX_DEPTH + 50 and ns[MAX_DEPTH - 1]["texts"] == ["deep"]
