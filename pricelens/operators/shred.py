@@ -51,9 +51,9 @@ SIBLING_CLOSERS = {
 }
 P_SCOPE_BOUNDS = frozenset("table td th button object html".split())
 
-# Fixed value: nesting limit of the lxml/libxml2 parser behind the reference's
-# selectors (huge-tree mode).  Deeper start tags open no new scope, which also
-# bounds every css_path to at most this many segments.
+# Fixed value: the nesting limit of the lxml/libxml2 parser behind the
+# reference's selectors (huge-tree mode).  That parser gives up there; here
+# deeper start tags open no new scope, which bounds every css_path.
 MAX_DEPTH = 2048
 
 
