@@ -415,3 +415,31 @@ SELECT err AS reason, product_id AS item_id, product_name AS item_name, url AS i
 UNION ALL
 SELECT 'duplicate item found', product_id, product_name, url FROM k WHERE rn > 1""",
 })
+
+
+def _prefixed(cte: str, prefix: str, names: list[str]) -> str:
+    """The site CTE text with its CTE names prefixed (to use two sites in one query)."""
+    import re
+    for n in names:
+        cte = re.sub(rf"(?m)(^|\s|,)({n}) AS \(", rf"\1{prefix}{n} AS (", cte)
+        cte = re.sub(rf"\bFROM {n}\b", f"FROM {prefix}{n}", cte)
+    return cte
+
+
+ORACLES["cross_site_comparison"] = f"""
+WITH {_prefixed(_SITE_A, "a_", ["b", "s", "r", "e", "k"])},
+  {_prefixed(_SITE_B, "b_", ["b", "e", "k"])},
+  o AS (
+    SELECT 'SITEA' AS src, {_norm("CASE WHEN p_type = 'LARGE' THEN '' ELSE p_brand || ' ' END")} || '|' || {_norm("product_name")} AS match_key,
+           {_MONEY.format(x='CAST(p_retailprice AS DECIMAL(18,2)) - p_size')} AS cur
+    FROM a_k WHERE rn = 1
+    UNION ALL
+    SELECT 'SITEB', {_norm("COALESCE(CASE WHEN p_type = 'MEDIUM' THEN NULL ELSE p_brand END, '')")} || '|' || {_norm("product_name")},
+           {_MONEY.format(x='CAST(p_retailprice AS DECIMAL(18,2)) - p_size')}
+    FROM b_k WHERE rn = 1),
+  c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY match_key ORDER BY cur, src) AS rn FROM o) WHERE rn = 1),
+  g AS (SELECT match_key, max(cur) AS max_price, count(DISTINCT src) AS n_sources, count(*) AS n_products
+        FROM o GROUP BY match_key)
+SELECT g.match_key, c.src AS cheapest_source, c.cur AS cheapest_price, g.max_price, g.max_price - c.cur AS spread,
+       g.n_sources, g.n_products
+FROM g JOIN c ON g.match_key = c.match_key"""

@@ -492,3 +492,21 @@ def site_b_catalogue(spark, sf) -> DataFrame:
 
 def site_b_rejects(spark, sf) -> DataFrame:
     return _site_split(spark, sf, "B")[1].select("reason", "item_id", "item_name", "item_url")
+
+
+def cross_site_comparison(spark, sf) -> DataFrame:
+    """The stated purpose end to end: both sites' clean catalogues (pages ->
+    shred -> extract -> quality), one union, current price from each ladder,
+    exact match on normalised brand + name, cheapest source per match."""
+    a = _site_split(spark, sf, "A", staged=False)[0]
+    b = _site_split(spark, sf, "B", staged=False)[0]
+    both = C.union_catalogues(a.select(*_COMPARE_COLS), b.select(*_COMPARE_COLS))
+    offers = both.select("_source", "product_id",
+                         C.match_key(F.col("brand_name"), F.col("product_name")).alias("match_key"),
+                         C.current_price("price").alias("current_price"))
+    best = C.cheapest_source(offers, "match_key", "_source", "current_price")
+    return best.select("match_key", "cheapest_source", "cheapest_price", "max_price", "spread",
+                       "n_sources", F.col("n_offers").alias("n_products"))
+
+
+_COMPARE_COLS = ["_source", "product_id", "brand_name", "product_name", "price"]
