@@ -448,7 +448,7 @@ def stream_first_seen(spark, sf) -> DataFrame:
     from pricelens.streaming.dedup import first_seen_stream
     ev = _tbl(spark, sf, "events").select("user_id", "event_type", "ts", "event_id", "value")
     out = first_seen_stream(spark, ev, ["user_id", "event_type"], ["ts", "event_id"],
-                            slices=6, files_per_trigger=2)
+                            slices=6, micro_batches=3)
     return _events_first(out)
 
 

@@ -18,10 +18,16 @@ from pyspark.sql import functions as F
 from pricelens.session import ensure_streaming_conf, scratch_dir
 
 
-def land_in_order(df: DataFrame, path: str, order: list[str], slices: int) -> None:
-    """Write ``df`` as ``slices`` files, range-partitioned by ``order`` (the
-    way a fetcher would land them over time)."""
-    df.repartitionByRange(slices, *order).write.mode("overwrite").parquet(path)
+def land_in_order(df: DataFrame, path: str, order: list[str], slices: int,
+                  bytes_per_file: int = 128 << 20) -> int:
+    """Write ``df`` as files range-partitioned by ``order`` (the way a fetcher
+    would land them over time): at least ``slices`` files, more as the data
+    grows (about ``bytes_per_file`` each).  Returns the number of files."""
+    from pricelens.operators.partitioning import estimated_bytes
+    est = estimated_bytes(df) or 0
+    n = max(slices, -(-est // bytes_per_file))
+    df.repartitionByRange(n, *order).write.mode("overwrite").parquet(path)
+    return n
 
 
 def first_seen_updates(stream: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -54,12 +60,13 @@ def read_first_seen(spark: SparkSession, out: str, keys: list[str], columns: lis
 
 
 def first_seen_stream(spark: SparkSession, df: DataFrame, keys: list[str], order: list[str],
-                      slices: int = 4, files_per_trigger: int = 1) -> DataFrame:
-    """Land ``df``, stream it through the stateful dedup, return the result."""
+                      slices: int = 4, micro_batches: int = 2) -> DataFrame:
+    """Land ``df``, stream it through the stateful dedup in about
+    ``micro_batches`` micro-batches, return the result."""
     base = scratch_dir(spark, "stream-first-seen")
-    land_in_order(df, f"{base}/landing", order, slices)
+    n_files = land_in_order(df, f"{base}/landing", order, slices)
     stream = (spark.readStream.schema(df.schema)
-              .option("maxFilesPerTrigger", files_per_trigger)
+              .option("maxFilesPerTrigger", max(1, -(-n_files // micro_batches)))
               .parquet(f"{base}/landing"))
     run_update_stream(first_seen_updates(stream, keys, order), f"{base}/out", f"{base}/checkpoint")
     return read_first_seen(spark, f"{base}/out", keys, df.columns).select(*df.columns)
