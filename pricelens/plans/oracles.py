@@ -443,3 +443,28 @@ WITH {_prefixed(_SITE_A, "a_", ["b", "s", "r", "e", "k"])},
 SELECT g.match_key, c.src AS cheapest_source, c.cur AS cheapest_price, g.max_price, g.max_price - c.cur AS spread,
        g.n_sources, g.n_products
 FROM g JOIN c ON g.match_key = c.match_key"""
+
+
+_RUNS = f"""runs AS (
+    SELECT 'PART/' || CAST(p_partkey AS VARCHAR) AS product_id,
+           strftime({_PART_PRODUCT_TS}, '%Y-%m-%d') AS day, p_retailprice AS price FROM part
+    UNION ALL
+    SELECT 'PART/' || CAST(p_partkey AS VARCHAR),
+           strftime({_PART_PRODUCT_TS} + INTERVAL 1 DAY, '%Y-%m-%d'),
+           CASE WHEN p_type = 'PROMO' THEN p_retailprice
+                ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) - p_size AS DOUBLE) END
+    FROM part WHERE p_type <> 'ECONOMY')"""
+
+ORACLES["published_price_history"] = f"""
+WITH {_RUNS}
+SELECT product_id, day, price, lag(price) OVER w AS prev_price, price - lag(price) OVER w AS delta
+FROM runs WINDOW w AS (PARTITION BY product_id ORDER BY day)"""
+
+ORACLES["published_run_diff"] = f"""
+WITH {_RUNS},
+  a AS (SELECT product_id, min(price) AS p FROM runs WHERE day = '2024-01-01' GROUP BY product_id),
+  b AS (SELECT product_id, min(price) AS p FROM runs WHERE day = '2024-01-02' GROUP BY product_id)
+SELECT coalesce(a.product_id, b.product_id) AS product_id, a.p AS price_a, b.p AS price_b,
+  CASE WHEN a.p IS NULL THEN 'new' WHEN b.p IS NULL THEN 'delisted' WHEN a.p <> b.p THEN 'repriced'
+       ELSE 'same' END AS status, b.p - a.p AS delta
+FROM a FULL OUTER JOIN b ON a.product_id = b.product_id"""

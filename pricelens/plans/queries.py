@@ -510,3 +510,44 @@ def cross_site_comparison(spark, sf) -> DataFrame:
 
 
 _COMPARE_COLS = ["_source", "product_id", "brand_name", "product_name", "price"]
+
+
+# ---------------------------------------------------------------- runs over the published layout
+DAY_US = 86400 * 1000000
+
+
+def _second_run(spark, sf) -> DataFrame:
+    """The next day's run: every product one day later at its retail price
+    minus its size, ECONOMY products delisted, PROMO ones unchanged."""
+    part = _tbl(spark, sf, "part").filter(F.col("p_type") != "ECONOMY")
+    price = F.when(F.col("p_type") == "PROMO", F.col("p_retailprice")) \
+        .otherwise((F.col("p_retailprice").cast("decimal(18,2)") - F.col("p_size")).cast("double"))
+    run = _part_products(spark, sf).join(
+        part.select(F.concat(F.lit("PART/"), F.col("p_partkey").cast("string")).alias("product_id"),
+                    price.alias("_p")), "product_id")
+    rung = F.struct(F.lit(1).cast("bigint").alias("unit"), F.lit("normal").alias("CU_status"),
+                    F.col("_p").alias("price"))
+    return run.withColumn("price", F.array(rung)) \
+        .withColumn("_created_date", F.col("_created_date") + F.expr("INTERVAL 1 DAY")).drop("_p")
+
+
+def _published_runs(spark, sf) -> DataFrame:
+    base = scratch_dir(spark, "runs") + "/by_day"
+    P.write_partitioned(_part_products(spark, sf), base)
+    P.write_partitioned(_second_run(spark, sf), base)
+    # partition filter: only this source's directories are listed and read
+    runs = P.read_partitioned(spark, base).filter(F.col("_source") == "PART")
+    return runs.select("product_id", F.concat_ws("-", "year", "month", "day").alias("day"),
+                       C.current_price("price").alias("price"))
+
+
+def published_price_history(spark, sf) -> DataFrame:
+    """D-10 over two runs read back from the date-partitioned layout."""
+    h = C.price_history(_published_runs(spark, sf), "product_id", F.col("day"), "price")
+    return h.withColumnRenamed("period", "day")
+
+
+def published_run_diff(spark, sf) -> DataFrame:
+    """D-11 between the two published runs (one conditional aggregate)."""
+    runs = _published_runs(spark, sf)
+    return C.snapshot_diff_one_pass(runs, "product_id", "day", "2024-01-01", "2024-01-02", "price")
