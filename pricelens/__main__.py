@@ -47,10 +47,12 @@ def main(argv=None) -> None:
     if args.cmd == "catalogue":
         from pyspark.sql import Observation
         from pricelens.plans.catalogue import build_catalogue_split, publish
+        from pricelens.session import Staging
         pages = spark.read.parquet(args.pages)
         run = Observation("extract")
-        good, bad = build_catalogue_split(pages, adapter, site=args.site, observation=run)
-        publish(good, bad, args.out, table_path=args.table)
+        with Staging(spark) as st:  # staged tables are removed once published
+            good, bad = build_catalogue_split(pages, adapter, site=args.site, observation=run, staging=st)
+            publish(good, bad, args.out, table_path=args.table, staging=st)
         print(f"{args.source}: {run.get}")
     elif args.cmd == "stream":
         from pricelens.streaming.catalogue import stream_catalogue
@@ -62,9 +64,11 @@ def main(argv=None) -> None:
         pages = spark.read.parquet(args.pages)
         if args.site:
             pages = pages.filter(pages.site == args.site)
-        reached, links = walk(pages, adapter, args.seed, args.depth)
-        reached.write.mode("overwrite").parquet(f"{args.out}/reached")
-        frontier(links, pages).write.mode("overwrite").parquet(f"{args.out}/frontier")
+        from pricelens.session import Staging
+        with Staging(spark) as st:
+            reached, links = walk(pages, adapter, args.seed, args.depth, staging=st)
+            reached.write.mode("overwrite").parquet(f"{args.out}/reached")
+            frontier(links, pages).write.mode("overwrite").parquet(f"{args.out}/frontier")
 
 
 if __name__ == "__main__":

@@ -64,7 +64,8 @@ def link_graph(pages: DataFrame, adapter, types: list[str]) -> DataFrame:
 WALK_TYPES = [HOME, SUBCATEGORY, PAGINATION, LISTING]
 
 
-def walk(pages: DataFrame, adapter, seeds: list[str], depth: int) -> tuple[DataFrame, DataFrame]:
+def walk(pages: DataFrame, adapter, seeds: list[str], depth: int,
+         staging=None) -> tuple[DataFrame, DataFrame]:
     """(reached pages with page_type + lineage, followed links) after
     ``depth`` hops, walking the link graph rather than the pages.
 
@@ -77,7 +78,8 @@ def walk(pages: DataFrame, adapter, seeds: list[str], depth: int) -> tuple[DataF
     from pricelens.session import stage
     nonlinks = pages.filter(F.coalesce(F.col("page_type") != PRODUCT, F.lit(True))) \
         if "page_type" in pages.columns else pages
-    edges = stage(link_graph(shred(nonlinks.select("page_id", "url", "html")), adapter, WALK_TYPES), "edges")
+    graph = link_graph(shred(nonlinks.select("page_id", "url", "html")), adapter, WALK_TYPES)
+    edges = staging.stage(graph, "edges") if staging is not None else stage(graph, "edges")
     ids = pages.select("url", "page_id")
     level = (seed(pages.select("page_id", "url"), seeds)
              .select("page_id", "url", "page_type", "cate_url", "subcate_url"))

@@ -77,7 +77,8 @@ def build_catalogue(pages: DataFrame, adapter, site: str | None = None,
 
 def build_catalogue_split(pages: DataFrame, adapter, site: str | None = None,
                           steps: Iterable[Step] = (), run_ts=None,
-                          staged: bool = True, observation=None) -> tuple[DataFrame, DataFrame]:
+                          staged: bool = True, observation=None,
+                          staging=None) -> tuple[DataFrame, DataFrame]:
     """(clean catalogue, rejects): the scale path.  The clean side is one
     partial aggregate, rejects a narrow join.  Records are staged once when
     both sides (or several sinks) consume them; a caller that only needs the
@@ -86,19 +87,20 @@ def build_catalogue_split(pages: DataFrame, adapter, site: str | None = None,
     evaluating the selectors twice)."""
     recs = run_chain(extract_records(pages, adapter, site, run_ts, observation), steps)
     if staged:
-        recs = stage(recs, "records")
+        recs = staging.stage(recs, "records") if staging is not None else stage(recs, "records")
     return Q.split_quality(recs, order=["fetched_at", "page_id"])
 
 
 def publish(clean_df: DataFrame, rejects_df: DataFrame, out_root: str,
-            table_path: str | None = None) -> None:
+            table_path: str | None = None, staging=None) -> None:
     """Write the clean catalogue (JSON lines, date-partitioned layout,
     optional idempotent table append) and the rejects.
 
     The clean catalogue is staged once under the shared checkpoint folder;
     the three sinks re-read that table instead of recomputing it.
     """
-    good = stage(clean_df.select(*PRODUCT_COLS), "clean")
+    clean = clean_df.select(*PRODUCT_COLS)
+    good = staging.stage(clean, "clean") if staging is not None else stage(clean, "clean")
     P.write_json_lines(good, f"{out_root}/jsonl")
     P.write_partitioned(good, f"{out_root}/by_day")
     rejects_df.write.mode("overwrite").json(f"{out_root}/rejects")

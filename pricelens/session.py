@@ -95,3 +95,41 @@ def stage(df, name: str):
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+class Staging:
+    """A scope for staged tables that removes them when the run is done.
+
+        with Staging(spark) as st:
+            good, bad = build_catalogue_split(pages, adapter, staging=st)
+            publish(good, bad, out, staging=st)
+
+    Staged tables live under the shared checkpoint folder; a batch run
+    stages its records (about the size of the catalogue) once per run, so
+    they are deleted at the end instead of accumulating run after run.
+    Frames read from them must not be used after the scope closes.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stage(self, df, name: str):
+        path = scratch_dir(self.spark, name)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def close(self) -> None:
+        jvm = self.spark._jvm
+        conf = self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        self.paths = []
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        self.close()
+        return False

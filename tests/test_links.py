@@ -55,3 +55,14 @@ def test_single_hop_resolve_takes_first_link(spark, pages_a):
         "src_page_id long, ord int, url string, page_type string, cate_url string, subcate_url string")
     got = resolve(links, pages_a.select("page_id", "url")).collect()
     assert [(r.page_type, r.cate_url) for r in got] == [("pagination", "c-first")]
+
+
+def test_cli_links(spark, pages_a):
+    from pricelens.__main__ import main
+    from pricelens.session import scratch_dir
+    src = scratch_dir(spark, "cli-links-pages")
+    pages_a.drop("page_type").write.parquet(src)
+    out = scratch_dir(spark, "cli-links-out")
+    main(["links", "--pages", src, "--layout", "a", "--seed", f"{HOST_A}/", "--depth", "3", "--out", out])
+    assert spark.read.parquet(out + "/reached").count() == 1 + 2 + 4 + 7
+    assert spark.read.parquet(out + "/frontier").count() == 0

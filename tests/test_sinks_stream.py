@@ -187,3 +187,15 @@ def test_read_pages_pushes_filters(spark, pages_a):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "site" in plan.split("PushedFilters")[1][:300]
     assert df.count() == 7
+
+
+def test_staging_scope_removes_its_tables(spark, pages_a):
+    from pricelens.session import Staging
+    out = scratch_dir(spark, "staged-run")
+    with Staging(spark) as st:
+        good, bad = build_catalogue_split(pages_a, LayoutA(source="SHOPA"), site="A", staging=st)
+        publish(good, bad, out, staging=st)
+        staged = list(st.paths)
+    assert len(staged) == 2
+    assert all(not os.path.exists(p.replace("file:", "")) for p in staged)
+    assert read_catalogue(spark, out + "/jsonl").count() == 3
