@@ -7,8 +7,8 @@ Design rules used throughout:
   * windows run only on pre-aggregated, per-key-bounded inputs (e.g. one row
     per product and month);
   * matching never emits all pairs of a group: exact matches are reported as
-    group statistics per product; similarity joins collapse identical token
-    sets first and generate candidates from rare-token prefixes only;
+    group statistics per product; similarity joins collapse identical names
+    first and generate candidates from rare-token prefixes only;
   * money sums run in decimal and are divided as doubles at the end.
 """
 
@@ -146,7 +146,8 @@ def tokens(text) -> Column:
 def similar_names(df: DataFrame, name_col: str, threshold: float) -> DataFrame:
     """Pairs of distinct names whose token-set Jaccard >= threshold.
 
-    Exact (no candidate cap): identical token sets are collapsed first,
+    Exact (no candidate cap): identical names are collapsed first (with
+    their counts),
     then the prefix-filtering principle applies -- with tokens ordered rarest
     first, two sets with Jaccard >= t must share a token within their first
     |s| - ceil(t*|s|) + 1 tokens -- so candidates come from rare tokens only
