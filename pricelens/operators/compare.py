@@ -147,11 +147,10 @@ def similar_names(df: DataFrame, name_col: str, threshold: float) -> DataFrame:
     """Pairs of distinct names whose token-set Jaccard >= threshold.
 
     Exact (no candidate cap): identical names are collapsed first (with
-    their counts),
-    then the prefix-filtering principle applies -- with tokens ordered rarest
-    first, two sets with Jaccard >= t must share a token within their first
-    |s| - ceil(t*|s|) + 1 tokens -- so candidates come from rare tokens only
-    and are then verified.
+    their counts), then the prefix-filtering principle applies -- with tokens
+    ordered rarest first, two sets with Jaccard >= t must share a token within
+    their first |s| - ceil(t*|s|) + 1 tokens -- so candidates come from rare
+    tokens only and are then verified.
     """
     names = (df.groupBy(F.col(name_col).alias("name")).agg(F.count(F.lit(1)).alias("n"))
              .withColumn("toks", tokens(F.col("name")))
