@@ -159,11 +159,19 @@ def similar_names(df: DataFrame, name_col: str, threshold: float) -> DataFrame:
     freq = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     ranked = (tok.join(freq, "tok")
               .groupBy("name").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("ordered")))
-    k = F.size("ordered") - F.ceil(F.lit(threshold) * F.size("ordered")) + 1
-    prefix = ranked.select("name", F.explode(F.slice("ordered", 1, k)).alias("p")) \
-        .select("name", F.col("p.tok").alias("tok"))
+    # t * |s| in doubles can land just above an integer (0.28 * 25): a small
+    # tolerance keeps the prefix long enough and the size test permissive;
+    # both only ever add candidates, which the exact Jaccard check then drops.
+    eps = F.lit(1e-9)
+    k = F.size("ordered") - F.ceil(F.lit(threshold) * F.size("ordered") - eps) + 1
+    prefix = ranked.select("name", F.size("ordered").alias("len"),
+                           F.explode(F.slice("ordered", 1, k)).alias("p")) \
+        .select("name", "len", F.col("p.tok").alias("tok"))
     a, b = prefix.alias("a"), prefix.alias("b")
-    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.name") < F.col("b.name")))
+    # size filter: Jaccard >= t needs min(|A|,|B|) >= t * max(|A|,|B|)
+    sizes_ok = ((F.col("a.len") >= F.lit(threshold) * F.col("b.len") - eps)
+                & (F.col("b.len") >= F.lit(threshold) * F.col("a.len") - eps))
+    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.name") < F.col("b.name")) & sizes_ok)
             .select(F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")).distinct())
     na = names.select(F.col("name").alias("name_a"), F.col("toks").alias("ta"), F.col("n").alias("count_a"))
     nb = names.select(F.col("name").alias("name_b"), F.col("toks").alias("tb"), F.col("n").alias("count_b"))

@@ -99,3 +99,13 @@ def test_snapshot_diff_and_history(spark):
                               "k int, m string, p double")
     h = [tuple(r) for r in C.price_history(o, "k", F.col("m"), "p").orderBy("period").collect()]
     assert h == [(1, "2024-01", 4.0, None, None), (1, "2024-03", 6.0, 4.0, 2.0)]
+
+
+def test_similar_names_boundary_in_floating_point(spark):
+    """0.28 * 25 is 7.000000000000001 in doubles: a 7-word name inside a
+    25-word name has Jaccard exactly 0.28 and must still be found."""
+    words = [f"w{i:02d}" for i in range(25)]
+    big, small = " ".join(words), " ".join(words[:7])
+    df = spark.createDataFrame([(big,), (small,), ("x y z",)], "name string")
+    got = {(r.name_a, r.name_b) for r in C.similar_names(df, "name", 0.28).collect()}
+    assert got == {tuple(sorted((small, big)))}

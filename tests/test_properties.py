@@ -165,3 +165,26 @@ def test_selector_regex_equals_structural_match(html, sel):
     nodes = parse_nodes("<html><body>" + html + "</body></html>")
     rx = re.compile(selector_regex(_css(sel)))
     assert [n["ord"] for n in nodes if rx.search(n["css_path"])] == _structural(nodes, sel)
+
+
+# ---- similar names: prefix + size filtering is exact ---------------------
+from pricelens.operators.compare import similar_names  # noqa: E402
+
+WORDS = ["red", "blue", "plate", "gear", "bolt", "small", "big", "nut"]
+name_lists = st.lists(st.lists(st.sampled_from(WORDS), min_size=1, max_size=5).map(" ".join),
+                      min_size=2, max_size=25)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(name_lists, st.sampled_from([0.2, 0.34, 0.5, 0.67, 0.9]))
+def test_similar_names_exact(spark, names, t):
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {(r.name_a, r.name_b) for r in similar_names(df, "name", t).collect()}
+    want = set()
+    uniq = sorted(set(names))
+    for i, a in enumerate(uniq):
+        for b in uniq[i + 1:]:
+            ta, tb = set(a.split()), set(b.split())
+            if len(ta & tb) / len(ta | tb) >= t:
+                want.add((a, b))
+    assert got == want
