@@ -188,3 +188,20 @@ def test_similar_names_exact(spark, names, t):
             if len(ta & tb) / len(ta | tb) >= t:
                 want.add((a, b))
     assert got == want
+
+
+# ---- the shredder never raises: one bad page must not fail a task --------
+from pricelens.operators.shred import _nodes_array  # noqa: E402
+
+junk = st.lists(st.sampled_from(
+    ["<", ">", "</", "/>", "<div", "<p>", "</p>", "<a href=", "'", '"', "=", "&", "&amp;", "&#xD800;",
+     "&#1114112;", "&#0;", "<!--", "-->", "<![CDATA[", "<script>", "</script>", "<?x", "\x00", "﻿",
+     "text", " ", "\n", "<br/>", "<li>", "<table><td>", "class='a b'", "id=x"]), max_size=60).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(junk, st.text(max_size=80), st.none()), min_size=1, max_size=6))
+def test_shredder_never_raises(pages):
+    arr = _nodes_array(pages)
+    assert len(arr) == len(pages)
+    assert [v is None for v in arr.to_pylist()] == [p is None for p in pages]
