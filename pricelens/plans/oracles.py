@@ -468,3 +468,9 @@ SELECT coalesce(a.product_id, b.product_id) AS product_id, a.p AS price_a, b.p A
   CASE WHEN a.p IS NULL THEN 'new' WHEN b.p IS NULL THEN 'delisted' WHEN a.p <> b.p THEN 'repriced'
        ELSE 'same' END AS status, b.p - a.p AS delta
 FROM a FULL OUTER JOIN b ON a.product_id = b.product_id"""
+
+
+ORACLES["site_a_ladder_histogram"] = f"""
+WITH {_SITE_A}
+SELECT CAST(CASE WHEN p_size > 10 THEN 3 ELSE 2 END AS BIGINT) AS ladder_len, count(*) AS n
+FROM k WHERE rn = 1 GROUP BY ALL"""

@@ -551,3 +551,9 @@ def published_run_diff(spark, sf) -> DataFrame:
     """D-11 between the two published runs (one conditional aggregate)."""
     runs = _published_runs(spark, sf)
     return C.snapshot_diff_one_pass(runs, "product_id", "day", "2024-01-01", "2024-01-02", "price")
+
+
+def site_a_ladder_histogram(spark, sf) -> DataFrame:
+    """D-14 on pipeline output: records per price-ladder length in site A's
+    clean catalogue."""
+    return Q.ladder_histogram(_site_split(spark, sf, "A", staged=False)[0])
