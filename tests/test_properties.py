@@ -205,3 +205,39 @@ def test_shredder_never_raises(pages):
     arr = _nodes_array(pages)
     assert len(arr) == len(pages)
     assert [v is None for v in arr.to_pylist()] == [p is None for p in pages]
+
+
+# ---- quality split == the reference's record-at-a-time filter ------------
+from pricelens.operators.quality import DUPLICATE, MISSING, split_quality  # noqa: E402
+
+records = st.lists(st.tuples(st.sampled_from([None, "", "S/1", "S/2", "S/3"]),
+                             st.sampled_from([None, "", " ", "n"]),
+                             st.sampled_from([None, None, "price"])), min_size=1, max_size=30)
+
+
+def _model(rows):
+    seen, clean, rejected = set(), [], []
+    for page_id, (pid, name, err) in enumerate(rows):  # arrival order = page_id
+        if err:
+            rejected.append((page_id, f"extract_error:{err}"))
+        elif not (pid and name):
+            rejected.append((page_id, MISSING))
+        elif pid in seen:
+            rejected.append((page_id, DUPLICATE))
+        else:
+            seen.add(pid)
+            clean.append(page_id)
+    return sorted(clean), sorted(rejected)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(records)
+def test_split_quality_equals_sequential_model(spark, rows):
+    df = spark.createDataFrame(
+        [(i, pid, name, err, f"u{i}") for i, (pid, name, err) in enumerate(rows)],
+        "page_id long, product_id string, product_name string, extract_error string, request_url string") \
+        .withColumn("fetched_at", F.lit(None).cast("timestamp")).withColumn("_source", F.lit("S"))
+    good, bad = split_quality(df)
+    got_clean = sorted(r.page_id for r in good.collect())
+    got_bad = sorted((int(r.item_url[1:]), r.reason) for r in bad.collect())
+    assert (got_clean, got_bad) == _model(rows)
