@@ -199,3 +199,18 @@ def test_staging_scope_removes_its_tables(spark, pages_a):
     assert len(staged) == 2
     assert all(not os.path.exists(p.replace("file:", "")) for p in staged)
     assert read_catalogue(spark, out + "/jsonl").count() == 3
+
+
+def test_reads_the_reference_published_layout(spark, tmp_path):
+    """Existing output in the reference's key layout (upper-case _SOURCE in
+    the path, _source in the body) reads back as one string column."""
+    root = tmp_path / "project=price-comparison"
+    day = root / "_SOURCE=S" / "year=2019" / "month=10" / "day=17"
+    day.mkdir(parents=True)
+    with open(day / "shop-output-ls.jl", "w") as f:
+        for r in LINES:
+            f.write(json.dumps(r, ensure_ascii=True) + "\n")
+    back = P.read_partitioned(spark, str(root))
+    rows = back.select("product_id", "_source", "year", "month", "day").orderBy("product_id").collect()
+    assert [tuple(r) for r in rows] == [("S/1", "S", "2019", "10", "17"), ("S/2", "S", "2019", "10", "17")]
+    assert back.filter(F.col("product_desc").isNull()).count() == 1
