@@ -474,3 +474,16 @@ ORACLES["site_a_ladder_histogram"] = f"""
 WITH {_SITE_A}
 SELECT CAST(CASE WHEN p_size > 10 THEN 3 ELSE 2 END AS BIGINT) AS ladder_len, count(*) AS n
 FROM k WHERE rn = 1 GROUP BY ALL"""
+
+
+ORACLES["table_latest_snapshot"] = f"""
+WITH h AS (
+    SELECT 'PART/' || CAST(p_partkey AS VARCHAR) AS product_id, {_PART_PRODUCT_TS} AS ts, p_retailprice AS price
+    FROM part
+    UNION ALL
+    SELECT 'PART/' || CAST(p_partkey AS VARCHAR), {_PART_PRODUCT_TS} + INTERVAL 1 DAY,
+           CASE WHEN p_type = 'PROMO' THEN p_retailprice
+                ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) - p_size AS DOUBLE) END
+    FROM part WHERE p_type <> 'ECONOMY')
+SELECT product_id, strftime(ts, {FMT}) AS created, price
+FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY ts DESC) AS rn FROM h) WHERE rn = 1"""

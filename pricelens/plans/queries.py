@@ -557,3 +557,16 @@ def site_a_ladder_histogram(spark, sf) -> DataFrame:
     """D-14 on pipeline output: records per price-ladder length in site A's
     clean catalogue."""
     return Q.ladder_histogram(_site_split(spark, sf, "A", staged=False)[0])
+
+
+def table_latest_snapshot(spark, sf) -> DataFrame:
+    """D-13 over the appendable table: two runs appended (idempotently, the
+    second one twice), then the newest record per product."""
+    path = scratch_dir(spark, "history-table") + "/table"
+    P.append_idempotent(_part_products(spark, sf), path)
+    P.append_idempotent(_second_run(spark, sf), path)
+    P.append_idempotent(_second_run(spark, sf), path)
+    t = spark.read.parquet(path).select("product_id", "_created_date",
+                                        C.current_price("price").alias("price"))
+    last = C.latest_per_key(t, ["product_id"], ["_created_date"])
+    return last.select("product_id", F.date_format("_created_date", STAMP).alias("created"), "price")
