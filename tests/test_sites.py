@@ -154,3 +154,14 @@ def test_registry_builds_all_sites(pages_a, pages_b):
     counts = {r._source: r.n for r in good.groupBy("_source").agg(F.count("*").alias("n")).collect()}
     assert counts == {"SHOPA": 3, "SHOPB": 3}
     assert bad.count() == 4
+
+
+def test_dedup_scope_is_one_run(spark):
+    """R-80: the seen-set lives for one run; the same id in two runs is kept once per run."""
+    rows = [("r1", "X/1", "a", "u1", 1), ("r1", "X/1", "b", "u2", 2), ("r2", "X/1", "c", "u3", 3)]
+    df = spark.createDataFrame(rows, "run_id string, product_id string, product_name string, "
+                                     "request_url string, page_id long") \
+        .withColumn("fetched_at", F.lit(None).cast("timestamp")).withColumn("_source", F.lit("X"))
+    good, bad = Q.split_quality(df, run_cols=["run_id"])
+    assert sorted(r.request_url for r in good.collect()) == ["u1", "u3"]
+    assert [(r.item_url, r.reason) for r in bad.collect()] == [("u2", Q.DUPLICATE)]
