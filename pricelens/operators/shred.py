@@ -14,7 +14,7 @@ Tree-building rules (close to what a lenient HTML parser does):
     ignored;
   * some start tags imply the end of an open element (a new ``p`` or a block
     element closes an open ``p``; ``li``, ``dt``/``dd``, ``option``, ``tr``,
-    ``td``/``th`` close their open sibling);
+    ``td``/``th``, ``a`` and headings close their open sibling);
   * entities are decoded in text and attribute values;
   * each run of direct text between child elements/comments is one text node;
     ``script`` / ``style`` text belongs to those elements only.
@@ -48,7 +48,10 @@ SIBLING_CLOSERS = {
     "tr": ({"tr", "td", "th"}, {"table", "tbody", "thead", "tfoot"}),
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
+    # links do not nest: a new <a> closes an open one
+    "a": ({"a"}, {"td", "th", "table", "html"}),
 }
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 P_SCOPE_BOUNDS = frozenset("table td th button object html".split())
 
 # Fixed value: the nesting limit of the lxml/libxml2 parser behind the
@@ -87,6 +90,8 @@ class _TreeBuilder(HTMLParser):
             k = self._find_open({"p"}, P_SCOPE_BOUNDS)
             if k >= 0:
                 self._close_to(k)
+        if tag in HEADINGS and self.stack and self.nodes[self.stack[-1]][2] in HEADINGS:
+            self._close_to(len(self.stack) - 1)  # an open heading ends at the next one
         rule = SIBLING_CLOSERS.get(tag)
         if rule:
             k = self._find_open(rule[0], rule[1])

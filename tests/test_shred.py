@@ -89,3 +89,11 @@ def test_depth_is_bounded():
     ns = parse_nodes("<div>" * (MAX_DEPTH + 50) + "deep")
     assert max(n["css_path"].count("/") for n in ns) == MAX_DEPTH + 1  # leaves under the deepest scope
     assert len(ns) == MAX_DEPTH + 50 and ns[MAX_DEPTH - 1]["texts"] == ["deep"]
+
+
+def test_links_and_headings_do_not_nest():
+    ns = parse_nodes('<ul><li><a href="1">img<a href="2">name</li></ul><h2>one<h3>two</h3>')
+    links = _by(ns, "ul > li > a")
+    assert [dict(n["attrs"])["href"] for n in links] == ["1", "2"]
+    assert [n["sib_tag_pos"] for n in links] == [1, 2]
+    assert [n["css_path"] for n in ns if n["tag"] in ("h2", "h3")] == ["/h2", "/h3"]
