@@ -103,7 +103,8 @@ def query_param(url, key: str) -> Column:
 
 
 def url_host(url) -> Column:
-    return first_match(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1)
+    """Host name of a URL: lower case, without user info or port."""
+    return F.lower(first_match(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
 def namespaced(source: str, c) -> Column:

@@ -109,7 +109,7 @@ FROM pages""",
 
     "page_query_params": f"""
 SELECT page_id,
-  NULLIF(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1), '') AS host,
+  lower(NULLIF(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '')) AS host,
   {_param('utm_source')} AS utm_source, {_param('page')} AS page, {_param('ref')} AS ref
 FROM pages""",
 

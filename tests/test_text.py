@@ -84,3 +84,8 @@ def test_stamp_and_date_parts(spark):
 def test_norm_key(spark):
     assert _eval(spark, ["Brand#13 ", "Coca-Cola, Zero!", "可口　可樂。"], X.norm_key) == [
         "brand13", "cocacolazero", "可口可樂"]
+
+
+def test_url_host(spark):
+    vals = ["http://Shop.Example:8080/a?b=1", "https://user:pw@h.example/x", "ftp://h", "no-scheme/x"]
+    assert _eval(spark, vals, X.url_host) == ["shop.example", "h.example", "h", None]
