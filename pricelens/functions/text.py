@@ -83,7 +83,10 @@ def name_before_spec(title) -> Column:
     last character; no match keeps the whole title.
     """
     t = _c(title)
-    i = F.regexp_instr(t, F.lit(PACK_SPEC_RX))
+    # 1-based position of the first match in code points (regexp_instr would
+    # count UTF-16 units, which differ after characters outside the BMP)
+    prefix = F.regexp_extract(t, "(?s)^(.*?)" + PACK_SPEC_RX, 1)
+    i = F.when(t.rlike(PACK_SPEC_RX), F.char_length(prefix) + 1).otherwise(F.lit(0))
     return (F.when(t.isNull(), F.lit(None))
             .when(i == 0, t)
             .when(i == 1, F.substring(t, F.lit(1), F.char_length(t) - 1))

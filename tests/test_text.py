@@ -23,6 +23,8 @@ def test_pack_spec_split(spark):
         ("茶 500ml X 6", "", "茶 500ml X 6"),
         ("Carlo Rossi 750ml / 支", "", "Carlo Rossi 750ml / 支"),
         ("x", "", "x"),
+        ("😀 500ml x 1", "500ml x 1", "😀"),
+        ("𠀀茶500ml x 2", "500ml x 2", "𠀀"),
     ]
     titles = [c[0] for c in cases]
     assert _eval(spark, titles, X.pack_spec) == [c[1] for c in cases]
