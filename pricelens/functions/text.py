@@ -24,7 +24,7 @@ LATIN_RUN_RX = r"[a-zA-Z]+"
 PACK_SPEC_RX = r"[0-9]+ *[a-zA-Z]+ *x *[0-9]+"
 
 # Unicode-aware: Python's str.strip() also removes U+3000 and friends.
-_STRIP_RX = r"(?U)^\s+|\s+$"
+_STRIP_RX = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
 def _c(c) -> Column:

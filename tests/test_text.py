@@ -91,3 +91,10 @@ def test_norm_key(spark):
 def test_url_host(spark):
     vals = ["http://Shop.Example:8080/a?b=1", "https://user:pw@h.example/x", "ftp://h", "no-scheme/x"]
     assert _eval(spark, vals, X.url_host) == ["shop.example", "h.example", "h", None]
+
+
+def test_strip_matches_python_whitespace(spark):
+    """Every code point Python's str.strip() removes is removed here too."""
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    vals = [f"{w}a{w}" for w in spaces] + ["​b​"]  # zero-width space is not whitespace
+    assert _eval(spark, vals, X.strip) == [v.strip() for v in vals]
