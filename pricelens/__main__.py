@@ -55,10 +55,11 @@ def main(argv=None) -> None:
             publish(good, bad, args.out, table_path=args.table, staging=st)
         print(f"{args.source}: {run.get}")
     elif args.cmd == "stream":
-        from pricelens.streaming.catalogue import stream_catalogue
-        # a stable checkpoint next to the output: a restarted run resumes
-        stream_catalogue(spark, args.landing, adapter, f"{args.out}/updates", f"{args.out}/_checkpoint",
-                         site=args.site, files_per_trigger=args.files_per_trigger)
+        from pricelens.streaming.catalogue import stream_catalogue_lean
+        # lean state (ids and order keys); a stable checkpoint next to the
+        # output, so a restarted run resumes.  Read with read_lean_view(out).
+        stream_catalogue_lean(spark, args.landing, adapter, args.out, f"{args.out}/_checkpoint",
+                              site=args.site, files_per_trigger=args.files_per_trigger)
     else:
         from pricelens.operators.links import frontier, walk
         pages = spark.read.parquet(args.pages)

@@ -68,3 +68,39 @@ def read_catalogue_view(spark: SparkSession, out: str) -> DataFrame:
     best = emitted.groupBy("product_id").agg(F.min("_w").alias("_w"))
     return best.select("product_id", *[F.col("_w")[c].alias(c) for c in PRODUCT_COLS if c != "product_id"]) \
         .select(*PRODUCT_COLS)
+
+
+def stream_catalogue_lean(spark: SparkSession, landing: str, adapter, out: str, checkpoint: str,
+                          site: str | None = None, files_per_trigger: int | None = None) -> None:
+    """The catalogue stream with lean state (ids and order keys only).
+
+    1. pages -> shred -> extract -> complete records, appended to
+       ``out/records`` (file sink: exactly-once through its log; the shredder
+       runs once per page);
+    2. a second stream over that table keeps ``product_id -> min(fetched_at,
+       page_id)`` in the state store (about 40 bytes per id instead of the
+       whole record) and writes each micro-batch's changed winners to
+       ``out/winners``.
+    ``read_lean_view`` joins the two: the same result as the batch job.
+    """
+    ensure_streaming_conf(spark)
+    pages = read_pages_stream(spark, landing, max_files_per_trigger=files_per_trigger)
+    recs = extract_records(pages, adapter, site)
+    good = recs.filter(F.col("extract_error").isNull() & ~Q.missing_required()) \
+        .select(*PRODUCT_COLS, *ORDER)
+    q = (good.writeStream.format("parquet").outputMode("append")
+         .option("path", f"{out}/records").option("checkpointLocation", f"{checkpoint}/records")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    stored = spark.readStream.schema(good.schema).parquet(f"{out}/records")
+    winners = stored.groupBy("product_id").agg(F.min(F.struct(*ORDER)).alias("_w"))
+    run_update_stream(winners, f"{out}/winners", f"{checkpoint}/winners")
+
+
+def read_lean_view(spark: SparkSession, out: str) -> DataFrame:
+    winners = (spark.read.parquet(f"{out}/winners").groupBy("product_id").agg(F.min("_w").alias("_w"))
+               .select("product_id", *[F.col("_w")[c].alias(c) for c in ORDER]))
+    records = spark.read.parquet(f"{out}/records")
+    return records.join(winners, ["product_id", *ORDER], "left_semi").select(*PRODUCT_COLS)
