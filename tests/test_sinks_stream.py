@@ -233,3 +233,18 @@ def test_lean_stream_equals_batch(spark, pages_a):
     assert sorted(got.collect()) == sorted(batch.collect())
     one = got.filter("product_id = 'SHOPA/1'").first()
     assert one._created_date == datetime(2024, 2, 1)  # the earlier fetch wins, arriving late
+
+
+def test_cli_stream_resumes(spark, pages_a):
+    from pricelens.__main__ import main
+    from pricelens.streaming.catalogue import read_lean_view
+    landing, out = scratch_dir(spark, "cli-landing"), scratch_dir(spark, "cli-stream")
+    rows = site_a_pages()
+    spark.createDataFrame(rows[:9], PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+    args = ["stream", "--landing", landing, "--layout", "a", "--source", "SHOPA", "--site", "A", "--out", out]
+    main(args)
+    first = read_lean_view(spark, out).count()
+    spark.createDataFrame(rows[9:], PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+    main(args)  # restart: only the new file is processed
+    assert (first, read_lean_view(spark, out).count()) == (2, 3)
+    assert spark.read.parquet(out + "/records").count() == 3  # nothing appended twice
