@@ -3,10 +3,13 @@
 Dedup is skew-safe: the survivor of each key is found with a
 ``min(struct(order..., row id))`` aggregate, which Spark combines map-side
 (partial aggregation), so a key holding a third of all rows still ships one
-row per map task.  Rows are then tagged by joining the one-row-per-key
-survivor table back; AQE's skew-join handling splits a hot key's partition
-on the large side.  No window over the raw rows (a window would put the
-whole hot key into one task).
+row per map task.  ``split_quality`` returns that aggregate as the clean
+catalogue (the record rides in the struct) and finds duplicates by joining
+only the narrow reject fields to the one-row-per-key survivor table; AQE's
+skew-join handling splits a hot key's partition on the large side.  No
+window over the raw rows (a window would put the whole hot key into one
+task).  ``tag_quality`` is the row-level variant (every row with its
+reason) for small frames and tests.
 """
 
 from __future__ import annotations

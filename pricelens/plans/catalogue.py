@@ -2,9 +2,10 @@
 
     pages scan (filtered to the site's product pages at the scan)
       -> shred (Python, per partition, Arrow batches)
-      -> adapter.extract (native Columns, narrow)
-      -> stamp + quality tags (one aggregate + join on product_id)
-      -> clean / rejects -> sinks
+      -> adapter.extract (native Columns, narrow) + stamp + run metrics
+      -> [staged when several consumers read the records]
+      -> split_quality: clean = first-seen aggregate, rejects = narrow join
+      -> sinks (JSON lines, day layout, idempotent table)
 
 The chain of record steps is a list of ``DataFrame -> DataFrame`` functions
 (the extension surface): each may add columns or drop rows.
