@@ -2,7 +2,9 @@
 
 A followed link becomes the stored page with that URL; each URL is taken
 once.  The walk has a fixed depth per layout, so it is a short, unrolled
-chain of joins (a loop over levels on the driver, never over data).
+chain of joins (a loop over levels on the driver, never over data).  Pages
+are shredded once into an edge table; the hops join small (url, type)
+frames, never page content.
 """
 
 from __future__ import annotations

@@ -6,6 +6,11 @@ state store (a streaming aggregation of ``min(struct(order, record))``), and
 every micro-batch of changed keys is written to its own folder (idempotent
 on replay).  ``read_catalogue_view`` gives the published catalogue: the
 survivor per id over everything emitted, i.e. the batch result.
+
+Variants: ``stream_catalogue_lean`` keeps only ids and order keys in state
+(records go to an append-only table, joined at read time by
+``read_lean_view``); ``stream_catalogue_bounded`` bounds state with an
+event-time watermark.
 """
 
 from __future__ import annotations
