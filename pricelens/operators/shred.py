@@ -52,6 +52,7 @@ SIBLING_CLOSERS = {
     "a": ({"a"}, {"td", "th", "table", "html"}),
 }
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_P_ONLY = frozenset(["p"])
 P_SCOPE_BOUNDS = frozenset("table td th button object html".split())
 
 # Fixed value: the nesting limit of the lxml/libxml2 parser behind the
@@ -72,8 +73,12 @@ class _TreeBuilder(HTMLParser):
         self.stack = []      # indexes of open nodes
         self.child_tags = {-1: {}}
         self.text_open = {}  # node -> last child was text
+        self.open_tags = {}  # tag -> number of open elements with that tag
 
     def _close_to(self, idx_in_stack: int) -> None:
+        counts, nodes = self.open_tags, self.nodes
+        for node in self.stack[idx_in_stack:]:
+            counts[nodes[node][2]] -= 1
         del self.stack[idx_in_stack:]
 
     def _find_open(self, tags, bounds=frozenset()) -> int:
@@ -86,14 +91,17 @@ class _TreeBuilder(HTMLParser):
         return -1
 
     def _implied_ends(self, tag: str) -> None:
-        if tag in P_CLOSERS:
-            k = self._find_open({"p"}, P_SCOPE_BOUNDS)
+        # open-element counts skip the stack scans in the common case (and
+        # keep deeply nested pages linear)
+        counts = self.open_tags
+        if tag in P_CLOSERS and counts.get("p"):
+            k = self._find_open(_P_ONLY, P_SCOPE_BOUNDS)
             if k >= 0:
                 self._close_to(k)
         if tag in HEADINGS and self.stack and self.nodes[self.stack[-1]][2] in HEADINGS:
             self._close_to(len(self.stack) - 1)  # an open heading ends at the next one
         rule = SIBLING_CLOSERS.get(tag)
-        if rule:
+        if rule and any(counts.get(t) for t in rule[0]):
             k = self._find_open(rule[0], rule[1])
             if k >= 0:
                 self._close_to(k)
@@ -121,6 +129,7 @@ class _TreeBuilder(HTMLParser):
         self.text_open[parent] = False
         if push and tag not in VOID_TAGS and len(self.stack) < MAX_DEPTH:
             self.stack.append(idx)
+            self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
 
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs, push=True)
@@ -130,7 +139,7 @@ class _TreeBuilder(HTMLParser):
         self._open(tag, attrs, push=True)
 
     def handle_endtag(self, tag):
-        if tag in VOID_TAGS:
+        if tag in VOID_TAGS or not self.open_tags.get(tag):
             return
         k = self._find_open({tag})
         if k >= 0:
