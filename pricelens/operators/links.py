@@ -98,6 +98,9 @@ def walk(pages: DataFrame, adapter, seeds: list[str], depth: int,
                        .otherwise(F.col("f.subcate_url")).alias("subcate_url")))
         followed.append(hop)
         first = first_link_per_url(hop).drop("src_page_id", "ord")
+        # a URL is requested once in a walk: drop what earlier levels reached
+        for earlier in reached:
+            first = first.join(earlier.select("url"), "url", "left_anti")
         level = first.join(ids, "url").select("page_id", "url", "page_type", "cate_url", "subcate_url")
         reached.append(level)
     out = reached[0]

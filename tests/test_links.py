@@ -66,3 +66,19 @@ def test_cli_links(spark, pages_a):
     main(["links", "--pages", src, "--layout", "a", "--seed", f"{HOST_A}/", "--depth", "3", "--out", out])
     assert spark.read.parquet(out + "/reached").count() == 1 + 2 + 4 + 7
     assert spark.read.parquet(out + "/frontier").count() == 0
+
+
+def test_walk_requests_each_url_once(spark):
+    from pricelens.schema import PAGE_SCHEMA
+    from tests.fixtures import T0, a_home, a_listing, a_pagination
+    cat = f"{HOST_A}/c?path=1"
+    rows = [(1, f"{HOST_A}/", a_home([f"{HOST_A}/skip", cat]), T0, "A", None),
+            (2, cat, a_pagination(None), T0, "A", None),
+            # the listing links back to the category page, already requested
+            (3, f"{cat}&page=1", a_listing([cat, f"{HOST_A}/p?product_id=1"]), T0, "A", None),
+            (4, f"{HOST_A}/p?product_id=1", "<html></html>", T0, "A", None)]
+    pages = spark.createDataFrame(rows, PAGE_SCHEMA).drop("page_type")
+    reached, _ = walk(pages, LayoutA(), [f"{HOST_A}/"], depth=3)
+    got = sorted((r.url, r.page_type) for r in reached.collect())
+    assert got == sorted([(f"{HOST_A}/", "home"), (cat, "pagination"), (f"{cat}&page=1", "listing"),
+                          (f"{HOST_A}/p?product_id=1", "product")])
