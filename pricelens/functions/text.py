@@ -154,3 +154,17 @@ def date_parts(ts) -> list[Column]:
 def norm_key(c) -> Column:
     """Comparison key: lower case, whitespace and punctuation removed."""
     return F.regexp_replace(F.lower(_c(c)), r"(?U)[\s\p{IsPunctuation}!-/:-@\[-`{-~]+", "")
+
+
+def canonical_url(url) -> Column:
+    """URL key for "the same page": scheme and host lower-cased, query
+    arguments sorted, fragment dropped (what a crawler's duplicate filter
+    compares).  Arguments are sorted as raw ``k=v`` text; percent-encoding is
+    not re-normalised."""
+    u = _c(url)
+    origin = F.lower(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1))
+    path = F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
+    args = F.array_sort(F.filter(F.split(F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1), "&"),
+                                 lambda a: a != ""))
+    query = F.when(F.size(args) > 0, F.concat(F.lit("?"), F.array_join(args, "&"))).otherwise(F.lit(""))
+    return F.when(u.isNull(), F.lit(None)).otherwise(F.concat(origin, path, query))

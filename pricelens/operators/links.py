@@ -12,27 +12,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.functions.text import canonical_url
 from pricelens.schema import HOME, LISTING, PAGINATION, PRODUCT, SUBCATEGORY
 
 
 def first_link_per_url(links: DataFrame) -> DataFrame:
-    """One link per URL: the earliest (src_page_id, ord); partial-aggregated."""
-    w = F.min(F.struct("src_page_id", "ord", "page_type", "cate_url", "subcate_url"))
-    return (links.groupBy("url").agg(w.alias("_l"))
-            .select("url", "_l.src_page_id", "_l.ord", "_l.page_type", "_l.cate_url", "_l.subcate_url"))
+    """One link per canonical URL: the earliest (src_page_id, ord);
+    partial-aggregated.  ``url`` keeps the link's own text, ``url_key`` is
+    the canonical form pages are matched on."""
+    w = F.min(F.struct("src_page_id", "ord", "url", "page_type", "cate_url", "subcate_url"))
+    return (links.groupBy(canonical_url(F.col("url")).alias("url_key")).agg(w.alias("_l"))
+            .select("url_key", "_l.url", "_l.src_page_id", "_l.ord", "_l.page_type", "_l.cate_url",
+                    "_l.subcate_url"))
+
+
+def _keyed(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("url_key", canonical_url(F.col("url")))
 
 
 def resolve(links: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages reached by a link, typed and with lineage from that link."""
-    first = first_link_per_url(links).drop("src_page_id", "ord")
-    return pages.drop(*[c for c in ("page_type", "cate_url", "subcate_url") if c in pages.columns]) \
-        .join(first, "url", "inner")
+    first = first_link_per_url(links).drop("src_page_id", "ord", "url")
+    return _keyed(pages.drop(*[c for c in ("page_type", "cate_url", "subcate_url") if c in pages.columns])) \
+        .join(first, "url_key", "inner").drop("url_key")
 
 
 def frontier(links: DataFrame, pages: DataFrame) -> DataFrame:
-    """Linked URLs with no stored page yet (what a fetcher would get next)."""
-    return (links.select("url").distinct()
-            .join(pages.select("url"), "url", "left_anti"))
+    """Linked URLs with no stored page yet (what a fetcher would get next),
+    one per canonical URL."""
+    wanted = (links.groupBy(canonical_url(F.col("url")).alias("url_key"))
+              .agg(F.min("url").alias("url")))
+    return (wanted.join(_keyed(pages.select("url")).select("url_key"), "url_key", "left_anti")
+            .select("url"))
 
 
 def seed(pages: DataFrame, seeds: list[str]) -> DataFrame:
@@ -82,7 +93,7 @@ def walk(pages: DataFrame, adapter, seeds: list[str], depth: int,
         if "page_type" in pages.columns else pages
     graph = link_graph(shred(nonlinks.select("page_id", "url", "html")), adapter, WALK_TYPES)
     edges = staging.stage(graph, "edges") if staging is not None else stage(graph, "edges")
-    ids = pages.select("url", "page_id")
+    ids = _keyed(pages.select("url", "page_id")).select("url_key", "page_id")
     level = (seed(pages.select("page_id", "url"), seeds)
              .select("page_id", "url", "page_type", "cate_url", "subcate_url"))
     reached, followed = [level], []
@@ -100,8 +111,8 @@ def walk(pages: DataFrame, adapter, seeds: list[str], depth: int,
         first = first_link_per_url(hop).drop("src_page_id", "ord")
         # a URL is requested once in a walk: drop what earlier levels reached
         for earlier in reached:
-            first = first.join(earlier.select("url"), "url", "left_anti")
-        level = first.join(ids, "url").select("page_id", "url", "page_type", "cate_url", "subcate_url")
+            first = first.join(_keyed(earlier.select("url")).select("url_key"), "url_key", "left_anti")
+        level = first.join(ids, "url_key").select("page_id", "url", "page_type", "cate_url", "subcate_url")
         reached.append(level)
     out = reached[0]
     for r in reached[1:]:

@@ -64,6 +64,15 @@ _PART_PRODUCT_TS = "make_timestamp(1704067200000000 + p_partkey * 1000000)"
 _OFFER_MIN = "SELECT l_partkey, min(l_extendedprice / l_quantity) AS p FROM lineitem"
 
 
+def _canon(u: str) -> str:
+    """Canonical URL: lower-cased origin, path, sorted non-empty query args, no fragment."""
+    args = (f"list_sort(list_filter(string_split(regexp_extract({u}, '^[^?#]*\\?([^#]*)', 1), '&'), "
+            f"lambda a: a <> ''))")
+    return (f"(lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) || "
+            f"regexp_extract({u}, '^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)', 1) || "
+            f"CASE WHEN len({args}) > 0 THEN '?' || array_to_string({args}, '&') ELSE '' END)")
+
+
 def _norm(c: str) -> str:
     return f"regexp_replace(lower({c}), '[[:space:][:punct:]]+', '', 'g')"
 
@@ -120,12 +129,13 @@ FROM (SELECT page_id, url,
       FROM pages)""",
 
     "page_frontier": f"""
-SELECT DISTINCT url FROM (
-  SELECT CASE WHEN starts_with(h, '/') THEN o || h ELSE h END AS url FROM (
-    SELECT unnest(list_transform(regexp_extract_all(html, '<a href="([^"]*)"', 1), lambda x: {_dec('x')})) AS h,
-           regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS o
-    FROM pages))
-WHERE url NOT IN (SELECT url FROM pages)""",
+WITH links AS (
+    SELECT CASE WHEN starts_with(h, '/') THEN o || h ELSE h END AS url FROM (
+      SELECT unnest(list_transform(regexp_extract_all(html, '<a href="([^"]*)"', 1), lambda x: {_dec('x')})) AS h,
+             regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS o
+      FROM pages)),
+  wanted AS (SELECT {_canon('url')} AS k, min(url) AS url FROM links GROUP BY ALL)
+SELECT url FROM wanted WHERE k NOT IN (SELECT {_canon('url')} FROM pages)""",
 
     "spec_split": f"""
 WITH t AS (SELECT p_partkey, {_TITLE} AS title FROM part),

@@ -98,3 +98,9 @@ def test_strip_matches_python_whitespace(spark):
     spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
     vals = [f"{w}a{w}" for w in spaces] + ["​b​"]  # zero-width space is not whitespace
     assert _eval(spark, vals, X.strip) == [v.strip() for v in vals]
+
+
+def test_canonical_url(spark):
+    vals = ["HTTP://Shop.Example/P?b=2&a=1#top", "http://shop.example/P?a=1&b=2", "http://h/x?", "/rel?z=1&y=", None]
+    assert _eval(spark, vals, X.canonical_url) == [
+        "http://shop.example/P?a=1&b=2", "http://shop.example/P?a=1&b=2", "http://h/x", "/rel?y=&z=1", None]
