@@ -39,7 +39,7 @@ def main(argv=None) -> None:
     sub.choices["stream"].add_argument("--files-per-trigger", type=int, default=None)
     sub.choices["links"].add_argument("--pages", required=True)
     sub.choices["links"].add_argument("--seed", action="append", required=True)
-    sub.choices["links"].add_argument("--depth", type=int, default=3)
+    sub.choices["links"].add_argument("--depth", type=int, default=None, help="default: the layout's")
     args = p.parse_args(argv)
 
     spark = build_session(master=None, shuffle_partitions=None)

@@ -77,7 +77,7 @@ def link_graph(pages: DataFrame, adapter, types: list[str]) -> DataFrame:
 WALK_TYPES = [HOME, SUBCATEGORY, PAGINATION, LISTING]
 
 
-def walk(pages: DataFrame, adapter, seeds: list[str], depth: int,
+def walk(pages: DataFrame, adapter, seeds: list[str], depth: int | None = None,
          staging=None) -> tuple[DataFrame, DataFrame]:
     """(reached pages with page_type + lineage, followed links) after
     ``depth`` hops, walking the link graph rather than the pages.
@@ -89,6 +89,7 @@ def walk(pages: DataFrame, adapter, seeds: list[str], depth: int,
     """
     from pricelens.operators.shred import shred
     from pricelens.session import stage
+    depth = depth if depth is not None else adapter.walk_depth
     nonlinks = pages.filter(F.coalesce(F.col("page_type") != PRODUCT, F.lit(True))) \
         if "page_type" in pages.columns else pages
     graph = link_graph(shred(nonlinks.select("page_id", "url", "html")), adapter, WALK_TYPES)

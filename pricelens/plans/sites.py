@@ -87,6 +87,7 @@ class LayoutA:
     error_page_selector: str = A_ERROR_PAGE
     categories: list | None = None  # optional category URL filter (hook)
     id_param: str = A_ID_PARAM
+    walk_depth: int = 3  # home -> pagination -> listing -> product
 
     # ---- product pages -------------------------------------------------
     def extract(self, pages: DataFrame) -> DataFrame:
@@ -180,6 +181,7 @@ class LayoutB:
     id_param: str = B_ID_PARAM
     category_param: str = B_CATEGORY_PARAM
     check_error_page: bool = False  # the reference disables it on this layout
+    walk_depth: int = 4  # home -> subcategory -> pagination -> listing -> product
 
     def extract(self, pages: DataFrame) -> DataFrame:
         n = F.col("nodes")

@@ -21,7 +21,7 @@ def test_walk_layout_a(pages_a):
 
 
 def test_walk_layout_b(pages_b):
-    reached, links = walk(pages_b.drop("page_type"), LayoutB(link_host=LINK_HOST_B), [f"{HOST_B}/home"], depth=4)
+    reached, links = walk(pages_b.drop("page_type"), LayoutB(link_host=LINK_HOST_B), [f"{HOST_B}/home"])
     types = {r.url: r.page_type for r in reached.collect()}
     assert types[f"{HOST_B}/cat?c=1"] == "subcategory"  # http:// + host of the page + href
     assert types[f"{LINK_HOST_B}/sub?c=1"] == "pagination"
