@@ -2,7 +2,7 @@
 
     python -m pricelens catalogue --pages PATH --layout a --source SHOP --out DIR [--table DIR]
     python -m pricelens stream    --landing DIR --layout a --source SHOP --out DIR
-    python -m pricelens links     --pages PATH --layout a --seed URL --depth 3 --out DIR
+    python -m pricelens links     --pages PATH --layout a --seed URL [--depth N] --out DIR
 
 ``--pages`` is a parquet table of stored pages (page_id, url, html,
 fetched_at, site, page_type); ``--site`` narrows it at the scan.  The
