@@ -55,11 +55,16 @@ def main(argv=None) -> None:
             publish(good, bad, args.out, table_path=args.table, staging=st)
         print(f"{args.source}: {run.get}")
     elif args.cmd == "stream":
-        from pricelens.streaming.catalogue import stream_catalogue_lean
+        from pricelens.plans.catalogue import publish
+        from pricelens.session import Staging
+        from pricelens.streaming.catalogue import read_lean_rejects, read_lean_view, stream_catalogue_lean
         # lean state (ids and order keys); a stable checkpoint next to the
-        # output, so a restarted run resumes.  Read with read_lean_view(out).
+        # output, so a restarted run resumes; published at the end of the run
         stream_catalogue_lean(spark, args.landing, adapter, args.out, f"{args.out}/_checkpoint",
                               site=args.site, files_per_trigger=args.files_per_trigger)
+        with Staging(spark) as st:
+            publish(read_lean_view(spark, args.out), read_lean_rejects(spark, args.out),
+                    f"{args.out}/published", staging=st)
     else:
         from pricelens.operators.links import frontier, walk
         pages = spark.read.parquet(args.pages)

@@ -79,33 +79,56 @@ def stream_catalogue_lean(spark: SparkSession, landing: str, adapter, out: str,
                           site: str | None = None, files_per_trigger: int | None = None) -> None:
     """The catalogue stream with lean state (ids and order keys only).
 
-    1. pages -> shred -> extract -> complete records, appended to
-       ``out/records`` (file sink: exactly-once through its log; the shredder
-       runs once per page);
+    1. pages -> shred -> extract -> every record with its pre-dedup reject
+       reason (extraction failure, missing id/name), appended to
+       ``out/records`` (file sink: exactly-once through its log; the
+       shredder runs once per page);
     2. a second stream over that table keeps ``product_id -> min(fetched_at,
-       page_id)`` in the state store (about 40 bytes per id instead of the
-       whole record) and writes each micro-batch's changed winners to
-       ``out/winners``.
-    ``read_lean_view`` joins the two: the same result as the batch job.
+       page_id)`` of the complete records in the state store (about 40
+       bytes per id instead of the whole record) and writes each
+       micro-batch's changed winners to ``out/winners``.
+    ``read_lean_view`` / ``read_lean_rejects`` join the two: the same clean
+    catalogue and rejects as the batch job.
     """
     ensure_streaming_conf(spark)
     pages = read_pages_stream(spark, landing, max_files_per_trigger=files_per_trigger)
     recs = extract_records(pages, adapter, site)
-    good = recs.filter(F.col("extract_error").isNull() & ~Q.missing_required()) \
-        .select(*PRODUCT_COLS, *ORDER)
-    q = (good.writeStream.format("parquet").outputMode("append")
+    err = F.col("extract_error")
+    reason = (F.when(err.isNotNull(), F.concat(F.lit("extract_error:"), err))
+              .when(Q.missing_required(), F.lit(Q.MISSING)))
+    tagged = recs.select(*PRODUCT_COLS, *ORDER, reason.alias("reject_reason"))
+    q = (tagged.writeStream.format("parquet").outputMode("append")
          .option("path", f"{out}/records").option("checkpointLocation", f"{checkpoint}/records")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    stored = spark.readStream.schema(good.schema).parquet(f"{out}/records")
-    winners = stored.groupBy("product_id").agg(F.min(F.struct(*ORDER)).alias("_w"))
+    stored = spark.readStream.schema(tagged.schema).parquet(f"{out}/records")
+    winners = (stored.filter(F.col("reject_reason").isNull())
+               .groupBy("product_id").agg(F.min(F.struct(*ORDER)).alias("_w")))
     run_update_stream(winners, f"{out}/winners", f"{checkpoint}/winners")
 
 
+def _lean_winners(spark: SparkSession, out: str) -> DataFrame:
+    return (spark.read.parquet(f"{out}/winners").groupBy("product_id").agg(F.min("_w").alias("_w"))
+            .select("product_id", *[F.col("_w")[c].alias(c) for c in ORDER]))
+
+
 def read_lean_view(spark: SparkSession, out: str) -> DataFrame:
-    winners = (spark.read.parquet(f"{out}/winners").groupBy("product_id").agg(F.min("_w").alias("_w"))
-               .select("product_id", *[F.col("_w")[c].alias(c) for c in ORDER]))
+    """The clean catalogue of a lean stream run."""
+    records = spark.read.parquet(f"{out}/records").filter(F.col("reject_reason").isNull())
+    return records.join(_lean_winners(spark, out), ["product_id", *ORDER], "left_semi").select(*PRODUCT_COLS)
+
+
+def read_lean_rejects(spark: SparkSession, out: str) -> DataFrame:
+    """The rejects of a lean stream run: failed or incomplete records, and
+    complete ones that lost to an earlier record of the same id."""
     records = spark.read.parquet(f"{out}/records")
-    return records.join(winners, ["product_id", *ORDER], "left_semi").select(*PRODUCT_COLS)
+    failed = records.filter(F.col("reject_reason").isNotNull())
+    lost = (records.filter(F.col("reject_reason").isNull()).select("product_id", *ORDER, "product_name",
+                                                                     "request_url", "_source")
+            .join(_lean_winners(spark, out), ["product_id", *ORDER], "left_anti")
+            .withColumn("reject_reason", F.lit(Q.DUPLICATE)))
+    cols = [F.col("reject_reason").alias("reason"), F.col("product_id").alias("item_id"),
+            F.col("product_name").alias("item_name"), F.col("request_url").alias("item_url"), F.col("_source")]
+    return failed.select(*cols).unionByName(lost.select(*cols))

@@ -229,8 +229,11 @@ def test_lean_stream_equals_batch(spark, pages_a):
     stream_catalogue_lean(spark, base + "/landing", adapter, base + "/out", base + "/ckpt", site="A",
                           files_per_trigger=1)
     got = read_lean_view(spark, base + "/out")
-    batch = Q.clean(build_catalogue(spark.read.parquet(base + "/landing"), adapter, site="A")).select(*PRODUCT_COLS)
+    tagged = build_catalogue(spark.read.parquet(base + "/landing"), adapter, site="A")
+    batch = Q.clean(tagged).select(*PRODUCT_COLS)
     assert sorted(got.collect()) == sorted(batch.collect())
+    from pricelens.streaming.catalogue import read_lean_rejects
+    assert sorted(read_lean_rejects(spark, base + "/out").collect()) == sorted(Q.rejects(tagged).collect())
     one = got.filter("product_id = 'SHOPA/1'").first()
     assert one._created_date == datetime(2024, 2, 1)  # the earlier fetch wins, arriving late
 
@@ -247,4 +250,6 @@ def test_cli_stream_resumes(spark, pages_a):
     spark.createDataFrame(rows[9:], PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(landing)
     main(args)  # restart: only the new file is processed
     assert (first, read_lean_view(spark, out).count()) == (2, 3)
-    assert spark.read.parquet(out + "/records").count() == 3  # nothing appended twice
+    assert spark.read.parquet(out + "/records").count() == 7  # every page once, nothing twice
+    assert read_catalogue(spark, out + "/published/jsonl").count() == 3
+    assert spark.read.json(out + "/published/rejects").count() == 4
