@@ -497,3 +497,26 @@ WITH h AS (
     FROM part WHERE p_type <> 'ECONOMY')
 SELECT product_id, strftime(ts, {FMT}) AS created, price
 FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY ts DESC) AS rn FROM h) WHERE rn = 1"""
+
+
+def _rates(col: str, null_expr: str, blank_expr: str) -> str:
+    return (f"avg(CASE WHEN {null_expr} THEN 1.0 ELSE 0.0 END) AS {col}__null_rate, "
+            f"avg(CASE WHEN {blank_expr} THEN 1.0 ELSE 0.0 END) AS {col}__blank_rate")
+
+
+ORACLES["site_b_profile"] = f"""
+WITH {_SITE_B},
+  c AS (SELECT product_id, product_name,
+               CASE WHEN p_type = 'MEDIUM' THEN NULL ELSE p_brand END AS brand_name,
+               p_name || ' ' || p_type AS product_desc,
+               CASE WHEN p_type = 'PROMO' THEN NULL ELSE '/img/' || CAST(p_partkey AS VARCHAR) || '.jpg' END AS product_image,
+               CAST(p_size AS VARCHAR) || 'ml' AS product_spec
+        FROM k WHERE rn = 1)
+SELECT count(*) AS n_rows, count(*) - count(DISTINCT product_id) AS duplicate_ids,
+  {_rates("product_id", "product_id IS NULL", "trim(product_id) = ''")},
+  {_rates("product_name", "product_name IS NULL", "trim(product_name) = ''")},
+  {_rates("brand_name", "brand_name IS NULL", "trim(brand_name) = ''")},
+  {_rates("product_desc", "product_desc IS NULL", "trim(product_desc) = ''")},
+  {_rates("product_image", "product_image IS NULL", "trim(product_image) = ''")},
+  {_rates("product_spec", "product_spec IS NULL", "trim(product_spec) = ''")}
+FROM c"""

@@ -570,3 +570,9 @@ def table_latest_snapshot(spark, sf) -> DataFrame:
                                         C.current_price("price").alias("price"))
     last = C.latest_per_key(t, ["product_id"], ["_created_date"])
     return last.select("product_id", F.date_format("_created_date", STAMP).alias("created"), "price")
+
+
+def site_b_profile(spark, sf) -> DataFrame:
+    """D-14 on pipeline output: null and blank rates per field and duplicate
+    ids in site B's clean catalogue."""
+    return Q.catalogue_profile(_site_split(spark, sf, "B", staged=False)[0])
