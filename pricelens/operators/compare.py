@@ -186,14 +186,17 @@ def similar_names(df: DataFrame, name_col: str, threshold: float) -> DataFrame:
 
 # ---- D-09 ------------------------------------------------------------------
 def cheapest_source(offers: DataFrame, key: str, source: str, price: str,
-                    tie: list[str] | None = None) -> DataFrame:
+                    tie: list[str] | None = None, one_offer_per_source: bool = False) -> DataFrame:
     """Per key: cheapest source (price, then source, then ``tie``), spread
-    (max - min) and number of sources."""
+    (max - min) and number of sources.  With ``one_offer_per_source`` (each
+    source has at most one offer per key, e.g. after first-seen dedup) the
+    source count is a plain count: no distinct-aggregation expand."""
     tie = tie or []
     best = F.min(F.struct(F.col(price).alias("p"), F.col(source).alias("s"), *[F.col(c) for c in tie]))
+    n_sources = F.count(source) if one_offer_per_source else F.count_distinct(source)
     return (offers.groupBy(key)
             .agg(best.alias("_b"), F.max(price).alias("max_price"),
-                 F.count_distinct(source).alias("n_sources"), F.count(F.lit(1)).alias("n_offers"))
+                 n_sources.alias("n_sources"), F.count(F.lit(1)).alias("n_offers"))
             .select(key, F.col("_b.s").alias("cheapest_source"), F.col("_b.p").alias("cheapest_price"),
                     "max_price", (F.col("max_price") - F.col("_b.p")).alias("spread"),
                     "n_sources", "n_offers"))

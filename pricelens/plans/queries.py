@@ -63,7 +63,8 @@ def offer_catalogue(spark, sf) -> DataFrame:
 def cheapest_source(spark, sf) -> DataFrame:
     """D-09 over the first-seen offer catalogue, named by part."""
     cat = offer_catalogue(spark, sf)
-    best = C.cheapest_source(cat, "l_partkey", "l_suppkey", "unit_price")
+    # one offer per (supplier, part) after first-seen: sources are counted plainly
+    best = C.cheapest_source(cat, "l_partkey", "l_suppkey", "unit_price", one_offer_per_source=True)
     part = _tbl(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     return best.join(part, "l_partkey").select(
         "l_partkey", "p_name", F.col("cheapest_source").alias("cheapest_suppkey"),
