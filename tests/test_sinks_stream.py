@@ -253,3 +253,22 @@ def test_cli_stream_resumes(spark, pages_a):
     assert spark.read.parquet(out + "/records").count() == 7  # every page once, nothing twice
     assert read_catalogue(spark, out + "/published/jsonl").count() == 3
     assert spark.read.json(out + "/published/rejects").count() == 4
+
+
+def test_first_seen_stream_with_many_landed_files(spark):
+    """The landing step scales its file count with the data; many files and
+    many micro-batches still give the batch first-seen result."""
+    from pricelens.operators.quality import first_seen
+    from pricelens.streaming import dedup as D
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        "user_id", "event_type", "ts", "event_id", "value")
+    base = scratch_dir(spark, "many-files")
+    n = D.land_in_order(ev, base + "/landing", ["ts", "event_id"], slices=2, bytes_per_file=4 << 10)
+    assert n > 2
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", max(1, n // 4))
+              .parquet(base + "/landing"))
+    D.run_update_stream(D.first_seen_updates(stream, ["user_id", "event_type"], ["ts", "event_id"]),
+                        base + "/out", base + "/ckpt")
+    got = D.read_first_seen(spark, base + "/out", ["user_id", "event_type"], ev.columns).select(*ev.columns)
+    want = first_seen(ev, ["user_id", "event_type"], ["ts", "event_id"])
+    assert sorted(got.collect()) == sorted(want.collect())
