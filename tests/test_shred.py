@@ -97,3 +97,17 @@ def test_links_and_headings_do_not_nest():
     assert [dict(n["attrs"])["href"] for n in links] == ["1", "2"]
     assert [n["sib_tag_pos"] for n in links] == [1, 2]
     assert [n["css_path"] for n in ns if n["tag"] in ("h2", "h3")] == ["/h2", "/h3"]
+
+
+def test_spread_decides_without_running_jobs(spark):
+    from pricelens.operators.partitioning import spread
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    before = len(tracker.getJobIdsForGroup(None))
+    spread_once = spread(df, bytes_per_task=16 << 10)
+    spread_twice = spread(spread_once, bytes_per_task=16 << 10)
+    assert len(tracker.getJobIdsForGroup(None)) == before  # plan-only decision
+    assert spread_once is not df and spread_twice is spread_once  # already shuffled: left alone
+    capped = spread(df, bytes_per_task=16 << 10, max_partitions=2)
+    assert "RoundRobinPartitioning(2)" in capped._jdf.queryExecution().executedPlan().toString()
+    assert spread(df, bytes_per_task=1, max_partitions=2) is df  # large input: file splits suffice
