@@ -272,3 +272,15 @@ def test_first_seen_stream_with_many_landed_files(spark):
     got = D.read_first_seen(spark, base + "/out", ["user_id", "event_type"], ev.columns).select(*ev.columns)
     want = first_seen(ev, ["user_id", "event_type"], ["ts", "event_id"])
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_json_lines_key_order(spark, tmp_path):
+    """R-04/R-10: eleven keys in the published order; rung keys unit, CU_status, price."""
+    src = read_catalogue(spark, _write_lines(str(tmp_path)))
+    out = scratch_dir(spark, "key-order")
+    P.write_json_lines(src, out)
+    line = spark.read.text(out).first().value
+    keys = [k for k, _ in json.loads(line, object_pairs_hook=list)]
+    assert keys == PRODUCT_COLS and len(keys) == 11
+    rung = json.loads(line)["price"][0]
+    assert list(rung) == ["unit", "CU_status", "price"]
