@@ -144,11 +144,14 @@ def stamp_text(ts) -> Column:
 
 
 def date_parts(ts) -> list[Column]:
-    """Zero-padded year / month / day partition values (strings)."""
-    t = _c(ts)
-    return [F.date_format(t, "yyyy").alias("year"),
-            F.date_format(t, "MM").alias("month"),
-            F.date_format(t, "dd").alias("day")]
+    """Zero-padded UTC year / month / day partition values (strings).
+
+    The calendar date comes from epoch microseconds, so it is the UTC date
+    whatever the session time zone."""
+    d = F.date_from_unix_date(F.floor(F.unix_micros(_c(ts)) / F.lit(86400000000)).cast("int"))
+    return [F.date_format(d, "yyyy").alias("year"),
+            F.date_format(d, "MM").alias("month"),
+            F.date_format(d, "dd").alias("day")]
 
 
 def norm_key(c) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pricelens.functions.text import date_parts
 from pricelens.schema import PRODUCT_COLS
+from pricelens.session import ensure_conf
 
 STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 PARTITION_COLS = ["_source", "year", "month", "day"]
@@ -23,7 +24,9 @@ def to_json_lines(df: DataFrame) -> DataFrame:
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
-    """Overwrite a JSON-lines folder (one object per line, nulls kept)."""
+    """Overwrite a JSON-lines folder (one object per line, nulls kept;
+    stamps written as UTC text)."""
+    ensure_conf(df.sparkSession)
     (df.select(*PRODUCT_COLS).write.mode("overwrite")
      .option("ignoreNullFields", "false")
      .option("timestampFormat", STAMP_FORMAT)
@@ -43,6 +46,7 @@ def write_partitioned(df: DataFrame, root: str, fmt: str = "json") -> None:
     directories, and AQE splits a big (source, day) -- typically the whole
     run -- into advisory-sized tasks instead of one task per day.
     """
+    ensure_conf(df.sparkSession)
     out = with_partition_cols(df.select(*PRODUCT_COLS))
     (out.hint("rebalance", *PARTITION_COLS)
      .write.mode("overwrite")
@@ -79,8 +83,9 @@ def append_idempotent(df: DataFrame, path: str, keys=("product_id", "_created_da
     whole history.
     """
     spark = df.sparkSession
+    ensure_conf(spark)
     batch = df.select(*PRODUCT_COLS).withColumn(
-        "snapshot_date", F.date_format(F.col("_created_date"), "yyyy-MM-dd"))
+        "snapshot_date", F.concat_ws("-", *date_parts(F.col("_created_date"))))
     try:
         existing = spark.read.format(fmt).load(path)
     except Exception as e:  # first load: nothing there yet

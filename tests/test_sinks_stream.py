@@ -284,3 +284,15 @@ def test_json_lines_key_order(spark, tmp_path):
     assert keys == PRODUCT_COLS and len(keys) == 11
     rung = json.loads(line)["price"][0]
     assert list(rung) == ["unit", "CU_status", "price"]
+
+
+def test_partition_date_is_utc_in_any_session_zone(spark, tmp_path):
+    from pricelens.functions.text import date_parts
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = spark.createDataFrame([(1,)], "i int").select(
+            F.timestamp_micros(F.lit(1704151800000000)).alias("t"))  # 2024-01-01 23:30 UTC
+        r = df.select(*date_parts(F.col("t"))).first()
+        assert (r.year, r.month, r.day) == ("2024", "01", "01")  # Tokyo wall clock is already the 2nd
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
