@@ -165,3 +165,15 @@ def test_dedup_scope_is_one_run(spark):
     good, bad = Q.split_quality(df, run_cols=["run_id"])
     assert sorted(r.request_url for r in good.collect()) == ["u1", "u3"]
     assert [(r.item_url, r.reason) for r in bad.collect()] == [("u2", Q.DUPLICATE)]
+
+
+def test_record_stamp_is_fetch_time_or_run_stamp(pages_a):
+    """R-12: records carry their page's fetch time, or one given run stamp."""
+    from datetime import datetime
+    good, _ = Q.split_quality(build_catalogue(pages_a, LayoutA(source="SHOPA"), site="A")
+                              .filter(F.col("reject_reason").isNull()).drop("reject_reason"))
+    fetched = {r.page_id: r.fetched_at for r in pages_a.collect()}
+    assert all(r._created_date == fetched[r.page_id] for r in good.collect())
+    run = datetime(2024, 5, 1, 12, 0, 0)
+    stamped = build_catalogue(pages_a, LayoutA(source="SHOPA"), site="A", run_ts=run)
+    assert {r._created_date for r in Q.clean(stamped).collect()} == {run}
