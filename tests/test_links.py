@@ -82,3 +82,12 @@ def test_walk_requests_each_url_once(spark):
     got = sorted((r.url, r.page_type) for r in reached.collect())
     assert got == sorted([(f"{HOST_A}/", "home"), (cat, "pagination"), (f"{cat}&page=1", "listing"),
                           (f"{HOST_A}/p?product_id=1", "product")])
+
+
+def test_walk_layout_b_lineage(pages_b):
+    reached, _ = walk(pages_b.drop("page_type"), LayoutB(link_host=LINK_HOST_B), [f"{HOST_B}/home"])
+    rows = {r.url: r for r in reached.collect()}
+    listing = rows[f"{LINK_HOST_B}/sub?c=1&page=1"]
+    assert listing.subcate_url == f"{LINK_HOST_B}/sub?c=1" and listing.cate_url == f"{HOST_B}/cat?c=1"
+    product = rows[f"{LINK_HOST_B}/product/detail?itemno=101"]
+    assert product.subcate_url == f"{LINK_HOST_B}/sub?c=1"
