@@ -6,10 +6,10 @@ each row's cells up: a row with a cell of its own cannot have an equal and
 passes straight through, with its payload, unshuffled.  Only the rest, the
 possibly repeated, meet on the SHA-256 of their text, which decides.
 
-The filter has a fixed number of bits (a documented parameter), so the
-broadcast bitmaps take at most ``bits / 8`` bytes at any input size.  With
-more rows than the filter suits, more rows count as possibly repeated and
-shuffle; the result stays exact.  Choose about 16 bits a row.
+The filter has ``BITS_A_ROW`` bits a row, rounded up to a power of two, and
+``MAX_FILTER_BITS`` at most, so the broadcast bitmaps never take more than
+``MAX_FILTER_BITS / 8`` bytes.  With more rows than that suits, more rows count
+as possibly repeated and shuffle; the result stays exact.
 
 Defined results: a null text counts as empty; a null id never stays while
 another does (if all are null, ``keep_id`` is null and all are kept); rows
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import stage
 
-FILTER_BITS = 1 << 27
+BITS_A_ROW = 32
+MAX_FILTER_BITS = 1 << 30
 PROBES = 2
 OUTPUTS = ["keep_id", "group_size", "kept", "text_sha256"]
 
@@ -50,9 +51,15 @@ def _is_set(bitmap, cell):
     return F.coalesce(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0, F.lit(False))
 
 
-def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS) -> DataFrame:
+def filter_bits(rows: int, most: int = MAX_FILTER_BITS) -> int:
+    """Bits of a filter for ``rows`` rows: whole bitmaps, a power of two."""
+    return min(most, max(32768, 1 << (max(1, rows) * BITS_A_ROW - 1).bit_length()))
+
+
+def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None) -> DataFrame:
     """Every row of ``df`` with ``keep_id`` (the largest id of its equals),
     ``group_size``, ``kept`` and ``text_sha256``; ``where("kept")`` dedups."""
+    bits = bits or filter_bits(df.count())
     seen = stage(repeated_cells(df, text_col, bits), "repeated-cells")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{id_col}`").alias("_id"),
