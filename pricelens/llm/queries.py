@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import chat, exact_dedup, hmm, knn, mixing, token_files
+from pricelens.llm import chat, exact_dedup, hmm, knn, mixing, near_dedup, token_files
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,10 @@ def op7_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.knn_join(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
+
+
 def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(_table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("id", "doc_id")
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op5_token_files": op5_token_files,
     "op7_knn": op7_knn,
+    "op8_near_dedup": op8_near_dedup,
     "op9_hmm": op9_hmm,
     "op10_chat": op10_chat,
 }
