@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import chat, exact_dedup, hmm, knn, mixing, near_dedup, token_files
+from pricelens.llm import chat, exact_dedup, hmm, knn, mixing, near_dedup, suffix_dedup, token_files
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +31,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = token_files.write_token_files(docs, tokenizer_path(TOKENIZER), token_files.token_folder(spark))
@@ -67,6 +74,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_token_files": op5_token_files,
     "op7_knn": op7_knn,
     "op8_near_dedup": op8_near_dedup,
