@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from pricelens.session import checkpoint_root, scratch_dir, stage
 
-__all__ = ["stage", "scratch_dir", "checkpoint_root", "add_columns", "byte_slices", "text_bytes", "words",
+__all__ = ["stage", "scratch_dir", "checkpoint_root", "add_columns", "bound_batches", "byte_slices", "text_bytes", "words",
            "mix64", "slots", "SPACES"]
 
 # The separators of a word, ``[\x20\x09-\x0D]``.
@@ -21,6 +21,13 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def bound_batches(spark) -> None:
+    """Arrow batches of at most 1,000 rows and 16 MB: texts are long, and a
+    batch is held several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def slots(spark) -> int:
     """The session's shuffle partition count, the unit for dealing work out."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

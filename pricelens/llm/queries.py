@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import chat, exact_dedup, hmm, knn, mixing, near_dedup, suffix_dedup, token_files
-
+from pricelens.llm import chat, exact_dedup, hmm, knn, mixing, near_dedup, sentencepiece_text, suffix_dedup, token_files
+from pricelens.llm.common import bound_batches
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,9 +19,18 @@ def tokenizer_path(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = _table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(PIECES)
+    ids = sentencepiece_text.encode(docs, path)
+    return sentencepiece_text.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -72,6 +82,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,

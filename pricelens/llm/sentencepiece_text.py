@@ -34,13 +34,14 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 
+from pricelens.llm.chunks import ChunkMemory
 from pricelens.llm.common import byte_slices, text_bytes
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # units longer than this are merged with a heap
 LONG = 96
 # units remembered from batch to batch in a worker
-MEMORY_UNITS = 500_000
+MEMORY_UNITS = 400_000
 MARK = "▁"
 _NEVER = np.iinfo(np.int64).max
 
@@ -129,9 +130,7 @@ class Model:
         # pieces' bytes end to end, for decoding
         self.piece_ends = np.cumsum([len(b) for b in self.bytes_of])
         self.piece_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
-        # the memory: units by number, their ids end to end, and where each unit's end
-        self.units: dict[bytes, int] = {}
-        self.unit_ids, self.unit_ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.memory = ChunkMemory(self._encode_units, MEMORY_UNITS, np.int32)
 
     def merge(self, unit: bytes) -> tuple[list[int], tuple[int, int] | None]:
         """Ids of a unit by merging pairs, best rank first, then leftmost; and
@@ -304,28 +303,8 @@ class Model:
             cut[1:] |= (buf[1:] == 0x0A) | (buf[:-1] == 0x0A)
         cut[offs[:-1][full]] = True
         starts = np.flatnonzero(cut)
-        bounds = np.append(starts, len(buf)).astype(np.int64)
-        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(buf))])
-        coded = units.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        place = np.array([self.units.get(u, -1) for u in distinct], np.int64)
-        all_ids, ends = self.unit_ids, self.unit_ends
-        new = np.flatnonzero(place < 0)
-        if len(new):
-            # what comes first is frequent: the memory fills up and then stays
-            units_, more, more_ends = self._encode_units([distinct[i] for i in new])
-            number = {u: i for i, u in enumerate(units_, len(ends) - 1)}
-            place[new] = [number[distinct[i]] for i in new]
-            all_ids, ends = np.concatenate((all_ids, more)), np.concatenate((ends, ends[-1] + more_ends))
-            if len(self.units) + len(number) <= MEMORY_UNITS:
-                self.units.update(number)
-                self.unit_ids, self.unit_ends = all_ids, ends
-        which = place[coded.indices.to_numpy(zero_copy_only=False)]
-        begin, count = ends[which], ends[which + 1] - ends[which]
-        upto = np.cumsum(count)
-        ids = all_ids[np.repeat(begin - (upto - count), count) + np.arange(upto[-1])]
-        by_unit = np.concatenate(([0], upto))
-        return ids, np.diff(by_unit[np.searchsorted(starts, offs)])
+        ids, begin = self.memory.look_up(buf, starts)
+        return ids, np.diff(begin[np.searchsorted(starts, offs)])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """The texts of id lists end to end."""
