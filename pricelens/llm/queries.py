@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import chat, exact_dedup, hmm, knn, mixing, near_dedup, sentencepiece_text, suffix_dedup, token_files
+from pricelens.llm import chat, exact_dedup, hmm, knn, mixing, near_dedup, quality, sentencepiece_text, suffix_dedup, token_files
 from pricelens.llm.common import bound_batches
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -54,6 +54,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest).withColumnRenamed("id", "doc_id")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scores = quality.quality_scores(docs, labels.select("doc_id", "quality"))
+    return scores.withColumn("kept", F.col("score") >= quality.REJECT_BELOW)
+
+
 def op7_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.knn_join(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -87,6 +93,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_token_files": op5_token_files,
+    "op6_quality": op6_quality,
     "op7_knn": op7_knn,
     "op8_near_dedup": op8_near_dedup,
     "op9_hmm": op9_hmm,
