@@ -6,6 +6,8 @@ comes back as null, and the caller turns that into a reject reason.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -99,7 +101,7 @@ def query_param(url, key: str) -> Column:
     Blank values count as absent (as in parse_qs); '+' decodes to a space;
     an undecodable value is kept literally.
     """
-    raw = first_match(url, r"^[^?#]*\?(?:[^#]*?&)??" + key + r"=([^&#]+)", 1)
+    raw = first_match(url, r"^[^?#]*\?(?:[^#]*?&)??" + re.escape(key) + r"=([^&#]+)", 1)
     # a '%' that does not start a valid escape stays literal, the rest decodes
     escaped = F.regexp_replace(raw, r"%(?![0-9A-Fa-f]{2})", "%25")
     return F.coalesce(F.try_url_decode(escaped), raw)
@@ -126,7 +128,7 @@ def kv_map(lines) -> Column:
         lambda x, i: F.struct(
             F.substring_index(x, ":", 1).alias("key"),
             i.alias("pos"),
-            strip(F.substring(x, F.instr(x, ":") + 1, F.lit(1 << 30))).alias("value")))
+            strip(F.substring(x, F.instr(x, ":") + 1, F.char_length(x))).alias("value")))
     # sorted by (key, position): the last entry of each key run wins -- O(k log k)
     ordered = F.array_sort(entries)
     last = F.filter(ordered, lambda e, i: F.coalesce(
@@ -161,7 +163,7 @@ def norm_key(c) -> Column:
 
 def canonical_url(url) -> Column:
     """URL key for "the same page": scheme and host lower-cased, query
-    arguments sorted, fragment dropped (what a crawler's duplicate filter
+    arguments sorted, fragment dropped (the form a fetcher's duplicate filter
     compares).  Arguments are sorted as raw ``k=v`` text; percent-encoding is
     not re-normalised."""
     u = _c(url)

@@ -107,9 +107,11 @@ def pack_parse(spec) -> list[Column]:
 
 
 def unit_prices(price: Column, volume: Column, count: Column, factor: Column) -> list[Column]:
-    """Price per pack item and per 100 base units (ml or g)."""
+    """Price per pack item and per 100 base units (ml or g); null where a
+    size is missing, zero or beyond 64 bits."""
     per_item = F.try_divide(price, count)
-    per_100 = F.try_divide(price, count * volume * factor) * F.lit(100)
+    base_units = F.try_multiply(F.try_multiply(count, volume), factor)  # null beyond 64 bits
+    per_100 = F.try_divide(price, base_units) * F.lit(100)
     return [per_item.alias("price_per_item"), per_100.alias("price_per_100")]
 
 
@@ -190,9 +192,11 @@ def cheapest_source(offers: DataFrame, key: str, source: str, price: str,
     """Per key: cheapest source (price, then source, then ``tie``), spread
     (max - min) and number of sources.  With ``one_offer_per_source`` (each
     source has at most one offer per key, e.g. after first-seen dedup) the
-    source count is a plain count: no distinct-aggregation expand."""
+    source count is a plain count: no distinct-aggregation expand.  An offer
+    without a price is counted but never the cheapest."""
     tie = tie or []
-    best = F.min(F.struct(F.col(price).alias("p"), F.col(source).alias("s"), *[F.col(c) for c in tie]))
+    best = F.min(F.when(F.col(price).isNotNull(),
+                        F.struct(F.col(price).alias("p"), F.col(source).alias("s"), *[F.col(c) for c in tie])))
     n_sources = F.count(source) if one_offer_per_source else F.count_distinct(source)
     return (offers.groupBy(key)
             .agg(best.alias("_b"), F.max(price).alias("max_price"),
@@ -216,44 +220,50 @@ def price_history(offers: DataFrame, key: str, period: Column, price: str) -> Da
 # ---- D-11 ------------------------------------------------------------------
 def snapshot_diff(a: DataFrame, b: DataFrame, key: str, price: str) -> DataFrame:
     """new / delisted / repriced / same between two snapshots (one row per
-    key each)."""
-    j = (a.select(key, F.col(price).alias("price_a"))
-         .join(b.select(key, F.col(price).alias("price_b")), key, "full_outer"))
-    status = (F.when(F.col("price_a").isNull(), F.lit("new"))
-              .when(F.col("price_b").isNull(), F.lit("delisted"))
-              .when(F.col("price_a") != F.col("price_b"), F.lit("repriced"))
-              .otherwise(F.lit("same")))
-    return j.select(key, "price_a", "price_b", status.alias("status"),
+    key each).  A product listed without a price is listed: a price that
+    appears or goes is a repricing."""
+    j = (a.select(key, F.col(price).alias("price_a"), F.lit(True).alias("in_a"))
+         .join(b.select(key, F.col(price).alias("price_b"), F.lit(True).alias("in_b")), key, "full_outer"))
+    return j.select(key, "price_a", "price_b", _diff_status(F.col("in_a").isNotNull(), F.col("in_b").isNotNull()).alias("status"),
                     (F.col("price_b") - F.col("price_a")).alias("delta"))
 
 
+def _diff_status(in_a: Column, in_b: Column) -> Column:
+    return (F.when(~in_a, F.lit("new"))
+            .when(~in_b, F.lit("delisted"))
+            .when(F.col("price_a").eqNullSafe(F.col("price_b")), F.lit("same"))
+            .otherwise(F.lit("repriced")))
+
+
 def snapshot_diff_one_pass(df: DataFrame, key: str, snap_col: str, a: str, b: str, price: str) -> DataFrame:
     """The same diff from one frame holding both snapshots: one scan, one
     partial-aggregated shuffle on the key, no join."""
     s = F.col(snap_col)
     per = (df.filter(s.isin(a, b)).groupBy(key)
            .agg(F.min(F.when(s == a, F.col(price))).alias("price_a"),
-                F.min(F.when(s == b, F.col(price))).alias("price_b")))
-    status = (F.when(F.col("price_a").isNull(), F.lit("new"))
-              .when(F.col("price_b").isNull(), F.lit("delisted"))
-              .when(F.col("price_a") != F.col("price_b"), F.lit("repriced"))
-              .otherwise(F.lit("same")))
-    return per.select(key, "price_a", "price_b", status.alias("status"),
+                F.min(F.when(s == b, F.col(price))).alias("price_b"),
+                F.max(s == a).alias("in_a"), F.max(s == b).alias("in_b")))
+    return per.select(key, "price_a", "price_b", _diff_status(F.col("in_a"), F.col("in_b")).alias("status"),
                       (F.col("price_b") - F.col("price_a")).alias("delta"))
 
 
 # ---- D-12 ------------------------------------------------------------------
 def brand_rollup(df: DataFrame, source: str, brand: str, list_p: str, current_p: str) -> DataFrame:
-    """Counts and prices per (source, brand) with source subtotals and a
-    grand total; ``gid`` tells the levels apart."""
+    """Counts, prices and the average discount per (source, brand) with
+    source subtotals and a grand total; ``gid`` tells the levels apart.  The
+    discount is list less current price, to six places, over the products that
+    have both."""
+    discount = F.col(list_p).cast("decimal(18,6)") - F.col(current_p).cast("decimal(18,6)")
     return (df.rollup(source, brand)
             .agg(F.count(F.lit(1)).alias("n_products"),
                  F.min(current_p).alias("min_price"), F.max(current_p).alias("max_price"),
                  F.sum(F.col(list_p).cast("decimal(18,2)")).alias("_sum_list"),
+                 F.sum(discount).alias("_sum_discount"), F.count(discount).alias("_n_discount"),
                  F.grouping_id().cast("bigint").alias("gid"))
             .select(source, brand, "gid", "n_products", "min_price", "max_price",
                     F.col("_sum_list").cast("double").alias("sum_list"),
-                    (F.col("_sum_list").cast("double") / F.col("n_products")).alias("avg_list")))
+                    (F.col("_sum_list").cast("double") / F.col("n_products")).alias("avg_list"),
+                    F.try_divide(F.col("_sum_discount").cast("double"), F.col("_n_discount")).alias("avg_discount")))
 
 
 # ---- D-13 ------------------------------------------------------------------

@@ -46,6 +46,25 @@ def frontier(links: DataFrame, pages: DataFrame) -> DataFrame:
             .select("url"))
 
 
+# Members of one array while counting: 2 ** 21 longs, so that three rounds
+# reach every 64-bit number and no row holds more than 16 MB.
+COUNT_BLOCK = 1 << 21
+
+
+def count_to(df: DataFrame, n: str, out: str) -> DataFrame:
+    """One row per number from 1 to the bigint column ``n`` (none for null or
+    less than 1), in column ``out``.  The range is cut into blocks, and those
+    again, so a page count taken from a link never builds one huge array."""
+    kept = [c for c in df.columns if c != n]
+    df = df.select(*kept, F.lit(0).cast("bigint").alias("_lo"), (F.col(n) - 1).alias("_hi")).where("_hi >= 0")
+    for block in (COUNT_BLOCK * COUNT_BLOCK, COUNT_BLOCK):
+        parts = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_hi - _lo) div {block}L"))
+        df = df.select(*kept, "_lo", "_hi", F.explode(parts).alias("_part")) \
+            .select(*kept, (F.col("_lo") + F.col("_part") * block).alias("_lo"),
+                    F.least(F.col("_hi"), F.col("_lo") + F.col("_part") * block + (block - 1)).alias("_hi"))
+    return df.select(*kept, F.explode(F.sequence("_lo", "_hi")).alias("_i")).select(*kept, (F.col("_i") + 1).alias(out))
+
+
 def seed(pages: DataFrame, seeds: list[str]) -> DataFrame:
     """The home pages a walk starts from."""
     return (pages.filter(F.col("url").isin(seeds))

@@ -103,7 +103,7 @@ SELECT page_id, CAST(pos - 1 AS BIGINT) AS pos, {_dec('href')} AS href FROM (
     "page_links_tail": f"""
 SELECT page_id, CAST(pos - 1 AS BIGINT) AS pos, {_dec('href')} AS href FROM (
   SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) AS pos
-  FROM (SELECT page_id, list_slice(regexp_extract_all(html, '<li><a href="([^"]*)"', 1), 2, 1000000) AS l
+  FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1)[2:] AS l
         FROM pages))""",
 
     "page_second_link": f"""
@@ -125,7 +125,7 @@ FROM pages""",
     "page_number_expand": f"""
 SELECT page_id, CAST(i AS BIGINT) AS page_no, url || '&page=' || CAST(i AS VARCHAR) AS list_url
 FROM (SELECT page_id, url,
-        unnest(range(1, greatest(coalesce(TRY_CAST({_param('page')} AS INTEGER), 1), 1) + 1)) AS i
+        unnest(range(1, greatest(coalesce(TRY_CAST({_param('page')} AS BIGINT), 1), 1) + 1)) AS i
       FROM pages)""",
 
     "page_frontier": f"""
@@ -299,7 +299,9 @@ WITH best AS (SELECT l_partkey, min(l_extendedprice / l_quantity) AS current_pri
 SELECT _source, brand, CAST(GROUPING(_source, brand) AS BIGINT) AS gid, count(*) AS n_products,
   min(current_price) AS min_price, max(current_price) AS max_price,
   CAST(sum(CAST(list_price AS DECIMAL(18,2))) AS DOUBLE) AS sum_list,
-  CAST(sum(CAST(list_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_list
+  CAST(sum(CAST(list_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_list,
+  CAST(sum(CAST(list_price AS DECIMAL(18,6)) - CAST(current_price AS DECIMAL(18,6))) AS DOUBLE)
+    / count(CAST(list_price AS DECIMAL(18,6)) - CAST(current_price AS DECIMAL(18,6))) AS avg_discount
 FROM u GROUP BY ROLLUP (_source, brand)""",
 
     "exact_match": f"""

@@ -18,7 +18,7 @@ from pricelens.functions import select as S
 from pricelens.functions import text as X
 from pricelens.operators import compare as C
 from pricelens.operators import quality as Q
-from pricelens.operators.links import frontier
+from pricelens.operators.links import count_to, frontier
 from pricelens.operators.partitioning import spread
 from pricelens.operators.shred import shred
 from pricelens.session import ensure_conf, scratch_dir
@@ -117,10 +117,9 @@ def page_query_params(spark, sf) -> DataFrame:
 
 def page_number_expand(spark, sf) -> DataFrame:
     p = _tbl(spark, sf, "pages")
-    n = F.greatest(F.coalesce(X.query_param("url", "page").try_cast("int"), F.lit(1)), F.lit(1))
-    return (p.select("page_id", "url", F.explode(F.sequence(F.lit(1), n)).alias("page_no"))
-            .select("page_id", F.col("page_no").cast("bigint").alias("page_no"),
-                    F.concat("url", F.lit("&page="), F.col("page_no").cast("string")).alias("list_url")))
+    n = F.greatest(F.coalesce(X.query_param("url", "page").try_cast("bigint"), F.lit(1)), F.lit(1))
+    return (count_to(p.select("page_id", "url", n.alias("n")), "n", "page_no")
+            .select("page_id", "page_no", F.concat("url", F.lit("&page="), F.col("page_no").cast("string")).alias("list_url")))
 
 
 def page_frontier(spark, sf) -> DataFrame:

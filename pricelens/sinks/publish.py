@@ -70,22 +70,40 @@ def read_partitioned(spark: SparkSession, root: str, fmt: str = "json") -> DataF
 TABLE_PARTITIONS = ["_source", "snapshot_date"]
 
 
+def _one_per_key(df: DataFrame, keys) -> DataFrame:
+    """One row per key: of several, the smallest by its other columns in order."""
+    others = [c for c in df.columns if c not in keys]
+    return (df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_r"))
+            .select(*[F.col(c) if c in keys else F.col("_r")[c].alias(c) for c in df.columns]))
+
+
+def _new_rows(df: DataFrame, existing: DataFrame | None, keys) -> DataFrame:
+    """The batch's rows, one per key, whose key ``existing`` does not have.
+
+    ``existing`` is narrowed to the partitions the batch touches (a semi join
+    on partition columns, which dynamic partition pruning turns into a
+    partition filter at the scan) and read with the key columns only."""
+    batch = _one_per_key(df.select(*PRODUCT_COLS).withColumn(
+        "snapshot_date", F.concat_ws("-", *date_parts(F.col("_created_date")))), [*keys, *TABLE_PARTITIONS])
+    if existing is None:
+        return batch
+    touched = batch.select(*TABLE_PARTITIONS).distinct()
+    known = existing.select(*keys, *TABLE_PARTITIONS).join(touched, TABLE_PARTITIONS, "left_semi")
+    same = [batch[c].eqNullSafe(known[c]) for c in [*keys, *TABLE_PARTITIONS]]
+    return batch.join(known, same, "left_anti")
+
+
 def append_idempotent(df: DataFrame, path: str, keys=("product_id", "_created_date"),
                       fmt: str = "parquet") -> None:
-    """Append only rows whose key is not in the table yet.
-
-    Loading the same batch twice (a retried load, a replayed job) leaves the
-    table unchanged.  The table is partitioned by source and UTC snapshot
-    date; the existing side of the anti join is narrowed to the partitions
-    the batch touches (a semi join on partition columns, which dynamic
-    partition pruning turns into a partition filter at the scan) and read
-    with the key columns only, so an append costs the batch's days, not the
-    whole history.
+    """Append only rows whose key is not in the table yet, one per key.
+
+    Loading the same batch twice (a retried load, a replayed job), or a batch
+    that repeats a key, leaves one row per key.  The table is partitioned by
+    source and UTC snapshot date, so an append costs the batch's days, not
+    the whole history.
     """
     spark = df.sparkSession
     ensure_conf(spark)
-    batch = df.select(*PRODUCT_COLS).withColumn(
-        "snapshot_date", F.concat_ws("-", *date_parts(F.col("_created_date"))))
     try:
         existing = spark.read.format(fmt).load(path)
     except Exception as e:  # first load: nothing there yet
@@ -93,19 +111,14 @@ def append_idempotent(df: DataFrame, path: str, keys=("product_id", "_created_da
                 and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         existing = None
-    if existing is not None:
-        touched = batch.select(*TABLE_PARTITIONS).distinct()
-        existing = (existing.select(*keys, *TABLE_PARTITIONS)
-                    .join(touched, TABLE_PARTITIONS, "left_semi"))
-        batch = batch.join(existing, [*keys, *TABLE_PARTITIONS], "left_anti")
-    (batch.hint("rebalance", *TABLE_PARTITIONS)
+    (_new_rows(df, existing, keys).hint("rebalance", *TABLE_PARTITIONS)
      .write.mode("append").partitionBy(*TABLE_PARTITIONS).format(fmt).save(path))
 
 
 def append_table(df: DataFrame, table: str, keys=("product_id", "_created_date")) -> None:
-    """Same idempotent append into a catalog table."""
+    """Same idempotent append into a catalog table, partitioned alike."""
     spark = df.sparkSession
-    batch = df.select(*PRODUCT_COLS)
-    if spark.catalog.tableExists(table):
-        batch = batch.join(spark.table(table).select(*keys), list(keys), "left_anti")
-    batch.write.mode("append").saveAsTable(table)
+    ensure_conf(spark)
+    existing = spark.table(table) if spark.catalog.tableExists(table) else None
+    (_new_rows(df, existing, keys).hint("rebalance", *TABLE_PARTITIONS)
+     .write.mode("append").partitionBy(*TABLE_PARTITIONS).saveAsTable(table))
