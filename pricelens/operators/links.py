@@ -76,21 +76,17 @@ def seed(pages: DataFrame, seeds: list[str]) -> DataFrame:
 def link_graph(pages: DataFrame, adapter, types: list[str]) -> DataFrame:
     """Every page's outgoing links under each page type it could have.
 
-    One narrow pass per candidate type over the shredded pages (selectors
-    only, no shuffle of page content).  Lineage used to *build* URLs (the
+    One narrow pass over the shredded pages, each repeated per candidate type
+    after the shredder (selectors only, no shuffle of page content).  Lineage used to *build* URLs (the
     category / subcategory URL a page was reached by) is the page's own URL,
     which is what a fetched page at that step is."""
-    frames = []
-    for t in types:
-        typed = pages.select("page_id", "url", "nodes", F.lit(t).alias("page_type"),
-                             F.col("url").alias("cate_url"), F.col("url").alias("subcate_url"))
-        frames.append(adapter.links(typed).select(
-            "src_page_id", "ord", F.col("url").alias("dst_url"), F.col("page_type").alias("dst_type"),
-            F.lit(t).alias("src_type")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    typed = pages.select("page_id", "url", "nodes", F.explode(F.array(*[F.lit(t) for t in types])).alias("page_type"),
+                         F.col("url").alias("cate_url"), F.col("url").alias("subcate_url"))
+    # a link's type is the step after its page's
+    src_type = F.lit(None).cast("string")
+    for step, after in zip(adapter.steps, adapter.steps[1:]):
+        src_type = F.when(F.col("page_type") == after, F.lit(step)).otherwise(src_type)
+    return adapter.links(typed).select("src_page_id", "ord", F.col("url").alias("dst_url"), F.col("page_type").alias("dst_type"), src_type.alias("src_type"))
 
 
 WALK_TYPES = [HOME, SUBCATEGORY, PAGINATION, LISTING]
@@ -113,31 +109,27 @@ def walk(pages: DataFrame, adapter, seeds: list[str], depth: int | None = None,
         if "page_type" in pages.columns else pages
     graph = link_graph(shred(nonlinks.select("page_id", "url", "html")), adapter, WALK_TYPES)
     edges = staging.stage(graph, "edges") if staging is not None else stage(graph, "edges")
-    ids = _keyed(pages.select("url", "page_id")).select("url_key", "page_id")
-    level = (seed(pages.select("page_id", "url"), seeds)
-             .select("page_id", "url", "page_type", "cate_url", "subcate_url"))
-    reached, followed = [level], []
+    ids = _keyed(pages.select("url", "page_id"))
+    keep = (lambda df, name: staging.stage(df, name)) if staging is not None else stage
+    level = keep(seed(pages.select("page_id", "url"), seeds)
+                 .select("page_id", "url", "page_type", "cate_url", "subcate_url"), "level")
+    # every level is stored, so a hop's plan reads tables and does not grow
+    reached, visited, followed = level, _keyed(level.select("url")).select("url_key"), None
     for _ in range(depth):
-        hop = (level.alias("f").join(edges.alias("e"),
-                                     (F.col("f.page_id") == F.col("e.src_page_id"))
-                                     & (F.col("f.page_type") == F.col("e.src_type")))
-               .select(F.col("e.src_page_id"), F.col("e.ord"), F.col("e.dst_url").alias("url"),
-                       F.col("e.dst_type").alias("page_type"),
-                       F.when(F.col("e.src_type") == HOME, F.col("e.dst_url"))
-                       .otherwise(F.col("f.cate_url")).alias("cate_url"),
-                       F.when(F.col("e.src_type") == SUBCATEGORY, F.col("e.dst_url"))
-                       .otherwise(F.col("f.subcate_url")).alias("subcate_url")))
-        followed.append(hop)
-        first = first_link_per_url(hop).drop("src_page_id", "ord")
-        # a URL is requested once in a walk: drop what earlier levels reached
-        for earlier in reached:
-            first = first.join(_keyed(earlier.select("url")).select("url_key"), "url_key", "left_anti")
-        level = first.join(ids, "url_key").select("page_id", "url", "page_type", "cate_url", "subcate_url")
-        reached.append(level)
-    out = reached[0]
-    for r in reached[1:]:
-        out = out.unionByName(r)
-    links = followed[0]
-    for f in followed[1:]:
-        links = links.unionByName(f)
-    return out, links
+        hop = keep(level.alias("f").join(edges.alias("e"),
+                                         (F.col("f.page_id") == F.col("e.src_page_id"))
+                                         & (F.col("f.page_type") == F.col("e.src_type")))
+                   .select(F.col("e.src_page_id"), F.col("e.ord"), F.col("e.dst_url").alias("url"),
+                           F.col("e.dst_type").alias("page_type"),
+                           F.when(F.col("e.src_type") == HOME, F.col("e.dst_url"))
+                           .otherwise(F.col("f.cate_url")).alias("cate_url"),
+                           F.when(F.col("e.src_type") == SUBCATEGORY, F.col("e.dst_url"))
+                           .otherwise(F.col("f.subcate_url")).alias("subcate_url")), "hop")
+        followed = hop if followed is None else followed.unionByName(hop)
+        # a URL is requested once in a walk: what earlier levels reached goes
+        first = first_link_per_url(hop).drop("src_page_id", "ord", "url").join(visited, "url_key", "left_anti")
+        found = keep(first.join(ids, "url_key"), "level")
+        level = found.select("page_id", "url", "page_type", "cate_url", "subcate_url")
+        visited = visited.unionByName(found.select("url_key"))
+        reached = reached.unionByName(level)
+    return reached, followed

@@ -1,49 +1,20 @@
-"""Partitioning helpers for CPU-heavy narrow work.
+"""Dealing out CPU-heavy narrow work.
 
-Large inputs arrive in many file splits and need nothing.  An input packed
-into fewer splits than the cluster has cores (a single large file, one big
-row group, a small table expanded by rendering) would run its per-row work
-in a handful of tasks; AQE cannot help because it only re-plans after a
-shuffle.  ``spread`` round-robins such inputs, sized from Catalyst's byte
-estimate so small inputs do not turn into thousands of tiny tasks.
+Large inputs arrive in many file splits and need nothing.  Where an input is
+packed into fewer splits than there are cores (one file, one row group), the
+session setting ``pricelens.partitions`` deals it out to that many tasks by a
+round-robin shuffle before a costly step.  It is a choice of the caller's:
+unset, every step runs on the splits as they are read, at any size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+SETTING = "pricelens.partitions"
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (None if unknown)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
 
-
-_SHUFFLING_NODES = ("Repartition", "Aggregate", "Join", "Window", "Sort ", "Distinct")
-
-
-def already_shuffled(df: DataFrame) -> bool:
-    """True when the optimized plan already redistributes rows."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:
-        return False
-    return any(node in plan for node in _SHUFFLING_NODES)
-
-
-def spread(df: DataFrame, bytes_per_task: int = 1 << 20, max_partitions: int | None = None) -> DataFrame:
-    """Round-robin a small, scan-shaped input over the cluster.
-
-    Decided from the plan alone (nothing is executed): inputs that are
-    already shuffled, or large enough that their file splits give every
-    core work, are returned unchanged."""
-    if df.isStreaming or already_shuffled(df):
-        return df
-    cap = max_partitions or df.sparkSession.sparkContext.defaultParallelism
-    est = estimated_bytes(df)
-    if est is None or est > 4 * cap * bytes_per_task:
-        return df
-    want = min(cap, max(1, -(-est // bytes_per_task)))
-    return df.repartition(want) if want > 1 else df
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in ``pricelens.partitions`` partitions, if that is set."""
+    n = df.sparkSession.conf.get(SETTING, None)
+    return df if n is None or df.isStreaming else df.repartition(int(n))

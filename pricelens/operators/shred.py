@@ -55,9 +55,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _P_ONLY = frozenset(["p"])
 P_SCOPE_BOUNDS = frozenset("table td th button object html".split())
 
-# Fixed value: the nesting limit of the lxml/libxml2 parser behind the
-# reference's selectors (huge-tree mode).  That parser gives up there; here
-# deeper start tags open no new scope, which bounds every css_path.
+# Paths grow with the depth: a page nested deeper than this counts as one that
+# cannot be parsed (its nodes are null) instead of being cut short.
 MAX_DEPTH = 2048
 
 
@@ -127,7 +126,9 @@ class _TreeBuilder(HTMLParser):
         self.nodes.append([idx, parent, tag, amap, parent_path + "/" + seg,
                            counts[tag], []])
         self.text_open[parent] = False
-        if push and tag not in VOID_TAGS and len(self.stack) < MAX_DEPTH:
+        if push and tag not in VOID_TAGS:
+            if len(self.stack) >= MAX_DEPTH:
+                raise ValueError("nested too deeply")
             self.stack.append(idx)
             self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
 
@@ -156,6 +157,13 @@ class _TreeBuilder(HTMLParser):
             texts.append(data)
             self.text_open[node] = True
 
+    def parse_marked_section(self, i, report=1):
+        """Unknown ``<![...`` sections are bogus comments; what follows is kept."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     def handle_comment(self, data):
         if self.stack:
             self.text_open[self.stack[-1]] = False
@@ -168,8 +176,10 @@ def _build(html: str | None) -> list | None:
     try:
         b.feed(html)
         b.close()
-    except Exception:  # malformed beyond repair: keep what was built
-        pass
+    except (AssertionError, ValueError, RecursionError):
+        # beyond repair: no nodes at all, which becomes a reject (one page
+        # must neither fail the task nor count as read with a part missing)
+        return None
     return b.nodes
 
 
@@ -184,7 +194,12 @@ def parse_nodes(html: str | None) -> list[dict] | None:
 
 
 def _nodes_array(htmls: list):
-    """Parse a batch of pages straight into one Arrow list<struct> array.
+    """Parse a batch of pages straight into one Arrow list<struct> array."""
+    return _to_array([_build(h) for h in htmls])
+
+
+def _to_array(pages: list):
+    """Built nodes of some pages as one Arrow list<struct> array.
 
     Built column by column from flat lists and offsets (much cheaper than
     converting nested Python objects)."""
@@ -194,8 +209,7 @@ def _nodes_array(htmls: list):
     akeys, avals, aoffs = [], [], [0]
     tvals, toffs = [], [0]
     noffs, valid = [0], []
-    for h in htmls:
-        nodes = _build(h)
+    for nodes in pages:
         valid.append(nodes is not None)
         for n in nodes or ():
             ords.append(n[0])
@@ -221,48 +235,49 @@ def _nodes_array(htmls: list):
     return pa.ListArray.from_arrays(pa.array(noffs, pa.int32()), struct, mask=mask)
 
 
-def _slices(lengths: list, max_rows: int, max_bytes: int):
-    """(start, length) slices of at most max_rows rows and, unless a single
-    row is larger, at most max_bytes of markup."""
-    start, size = 0, 0
-    for i, n in enumerate(lengths):
-        n = n or 0
-        if i > start and (i - start >= max_rows or size + n > max_bytes):
-            yield start, i - start
-            start, size = i, 0
+def _node_bytes(nodes: list | None) -> int:
+    """About what a page's nodes take: paths, texts and attributes."""
+    return sum(64 + len(n[4]) + sum(map(len, n[6])) + sum(len(k) + len(v) for k, v in n[3].items()) for n in nodes or ())
+
+
+def _runs(pages, max_rows: int, max_bytes: int):
+    """(start, nodes of each page) runs of at most max_rows pages and, unless
+    a single page is larger, at most max_bytes of nodes."""
+    start, run, size = 0, [], 0
+    for nodes in pages:
+        n = _node_bytes(nodes)
+        if run and (len(run) >= max_rows or size + n > max_bytes):
+            yield start, run
+            start, run, size = start + len(run), [], 0
+        run.append(nodes)
         size += n
-    if start < len(lengths):
-        yield start, len(lengths) - start
+    if run:
+        yield start, run
 
 
 def shred(pages: DataFrame, html_col: str = "html", keep=None,
-          out_col: str = "nodes", rows_per_batch: int = 256, bytes_per_batch: int = 8 << 20,
-          min_partitions: int | None = None) -> DataFrame:
-    """Replace ``html_col`` by ``out_col: array<NODE>``.
+          out_col: str = "nodes", rows_per_batch: int = 256, bytes_per_batch: int = 32 << 20) -> DataFrame:
+    """Replace ``html_col`` by ``out_col: array<NODE>``, null for a page
+    without markup or one that cannot be parsed.
 
     ``keep`` lists the pass-through columns (default: all but html).  Filter
     and project the pages *before* calling this: Catalyst cannot push
     predicates through a Python step.
     """
     keep = [c for c in (keep or pages.columns) if c != html_col]
-    # Parsing costs far more per byte than scanning: aim at ~256 KB of
-    # markup per task when the input arrives in too few splits.
-    src = spread(pages.select(*keep, html_col), bytes_per_task=256 << 10, max_partitions=min_partitions)
+    src = spread(pages.select(*keep, html_col))
     out_fields = [f for f in src.schema.fields if f.name in keep]
     out_schema = T.StructType(out_fields + [T.StructField(out_col, NODES_TYPE)])
 
     def run(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
         for whole in batches:
-            # Node arrays are several times larger than the markup: emit
-            # output batches bounded in rows and in markup bytes, whatever
-            # the input batch size.
-            lengths = pc.binary_length(whole.column(whole.schema.get_field_index(html_col))).to_pylist()
-            for start, length in _slices(lengths, rows_per_batch, bytes_per_batch):
-                rb = whole.slice(start, length)
-                htmls = rb.column(rb.schema.get_field_index(html_col)).to_pylist()
+            # Nodes can be many times larger than the markup: output batches
+            # are bounded in pages and in node bytes.
+            htmls = whole.column(whole.schema.get_field_index(html_col))
+            for start, run_ in _runs((_build(h.as_py()) for h in htmls), rows_per_batch, bytes_per_batch):
+                rb = whole.slice(start, len(run_))
                 cols = [rb.column(rb.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays(cols + [_nodes_array(htmls)], names=keep + [out_col])
+                yield pa.RecordBatch.from_arrays(cols + [_to_array(run_)], names=keep + [out_col])
 
     return src.mapInArrow(run, out_schema)

@@ -82,7 +82,7 @@ def site_a_pages(part: DataFrame) -> DataFrame:
         F.lit('</div></body></html>'))
     error = F.lit('<html><body><div id="content"><h1>Product not found!</h1></div></body></html>')
     html = F.when((t == "ECONOMY") & (sz <= 3), error).otherwise(product)
-    return spread(part, bytes_per_task=16 << 10).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
+    return spread(part).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
                        F.timestamp_micros(F.lit(PAGE_EPOCH_US) + F.col("p_partkey") * F.lit(1000000)).alias("fetched_at"),
                        F.lit("A").alias("site"), F.lit("product").alias("page_type"))
 
@@ -116,6 +116,71 @@ def site_b_pages(part: DataFrame) -> DataFrame:
         F.lit('</div></div></div>'),
         F.lit('<div id="Detail"><div class="right"><div class="detail-item" id="chapter-2"><div class="content">'),
         F.lit('<p>'), F.col("p_name"), F.lit('</p><p>'), t, F.lit('</p></div></div></div></div></body></html>'))
-    return spread(part, bytes_per_task=16 << 10).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
+    return spread(part).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
                        F.timestamp_micros(F.lit(PAGE_EPOCH_US) + F.col("p_partkey") * F.lit(1000000)).alias("fetched_at"),
                        F.lit("B").alias("site"), F.lit("product").alias("page_type"))
+
+
+# ---- stored pages of a whole walk -------------------------------------------
+PAGE_SPAN = 200  # product keys a listing page spans, so a page holds at most so many
+
+
+def _pages(df: DataFrame, kind: int, url: Column, html: Column) -> DataFrame:
+    """Pages with ids of their own per kind."""
+    return df.select(F.pmod(F.xxhash64(url, F.lit(kind)), F.lit(1 << 62)).alias("page_id"), url.alias("url"), html.alias("html"))
+
+
+def _joined(items: str, sep: str = "") -> Column:
+    return F.array_join(F.array_sort(F.collect_list(items)), sep)
+
+
+def walk_pages_a(part: DataFrame) -> DataFrame:
+    """Layout A: home, one category per size with a last-page link, listing
+    pages of the category's products by key range, and the product pages."""
+    cat = F.concat(F.lit(HOST_A + "/index.php?route=product/category&path="), _s("p_size"))
+    product = F.concat(F.lit(HOST_A + "/index.php?route=product/product&product_id="), _s("p_partkey"))
+    rows = part.select("p_partkey", "p_size", cat.alias("cat"), product.alias("product"),
+                       (F.floor(F.col("p_partkey") / PAGE_SPAN) + 1).cast("bigint").alias("no"))
+    cats = rows.groupBy("cat").agg(F.max("no").alias("last"))
+    # one row a category, of which there are as many as sizes
+    home = cats.select(F.concat(F.lit('<li><a href="'), "cat", F.lit('">c</a></li>')).alias("li")).agg(_joined("li").alias("lis"))
+    home = _pages(home, 0, F.lit(HOST_A + "/"), F.concat(
+        F.lit('<html><body><div class="box-category"><ul><li><a href="/">All</a></li>'), "lis", F.lit("</ul></div></body></html>")))
+    pager = _pages(cats, 1, F.col("cat"), F.concat(
+        F.lit('<html><body><div class="pagination"><div><a href="'), "cat", F.lit('&page=2">2</a><a href="'), "cat", F.lit("&page="),
+        _s("last"), F.lit('">&gt;|</a></div></div></body></html>')))
+    item = F.concat(F.lit('<div class="product-list-item"><div><a href="'), "product", F.lit('">p</a></div></div>'))
+    lists = rows.select("cat", "no", item.alias("item")).groupBy("cat", "no").agg(_joined("item").alias("items"))
+    listing = _pages(lists, 2, F.concat("cat", F.lit("&page="), _s("no")), F.concat(F.lit("<html><body>"), "items", F.lit("</body></html>")))
+    return home.unionByName(pager).unionByName(listing).unionByName(_pages(rows, 3, F.col("product"), F.lit("<html></html>")))
+
+
+def walk_pages_b(part: DataFrame) -> DataFrame:
+    """Layout B: home, a category per type, its sub-categories per size, the
+    sub-category's further pages, listing pages and product pages; relative
+    links, one pager link without text, and product links that come second."""
+    host = HOST_B.replace("https://", "http://")
+    cat = F.concat(F.lit("/cate/list?c="), F.lower("p_type"))
+    sub_ = F.concat(F.lit("/cate/list?s="), F.lower("p_type"), F.lit("-"), _s("p_size"))
+    product = F.concat(F.lit("/product/detail?itemno="), _s("p_partkey"))
+    rows = part.select("p_partkey", cat.alias("cat"), sub_.alias("sub"), product.alias("product"),
+                       (F.floor(F.col("p_partkey") / PAGE_SPAN) + 1).cast("bigint").alias("no"))
+    cats = rows.select("cat").distinct()
+    home = _pages(cats.select(F.concat(F.lit('<div class="category_expand_item"><a href="'), "cat", F.lit('">c</a></div>')).alias("x"))
+                  .agg(_joined("x").alias("xs")), 0, F.lit(host + "/"), F.concat(F.lit("<html><body>"), "xs", F.lit("</body></html>")))
+    subs = rows.select("cat", F.concat(F.lit('<dl><dt><a href="'), "sub", F.lit('">s</a></dt></dl>')).alias("x")).distinct() \
+        .groupBy("cat").agg(_joined("x").alias("xs"))
+    category = _pages(subs, 1, F.concat(F.lit(host), "cat"), F.concat(
+        F.lit('<html><body><div class="box_catalog"><div class="content">'), "xs", F.lit("</div></div></body></html>")))
+    pages = rows.select("sub", "no").distinct()
+    more = pages.where("no > 1").select("sub", F.concat(F.lit('<a href="'), "sub", F.lit("&page="), _s("no"), F.lit('">n</a>')).alias("x")) \
+        .groupBy("sub").agg(_joined("x").alias("xs"))
+    pager = rows.select("sub").distinct().join(more, "sub", "left")
+    pager = _pages(pager, 2, F.concat(F.lit(HOST_B), "sub"), F.concat(
+        F.lit('<html><body><div class="pages">'), F.coalesce("xs", F.lit("")), F.lit('<a href="/none"></a></div></body></html>')))
+    item = F.concat(F.lit('<li><a href="/img">i</a><a href="'), "product", F.lit('">p</a></li>'))
+    lists = rows.select("sub", "no", item.alias("item")).groupBy("sub", "no").agg(_joined("item").alias("items"))
+    listing = _pages(lists, 3, F.concat(F.lit(HOST_B), "sub", F.lit("&page="), _s("no")), F.concat(
+        F.lit('<html><body><div class="box_list"><ul>'), "items", F.lit("</ul></div></body></html>")))
+    return home.unionByName(category).unionByName(pager).unionByName(listing) \
+        .unionByName(_pages(rows, 4, F.concat(F.lit(HOST_B), "product"), F.lit("<html></html>")))

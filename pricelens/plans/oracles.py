@@ -522,3 +522,24 @@ SELECT count(*) AS n_rows, count(*) - count(DISTINCT product_id) AS duplicate_id
   {_rates("product_image", "product_image IS NULL", "trim(product_image) = ''")},
   {_rates("product_spec", "product_spec IS NULL", "trim(product_spec) = ''")}
 FROM c"""
+
+
+ORACLES["walk_layout_a"] = """
+WITH r AS (SELECT 'http://shop-a.example/index.php?route=product/category&path=' || p_size AS cat,
+                  'http://shop-a.example/index.php?route=product/product&product_id=' || p_partkey AS product,
+                  p_partkey // 200 + 1 AS no FROM part)
+SELECT 'http://shop-a.example/' AS url, 'home' AS page_type, NULL::VARCHAR AS cate_url, NULL::VARCHAR AS subcate_url
+UNION ALL SELECT DISTINCT cat, 'pagination', cat, NULL FROM r
+UNION ALL SELECT DISTINCT cat || '&page=' || no, 'listing', cat, NULL FROM r
+UNION ALL SELECT DISTINCT product, 'product', cat, NULL FROM r"""
+
+ORACLES["walk_layout_b"] = """
+WITH r AS (SELECT 'http://web.shop-b.example/cate/list?c=' || lower(p_type) AS cat,
+                  'https://web.shop-b.example/cate/list?s=' || lower(p_type) || '-' || p_size AS sub,
+                  'https://web.shop-b.example/product/detail?itemno=' || p_partkey AS product,
+                  p_partkey // 200 + 1 AS no FROM part)
+SELECT 'http://web.shop-b.example/' AS url, 'home' AS page_type, NULL::VARCHAR AS cate_url, NULL::VARCHAR AS subcate_url
+UNION ALL SELECT DISTINCT cat, 'subcategory', cat, NULL FROM r
+UNION ALL SELECT DISTINCT sub, 'pagination', cat, sub FROM r
+UNION ALL SELECT DISTINCT sub || '&page=' || no, 'listing', cat, sub FROM r
+UNION ALL SELECT DISTINCT product, 'product', cat, sub FROM r"""

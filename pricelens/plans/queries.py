@@ -207,7 +207,7 @@ def discount_parse(spark, sf) -> DataFrame:
 
 
 def kv_map(spark, sf) -> DataFrame:
-    part = spread(_tbl(spark, sf, "part"), bytes_per_task=64 << 10)
+    part = spread(_tbl(spark, sf, "part"))
     rrp_line = F.when(F.col("p_type").isin("PROMO", "SMALL"),
                       F.concat(F.lit("RRP: HKD"), _dec_text("p_retailprice"))).otherwise(F.lit("RRP"))
     lines = F.array(
@@ -576,3 +576,25 @@ def site_b_profile(spark, sf) -> DataFrame:
     """D-14 on pipeline output: null and blank rates per field and duplicate
     ids in site B's clean catalogue."""
     return Q.catalogue_profile(_site_split(spark, sf, "B", staged=False)[0])
+
+
+# ---------------------------------------------------------------- the walk
+def _walk(spark, sf, pages, adapter, home: str) -> DataFrame:
+    from pricelens.operators.links import walk
+    from pricelens.session import stage
+    reached, _ = walk(stage(pages(_tbl(spark, sf, "part")), "walk-pages"), adapter, [home])
+    return reached.select("url", "page_type", "cate_url", "subcate_url")
+
+
+def walk_layout_a(spark, sf) -> DataFrame:
+    """Home -> category -> listing -> product over stored pages, with lineage."""
+    from pricelens.plans import derived_sites as D
+    from pricelens.plans.sites import LayoutA
+    return _walk(spark, sf, D.walk_pages_a, LayoutA(source="SITEA"), D.HOST_A + "/")
+
+
+def walk_layout_b(spark, sf) -> DataFrame:
+    """Home -> category -> sub-category -> listing -> product, with lineage."""
+    from pricelens.plans import derived_sites as D
+    from pricelens.plans.sites import LayoutB
+    return _walk(spark, sf, D.walk_pages_b, LayoutB(source="SITEB", link_host=D.HOST_B), D.HOST_B.replace("https://", "http://") + "/")

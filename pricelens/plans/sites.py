@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from pricelens.functions import select as S
 from pricelens.functions import text as X
+from pricelens.operators.links import count_to
 from pricelens.schema import (HOME, LISTING, PAGINATION, PRODUCT, SUBCATEGORY)
 
 # ---------------------------------------------------------------------------
@@ -87,14 +88,15 @@ class LayoutA:
     error_page_selector: str = A_ERROR_PAGE
     categories: list | None = None  # optional category URL filter (hook)
     id_param: str = A_ID_PARAM
-    walk_depth: int = 3  # home -> pagination -> listing -> product
+    steps: tuple = (HOME, PAGINATION, LISTING, PRODUCT)
+    walk_depth: int = 3
 
     # ---- product pages -------------------------------------------------
     def extract(self, pages: DataFrame) -> DataFrame:
         n = F.col("nodes")
         # 1) every selector runs once over the nodes
         sel = pages.select(
-            "page_id", "url", "fetched_at",
+            "page_id", "url", "fetched_at", n.isNotNull().alias("_parsed"),
             S.texts_of(S.select(n, self.error_page_selector)).alias("_h1"),
             S.texts_of(F.filter(n, lambda x: (x["tag"] == A_CRUMB_TAG)
                                 & S.attr_equals(A_CRUMB_ATTR, A_CRUMB_VALUE)(x)))
@@ -109,7 +111,7 @@ class LayoutA:
         new_text = S.first(S.texts_of(F.filter("_prices", S.attr_equals("class", A_PRICE_NEW))))
         discounts = F.filter(F.transform("_discounts", X.strip), lambda d: d != "")
         out = sel.select(
-            "page_id", "url", "fetched_at",
+            "page_id", "url", "fetched_at", "_parsed",
             (F.size("_h1") > 0).alias("_error_page"),
             X.query_param("url", self.id_param).alias("_raw_id"),
             F.size("_crumbs").alias("_n_crumbs"), X.cjk_else_latin(S.nth(F.col("_crumbs"), 1)).alias("_cate"),
@@ -122,6 +124,7 @@ class LayoutA:
             S.first(F.col("_desc")).alias("product_desc"))
         bulk_ok = ~F.exists("_bulk", lambda r: r["unit"].isNull() | r["price"].isNull())
         err = _first_error([
+            ("html", F.col("_parsed")),
             ("product_id", F.col("_raw_id").isNotNull()),
             ("product_category", (F.col("_n_crumbs") >= 2) & F.col("_cate").isNotNull()),
             ("product_image", F.col("product_image").isNotNull()),
@@ -150,21 +153,23 @@ class LayoutA:
             home = F.filter(home, lambda u: u.isin(list(self.categories)))
         last_page = S.first(S.attrs_of(S.select(n, A_PAGER_LINKS,
                                                 S.first_text_contains(A_LAST_PAGE_TEXT)), "href"))
-        n_pages = F.greatest(F.coalesce(X.query_param(last_page, A_PAGE_PARAM).try_cast("int"), F.lit(1)),
+        n_pages = F.greatest(F.coalesce(X.query_param(last_page, A_PAGE_PARAM).try_cast("bigint"), F.lit(1)),
                              F.lit(1))
-        cate_url = F.col("cate_url")
-        paged = F.transform(F.sequence(F.lit(1), n_pages),
-                            lambda i: F.concat(cate_url, F.lit(f"&{A_PAGE_PARAM}="), i.cast("string")))
         listing = S.attrs_of(S.select(n, A_LIST_LINKS), "href")
         pt = F.col("page_type")
-        urls = (F.when(pt == HOME, home).when(pt == PAGINATION, paged)
+        urls = (F.when(pt == HOME, home).when(pt == PAGINATION, F.array("cate_url"))
                 .when(pt == LISTING, listing).otherwise(F.array().cast("array<string>")))
         next_type = (F.when(pt == HOME, F.lit(PAGINATION)).when(pt == PAGINATION, F.lit(LISTING))
                      .otherwise(F.lit(PRODUCT)))
-        exploded = pages.select("page_id", "page_type", "cate_url", "subcate_url",
-                                F.posexplode(urls).alias("ord", "url"))
+        exploded = pages.select("page_id", "page_type", "cate_url", "subcate_url", F.posexplode(urls).alias("ord", "url"),
+                                F.when(pt == PAGINATION, n_pages).otherwise(F.lit(1)).cast("bigint").alias("_n"))
+        # a category's listing pages are counted up as rows: a page count read
+        # from a link may be any number
+        exploded = count_to(exploded, "_n", "_page").select(
+            "page_id", "page_type", "cate_url", "subcate_url", (F.col("ord") + F.col("_page") - 1).alias("ord"),
+            F.when(pt == PAGINATION, F.concat("url", F.lit(f"&{A_PAGE_PARAM}="), F.col("_page").cast("string"))).otherwise(F.col("url")).alias("url"))
         return exploded.select(
-            F.col("page_id").alias("src_page_id"), F.col("ord").cast("int").alias("ord"), "url",
+            F.col("page_id").alias("src_page_id"), F.col("ord").cast("bigint").alias("ord"), "url",
             next_type.alias("page_type"),
             F.when(pt == HOME, F.col("url")).otherwise(F.col("cate_url")).alias("cate_url"),
             F.col("subcate_url"))
@@ -181,13 +186,14 @@ class LayoutB:
     id_param: str = B_ID_PARAM
     category_param: str = B_CATEGORY_PARAM
     check_error_page: bool = False  # the reference disables it on this layout
-    walk_depth: int = 4  # home -> subcategory -> pagination -> listing -> product
+    steps: tuple = (HOME, SUBCATEGORY, PAGINATION, LISTING, PRODUCT)
+    walk_depth: int = 4
 
     def extract(self, pages: DataFrame) -> DataFrame:
         n = F.col("nodes")
         # 1) every selector runs once over the nodes
         sel = pages.select(
-            "page_id", "url", "fetched_at",
+            "page_id", "url", "fetched_at", n.isNotNull().alias("_parsed"),
             S.select(n, B_BANNER_LINKS).alias("_banner"),
             S.attrs_of(S.select(n, B_IMAGE), "src").alias("_images"),
             S.texts_of(S.select(n, B_NAME)).alias("_names"),
@@ -198,7 +204,7 @@ class LayoutB:
         # 2) fields from the selections
         cate_links = F.filter("_banner", S.attr_contains("href", B_CATEGORY_HREF))
         mid = sel.select(
-            "page_id", "url", "fetched_at",
+            "page_id", "url", "fetched_at", "_parsed",
             ((F.size("_h1") > 0) & F.lit(self.check_error_page)).alias("_error_page"),
             X.query_param("url", self.id_param).alias("_raw_id"),
             S.first(S.texts_of(F.filter("_banner", S.attr_contains("href", B_BRAND_HREF)))).alias("brand_name"),
@@ -212,6 +218,7 @@ class LayoutB:
         has_rrp = F.map_contains_key("_attrs", F.lit(B_RRP_KEY))
         rrp = X.first_number(F.col("_attrs").getItem(B_RRP_KEY))
         err = _first_error([
+            ("html", F.col("_parsed")),
             ("product_id", F.col("_raw_id").isNotNull()),
             ("product_category", F.col("_cate").isNotNull() & F.col("_code").isNotNull()),
             ("product_name", F.col("product_name").isNotNull()),
@@ -253,7 +260,7 @@ class LayoutB:
         exploded = pages.select("page_id", "page_type", "cate_url", "subcate_url",
                                 F.posexplode(urls).alias("ord", "url"))
         return exploded.select(
-            F.col("page_id").alias("src_page_id"), F.col("ord").cast("int").alias("ord"), "url",
+            F.col("page_id").alias("src_page_id"), F.col("ord").cast("bigint").alias("ord"), "url",
             next_type.alias("page_type"),
             F.when(pt == HOME, F.col("url")).otherwise(F.col("cate_url")).alias("cate_url"),
             F.when(pt == SUBCATEGORY, F.col("url")).otherwise(F.col("subcate_url")).alias("subcate_url"))

@@ -18,16 +18,11 @@ from pyspark.sql import functions as F
 from pricelens.session import ensure_streaming_conf, scratch_dir
 
 
-def land_in_order(df: DataFrame, path: str, order: list[str], slices: int,
-                  bytes_per_file: int = 128 << 20) -> int:
-    """Write ``df`` as files range-partitioned by ``order`` (the way a fetcher
-    would land them over time): at least ``slices`` files, more as the data
-    grows (about ``bytes_per_file`` each).  Returns the number of files."""
-    from pricelens.operators.partitioning import estimated_bytes
-    est = estimated_bytes(df) or 0
-    n = max(slices, -(-est // bytes_per_file))
-    df.repartitionByRange(n, *order).write.mode("overwrite").parquet(path)
-    return n
+def land_in_order(df: DataFrame, path: str, order: list[str], slices: int) -> int:
+    """Write ``df`` as ``slices`` files range-partitioned by ``order`` (the way
+    a fetcher would land them over time).  Returns the number of files."""
+    df.repartitionByRange(slices, *order).write.mode("overwrite").parquet(path)
+    return slices
 
 
 def first_seen_updates(stream: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -109,3 +109,35 @@ def test_similar_names_boundary_in_floating_point(spark):
     df = spark.createDataFrame([(big,), (small,), ("x y z",)], "name string")
     got = {(r.name_a, r.name_b) for r in C.similar_names(df, "name", 0.28).collect()}
     assert got == {tuple(sorted((small, big)))}
+
+
+def test_null_price_is_never_cheapest(spark):
+    from pricelens.operators.compare import cheapest_source
+    offers = spark.createDataFrame([("p", "a", None), ("p", "b", 5.0), ("q", "a", None)], "k string, s string, price double")
+    got = {r.k: (r.cheapest_source, r.cheapest_price, r.spread, r.n_offers) for r in cheapest_source(offers, "k", "s", "price").collect()}
+    assert got == {"p": ("b", 5.0, 0.0, 2), "q": (None, None, None, 1)}
+
+
+def test_snapshot_diff_tells_absent_from_unpriced(spark):
+    from pricelens.operators.compare import snapshot_diff, snapshot_diff_one_pass
+    rows = [("a", "1", None), ("a", "2", 3.0), ("b", "1", None), ("b", "2", None), ("c", "1", 4.0), ("d", "2", None), ("e", "1", 2.0), ("e", "2", None)]
+    df = spark.createDataFrame(rows, "k string, s string, price double")
+    want = {"a": "repriced", "b": "same", "c": "delisted", "d": "new", "e": "repriced"}
+    assert {r.k: r.status for r in snapshot_diff_one_pass(df, "k", "s", "1", "2", "price").collect()} == want
+    a, b = df.where("s = '1'"), df.where("s = '2'")
+    assert {r.k: r.status for r in snapshot_diff(a, b, "k", "price").collect()} == want
+
+
+def test_huge_pack_sizes_give_null_not_a_failed_job(spark):
+    from pyspark.sql import functions as F
+    from pricelens.operators.compare import pack_parse, unit_prices
+    df = spark.createDataFrame([("9999999999999999kg x 99",), ("500ml x 2",)], "spec string").select("spec", *pack_parse("spec"))
+    got = {r.spec: r.price_per_100 for r in df.select("spec", *unit_prices(F.lit(10.0), F.col("volume"), F.col("pack_count"), F.col("factor"))).collect()}
+    assert got == {"9999999999999999kg x 99": None, "500ml x 2": 1.0}
+
+
+def test_brand_rollup_average_discount(spark):
+    from pricelens.operators.compare import brand_rollup
+    df = spark.createDataFrame([("s", "b", 10.0, 8.0), ("s", "b", 10.0, None), ("s", "c", 4.0, 3.0)], "src string, brand string, lp double, cp double")
+    got = {(r.src, r.brand): r.avg_discount for r in brand_rollup(df, "src", "brand", "lp", "cp").collect()}
+    assert got == {("s", "b"): 2.0, ("s", "c"): 1.0, ("s", None): 1.5, (None, None): 1.5}

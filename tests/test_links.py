@@ -91,3 +91,29 @@ def test_walk_layout_b_lineage(pages_b):
     assert listing.subcate_url == f"{LINK_HOST_B}/sub?c=1" and listing.cate_url == f"{HOST_B}/cat?c=1"
     product = rows[f"{LINK_HOST_B}/product/detail?itemno=101"]
     assert product.subcate_url == f"{LINK_HOST_B}/sub?c=1"
+
+
+def test_count_to_builds_no_huge_array(spark, monkeypatch):
+    from pricelens.operators import links as L
+    monkeypatch.setattr(L, "COUNT_BLOCK", 3)
+    df = spark.createDataFrame([("a", 25), ("b", 1), ("c", 0), ("d", None), ("e", 9)], "k string, n bigint")
+    got = sorted(map(tuple, L.count_to(df, "n", "i").collect()))
+    assert got == [("a", i) for i in range(1, 26)] + [("b", 1)] + [("e", i) for i in range(1, 10)]
+    monkeypatch.undo()
+    big = spark.createDataFrame([(9_999_999_999,)], "n bigint")
+    assert L.count_to(big, "n", "i").limit(3).count() == 3
+
+
+def test_walk_parses_once_and_joins_once_a_hop(spark):
+    from pricelens.operators import links as L
+    from pricelens.operators.shred import shred
+    from pricelens.plans import derived_sites as D
+    from pricelens.plans.sites import LayoutA
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    pages = D.walk_pages_a(part)
+    plan = L.link_graph(shred(pages), LayoutA(), L.WALK_TYPES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    reached, _ = L.walk(pages, LayoutA(), [D.HOST_A + "/"])
+    plan = reached._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan parquet") == LayoutA().walk_depth + 1
+    assert reached.where("page_type = 'product'").count() == part.count()

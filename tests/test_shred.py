@@ -77,18 +77,40 @@ def test_self_closing_slash_ignored_on_non_void():
     assert [n["tag"] for n in ns] == ["div", "br"]
 
 
-def test_output_slices_bounded_by_rows_and_bytes():
-    from pricelens.operators.shred import _slices
-    assert list(_slices([1] * 5, 2, 100)) == [(0, 2), (2, 2), (4, 1)]
-    assert list(_slices([60, 60, 10, None, 200, 5], 10, 100)) == [(0, 1), (1, 3), (4, 1), (5, 1)]
-    assert list(_slices([], 3, 10)) == []
+def test_output_runs_bounded_by_rows_and_node_bytes():
+    from pricelens.operators.shred import _node_bytes, _runs
+    pages = [parse_nodes_raw(f"<p>{'x' * n}</p>") for n in (1, 1, 500, 1, 1)] + [None]
+    size = _node_bytes(pages[0])
+    runs = list(_runs(iter(pages), 2, 10 ** 6))
+    assert [(at, len(r)) for at, r in runs] == [(0, 2), (2, 2), (4, 2)]
+    runs = list(_runs(iter(pages), 10, 3 * size))
+    assert [(at, len(r)) for at, r in runs] == [(0, 2), (2, 1), (3, 3)]
+    assert list(_runs(iter([]), 3, 10)) == [] and _node_bytes(None) == 0
 
 
-def test_depth_is_bounded():
+def parse_nodes_raw(html):
+    from pricelens.operators.shred import _build
+    return _build(html)
+
+
+def test_too_deep_page_has_no_nodes():
     from pricelens.operators.shred import MAX_DEPTH
-    ns = parse_nodes("<div>" * (MAX_DEPTH + 50) + "deep")
-    assert max(n["css_path"].count("/") for n in ns) == MAX_DEPTH + 1  # leaves under the deepest scope
-    assert len(ns) == MAX_DEPTH + 50 and ns[MAX_DEPTH - 1]["texts"] == ["deep"]
+    assert len(parse_nodes("<div>" * MAX_DEPTH + "deep")) == MAX_DEPTH
+    assert parse_nodes("<div>" * (MAX_DEPTH + 1) + "deep") is None
+
+
+def test_unknown_marked_section_keeps_the_rest():
+    ns = parse_nodes("<p>a</p><![foo[x]]><h1>b</h1>")
+    assert [(n["tag"], n["texts"]) for n in ns] == [("p", ["a"]), ("h1", ["b"])]
+
+
+def test_unparsed_page_is_rejected(spark):
+    from pricelens.operators.shred import MAX_DEPTH, shred
+    from pricelens.plans.sites import LayoutA, LayoutB
+    pages = spark.createDataFrame([(1, "http://h/?product_id=1&itemno=1", "<b>" * (MAX_DEPTH + 1), None)],
+                                  "page_id long, url string, html string, fetched_at timestamp")
+    for adapter in (LayoutA(), LayoutB()):
+        assert adapter.extract(shred(pages)).first().extract_error == "html"
 
 
 def test_links_and_headings_do_not_nest():
@@ -99,15 +121,12 @@ def test_links_and_headings_do_not_nest():
     assert [n["css_path"] for n in ns if n["tag"] in ("h2", "h3")] == ["/h2", "/h3"]
 
 
-def test_spread_decides_without_running_jobs(spark):
-    from pricelens.operators.partitioning import spread
-    tracker = spark.sparkContext.statusTracker()
+def test_spread_follows_the_setting_alone(spark):
+    from pricelens.operators.partitioning import SETTING, spread
     df = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
-    before = len(tracker.getJobIdsForGroup(None))
-    spread_once = spread(df, bytes_per_task=16 << 10)
-    spread_twice = spread(spread_once, bytes_per_task=16 << 10)
-    assert len(tracker.getJobIdsForGroup(None)) == before  # plan-only decision
-    assert spread_once is not df and spread_twice is spread_once  # already shuffled: left alone
-    capped = spread(df, bytes_per_task=16 << 10, max_partitions=2)
-    assert "RoundRobinPartitioning(2)" in capped._jdf.queryExecution().executedPlan().toString()
-    assert spread(df, bytes_per_task=1, max_partitions=2) is df  # large input: file splits suffice
+    assert spread(df) is df
+    spark.conf.set(SETTING, "3")
+    try:
+        assert "RoundRobinPartitioning(3)" in spread(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(SETTING)
