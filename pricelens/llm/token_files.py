@@ -25,6 +25,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,14 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelens.llm.chunks import ChunkMemory
 from pricelens.llm.common import byte_slices, scratch_dir, slots, stage, text_bytes
 
 MAGIC = b"TOKIDS01"
 SAMPLE = 64
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
+# distinct chunks a worker remembers
+MEMORY_CHUNKS = 400_000
 _FOOTER = struct.Struct("<8sBxxxxxxxqqqqqqq")
 
 
@@ -137,6 +141,7 @@ class Encoder:
         self.length = np.zeros(size, np.int64)
         for s, i in self.tok.get_vocab(with_added_tokens=False).items():
             self.length[i] = len(s)
+        self.memory = ChunkMemory(self._distinct, MEMORY_CHUNKS, self.dtype)
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -151,49 +156,40 @@ class Encoder:
             ids = self._batch([b.decode() for b in (buf[offs[i]:offs[i + 1]].tobytes() for i in range(n))])
             return np.array([x for y in ids for x in y], self.dtype), np.array([len(y) for y in ids], np.int64)
         starts = _cuts(buf, offs)
-        bounds = np.append(starts, len(buf)).astype(np.int64)
-        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(buf))])
-        coded = chunks.dictionary_encode()
-        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids, ends = self._distinct(coded.dictionary)
-        counts = np.diff(ends, prepend=0)[which]
-        begin = (ends - np.diff(ends, prepend=0))[which]
-        upto = np.cumsum(counts)
-        out = ids[np.repeat(begin - (upto - counts), counts) + np.arange(upto[-1])]
-        by_chunk = np.concatenate(([0], upto))
-        return out, np.diff(by_chunk[np.searchsorted(starts, offs)])
-
-    def _distinct(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct chunks end to end and where each chunk's ids end.
+        ids, begin = self.memory.look_up(buf, starts)
+        return ids, np.diff(begin[np.searchsorted(starts, offs)])
+
+    def _distinct(self, chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Distinct chunks in another order, their ids end to end and where each one's end.
 
         Chunks that begin with white space and end solid are encoded joined
         up: the cuts fall between them again, found by the tokens' lengths."""
-        cb, co = text_bytes(chunks)
-        spaced = ((cb[co[:-1]] == 0x20) | (cb[co[:-1]] == 0x0A)) & _solid(cb)[co[1:] - 1]
-        order = np.concatenate((np.flatnonzero(spaced), np.flatnonzero(~spaced)))
-        texts, sizes = [], np.diff(co)
-        joined = np.cumsum(sizes[order[:spaced.sum()]])
-        piece, at = b"".join(chunks.take(pa.array(order[:spaced.sum()])).to_pylist()), 0
-        while at < len(piece):
-            k = int(np.searchsorted(joined, at + 50_000, side="left"))
-            to = int(joined[min(k, len(joined) - 1)])
-            texts.append(piece[at:to].decode())
-            at = to
-        texts += [b.decode() for b in chunks.take(pa.array(order[spaced.sum():])).to_pylist()]
-        ids = np.array([x for y in self._batch(texts) for x in y], np.int64)
+        data, ends = np.frombuffer(b"".join(chunks), np.uint8), np.cumsum([len(c) for c in chunks])
+        begin = np.concatenate(([0], ends[:-1]))
+        spaced = ((data[begin] == 0x20) | (data[begin] == 0x0A)) & _solid(data)[ends - 1]
+        joined, alone = [chunks[i] for i in np.flatnonzero(spaced)], [chunks[i] for i in np.flatnonzero(~spaced)]
+        texts = [b"".join(joined[i:i + 4000]).decode() for i in range(0, len(joined), 4000)] + [c.decode() for c in alone]
+        parts, i = [], 0
+        while i < len(texts):
+            j, size = i, 0
+            while j < len(texts) and size < 200_000:
+                j, size = j + 1, size + len(texts[j])
+            parts += [np.array(ids, np.int64) for ids in self._batch(texts[i:j])]
+            i = j
+        order = joined + alone
+        sizes = np.cumsum([len(c) for c in order])
+        ids = np.concatenate(parts)
         tok_ends = np.cumsum(self.length[ids])
-        ends = np.searchsorted(tok_ends, np.cumsum(sizes[order]), side="left") + 1
-        if tok_ends[-1] != len(cb) or not np.array_equal(tok_ends[ends - 1], np.cumsum(sizes[order])):
+        last = np.searchsorted(tok_ends, sizes)
+        if tok_ends[-1] != sizes[-1] or not np.array_equal(tok_ends[last], sizes):
             raise ValueError("a token crosses a chunk boundary")
-        # back to dictionary order
-        counts = np.diff(ends, prepend=0)
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        c = counts[back]
-        upto = np.cumsum(c)
-        begin = (ends - counts)[back]
-        flat = ids[np.repeat(begin - (upto - c), c) + np.arange(upto[-1])]
-        return flat.astype(self.dtype), upto
+        return order, ids, last + 1
+
+
+@lru_cache(2)
+def encoder(path: str) -> Encoder:
+    """A worker's encoder, read once."""
+    return Encoder(path)
 
 
 # ---------------------------------------------------------------- the files
@@ -264,12 +260,12 @@ def write_token_files(df: DataFrame, tokenizer_path: str, folder: str, id_col: s
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        shard, encoder = TaskContext.get().partitionId(), Encoder(tokenizer_path)
+        shard, coder = TaskContext.get().partitionId(), encoder(tokenizer_path)
 
         def blocks():
             for batch in (b for part in ((first,), batches) for b in part):
                 for piece in byte_slices(batch, "text", SLICE_BYTES):
-                    ids, n = encoder.encode(piece.column("text"))
+                    ids, n = coder.encode(piece.column("text"))
                     ends = np.cumsum(n)
                     col = piece.column("id")
                     names = (col.fill_null(0).to_numpy(zero_copy_only=False), col.is_valid().to_numpy(zero_copy_only=False))
@@ -279,7 +275,7 @@ def write_token_files(df: DataFrame, tokenizer_path: str, folder: str, id_col: s
         store.create_dir(path, recursive=True)
         name = f"{path}/{shard:06d}-{uuid.uuid4().hex[:8]}.tok"
         with store.open_output_stream(name) as out:
-            n_docs, n_ids = write_file(out, blocks(), encoder.dtype)
+            n_docs, n_ids = write_file(out, blocks(), coder.dtype)
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [f"{folder}/{name.rsplit('/', 1)[1]}"], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     ordered = docs.repartitionByRange(files or slots(df.sparkSession), F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
@@ -300,7 +296,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     f = TokenFile(source)
                     bounds, names, i = f.bounds.all(), f.doc_ids(), 0
                     while i < len(f):
-                        to = max(i + 1, int(np.searchsorted(bounds, bounds[i] + (SLICE_BYTES >> 2), side="right")) - 1)
+                        to = max(i + 1, int(np.searchsorted(bounds, bounds[i] + (1 << 20), side="right")) - 1)
                         ids = f.ids(int(bounds[i]), int(bounds[to])).astype("<u4")
                         local = bounds[i:to + 1] - bounds[i]
                         crc = [zlib.crc32(ids[a:b]) for a, b in zip(local[:-1].tolist(), local[1:].tolist(), strict=True)]
