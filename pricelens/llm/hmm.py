@@ -44,7 +44,9 @@ STATES = 6
 CLASSES = 4096
 ROUNDS = 3
 SEGMENT = 256
-BLOCK_BYTES = 16 << 20
+# segments worked on at once
+SEGMENTS = 2048
+BLOCK_BYTES = 8 << 20
 ADD = 0.1
 FOLDS = 10
 # share of the class frequencies mixed into every state's emissions
@@ -52,7 +54,7 @@ PRIOR = 0.05
 # the end token's place in the table of words (no word is empty)
 END_HASH = xxhash.xxh64_intdigest(b"")
 
-_BLOCKS = "block long, ids binary, null_ids binary, held_out binary, n_words binary, tokens binary, hashes binary, counts binary"
+_BLOCKS = "block long, ids binary, null_ids binary, held_out binary, n_words binary, tokens binary, order binary, hashes binary, counts binary"
 
 
 def _longs(x) -> bytes:
@@ -72,10 +74,14 @@ def _block(doc_ids: pa.Array, text: pa.Array, held: np.ndarray, block: int) -> d
     tokens = np.insert(place[which], ends, place[-1]).astype("<u4")
     train = np.repeat(~held, n + 1)
     counts = np.bincount(tokens[train], minlength=len(hashes))
+    # frequent words get small numbers, which compress
+    order = np.argsort(-np.bincount(tokens, minlength=len(hashes)), kind="stable").astype("<u4")
+    number = np.empty(len(order), "<u4")
+    number[order] = np.arange(len(order))
     return {"block": block, "ids": _longs(doc_ids.fill_null(0).to_numpy(zero_copy_only=False)),
             "null_ids": np.packbits(doc_ids.is_null().to_numpy(zero_copy_only=False)).tobytes(),
             "held_out": np.packbits(held).tobytes(), "n_words": _longs(n + 1),
-            "tokens": zlib.compress(_shuffled(tokens), 1), "hashes": hashes.astype("<u8").tobytes(), "counts": _longs(counts)}
+            "tokens": zlib.compress(_shuffled(number[tokens]), 1), "order": order.tobytes(), "hashes": hashes.astype("<u8").tobytes(), "counts": _longs(counts)}
 
 
 def _shuffled(x: np.ndarray) -> bytes:
@@ -214,8 +220,8 @@ class Model:
         order = np.argsort(-size, kind="stable")
         first = nth[order] == 0
         begin, size = begin[order], size[order]
-        for lo in range(0, len(size), 4096):
-            b, m, f = begin[lo:lo + 4096], size[lo:lo + 4096], first[lo:lo + 4096]
+        for lo in range(0, len(size), SEGMENTS):
+            b, m, f = begin[lo:lo + SEGMENTS], size[lo:lo + SEGMENTS], first[lo:lo + SEGMENTS]
             steps = int(m[0])
             active = np.searchsorted(-m, -np.arange(steps), side="left")
             alpha, scale, seen = [], [], []
@@ -254,13 +260,14 @@ def _sequences(row: dict):
     """A block's (ids, held out, tokens of each, token indices, hashes)."""
     n = np.frombuffer(row["n_words"], "<i8")
     held = np.unpackbits(np.frombuffer(row["held_out"], np.uint8), count=len(n)).astype(bool)
-    return n, held, _unshuffled(zlib.decompress(row["tokens"])), np.frombuffer(row["hashes"], "<u8")
+    tokens = np.frombuffer(row["order"], "<u4").astype(np.int64)[_unshuffled(zlib.decompress(row["tokens"]))]
+    return n, held, tokens, np.frombuffer(row["hashes"], "<u8")
 
 
 def train(blocks: DataFrame, mass: np.ndarray, unseen: float, rounds: int) -> Model:
     """Baum-Welch over all training documents, ``rounds`` passes."""
     model = Model.initial(mass, unseen)
-    texts = blocks.select("n_words", "held_out", "tokens", "hashes").repartition(slots(blocks.sparkSession))
+    texts = blocks.select("n_words", "held_out", "tokens", "order", "hashes")
     for _ in range(rounds):
         def expect(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             sums = None
@@ -308,7 +315,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     unknown = ADD / space
     model = train(blocks, mass, unseen, rounds) if total else Model.initial(np.full(CLASSES + 1, 1 / (CLASSES + 1)), unseen)
     given = counts.where("block >= 0").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "counts"))).alias("found"))
-    full = blocks.select("block", "ids", "null_ids", "held_out", "n_words", "tokens", "hashes").join(given, "block")
+    full = blocks.select("block", "ids", "null_ids", "held_out", "n_words", "tokens", "order", "hashes").join(given, "block")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(divide="ignore"):
