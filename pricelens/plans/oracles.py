@@ -543,3 +543,26 @@ UNION ALL SELECT DISTINCT cat, 'subcategory', cat, NULL FROM r
 UNION ALL SELECT DISTINCT sub, 'pagination', cat, sub FROM r
 UNION ALL SELECT DISTINCT sub || '&page=' || no, 'listing', cat, sub FROM r
 UNION ALL SELECT DISTINCT product, 'product', cat, sub FROM r"""
+
+
+ORACLES["walk_categories"] = """
+WITH r AS (SELECT 'http://shop-a.example/index.php?route=product/category&path=' || p_size AS cat,
+                  'http://shop-a.example/index.php?route=product/product&product_id=' || p_partkey AS product,
+                  p_partkey // 200 + 1 AS no FROM part WHERE p_size IN (SELECT unnest(range(2, 50, 3))))
+SELECT 'http://shop-a.example/' AS url, 'home' AS page_type, NULL::VARCHAR AS cate_url, NULL::VARCHAR AS subcate_url
+UNION ALL SELECT DISTINCT cat, 'pagination', cat, NULL FROM r
+UNION ALL SELECT DISTINCT cat || '&page=' || no, 'listing', cat, NULL FROM r
+UNION ALL SELECT DISTINCT product, 'product', cat, NULL FROM r"""
+
+ORACLES["record_chain"] = f"""
+WITH {_SITE_A}, c AS (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY p_partkey) AS first FROM e
+                      WHERE (err IS NULL OR err = 'missing id or name') AND p_type <> 'LARGE')
+SELECT product_id, trim(p_brand) || ': ' || product_name AS product_name, trim(p_brand) AS brand_name FROM c WHERE first = 1"""
+
+ORACLES["stream_catalogue"] = ORACLES["site_a_catalogue"]
+
+ORACLES["exact_match_spec"] = f"""
+WITH t AS (SELECT p_partkey, p_type, p_brand, p_name, regexp_extract({_TITLE}, {_SPEC_RX}, 0) AS spec FROM part),
+  k AS (SELECT p_partkey, p_type, {_norm('p_brand')} || '|' || {_norm('p_name')} || '|' || {_norm('spec')} AS match_key FROM t),
+  g AS (SELECT match_key, count(*) AS n_products, count(DISTINCT p_type) AS n_sources FROM k GROUP BY match_key)
+SELECT p_partkey, p_type, match_key, n_products, n_sources, n_sources > 1 AS cross_source FROM k JOIN g USING (match_key)"""

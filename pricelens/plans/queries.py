@@ -32,6 +32,8 @@ STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 BULK_QUANTITY = 12
 SNAPSHOT_A, SNAPSHOT_B = "1999", "2000"
 SIMILARITY = 0.3
+# Categories of the category-hook query.
+WALK_CATEGORIES = range(2, 50, 3)
 
 # (l_orderkey, l_linenumber) repeats in the driver data; this is unique.
 OFFER_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -389,6 +391,14 @@ def exact_match(spark, sf) -> DataFrame:
     return C.exact_match_groups(part, "p_partkey", "p_type", key)
 
 
+def exact_match_spec(spark, sf) -> DataFrame:
+    """The match key with the pack spec in it, and whether the group spans sources."""
+    part = _tbl(spark, sf, "part")
+    key = C.match_key(F.col("p_brand"), F.col("p_name"), X.pack_spec(_title()))
+    groups = C.exact_match_groups(part, "p_partkey", "p_type", key)
+    return groups.withColumn("cross_source", F.col("n_sources") > 1)
+
+
 def similar_match(spark, sf) -> DataFrame:
     return C.similar_names(_tbl(spark, sf, "part"), "p_name", SIMILARITY)
 
@@ -465,15 +475,16 @@ def _catalogue_rows(df: DataFrame) -> DataFrame:
         F.date_format("_created_date", STAMP).alias("created"), "_source")
 
 
-def _site_split(spark, sf, which: str, staged: bool = True) -> tuple[DataFrame, DataFrame]:
+def _site_split(spark, sf, which: str, staged: bool = True, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     from pricelens.plans import derived_sites as D
     from pricelens.plans.catalogue import build_catalogue_split
     from pricelens.plans.sites import LayoutA, LayoutB
     part = _tbl(spark, sf, "part")
     if which == "A":
-        return build_catalogue_split(D.site_a_pages(part), LayoutA(source="SITEA"), site="A", staged=staged)
+        return build_catalogue_split(D.site_a_pages(part), LayoutA(source="SITEA"), site="A", staged=staged,
+                                     columns=columns)
     return build_catalogue_split(D.site_b_pages(part), LayoutB(source="SITEB", link_host=D.HOST_B),
-                                 site="B", staged=staged)
+                                 site="B", staged=staged, columns=columns)
 
 
 def site_a_catalogue(spark, sf) -> DataFrame:
@@ -498,8 +509,8 @@ def cross_site_comparison(spark, sf) -> DataFrame:
     """The stated purpose end to end: both sites' clean catalogues (pages ->
     shred -> extract -> quality), one union, current price from each ladder,
     exact match on normalised brand + name, cheapest source per match."""
-    a = _site_split(spark, sf, "A", staged=False)[0]
-    b = _site_split(spark, sf, "B", staged=False)[0]
+    a = _site_split(spark, sf, "A", staged=False, columns=_COMPARE_COLS)[0]
+    b = _site_split(spark, sf, "B", staged=False, columns=_COMPARE_COLS)[0]
     both = C.union_catalogues(a.select(*_COMPARE_COLS), b.select(*_COMPARE_COLS))
     offers = both.select("_source", "product_id",
                          C.match_key(F.col("brand_name"), F.col("product_name")).alias("match_key"),
@@ -556,7 +567,7 @@ def published_run_diff(spark, sf) -> DataFrame:
 def site_a_ladder_histogram(spark, sf) -> DataFrame:
     """D-14 on pipeline output: records per price-ladder length in site A's
     clean catalogue."""
-    return Q.ladder_histogram(_site_split(spark, sf, "A", staged=False)[0])
+    return Q.ladder_histogram(_site_split(spark, sf, "A", staged=False, columns=["price"])[0])
 
 
 def table_latest_snapshot(spark, sf) -> DataFrame:
@@ -579,6 +590,14 @@ def site_b_profile(spark, sf) -> DataFrame:
 
 
 # ---------------------------------------------------------------- the walk
+def walk_categories(spark, sf) -> DataFrame:
+    """The layout A walk kept to some categories by the category hook."""
+    from pricelens.plans import derived_sites as D
+    from pricelens.plans.sites import LayoutA
+    wanted = [f"{D.HOST_A}/index.php?route=product/category&path={n}" for n in WALK_CATEGORIES]
+    return _walk(spark, sf, D.walk_pages_a, LayoutA(source="SITEA", categories=wanted), D.HOST_A + "/")
+
+
 def _walk(spark, sf, pages, adapter, home: str) -> DataFrame:
     from pricelens.operators.links import walk
     from pricelens.session import stage
@@ -598,3 +617,32 @@ def walk_layout_b(spark, sf) -> DataFrame:
     from pricelens.plans import derived_sites as D
     from pricelens.plans.sites import LayoutB
     return _walk(spark, sf, D.walk_pages_b, LayoutB(source="SITEB", link_host=D.HOST_B), D.HOST_B.replace("https://", "http://") + "/")
+
+
+# ---------------------------------------------------------------- record chain, streaming to publish
+def record_chain(spark, sf) -> DataFrame:
+    """Layout A records through an ordered chain: brands trimmed, then records
+    without a brand left out, then the name led by the brand the first step made."""
+    from pricelens.plans import derived_sites as D
+    from pricelens.plans.catalogue import build_catalogue_split
+    from pricelens.plans.sites import LayoutA
+    steps = [lambda d: d.withColumn("brand_name", X.strip("brand_name")),
+             lambda d: d.filter(F.col("brand_name") != ""),
+             lambda d: d.withColumn("product_name", F.concat("brand_name", F.lit(": "), "product_name"))]
+    good, _ = build_catalogue_split(D.site_a_pages(_tbl(spark, sf, "part")), LayoutA(source="SITEA"), site="A",
+                                    steps=steps, staged=False)
+    return good.select("product_id", "product_name", "brand_name")
+
+
+def stream_catalogue(spark, sf) -> DataFrame:
+    """Rendered layout A pages landed as files, streamed in micro-batches to
+    the published catalogue view; equals the batch job."""
+    from pricelens.plans import derived_sites as D
+    from pricelens.plans.sites import LayoutA
+    from pricelens.streaming import catalogue as S_
+    from pricelens.streaming.dedup import land_in_order
+    base = scratch_dir(spark, "stream-catalogue")
+    n = land_in_order(D.site_a_pages(_tbl(spark, sf, "part")), f"{base}/landing", ["fetched_at", "page_id"], slices=4)
+    S_.stream_catalogue_lean(spark, f"{base}/landing", LayoutA(source="SITEA"), f"{base}/out", f"{base}/checkpoint",
+                             site="A", files_per_trigger=max(1, n // 2))
+    return _catalogue_rows(S_.read_lean_view(spark, f"{base}/out"))
