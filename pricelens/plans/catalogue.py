@@ -35,7 +35,9 @@ def product_pages(pages: DataFrame, site: str | None = None) -> DataFrame:
         df = df.filter(F.col("site") == site)
     if "page_type" in df.columns:
         df = df.filter(F.col("page_type") == PRODUCT)
-    return df.select("page_id", "url", "fetched_at", "html")
+    # a plain page table (id, URL, markup) has no fetch time
+    fetched = F.col("fetched_at") if "fetched_at" in df.columns else F.lit(None).cast("timestamp")
+    return df.select("page_id", "url", fetched.alias("fetched_at"), "html")
 
 
 def extract_records(pages: DataFrame, adapter, site: str | None = None,

@@ -42,23 +42,6 @@ REJECT_SCHEMA = T.StructType([
 
 REJECT_COLS = [f.name for f in REJECT_SCHEMA.fields]
 
-LINK_SCHEMA = T.StructType([
-    T.StructField("src_page_id", T.LongType()),
-    T.StructField("ord", T.IntegerType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("page_type", T.StringType()),
-    T.StructField("cate_url", T.StringType()),
-    T.StructField("subcate_url", T.StringType()),
-])
-
-RUN_SCHEMA = T.StructType([
-    T.StructField("_source", T.StringType()),
-    T.StructField("started_on", T.TimestampType()),
-    T.StructField("stopped_on", T.TimestampType()),
-    T.StructField("worked_time", T.DayTimeIntervalType()),
-    T.StructField("n_items", T.LongType()),
-])
-
 # One parsed HTML element.  css_path is a canonical selector path such as
 # "/html/body/div#content.c1.c2/h1" (classes sorted, "/ . # %" escaped).
 NODE_TYPE = T.StructType([

@@ -21,6 +21,9 @@ DEFAULT_SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Pages can be large: keep Arrow batches into the shredder small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 
@@ -34,8 +37,6 @@ def build_session(master: str | None = "local[*]", app_name: str = "pricelens",
     conf.update({
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Pages can be large; keep Arrow batches into the shredder small.
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     })
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
