@@ -146,6 +146,23 @@ r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 2 THEN list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) ELSE w END AS s FROM w),
+t AS MATERIALIZED (SELECT doc_id, s, len(s) AS n FROM s),
+u AS MATERIALIZED (SELECT s, n, min(doc_id) AS id FROM t WHERE n > 0 GROUP BY s, n),
+l AS MATERIALIZED (
+  SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.id < b.id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  WHERE 180 * len(list_intersect(a.s, b.s)) >= 80 * (a.n + b.n)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT id AS a, id AS b FROM u UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS id, min(b) AS component FROM r GROUP BY a)
+SELECT t.doc_id, t.n AS n_shingles, coalesce(c.component, t.doc_id) AS component_id, coalesce(c.component, t.doc_id) = t.doc_id AS kept
+FROM t LEFT JOIN u ON t.s = u.s AND t.n = u.n LEFT JOIN c ON c.id = u.id
+"""
+
 _OP10 = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -161,4 +178,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM x GROUP BY conv_id
 """
 
-ORACLES = {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op7_knn": _OP7, "op10_chat": _OP10}
+ORACLES = {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op7_knn": _OP7, "op8_near_dedup": _OP8, "op10_chat": _OP10}
