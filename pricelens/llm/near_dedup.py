@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import byte_slices, mix64, slots, stage, words
 from pricelens.llm.components import components
+from pricelens.llm.filters import split_by_keys
 
 THRESHOLD_PERCENT = 80
 SHINGLE = 5
@@ -192,25 +193,33 @@ def _nodes(reps: DataFrame, threshold: float, recall: float) -> DataFrame:
 
 # ---------------------------------------------------------- comparing a node
 def forests(a: np.ndarray, b: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """Edges of FORESTS successive edge-disjoint maximum spanning forests."""
-    left, kept = np.argsort(-weight, kind="stable"), []
+    """Edges of FORESTS successive edge-disjoint maximum spanning forests
+    (each by rounds in which every tree takes its best edge to another)."""
+    order = np.argsort(-weight.astype(np.int64), kind="stable")
+    a, b, left, kept = a[order], b[order], np.arange(len(order)), []
     for _ in range(FORESTS):
-        root, rest = list(range(n)), []
-        for e in left.tolist():
-            x, y = int(a[e]), int(b[e])
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            while root[y] != y:
-                root[y] = y = root[root[y]]
-            if x == y:
-                rest.append(e)
-            else:
-                root[max(x, y)] = min(x, y)
-                kept.append(e)
-        left = np.array(rest, np.int64)
-        if not rest:
+        tree, used = np.arange(n), np.zeros(len(order), bool)
+        live = left
+        while len(live):
+            x, y = tree[a[live]], tree[b[live]]
+            apart = x != y
+            live, x, y = live[apart], x[apart], y[apart]
+            if not len(live):
+                break
+            # edges are numbered best first
+            best = np.full(n, len(order))
+            np.minimum.at(best, x, live)
+            np.minimum.at(best, y, live)
+            for e in np.unique(best[best < len(order)]).tolist():
+                u, v = tree[a[e]], tree[b[e]]
+                if u != v:
+                    used[e] = True
+                    tree[tree == v] = u
+        kept.append(np.flatnonzero(used))
+        left = left[~used[left]]
+        if not len(left):
             break
-    return np.array(kept, np.int64)
+    return order[np.concatenate(kept)]
 
 
 def similar_pairs(rep: np.ndarray, sketch: np.ndarray, low: int):
@@ -279,7 +288,7 @@ def _candidates(nodes: DataFrame, reps: DataFrame, threshold: float) -> DataFram
 # ----------------------------------------------------------------- confirming
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union on full sets."""
-    wanted = pairs.select(F.col("a").alias("want")).unionByName(pairs.select(F.col("b").alias("want"))).dropDuplicates()
+    wanted = stage(pairs.select(F.col("a").alias("want")).unionByName(pairs.select(F.col("b").alias("want"))).dropDuplicates(), "near-wanted")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,7 +296,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
                 sets = [s.tobytes() for s in shingle_sets(piece.column("text"), width)]
                 yield pa.RecordBatch.from_pydict({"id": piece.column("id"), "s": pa.array(sets, pa.binary())})
 
-    sets = stage(docs.join(wanted, F.col("id") == F.col("want"), "left_semi").mapInArrow(to_sets, "id long, s binary"), "near-sets")
+    # whole texts of the candidates alone are shuffled
+    near, _ = split_by_keys(docs, "id", wanted, pairs.count())
+    sets = stage(near.join(wanted, F.col("id") == F.col("want"), "left_semi").mapInArrow(to_sets, "id long, s binary"), "near-sets")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b").select("a", "b", "x", "y")
 
