@@ -148,11 +148,14 @@ def tokens(text) -> Column:
 def similar_names(df: DataFrame, name_col: str, threshold: float) -> DataFrame:
     """Pairs of distinct names whose token-set Jaccard >= threshold.
 
-    Exact (no candidate cap): identical names are collapsed first (with
-    their counts), then the prefix-filtering principle applies -- with tokens
-    ordered rarest first, two sets with Jaccard >= t must share a token within
-    their first |s| - ceil(t*|s|) + 1 tokens -- so candidates come from rare
-    tokens only and are then verified.
+    Exact, without a cap on candidates.  Identical names are collapsed first
+    (with their counts).  Two sets of n tokens together that share one token
+    reach the threshold only if n <= 1 / t + 1, and then they do: such short
+    names meet on single tokens.  All other pairs must share two tokens or
+    more, so they meet on pairs of tokens: with tokens ordered rarest first,
+    two sets that share k or more have two common tokens among their first
+    |s| - k + 2, and k is at least 2 and t * |s|.  A word that most names hold
+    thus brings no names together by itself.
     """
     names = (df.groupBy(F.col(name_col).alias("name")).agg(F.count(F.lit(1)).alias("n"))
              .withColumn("toks", tokens(F.col("name")))
@@ -160,21 +163,31 @@ def similar_names(df: DataFrame, name_col: str, threshold: float) -> DataFrame:
     tok = names.select("name", F.explode("toks").alias("tok"))
     freq = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     ranked = (tok.join(freq, "tok")
-              .groupBy("name").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("ordered")))
+              .groupBy("name").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("_o"))
+              .select("name", F.size("_o").alias("len"), F.transform("_o", lambda x: x["tok"]).alias("ordered")))
     # t * |s| in doubles can land just above an integer (0.28 * 25): a small
-    # tolerance keeps the prefix long enough and the size test permissive;
-    # both only ever add candidates, which the exact Jaccard check then drops.
+    # tolerance keeps prefixes long enough and the size tests permissive; both
+    # only ever add candidates, which the exact Jaccard check then drops.
     eps = F.lit(1e-9)
-    k = F.size("ordered") - F.ceil(F.lit(threshold) * F.size("ordered") - eps) + 1
-    prefix = ranked.select("name", F.size("ordered").alias("len"),
-                           F.explode(F.slice("ordered", 1, k)).alias("p")) \
-        .select("name", "len", F.col("p.tok").alias("tok"))
-    a, b = prefix.alias("a"), prefix.alias("b")
-    # size filter: Jaccard >= t needs min(|A|,|B|) >= t * max(|A|,|B|)
-    sizes_ok = ((F.col("a.len") >= F.lit(threshold) * F.col("b.len") - eps)
-                & (F.col("b.len") >= F.lit(threshold) * F.col("a.len") - eps))
-    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.name") < F.col("b.name")) & sizes_ok)
-            .select(F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")).distinct())
+    together = F.floor(F.lit(1.0 / threshold + 1) + eps)
+    single = ranked.filter(F.col("len") < together).select("name", "len", F.explode("ordered").alias("key"))
+    k = F.greatest(F.lit(2), F.ceil(F.lit(threshold) * F.col("len") - eps))
+    prefix = F.slice("ordered", F.lit(1), (F.col("len") - k + 2).cast("int"))
+    both = F.flatten(F.transform(prefix, lambda x, i: F.transform(
+        F.slice(prefix, (i + 2).cast("int"), F.size(prefix)), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    double = ranked.filter(F.col("len") >= 2).select("name", "len", F.explode(both).alias("key"))
+
+    def met(keyed: DataFrame, short: bool) -> DataFrame:
+        a, b = keyed.alias("a"), keyed.alias("b")
+        # size filter: Jaccard >= t needs min(|A|,|B|) >= t * max(|A|,|B|)
+        sizes_ok = ((F.col("a.len") >= F.lit(threshold) * F.col("b.len") - eps)
+                    & (F.col("b.len") >= F.lit(threshold) * F.col("a.len") - eps))
+        total = F.col("a.len") + F.col("b.len")
+        return (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.name") < F.col("b.name")) & sizes_ok
+                       & ((total <= together) if short else (total > together)))
+                .select(F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")))
+
+    cand = met(single, True).unionByName(met(double, False)).distinct()
     na = names.select(F.col("name").alias("name_a"), F.col("toks").alias("ta"), F.col("n").alias("count_a"))
     nb = names.select(F.col("name").alias("name_b"), F.col("toks").alias("tb"), F.col("n").alias("count_b"))
     pairs = cand.join(na, "name_a").join(nb, "name_b")

@@ -141,3 +141,23 @@ def test_brand_rollup_average_discount(spark):
     df = spark.createDataFrame([("s", "b", 10.0, 8.0), ("s", "b", 10.0, None), ("s", "c", 4.0, 3.0)], "src string, brand string, lp double, cp double")
     got = {(r.src, r.brand): r.avg_discount for r in brand_rollup(df, "src", "brand", "lp", "cp").collect()}
     assert got == {("s", "b"): 2.0, ("s", "c"): 1.0, ("s", None): 1.5, (None, None): 1.5}
+
+
+def test_similar_names_with_a_word_in_every_name(spark):
+    """Three-word names that share one word match nobody, and do not even meet."""
+    from pricelens.operators.compare import similar_names
+    rows = [(f"hot a{i} b{i}",) for i in range(1500)] + [("hot a1 c1",)]
+    out = similar_names(spark.createDataFrame(rows, "name string"), "name", 0.3)
+    assert sorted((r.name_a, r.name_b, r.n_shared) for r in out.collect()) == [("hot a1 b1", "hot a1 c1", 2)]
+    # rows of every join, as counted while it ran
+    joins, todo = [], [out._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        for inner in ("executedPlan", "plan"):
+            if hasattr(node.getClass(), "getMethods") and any(m.getName() == inner and m.getParameterCount() == 0 for m in node.getClass().getMethods()):
+                todo.append(getattr(node, inner)())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+        if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
+            joins.append(node.metrics().apply("numOutputRows").value())
+    assert joins and max(joins) < 20 * len(rows)
