@@ -118,19 +118,23 @@ def unit_prices(price: Column, volume: Column, count: Column, factor: Column) ->
 # ---- D-07 ------------------------------------------------------------------
 def exact_match_groups(df: DataFrame, id_col: str, source_col: str, key: Column) -> DataFrame:
     """Per product: its normalised match key, group size and number of
-    sources in the group.  Group statistics, never the pairs of a group."""
+    sources in the group.  Group statistics, never the pairs of a group.
+    Products without a key match nothing and stand alone."""
     keyed = df.select(id_col, source_col, key.alias("match_key"))
-    stats = (keyed.groupBy("match_key")
+    stats = (keyed.filter(F.col("match_key").isNotNull()).groupBy("match_key")
              .agg(F.count(F.lit(1)).alias("n_products"),
                   F.count_distinct(source_col).alias("n_sources")))
-    return keyed.join(stats, "match_key")
+    return keyed.join(stats, "match_key", "left").fillna(1, ["n_products", "n_sources"])
 
 
 def match_key(brand, name, spec=None) -> Column:
+    """Normalised brand, name and, if given, pack spec; null where brand and
+    name are blank, which would lump unrelated products together."""
     parts = [X.norm_key(brand), X.norm_key(name)]
+    blank = F.concat_ws("", *parts) == ""
     if spec is not None:
         parts.append(X.norm_key(spec))
-    return F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
+    return F.when(~blank, F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]))
 
 
 # ---- D-08 ------------------------------------------------------------------

@@ -161,3 +161,11 @@ def test_similar_names_with_a_word_in_every_name(spark):
         if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
             joins.append(node.metrics().apply("numOutputRows").value())
     assert joins and max(joins) < 20 * len(rows)
+
+
+def test_products_without_a_key_match_nothing(spark):
+    from pyspark.sql import functions as F
+    from pricelens.operators.compare import exact_match_groups, match_key
+    df = spark.createDataFrame([(1, "a", None, " "), (2, "b", "", "-"), (3, "a", "X", "y"), (4, "b", "x", "Y ")], "id long, src string, brand string, name string")
+    got = {r.id: (r.n_products, r.n_sources) for r in exact_match_groups(df, "id", "src", match_key(F.col("brand"), F.col("name"))).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (2, 2), 4: (2, 2)}
