@@ -48,7 +48,7 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Every document's SentencePiece ids, and whether they decode to its text."""
     bound_batches(spark)
     path = tokenizer_path(PIECES)
-    out = sentencepiece_text.decode(sentencepiece_text.encode(docs, path), path)
+    out = sentencepiece_text.round_trip(docs, path)
     same = F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(sentencepiece_text.MARK), F.lit(" "))
     return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_pieces"), "ids", same.alias("same_text"))
 

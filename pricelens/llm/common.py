@@ -22,10 +22,10 @@ _LOWER[65:91] += 32
 
 
 def bound_batches(spark) -> None:
-    """Arrow batches of at most 1,000 rows and 16 MB: texts are long, and a
-    batch is held several times over."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """Arrow batches of at most 500 rows and 4 MB: texts are long, and a batch
+    is held several times over, by the executor and by its workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def slots(spark) -> int:
@@ -64,6 +64,8 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.R
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, side="right")) - 1)
         yield batch.slice(at, min(to, n) - at)
         at = min(to, n)
+    # a worker that waits for its next task should not hold what this one used
+    pa.default_memory_pool().release_unused()
 
 
 def words(col: pa.Array) -> tuple[pa.LargeBinaryArray, np.ndarray]:

@@ -25,8 +25,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = _table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(PIECES)
-    ids = sentencepiece_text.encode(docs, path)
-    return sentencepiece_text.decode(ids, path).select(
+    return sentencepiece_text.round_trip(docs, path).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
         F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"))
 

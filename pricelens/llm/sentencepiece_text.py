@@ -41,7 +41,9 @@ SLICE_BYTES = 4 << 20
 # units longer than this are merged with a heap
 LONG = 96
 # units remembered from batch to batch in a worker
-MEMORY_UNITS = 400_000
+MEMORY_UNITS = 250_000
+# of units' text indexed at once
+RELAX_BYTES = 1 << 18
 MARK = "▁"
 _NEVER = np.iinfo(np.int64).max
 
@@ -277,7 +279,16 @@ class Model:
         plain = [u for u in units if u not in skip] if odd else units
         ids, ends = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if plain:
-            ids, ends = self.relax(np.frombuffer(b"".join(plain), np.uint8), np.cumsum([0] + [len(u) for u in plain]))
+            # edges take some fifty times the units' text: few units at a time
+            parts, sizes = [], np.cumsum([len(u) for u in plain])
+            cuts = np.unique(np.searchsorted(sizes, np.arange(RELAX_BYTES, sizes[-1] + RELAX_BYTES, RELAX_BYTES)) + 1)
+            for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
+                some = plain[a:b]
+                if some:
+                    parts.append(self.relax(np.frombuffer(b"".join(some), np.uint8), np.cumsum([0] + [len(u) for u in some])))
+            base = np.cumsum([0] + [len(p[0]) for p in parts])
+            ids = np.concatenate([p[0] for p in parts])
+            ends = np.concatenate([p[1] + b for p, b in zip(parts, base.tolist(), strict=False)])
         merged = [self.merge(u)[0] for u in odd]
         if merged:
             ids = np.concatenate([ids] + [np.array(m, np.int64) for m in merged])
@@ -330,23 +341,34 @@ def model(path: str) -> Model:
     return Model(path)
 
 
-def _with(df: DataFrame, name: str, kind: str, fn) -> DataFrame:
-    kept = [c for c in df.columns if c.lower() != name.lower()]
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
-    return df.mapInArrow(fn(kept), f"{schema}, `{name}` {kind}" if kept else f"`{name}` {kind}")
+def _with(df: DataFrame, made: dict[str, str], fn) -> DataFrame:
+    kept = [c for c in df.columns if c.lower() not in {n.lower() for n in made}]
+    kinds = {c: df.schema[c].dataType.simpleString() for c in kept} | made
+    return df.mapInArrow(fn(kept), ", ".join(f"`{c}` {k}" for c, k in kinds.items()))
 
 
 def encode(df: DataFrame, model_path: str, text_col: str = "text", output: str = "ids") -> DataFrame:
     """``df`` with ``output``: the ids of each text, array<int>."""
+    return _encode(df, model_path, text_col, output, None)
+
+
+def round_trip(df: DataFrame, model_path: str, text_col: str = "text", output: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``df`` with the ids and the texts they decode to."""
+    return _encode(df, model_path, text_col, output, decoded)
+
+
+def _encode(df: DataFrame, model_path: str, text_col: str, output: str, decoded: str | None) -> DataFrame:
+    made = [output] + [decoded] * bool(decoded)
     def fn(kept):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for piece in byte_slices(batch, text_col, SLICE_BYTES):
                     ids, n = model(model_path).encode(piece.column(text_col))
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(ids, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([piece.column(c) for c in kept] + [lists], kept + [output])
+                    more = [lists] + [pa.array(model(model_path).decode(ids, n), pa.string())] * bool(decoded)
+                    yield pa.RecordBatch.from_arrays([piece.column(c) for c in kept] + more, kept + made)
         return run
-    return _with(df, output, "array<int>", fn)
+    return _with(df, dict(zip(made, ("array<int>", "string"))), fn)
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", output: str = "decoded") -> DataFrame:
@@ -361,4 +383,4 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", output: str = "
                     texts = model(model_path).decode(col.flatten().to_numpy(zero_copy_only=False), n)
                     yield pa.RecordBatch.from_arrays([piece.column(c) for c in kept] + [pa.array(texts, pa.string())], kept + [output])
         return run
-    return _with(df, output, "string", fn)
+    return _with(df, {output: "string"}, fn)
