@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import byte_slices, text_bytes
 
-LABELLED = 8000
-POOL = 8000
+LABELLED = 4000
+POOL = 4000
 ROUNDS = 4
 CONFIDENT = 0.97
 # of the pool, the most that one view teaches the other in a round and class
@@ -54,7 +54,8 @@ for _k, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQR
                              b"!", b"'\"()[]{}<>", b"#", b"$%", b"&*", b"|", b"+-=/\\_", b"@^`~")):
     _KIND[list(_chars)] = _k
 _KIND[list(range(32))] = np.where(np.arange(32) == 10, 4, 14)
-TEXT_SIZE = 256 + 256 + 5
+# ASCII bytes, pairs of kinds, and five figures of the whole text
+TEXT_SIZE = 128 + 256 + 5
 
 
 def text_features(col: pa.Array) -> np.ndarray:
@@ -68,11 +69,11 @@ def text_features(col: pa.Array) -> np.ndarray:
         kind = _KIND[t]
         row = out[i]
         # square roots of shares: rare marks count, common letters do not drown them
-        row[:256] = np.sqrt(np.bincount(t, minlength=256) / len(t))
-        row[256:512] = np.sqrt(np.bincount(kind[:-1] * 16 + kind[1:], minlength=256) / len(t))
+        row[:128] = np.sqrt(np.bincount(t, minlength=256)[:128] / len(t))
+        row[128:384] = np.sqrt(np.bincount(kind[:-1] * 16 + kind[1:], minlength=256) / len(t))
         lines, words = t.tobytes().split(b"\n"), t.tobytes().split()
         again = sum(map(bytes.__eq__, words, words[1:]))
-        row[512:] = (len(set(lines)) / len(lines), len(set(words)) / max(1, len(words)), again / max(1, len(words)),
+        row[384:] = (len(set(lines)) / len(lines), len(set(words)) / max(1, len(words)), again / max(1, len(words)),
                      min(1.0, len(words) / len(t) * 4), np.log1p(len(t)) / 12)
     return out
 
@@ -176,8 +177,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
                                                   "x": pa.array([r.tobytes() for r in x], pa.binary()), "m": pa.array([r.tobytes() for r in m], pa.binary())})
 
     kind = dict(rows.dtypes)["_id"]
+    # at most LABELLED + POOL rows of some 2.5 KB, but for repeated ids
     seen = rows.mapInArrow(see, f"id {kind}, good int, x binary, m binary").orderBy("id", "x").toArrow()
-    views = [np.frombuffer(b"".join(seen.column(c).to_pylist()), np.float32).reshape(seen.num_rows, -1) if seen.num_rows else np.zeros((0, 1), np.float32) for c in ("x", "m")]
+    views = [text_bytes(seen.column(c))[0].view(np.float32).reshape(seen.num_rows, -1) if seen.num_rows else np.zeros((0, 1), np.float32) for c in ("x", "m")]
     good = seen.column("good").to_pylist()
     has = np.array([g is not None for g in good], bool)
     y = np.array([g for g in good if g is not None], np.float64)
