@@ -286,6 +286,17 @@ def test_knn(spark, monkeypatch):
         assert Counter(map(tuple, got)) == _nearest(rows, 5, 10)
 
 
+def test_knn_far_groups_are_ruled_out(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(20.0 * (i % 5 == d), 0.2) for d in range(5)]) for i in range(200)]
+    seen = []
+    real = knn._ruled_out
+    monkeypatch.setattr(knn, "_ruled_out", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = knn.knn_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 4 == 0, pivots=20, query_pivots=10).collect()
+    assert Counter(map(tuple, got)) == _nearest(rows, 5, 4)
+    assert max(seen) >= 100
+
+
 def test_knn_edges(spark):
     kind = "vec_id long, embedding array<double>"
     assert knn.knn_join(spark.createDataFrame([], kind), F.col("vec_id") == 1).collect() == []
