@@ -6,8 +6,10 @@ a bounded number of members) and of each query group (radius about its pivot)
 gives every query a lower bound on its k-th best score, and a query group the
 least of these.  A data vector x can only matter to a query group with pivot
 p, radius r and bound t if  <p, x> + r |x| >= t  (Cauchy-Schwarz), so it is
-replicated to those groups alone.  Each group is solved locally in blocks of
-bounded size, and the blocks' best k merge.
+replicated to those groups alone.  Query groups for which the bounds rule out
+less than half of the data, cell by cell, gain nothing by standing apart: they
+join into one group that gets every data vector once.  Each group is solved
+locally in blocks of bounded size, and the blocks' best k merge.
 
 Scores are exact integer inner products of floor(scale * x).  Bounds are taken
 in floating point with a margin far above its error, on the side of keeping.
@@ -39,6 +41,8 @@ BLOCK_ROWS = 8192
 QUERY_BLOCK_ROWS = 2048
 # of the bounds, relative to the vectors' lengths
 MARGIN = 1e-9
+# number of the group of query groups that the bounds do not help
+JOINED = -1
 
 
 def _integers(col: pa.Array, scale: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -97,6 +101,14 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return some[np.lexsort((ids[some], -scores[some]))][:k]
 
 
+def _ruled_out(group, query_centres: np.ndarray, cells, centres: np.ndarray) -> int:
+    """Data vectors in cells of which no member can reach a query group's bound."""
+    p, c = query_centres[group["grp"]], centres[[x["cell"] for x in cells]]
+    r, n = np.array([x["r"] for x in cells]), np.array([x["n"] for x in cells])
+    reach = c @ p + group["r"] * np.sqrt((c * c).sum(axis=1)) + r * (np.sqrt(p @ p) + group["r"])
+    return int(n[reach * (1 + MARGIN) + MARGIN < group["t"]].sum())
+
+
 def knn_join(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE,
              pivots: int = PIVOTS, query_pivots: int = QUERY_PIVOTS) -> DataFrame:
     """The ``k`` best rows for every row with ``is_query`` (a boolean column):
@@ -167,11 +179,17 @@ def knn_join(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector
         .groupBy("grp").agg(F.max("away").alias("r"), F.min("low").alias("t"), F.count(F.lit(1)).alias("n")).collect()
     if not bounds:
         return spark.createDataFrame([], result)
-    groups = np.array([b["grp"] for b in bounds], np.int32)
-    radius, low = np.array([b["r"] for b in bounds]), np.array([float(b["t"]) for b in bounds])
-    parts = np.array([-(-b["n"] // QUERY_BLOCK_ROWS) for b in bounds], np.int64)
+    # at most one row a pivot
+    cells = placed.groupBy("cell").agg(F.max("dist").alias("r"), F.count(F.lit(1)).alias("n")).collect()
+    apart = [b for b in bounds if 2 * _ruled_out(b, query_centres, cells, centres) >= total]
+    joined = [b for b in bounds if b not in apart]
+    groups = np.array([b["grp"] for b in apart] + [JOINED] * bool(joined), np.int32)
+    radius = np.array([b["r"] for b in apart] + [0.0] * bool(joined))
+    low = np.array([float(b["t"]) for b in apart] + [-np.inf] * bool(joined))
+    sizes = [b["n"] for b in apart] + [sum(b["n"] for b in joined)] * bool(joined)
+    parts = np.array([-(-n // QUERY_BLOCK_ROWS) for n in sizes], np.int64)
     blocks = max(1, -(-total // BLOCK_ROWS))
-    group_centres = query_centres[groups]
+    group_centres = np.concatenate((query_centres[groups[:len(apart)]], np.zeros((int(bool(joined)), dim))))
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,9 +208,10 @@ def knn_join(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector
 
     data = placed.select("id", "v", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int").alias("blk")) \
         .mapInArrow(replicate, "id long, v binary, blk int, grp int, part long")
-    sizes = F.create_map(*[F.lit(x) for g, n in zip(groups.tolist(), parts.tolist(), strict=True) for x in (g, n)])
-    asked = queries.select(F.col("id").alias("qid"), F.col("row").alias("qrow"), F.col("v").alias("qv"), "grp",
-                           F.pmod(F.xxhash64("row", F.lit(2)), F.element_at(sizes, F.col("grp"))).alias("part")) \
+    group = F.when(F.col("grp").isin([b["grp"] for b in joined]), F.lit(JOINED)).otherwise(F.col("grp")) if joined else F.col("grp")
+    n_parts = F.create_map(*[F.lit(x) for g, n in zip(groups.tolist(), parts.tolist(), strict=True) for x in (g, n)])
+    asked = queries.select(F.col("id").alias("qid"), F.col("row").alias("qrow"), F.col("v").alias("qv"), group.alias("grp"),
+                           F.pmod(F.xxhash64("row", F.lit(2)), F.element_at(n_parts, group)).alias("part")) \
         .withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
