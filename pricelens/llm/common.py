@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from pricelens.session import checkpoint_root, scratch_dir, stage
 
-__all__ = ["stage", "scratch_dir", "checkpoint_root", "add_columns", "bound_batches", "byte_slices", "text_bytes", "words",
+__all__ = ["stage", "scratch_dir", "checkpoint_root", "add_columns", "bound_batches", "byte_slices", "gather", "text_bytes", "words",
            "mix64", "slots", "SPACES"]
 
 # The separators of a word, ``[\x20\x09-\x0D]``.
@@ -68,6 +68,20 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.R
     pa.default_memory_pool().release_unused()
 
 
+def gather(batches, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to about ``limit`` text bytes, for work that is
+    cheaper on more texts at once."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def words(col: pa.Array) -> tuple[pa.LargeBinaryArray, np.ndarray]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of every text with A-Z in lower case,
     end to end, and the number of words of each text."""

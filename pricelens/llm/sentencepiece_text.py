@@ -35,7 +35,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from pricelens.llm.chunks import ChunkMemory
-from pricelens.llm.common import byte_slices, text_bytes
+from pricelens.llm.common import byte_slices, gather, text_bytes
 
 SLICE_BYTES = 4 << 20
 # units longer than this are merged with a heap
@@ -361,8 +361,8 @@ def _encode(df: DataFrame, model_path: str, text_col: str, output: str, decoded:
     made = [output] + [decoded] * bool(decoded)
     def fn(kept):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for piece in byte_slices(batch, text_col, SLICE_BYTES):
+            for batch in gather(batches, text_col, SLICE_BYTES):
+                for piece in byte_slices(batch, text_col, 2 * SLICE_BYTES):
                     ids, n = model(model_path).encode(piece.column(text_col))
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(ids, pa.int32()))
                     more = [lists] + [pa.array(model(model_path).decode(ids, n), pa.string())] * bool(decoded)

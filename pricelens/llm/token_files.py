@@ -26,6 +26,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +35,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.llm.chunks import ChunkMemory
-from pricelens.llm.common import byte_slices, scratch_dir, slots, stage, text_bytes
+from pricelens.llm.common import byte_slices, gather, scratch_dir, slots, stage, text_bytes
 
 MAGIC = b"TOKIDS01"
 SAMPLE = 64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 # distinct chunks a worker remembers
-MEMORY_CHUNKS = 400_000
+MEMORY_CHUNKS = 800_000
 _FOOTER = struct.Struct("<8sBxxxxxxxqqqqqqq")
 
 
@@ -263,8 +264,8 @@ def write_token_files(df: DataFrame, tokenizer_path: str, folder: str, id_col: s
         shard, coder = TaskContext.get().partitionId(), encoder(tokenizer_path)
 
         def blocks():
-            for batch in (b for part in ((first,), batches) for b in part):
-                for piece in byte_slices(batch, "text", SLICE_BYTES):
+            for batch in gather(chain((first,), batches), "text", SLICE_BYTES):
+                for piece in byte_slices(batch, "text", 2 * SLICE_BYTES):
                     ids, n = coder.encode(piece.column("text"))
                     ends = np.cumsum(n)
                     col = piece.column("id")
