@@ -7,6 +7,7 @@ when the session has none (local tests) do we create and register one.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -51,8 +52,19 @@ def build_session(master: str | None = "local[*]", app_name: str = "pricelens",
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package wherever the
+    driver was started; on other machines it must be installed or shipped."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def ensure_conf(spark: SparkSession) -> None:
     """Apply the session-level SQL settings pricelens relies on."""
+    share_package(spark)
     for k, v in DEFAULT_SQL_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
