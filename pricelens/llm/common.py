@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from pricelens.session import checkpoint_root, scratch_dir, stage
+from pricelens.session import checkpoint_root, scratch_dir, share_package, stage
 
 __all__ = ["stage", "scratch_dir", "checkpoint_root", "add_columns", "bound_batches", "byte_slices", "gather", "text_bytes", "words",
            "mix64", "slots", "SPACES"]
@@ -24,6 +24,7 @@ _LOWER[65:91] += 32
 def bound_batches(spark) -> None:
     """Arrow batches of at most 500 rows and 4 MB: texts are long, and a batch
     is held several times over, by the executor and by its workers."""
+    share_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
