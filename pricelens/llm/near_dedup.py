@@ -12,9 +12,10 @@ their minwise sketches.  What is still larger at the greatest depth (copies
 alike all over) is cut into parts that all hold the node's first document.
 
 Of a node's similar pairs, ``FORESTS`` edge-disjoint spanning forests are
-kept, the most similar first: enough to connect what the pairs connect, and
-linear in the node's size.  These pairs are confirmed on the full sets, and
-the confirmed links' connected components are the classes.
+confirmed on the full sets first, the most similar pairs first.  Where forests
+left pairs out and their confirmed links do not make the node one component,
+all its similar pairs across components are compared by their full sets, block
+against block.  The connected components of all confirmed links are the classes.
 
 Defined results: a null text is empty; a text with fewer words than a shingle
 is one shingle of all its words; without words the set is empty and linked
@@ -46,6 +47,8 @@ DEPTH = 4
 MAX_DEPTH = 16
 NODE_ROWS = 4096
 FORESTS = 4
+# shingles of a block whose full sets are compared in one task with another's
+BLOCK_SHINGLES = 1 << 21
 # sketches this many standard deviations below the threshold are still compared in full
 DEVIATIONS = 3.5
 SLICE_BYTES = 4 << 20
@@ -223,7 +226,8 @@ def forests(a: np.ndarray, b: np.ndarray, weight: np.ndarray, n: int) -> np.ndar
 
 
 def similar_pairs(rep: np.ndarray, sketch: np.ndarray, low: int):
-    """Pairs of one node whose sketches agree in ``low`` places or more, thinned to forests."""
+    """Pairs of one node whose sketches agree in ``low`` places or more, thinned
+    to forests, and whether that left any out."""
     rep, at = np.unique(rep, return_index=True)
     sketch = sketch[at]
     n = len(rep)
@@ -234,62 +238,77 @@ def similar_pairs(rep: np.ndarray, sketch: np.ndarray, low: int):
         if len(j):
             lists.append((np.full(len(j), i), j + i + 1, agree[j]))
     if not lists:
-        return rep[:0], rep[:0]
+        return rep[:0], rep[:0], False
     a, b, w = (np.concatenate(x) for x in zip(*lists, strict=True))
-    if n > 2:
-        keep = forests(a, b, w, n)
-        a, b = a[keep], b[keep]
-    return rep[a], rep[b]
-
-
-def _candidates(nodes: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (a, b), a < b, similar by their 8-bit sketches in some node."""
-    spread = math.sqrt(threshold * (1 - threshold) / HASHES)
-    low = math.floor((threshold - DEVIATIONS * spread) * HASHES)
+    if n <= 2:
+        return rep[a], rep[b], False
+    keep = forests(a, b, w, n)
+    return rep[a[keep]], rep[b[keep]], len(keep) < len(a)
+
+
+def _least_agreement(threshold: float) -> int:
+    """Places in which the sketches of a pair to be compared in full agree at least."""
+    return math.floor((threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / HASHES)) * HASHES)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """Rows in order of ``keys``, cut only where one of them changes."""
+    held = None
+    for batch in batches:
+        t = pa.concat_tables(([held] if held is not None else []) + [pa.Table.from_batches([batch])])
+        if not t.num_rows:
+            continue
+        values = [t.column(k).to_numpy() for k in keys]
+        # the last group may go on in the next batch
+        other = np.flatnonzero(np.any([v != v[-1] for v in values], axis=0))
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield t.slice(0, cut)
+        held = t.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _starts(t: pa.Table, *keys: str) -> np.ndarray:
+    """Where the groups of equal ``keys`` begin, and the end."""
+    values = [t.column(k).to_numpy() for k in keys]
+    return np.concatenate(([0], np.flatnonzero(np.any([v[1:] != v[:-1] for v in values], axis=0)) + 1, [t.num_rows]))
+
+
+def _candidates(nodes: DataFrame, reps: DataFrame, low: int) -> DataFrame:
+    """Distinct (a, b), a < b, similar by their 8-bit sketches in some node; and
+    rows without a and b for each ``node`` whose forests left pairs out."""
     sketches = reps.select(F.col("rep").alias("_rep"), "sketch")
     rows = nodes.join(sketches, F.col("rep") == F.col("_rep")).select("node", "part", "rep", "sketch")
     rows = rows.repartition(slots(reps.sparkSession), "node", "part").sortWithinPartitions("node", "part")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-
-        def solve(t: pa.Table):
-            node, part, rep = (t.column(c).to_numpy() for c in ("node", "part", "rep"))
+        for t in _whole_groups(batches, "node", "part"):
+            node, rep = t.column("node").to_numpy(), t.column("rep").to_numpy()
             sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
-            cut = np.flatnonzero((node[1:] != node[:-1]) | (part[1:] != part[:-1])) + 1
-            begin, end = np.append(0, cut), np.append(cut, len(node))
+            at = _starts(t, "node", "part")
+            begin, end = at[:-1], at[1:]
             two = np.flatnonzero(end - begin == 2)
             x = begin[two]
             ok = ((sketch[x] == sketch[x + 1]).sum(axis=1) >= low) & (rep[x] != rep[x + 1])
-            pairs = [(np.minimum(rep[x], rep[x + 1])[ok], np.maximum(rep[x], rep[x + 1])[ok])]
+            pairs, thinned = [(np.minimum(rep[x], rep[x + 1])[ok], np.maximum(rep[x], rep[x + 1])[ok])], []
             for i, j in zip(begin.tolist(), end.tolist(), strict=True):
                 if j - i > 2:
-                    pairs.append(similar_pairs(rep[i:j], sketch[i:j], low))
+                    a, b, cut = similar_pairs(rep[i:j], sketch[i:j], low)
+                    pairs.append((a, b))
+                    thinned += [node[i]] if cut else []
             a, b = (np.concatenate(p) for p in zip(*pairs, strict=True))
             p = np.unique(np.stack((a, b)), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-            return pa.RecordBatch.from_pydict({"a": pa.array(p[0], pa.int64()), "b": pa.array(p[1], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"a": pa.array(p[0], pa.int64()), "b": pa.array(p[1], pa.int64()), "node": pa.nulls(p.shape[1], pa.int64())})
+            none = pa.nulls(len(thinned), pa.int64())
+            yield pa.RecordBatch.from_pydict({"a": none, "b": none, "node": pa.array(thinned, pa.int64())})
 
-        for batch in batches:
-            t = pa.concat_tables(([held] if held is not None else []) + [pa.Table.from_batches([batch])])
-            if not t.num_rows:
-                continue
-            node, part = t.column("node").to_numpy(), t.column("part").to_numpy()
-            # the last node may go on in the next batch
-            cut = int(np.flatnonzero((node != node[-1]) | (part != part[-1]))[-1]) + 1 if (node[0], part[0]) != (node[-1], part[-1]) else 0
-            if cut:
-                yield solve(t.slice(0, cut))
-            held = t.slice(cut)
-        if held is not None and held.num_rows:
-            yield solve(held)
-
-    return rows.mapInArrow(compare, "a long, b long").dropDuplicates()
+    return rows.mapInArrow(compare, "a long, b long, node long").dropDuplicates()
 
 
 # ----------------------------------------------------------------- confirming
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs with 100 * intersection >= percent * union on full sets."""
-    wanted = stage(pairs.select(F.col("a").alias("want")).unionByName(pairs.select(F.col("b").alias("want"))).dropDuplicates(), "near-wanted")
-
+def _sets(wanted: DataFrame, rows: int, docs: DataFrame, width: int) -> DataFrame:
+    """(id, s): the full sets of the documents in ``wanted`` (``rows`` of column want), stored."""
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in byte_slices(batch, "text", SLICE_BYTES):
@@ -297,8 +316,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
                 yield pa.RecordBatch.from_pydict({"id": piece.column("id"), "s": pa.array(sets, pa.binary())})
 
     # whole texts of the candidates alone are shuffled
-    near, _ = split_by_keys(docs, "id", wanted, pairs.count())
-    sets = stage(near.join(wanted, F.col("id") == F.col("want"), "left_semi").mapInArrow(to_sets, "id long, s binary"), "near-sets")
+    near, _ = split_by_keys(docs, "id", wanted, rows)
+    return stage(near.join(wanted, F.col("id") == F.col("want"), "left_semi").mapInArrow(to_sets, "id long, s binary"), "near-sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs with 100 * intersection >= percent * union on full sets."""
+    wanted = stage(pairs.select(F.col("a").alias("want")).unionByName(pairs.select(F.col("b").alias("want"))).dropDuplicates(), "near-wanted")
+    sets = _sets(wanted, pairs.count(), docs, width)
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b").select("a", "b", "x", "y")
 
@@ -316,6 +341,77 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     return both.mapInArrow(confirm, "a long, b long")
 
 
+def _blocks(rows: DataFrame, parts) -> DataFrame:
+    """Every two of a node's ``parts`` (dealt by hash) as a block (node, i, j);
+    ``side`` is the row's own part."""
+    dealt = rows.withColumn("side", F.pmod(F.xxhash64("node", "rep"), parts)) \
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+    return dealt.withColumns({"i": F.least("side", "_other"), "j": F.greatest("side", "_other")}).drop("_other")
+
+
+def _meetings(side: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(row, the first row it is compared with) of a block in order of
+    ``side``: with the other side, or all with all in a block of one."""
+    other = int(np.searchsorted(side, side[-1]))
+    return ((k, other or k + 1) for k in range(other or len(side) - 1))
+
+
+def links_across(rep: np.ndarray, side: np.ndarray, label: np.ndarray, sketch: np.ndarray, sets: list[np.ndarray], low: int, percent: int):
+    """Links of a block's rows (in order of ``side``) that join different
+    labels; pairs of similar sketches are compared by their full sets."""
+    size, out = np.array([len(s) for s in sets]), []
+    flat, code = np.unique(np.concatenate(sets), return_inverse=True)
+    codes, mark = np.split(code, np.cumsum(size)[:-1]), np.zeros(len(flat), bool)
+    label = np.unique(label, return_inverse=True)[1]
+    for k, later in _meetings(side):
+        j = later + np.flatnonzero((sketch[later:] == sketch[k]).sum(axis=1) >= low)
+        j = j[label[j] != label[k]]
+        if not len(j):
+            continue
+        mark[codes[k]] = True
+        common = np.add.reduceat(mark[np.concatenate([codes[x] for x in j])].astype(np.int64), np.cumsum(size[j]) - size[j])
+        mark[codes[k]] = False
+        real = j[100 * common >= percent * (size[k] + size[j] - common)]
+        # one link to each component is enough
+        for x in real[np.unique(label[real], return_index=True)[1]].tolist():
+            out.append((rep[k], rep[x]))
+            label[label == label[x]] = label[k]
+    return out
+
+
+def _left_out(nodes: DataFrame, thinned: DataFrame, reps: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, low: int) -> DataFrame:
+    """Links (a, b) between ``classes`` among all similar pairs of the nodes ``thinned``."""
+    known = classes.select(F.col("node").alias("_rep"), "component")
+    rows = nodes.join(thinned, "node", "left_semi").select("node", "rep").dropDuplicates()
+    rows = rows.join(reps.select("rep", "n", "sketch"), "rep").join(known, F.col("rep") == F.col("_rep"), "left") \
+        .select("node", "rep", "n", "sketch", F.coalesce("component", "rep").alias("label"))
+    rows = stage(rows, "near-thinned")
+    # a node of one component has nothing left to link
+    mixed = rows.groupBy(F.col("node").alias("_node")).agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min("label").alias("lo"), F.max("label").alias("hi")) \
+        .where("lo < hi").select("_node", "size", "shingles")
+    parts = F.when((F.col("size") <= NODE_ROWS) & (F.col("shingles") <= BLOCK_SHINGLES), F.lit(1).cast("bigint")) \
+        .otherwise(F.greatest(F.ceil(F.col("size") * 2 / NODE_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
+    rows = stage(rows.join(mixed, F.col("node") == F.col("_node")).withColumn("parts", parts).select("node", "rep", "sketch", "label", "parts"), "near-mixed")
+    wanted = stage(rows.select(F.col("rep").alias("want")).dropDuplicates(), "near-wanted")
+    sets = _sets(wanted, wanted.count(), docs, width)
+    blocks = _blocks(rows.join(sets, F.col("rep") == F.col("id")), F.col("parts")).select("node", "i", "j", "side", "rep", "label", "sketch", "s")
+    blocks = blocks.repartition(slots(reps.sparkSession), "node", "i", "j").sortWithinPartitions("node", "i", "j", "side")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_groups(batches, "node", "i", "j"):
+            at, links = _starts(t, "node", "i", "j").tolist(), []
+            for i, j in zip(at[:-1], at[1:], strict=True):
+                g = t.slice(i, j - i)
+                rep, side, label = (g.column(c).to_numpy() for c in ("rep", "side", "label"))
+                sketch = np.frombuffer(b"".join(g.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
+                sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in g.column("s")]
+                links += links_across(rep, side, label, sketch, sets, low, percent)
+            a, b = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return stage(blocks.mapInArrow(compare, "a long, b long").dropDuplicates(), "near-links")
+
+
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                percent: int = THRESHOLD_PERCENT, recall: float = RECALL) -> DataFrame:
     """Every document's id with ``n_shingles``, ``component_id`` (the smallest
@@ -323,7 +419,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     docs, threshold = _documents(df, id_col, text_col), percent / 100
     signed = _signed(docs, width)
     usable = signed.where("n > 0 and id is not null")
-    first = usable.groupBy("k1", "k2").agg(F.min(F.struct("id", "sig")).alias("m"))
+    first = usable.groupBy("k1", "k2").agg(F.min(F.struct("id", "sig")).alias("m"), F.first("n").alias("n"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The low byte of each minwise value, for comparing within nodes."""
@@ -331,10 +427,16 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
             low = [np.frombuffer(s, np.uint32).astype(np.uint8).tobytes() for s in batch.column("sig").to_pylist()]
             yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(low, pa.binary())], batch.schema.names + ["sketch"])
 
-    reps = stage(first.select("k1", "k2", F.col("m.id").alias("rep"), F.col("m.sig").alias("sig"))
-                 .mapInArrow(sketch, "k1 long, k2 long, rep long, sig binary, sketch binary"), "near-reps")
-    pairs = stage(_candidates(_nodes(reps, threshold, recall), reps, threshold), "near-pairs")
-    classes = components(_confirmed(pairs, docs, width, percent))
+    reps = stage(first.select("k1", "k2", F.col("m.id").alias("rep"), F.col("m.sig").alias("sig"), "n")
+                 .mapInArrow(sketch, "k1 long, k2 long, rep long, sig binary, n long, sketch binary"), "near-reps")
+    nodes, low = _nodes(reps, threshold, recall), _least_agreement(threshold)
+    found = stage(_candidates(nodes, reps, low), "near-pairs")
+    links = stage(_confirmed(found.where("a is not null").select("a", "b"), docs, width, percent), "near-links")
+    classes, thinned = components(links), found.where("a is null").select("node")
+    if not thinned.isEmpty():
+        more = _left_out(nodes, thinned, reps, classes, docs, width, percent, low)
+        if not more.isEmpty():
+            classes = components(links.unionByName(more))
     found = reps.select("k1", "k2", "rep").join(classes, F.col("rep") == F.col("node"), "left") \
         .select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.coalesce("component", "rep").alias("component"))
     rows = signed.select("id", "n", "k1", "k2")

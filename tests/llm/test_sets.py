@@ -107,6 +107,23 @@ def test_near_dedup_null_ids_and_large_nodes(spark, monkeypatch):
     assert all(r.component_id is None and not r.kept for r in got if r.doc_id is None)
 
 
+def _family(n):
+    """Documents alike at 158 / 200, but neighbours (2k, 2k + 1) at 160 / 198."""
+    core = [f"c{k}" for k in range(158)]
+    return [(i, " ".join(core + [f"p{i // 2}x{k}" for k in range(2)] + [f"d{i}x{k}" for k in range(19)]), "s") for i in range(n)]
+
+
+def _neighbours(spark, n):
+    got = near_dedup.near_dedup(_docs(spark, _family(n)), width=1).collect()
+    return {r.doc_id: r.component_id for r in got}
+
+
+def test_near_dedup_confirms_beyond_the_forests(spark, monkeypatch):
+    for shingles in (1 << 21, 3000):
+        monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", shingles, raising=False)
+        assert _neighbours(spark, 60) == {i: i - i % 2 for i in range(60)}
+
+
 def test_tree_count_reaches_recall():
     assert near_dedup.tree_count(0.8, 0.9999, 4) > near_dedup.tree_count(0.8, 0.9, 4)
     assert abs(near_dedup.survival(1.0, 5, 1.25) - 1) < 1e-12
