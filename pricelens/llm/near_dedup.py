@@ -9,7 +9,7 @@ a path with a probability that falls slowly with the depth, so a few trees
 reach the recall aimed at (``recall``).  Nodes of one document die out; nodes
 above ``NODE_ROWS`` branch deeper; the others are compared exhaustively by
 their minwise sketches.  What is still larger at the greatest depth (copies
-alike all over) is cut into parts that all hold the node's first document.
+alike all over) is cut into parts, and every two of them are compared.
 
 Of a node's similar pairs, ``FORESTS`` edge-disjoint spanning forests are
 confirmed on the full sets first, the most similar pairs first.  Where forests
@@ -169,23 +169,28 @@ def _paths(reps: DataFrame, levels: int, threshold: float, trees: int | None = N
     return reps.mapInArrow(follow, "node long, rep long")
 
 
+def _blocks(rows: DataFrame, parts) -> DataFrame:
+    """Every two of a node's ``parts`` (dealt by hash) as a block (node, i, j);
+    ``side`` is the row's own part."""
+    dealt = rows.withColumn("side", F.pmod(F.xxhash64("node", "rep"), parts)) \
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+    return dealt.withColumns({"i": F.least("side", "_other"), "j": F.greatest("side", "_other")}).drop("_other")
+
+
 def _nodes(reps: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """(node, part, rep): who meets where, in parts of NODE_ROWS or so."""
+    """(node, i, j, side, rep): who meets where, in blocks of NODE_ROWS or so."""
     depth, done = DEPTH, None
     paths = stage(_paths(reps.select("rep", "sig"), depth, threshold, tree_count(threshold, recall, depth)), "near-paths")
     while True:
         # two rows of one node may be one document on two branches
         sizes = stage(paths.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("first"), F.max("rep").alias("last"))
-                      .where("first < last").select("node", "size", "first"), "near-sizes")
+                      .where("first < last").select("node", "size"), "near-sizes")
         met = paths.join(sizes.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node")).drop("_node")
         large = sizes.where(F.col("size") > NODE_ROWS)
         last = depth >= MAX_DEPTH or large.isEmpty()
         some = met if last else met.where(F.col("size") <= NODE_ROWS)
-        parts = F.ceil(F.col("size") / NODE_ROWS)
-        some = some.select("node", F.pmod(F.xxhash64("node", "rep"), parts).alias("part"), "rep")
-        if last:
-            heads = large.select("node", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("size") / NODE_ROWS) - 1)).alias("part"), F.col("first").alias("rep"))
-            some = some.unionByName(heads)
+        parts = F.when(F.col("size") <= NODE_ROWS, F.lit(1).cast("bigint")).otherwise(F.ceil(F.col("size") * 2 / NODE_ROWS))
+        some = _blocks(some.select("node", "rep", parts.alias("parts")), F.col("parts")).select("node", "i", "j", "side", "rep")
         done = some if done is None else done.unionByName(some)
         if last:
             return done
@@ -225,25 +230,32 @@ def forests(a: np.ndarray, b: np.ndarray, weight: np.ndarray, n: int) -> np.ndar
     return order[np.concatenate(kept)]
 
 
-def similar_pairs(rep: np.ndarray, sketch: np.ndarray, low: int):
-    """Pairs of one node whose sketches agree in ``low`` places or more, thinned
-    to forests, and whether that left any out."""
-    rep, at = np.unique(rep, return_index=True)
-    sketch = sketch[at]
+def _meetings(side: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(row, the first row it is compared with) of a block in order of
+    ``side``: with the other side, or all with all in a block of one."""
+    other = int(np.searchsorted(side, side[-1]))
+    return ((k, other or k + 1) for k in range(other or len(side) - 1))
+
+
+def similar_pairs(rep: np.ndarray, side: np.ndarray, sketch: np.ndarray, low: int):
+    """Pairs (a, b), a < b, of one block whose sketches agree in ``low`` places
+    or more, thinned to forests, and whether that left any out."""
+    at = np.unique(rep, return_index=True)[1]
+    at = at[np.argsort(side[at], kind="stable")]
+    rep, side, sketch = rep[at], side[at], sketch[at]
     n = len(rep)
     lists = []
-    for i in range(n - 1):
-        agree = (sketch[i + 1:] == sketch[i]).sum(axis=1)
+    for i, later in _meetings(side):
+        agree = (sketch[later:] == sketch[i]).sum(axis=1)
         j = np.flatnonzero(agree >= low)
         if len(j):
-            lists.append((np.full(len(j), i), j + i + 1, agree[j]))
+            lists.append((np.full(len(j), i), j + later, agree[j]))
     if not lists:
         return rep[:0], rep[:0], False
     a, b, w = (np.concatenate(x) for x in zip(*lists, strict=True))
-    if n <= 2:
-        return rep[a], rep[b], False
-    keep = forests(a, b, w, n)
-    return rep[a[keep]], rep[b[keep]], len(keep) < len(a)
+    keep = forests(a, b, w, n) if n > 2 else np.arange(len(a))
+    a, b, cut = rep[a[keep]], rep[b[keep]], len(keep) < len(a)
+    return np.minimum(a, b), np.maximum(a, b), cut
 
 
 def _least_agreement(threshold: float) -> int:
@@ -279,14 +291,14 @@ def _candidates(nodes: DataFrame, reps: DataFrame, low: int) -> DataFrame:
     """Distinct (a, b), a < b, similar by their 8-bit sketches in some node; and
     rows without a and b for each ``node`` whose forests left pairs out."""
     sketches = reps.select(F.col("rep").alias("_rep"), "sketch")
-    rows = nodes.join(sketches, F.col("rep") == F.col("_rep")).select("node", "part", "rep", "sketch")
-    rows = rows.repartition(slots(reps.sparkSession), "node", "part").sortWithinPartitions("node", "part")
+    rows = nodes.join(sketches, F.col("rep") == F.col("_rep")).select("node", "i", "j", "side", "rep", "sketch")
+    rows = rows.repartition(slots(reps.sparkSession), "node", "i", "j").sortWithinPartitions("node", "i", "j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _whole_groups(batches, "node", "part"):
-            node, rep = t.column("node").to_numpy(), t.column("rep").to_numpy()
+        for t in _whole_groups(batches, "node", "i", "j"):
+            node, side, rep = (t.column(c).to_numpy() for c in ("node", "side", "rep"))
             sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
-            at = _starts(t, "node", "part")
+            at = _starts(t, "node", "i", "j")
             begin, end = at[:-1], at[1:]
             two = np.flatnonzero(end - begin == 2)
             x = begin[two]
@@ -294,7 +306,7 @@ def _candidates(nodes: DataFrame, reps: DataFrame, low: int) -> DataFrame:
             pairs, thinned = [(np.minimum(rep[x], rep[x + 1])[ok], np.maximum(rep[x], rep[x + 1])[ok])], []
             for i, j in zip(begin.tolist(), end.tolist(), strict=True):
                 if j - i > 2:
-                    a, b, cut = similar_pairs(rep[i:j], sketch[i:j], low)
+                    a, b, cut = similar_pairs(rep[i:j], side[i:j], sketch[i:j], low)
                     pairs.append((a, b))
                     thinned += [node[i]] if cut else []
             a, b = (np.concatenate(p) for p in zip(*pairs, strict=True))
@@ -341,21 +353,6 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     return both.mapInArrow(confirm, "a long, b long")
 
 
-def _blocks(rows: DataFrame, parts) -> DataFrame:
-    """Every two of a node's ``parts`` (dealt by hash) as a block (node, i, j);
-    ``side`` is the row's own part."""
-    dealt = rows.withColumn("side", F.pmod(F.xxhash64("node", "rep"), parts)) \
-        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
-    return dealt.withColumns({"i": F.least("side", "_other"), "j": F.greatest("side", "_other")}).drop("_other")
-
-
-def _meetings(side: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(row, the first row it is compared with) of a block in order of
-    ``side``: with the other side, or all with all in a block of one."""
-    other = int(np.searchsorted(side, side[-1]))
-    return ((k, other or k + 1) for k in range(other or len(side) - 1))
-
-
 def links_across(rep: np.ndarray, side: np.ndarray, label: np.ndarray, sketch: np.ndarray, sets: list[np.ndarray], low: int, percent: int):
     """Links of a block's rows (in order of ``side``) that join different
     labels; pairs of similar sketches are compared by their full sets."""

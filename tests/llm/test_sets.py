@@ -124,6 +124,26 @@ def test_near_dedup_confirms_beyond_the_forests(spark, monkeypatch):
         assert _neighbours(spark, 60) == {i: i - i % 2 for i in range(60)}
 
 
+def _blocks_of(nodes):
+    """Node -> the pairs that meet in some block of it."""
+    blocks, met = {}, {}
+    for r in nodes.collect():
+        blocks.setdefault((r.node, *(r[c] for c in nodes.columns if c not in ("node", "side", "rep"))), set()).add(r.rep)
+    for (node, *_), reps in blocks.items():
+        met.setdefault(node, set()).update(frozenset((a, b)) for a in reps for b in reps if a < b)
+    return met
+
+
+def test_near_dedup_compares_all_parts_of_a_large_node(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NODE_ROWS", 8)
+    monkeypatch.setattr(near_dedup, "MAX_DEPTH", near_dedup.DEPTH)
+    assert _neighbours(spark, 60) == {i: i - i % 2 for i in range(60)}
+    # in a node of equal signatures every pair meets
+    reps = spark.createDataFrame([(k, b"abcd" * near_dedup.HASHES) for k in range(40)], "rep long, sig binary")
+    every = {frozenset((a, b)) for a in range(40) for b in range(a)}
+    assert all(pairs == every for pairs in _blocks_of(near_dedup._nodes(reps, 0.8, 0.9999)).values())
+
+
 def test_tree_count_reaches_recall():
     assert near_dedup.tree_count(0.8, 0.9999, 4) > near_dedup.tree_count(0.8, 0.9, 4)
     assert abs(near_dedup.survival(1.0, 5, 1.25) - 1) < 1e-12
