@@ -7,8 +7,9 @@ representatives recursively: a node picks one or two of the minwise tokens
 document follows the values it has there.  Two documents of similarity s share
 a path with a probability that falls slowly with the depth, so a few trees
 reach the recall aimed at (``recall``).  Nodes of one document die out; nodes
-above ``NODE_ROWS`` branch deeper; the others are compared exhaustively by
-their minwise sketches.  What is still larger at the greatest depth (copies
+above ``NODE_ROWS`` branch deeper, and the documents they hold follow more
+trees, as many as the recall takes at the depth reached; the others are
+compared exhaustively by their minwise sketches.  What is still larger at the greatest depth (copies
 alike all over) is cut into parts, and every two of them are compared.
 
 Of a node's similar pairs, ``FORESTS`` edge-disjoint spanning forests are
@@ -150,7 +151,7 @@ def _branch(sig: np.ndarray, row: np.ndarray, path: np.ndarray, levels: int, thr
     return row, path
 
 
-def _paths(reps: DataFrame, levels: int, threshold: float, trees: int | None = None) -> DataFrame:
+def _paths(reps: DataFrame, levels: int, threshold: float, trees: range | None = None) -> DataFrame:
     """(node, rep) of each path; from the trees' roots, or from a ``node`` column."""
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,8 +160,8 @@ def _paths(reps: DataFrame, levels: int, threshold: float, trees: int | None = N
                 sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
                 row = np.arange(len(sig))
                 if trees:
-                    path = np.repeat(mix64(np.arange(1, trees + 1, dtype=np.uint64)), len(sig))
-                    row = np.tile(row, trees)
+                    path = np.repeat(mix64(np.array(trees, np.uint64)), len(sig))
+                    row = np.tile(row, len(trees))
                 else:
                     path = b.column("node").to_numpy().view(np.uint64)
                 row, path = _branch(sig, row, path, levels, threshold)
@@ -177,28 +178,43 @@ def _blocks(rows: DataFrame, parts) -> DataFrame:
     return dealt.withColumns({"i": F.least("side", "_other"), "j": F.greatest("side", "_other")}).drop("_other")
 
 
-def _nodes(reps: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """(node, i, j, side, rep): who meets where, in blocks of NODE_ROWS or so."""
-    depth, done = DEPTH, None
-    paths = stage(_paths(reps.select("rep", "sig"), depth, threshold, tree_count(threshold, recall, depth)), "near-paths")
+def _grown(reps: DataFrame, threshold: float, trees: range) -> tuple[DataFrame, DataFrame | None, int]:
+    """Who meets where in ``trees``, in blocks (node, i, j, side, rep); the
+    documents of nodes that went deeper than DEPTH; and the depth reached."""
+    depth, done, deep = DEPTH, None, None
+    paths = stage(_paths(reps.select("rep", "sig"), depth, threshold, trees), "near-paths")
     while True:
         # two rows of one node may be one document on two branches
         sizes = stage(paths.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("first"), F.max("rep").alias("last"))
                       .where("first < last").select("node", "size"), "near-sizes")
         met = paths.join(sizes.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node")).drop("_node")
-        large = sizes.where(F.col("size") > NODE_ROWS)
-        last = depth >= MAX_DEPTH or large.isEmpty()
+        last = depth >= MAX_DEPTH or sizes.where(F.col("size") > NODE_ROWS).isEmpty()
         some = met if last else met.where(F.col("size") <= NODE_ROWS)
         parts = F.when(F.col("size") <= NODE_ROWS, F.lit(1).cast("bigint")).otherwise(F.ceil(F.col("size") * 2 / NODE_ROWS))
         some = _blocks(some.select("node", "rep", parts.alias("parts")), F.col("parts")).select("node", "i", "j", "side", "rep")
         done = some if done is None else done.unionByName(some)
         if last:
-            return done
-        more = met.where(F.col("size") > NODE_ROWS).select("node", "rep").join(reps.select(F.col("rep").alias("_rep"), "sig"), F.col("rep") == F.col("_rep"))
+            return done, deep, depth
+        large = met.where(F.col("size") > NODE_ROWS).select("node", "rep")
+        if deep is None:
+            deep = stage(large.select(F.col("rep").alias("_rep")).dropDuplicates(), "near-deep")
+        more = large.join(reps.select(F.col("rep").alias("_rep"), "sig"), F.col("rep") == F.col("_rep"))
         paths = stage(_paths(more.select("node", "rep", "sig"), 2, threshold), "near-paths")
         depth += 2
 
 
+def _nodes(reps: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """(node, i, j, side, rep): who meets where, in blocks of NODE_ROWS or so."""
+    trees = range(1, tree_count(threshold, recall, DEPTH) + 1)
+    done, deep, depth = _grown(reps, threshold, trees)
+    # fewer pairs survive to a greater depth: their documents follow more trees
+    while deep is not None and (count := tree_count(threshold, recall, depth)) >= trees.stop:
+        trees = range(trees.stop, count + 1)
+        some, _, reached = _grown(reps.join(deep, F.col("rep") == F.col("_rep"), "left_semi"), threshold, trees)
+        done, depth = done.unionByName(some), max(depth, reached)
+    return done
+
+
 # ---------------------------------------------------------- comparing a node
 def forests(a: np.ndarray, b: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     """Edges of FORESTS successive edge-disjoint maximum spanning forests

@@ -144,6 +144,20 @@ def test_near_dedup_compares_all_parts_of_a_large_node(spark, monkeypatch):
     assert all(pairs == every for pairs in _blocks_of(near_dedup._nodes(reps, 0.8, 0.9999)).values())
 
 
+def test_near_dedup_recall_holds_in_deep_nodes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NODE_ROWS", 8)
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 32, near_dedup.HASHES)
+    # two rows agree in 0.8 of the places on average
+    sigs = np.where(rng.random((200, near_dedup.HASHES)) < 0.1056, rng.integers(0, 1 << 32, (200, near_dedup.HASHES)), base).astype(np.uint32)
+    reps = spark.createDataFrame([(k, s.tobytes()) for k, s in enumerate(sigs)], "rep long, sig binary")
+    met = set()
+    for pairs in _blocks_of(near_dedup._nodes(reps, 0.8, 0.9999)).values():
+        met |= pairs
+    want = {frozenset((a, b)) for a in range(200) for b in range(a) if (sigs[a] == sigs[b]).mean() >= 0.8}
+    assert len(want) > 5000 and len(want - met) <= 0.0005 * len(want), len(want - met) / len(want)
+
+
 def test_tree_count_reaches_recall():
     assert near_dedup.tree_count(0.8, 0.9999, 4) > near_dedup.tree_count(0.8, 0.9, 4)
     assert abs(near_dedup.survival(1.0, 5, 1.25) - 1) < 1e-12
