@@ -204,6 +204,22 @@ def test_quality_classifier(spark):
     assert kept.columns == docs.columns and kept.count() == sum(s >= 0.5 for s in got.values())
 
 
+def test_quality_learns_from_all_unlabelled_documents(spark, monkeypatch):
+    monkeypatch.setattr(quality, "CONFIDENT", 0.9)
+    # labels show one mark of bad text; a source's documents bear another, one in 900 of the table
+    rng = random.Random(4)
+    rows = []
+    for i in range(9000):
+        bad, rare = i % 9 == 0, i >= 8990
+        mark = "~~" if rare else "%%" if bad else ""
+        rows.append((i, " ".join("".join(rng.choice("etaoin") for _ in range(4)) + mark for _ in range(8)), "en", "junk" if bad or rare else "fine", 40))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 9 > 0)) for i in range(400)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, "doc_id", "text", "quality", list(quality.META), 1)
+    # what the sources' names tell reaches the text view for every such document
+    assert model.taught[-1][0] >= sum(r[3] == "junk" for r in rows[400:])
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None, None, None, None), (None, "a", "x", "y", 3), (1, "", None, None, -4)], "doc_id long, text string, lang string, source string, n_chars long")
     none = spark.createDataFrame([], "doc_id long, quality int")
