@@ -100,12 +100,21 @@ def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
 
 
 def json_layouts(df: DataFrame, json_col: str = "record") -> DataFrame:
-    """``df`` with ``layout``: the layout each JSON record's field paths select."""
+    """``df`` with ``layout``: the layout each JSON record's field paths select,
+    those of all keys or, if no layout has them, of the keys with a value.  A
+    list has the keys of any of its elements."""
     v = F.try_parse_json(F.col(f"`{json_col}`"))
-    has = [F.when(F.try_variant_get(v, "$." + p.replace("[]", "[0]"), "string").isNotNull(), F.lit(p)) for p in KNOWN_PATHS]
-    print_ = F.sha2(F.concat_ws("\n", *has), 256)
     names = F.create_map(*[F.lit(x) for kv in BY_FINGERPRINT.items() for x in kv])
-    return df.withColumn("layout", F.try_element_at(names, print_))
+
+    def has(path, kind):
+        field, _, inner = path.partition("[].")
+        if not inner:
+            return F.try_variant_get(v, f"$.{field}", kind).isNotNull()
+        return F.exists(F.try_variant_get(v, f"$.{field}", "array<variant>"), lambda e: F.try_variant_get(e, f"$.{inner}", kind).isNotNull())
+
+    # a null is a variant, but no string
+    prints = [F.sha2(F.concat_ws("\n", *[F.when(has(p, kind), F.lit(p)) for p in KNOWN_PATHS]), 256) for kind in ("variant", "string")]
+    return df.withColumn("layout", F.coalesce(*[F.try_element_at(names, p) for p in prints]))
 
 
 def json_turns(df: DataFrame, id_col: str = "conv_id", json_col: str = "record") -> DataFrame:

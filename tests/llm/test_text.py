@@ -278,6 +278,17 @@ def test_chat_json_records(spark):
     assert turns == sorted((i, t, r, x) for i, q in ((0, "q"), (1, "q"), (2, "q"), (3, "q\n\nmore")) for t, r, x in ((0, "user", q), (1, "assistant", "a")))
 
 
+def test_chat_json_records_with_nulls(spark):
+    records = [{"prompt": None, "response": "a"}, {"messages": [{"role": "user", "content": None}, {"role": "assistant", "content": "a"}]},
+               {"messages": [{"content": "q"}, {"role": "assistant", "content": "a"}]}, {"prompt": "q", "response": "a", "completion": None}, {"messages": None}, {"messages": ["x"]}]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "conv_id long, record string")
+    names = {r.conv_id: r.layout for r in chat.json_layouts(df).collect()}
+    assert names == {0: "prompt_response", 1: "messages", 2: "messages", 3: "prompt_response", 4: None, 5: None}
+    turns = sorted((r.conv_id, r.turn, r.role or "", r.text or "") for r in chat.json_turns(df).collect())
+    assert turns == [(0, 0, "user", ""), (0, 1, "assistant", "a"), (1, 0, "user", ""), (1, 1, "assistant", "a"),
+                     (2, 0, "", "q"), (2, 1, "assistant", "a"), (3, 0, "user", "q"), (3, 1, "assistant", "a")]
+
+
 # ---------------------------------------------------------------------- kNN
 def _nearest(rows, k, every):
     ints = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
