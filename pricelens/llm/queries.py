@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import chat, exact_dedup, hmm, knn, mixing, near_dedup, quality, sentencepiece_text, suffix_dedup, token_files
+from pricelens.llm import chat, exact_dedup, hard_negatives, hmm, knn, mixing, near_dedup, quality, repair, sentencepiece_text, suffix_dedup, token_files
 from pricelens.llm.common import bound_batches
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -86,6 +86,34 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table.select("vec_id", "embedding", moved.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """``conversations`` as the repair query damages them, by a checksum of conversation and turn."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    how = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    rows = turns.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), how.alias("how")).where("how <> 0")
+    rows = rows.select("conv_id", "turn", F.when(F.col("how") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       F.when(F.col("how") == 1, "").when(F.col("how") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+                       F.explode(F.sequence(F.lit(1), F.when(F.col("how") == 3, 2).otherwise(1))).alias("copy"))
+    return rows.drop("copy")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, turns = repair.repair(damaged(table))
+    report = report.select(repair.key_of("conv_id").alias("key"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
+    all_ids = table.select("conv_id").distinct().select(repair.key_of("conv_id").alias("key"), "conv_id")
+    none = lambda c, v: F.coalesce(F.col(c), F.lit(v)).alias(c)
+    return all_ids.join(report, "key", "left").join(repair.digests(turns), "key", "left").select(
+        "conv_id", *[none(c, 0) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")], none("audit", ""),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
@@ -97,6 +125,8 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_hmm": op9_hmm,
     "op10_chat": op10_chat,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_repair": op12_repair,
 }
 
 _OP2 = """
@@ -177,4 +207,79 @@ SELECT conv_id, count(*) AS n_turns,
 FROM x GROUP BY conv_id
 """
 
-ORACLES = {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op7_knn": _OP7, "op8_near_dedup": _OP8, "op10_chat": _OP10}
+_OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same,
+         list_sum(list_transform(range(1, least(len(a.e), len(d.e)) + 1), lambda i: a.e[i] * d.e[i]))::BIGINT AS score
+  FROM v a JOIN v d ON a.vec_id % 100 = 0 AND d.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+# The checksum is CRC-32 bit by bit; "ways" are inserts and then one action on
+# the turn.  Of each turn and state the least (cost, audit) goes on.
+_OP12 = r"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(
+           range(1, length(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) + 1),
+           lambda i: ascii(substr(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), i, 1))::BIGINT)),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384)))) % 20 AS how
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE how WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, c.copy
+  FROM raw JOIN (VALUES (1), (2)) c(copy) ON how <> 0 AND (copy = 1 OR how = 3)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i, left(role, 1) AS ini FROM damaged),
+turns AS MATERIALIZED (
+  SELECT conv_id, i, turn, role, text, ini,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN regexp_matches(text, '[^\x20\x09-\x0D.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'sound' END AS fault,
+         i > 1 AND lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au') AS illegal
+  FROM ordered),
+gap(st, mid, audit, out) AS (
+  VALUES ('', '', '', ''), ('s', 's', '', ''), ('u', 'u', '', ''), ('a', 'a', '', ''), ('', 'u', 'I', 'user:' || chr(10)), ('', 'a', 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+         ('s', 'u', 'I', 'user:' || chr(10)), ('s', 'a', 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), ('u', 'a', 'I', 'assistant:' || chr(10)), ('a', 'u', 'I', 'user:' || chr(10))),
+next(mid, word) AS (VALUES ('', 'user'), ('s', 'user'), ('u', 'assistant'), ('a', 'user')),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS st, {'cost': 0::BIGINT, 'audit': '', 'out': ''} AS best FROM turns
+  UNION ALL
+  SELECT conv_id, i, st, best FROM (
+    SELECT w.conv_id, w.i + 1 AS i, a.st,
+           min({'cost': w.best.cost + 3 * length(g.audit) + a.cost, 'audit': w.best.audit || g.audit || a.letter, 'out': w.best.out || g.out || a.out}) AS best
+    FROM walk w JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1
+    JOIN gap g ON g.st = w.st JOIN next n ON n.mid = g.mid,
+    LATERAL (SELECT unnest([
+      {'st': g.mid, 'cost': 4, 'letter': 'D', 'out': ''},
+      {'st': left(n.word, 1), 'cost': CASE fault WHEN 'sound' THEN 3 WHEN 'truncated' THEN 6 END, 'letter': 'R', 'out': n.word || ':' || t.text || chr(10)},
+      {'st': t.ini, 'cost': CASE WHEN t.ini = left(n.word, 1) OR (t.ini = 's' AND g.mid = '') THEN CASE fault WHEN 'sound' THEN 0 WHEN 'truncated' THEN 3 END END,
+       'letter': 'K', 'out': t.role || ':' || t.text || chr(10)}], recursive := true)) a
+    WHERE a.cost IS NOT NULL
+    GROUP BY w.conv_id, w.i + 1, a.st)),
+stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal, max(i) AS n
+  FROM turns GROUP BY conv_id),
+closed AS (
+  SELECT s.conv_id, min({'cost': w.best.cost + 3 * length(g.audit), 'audit': w.best.audit || g.audit, 'out': w.best.out || g.out}) AS best
+  FROM stats s JOIN walk w ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.i = s.n
+  JOIN gap g ON g.st = w.st AND (g.mid = 'a' OR (g.mid = '' AND g.st = '')) GROUP BY s.conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(c.best.cost, 0)::BIGINT AS cost, coalesce(c.best.audit, '') AS audit,
+       sha256(coalesce(left(c.best.out, greatest(length(c.best.out) - 1, 0)), '')) AS repaired_sha256
+FROM ids LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN closed c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+ORACLES = {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op7_knn": _OP7, "op8_near_dedup": _OP8, "op10_chat": _OP10, "op11_hard_negatives": _OP11, "op12_repair": _OP12}
