@@ -164,7 +164,7 @@ def _anchors(blocks: DataFrame, dim: int) -> tuple[DataFrame, int]:
     if not first:
         return found.withColumn("grp", F.lit(0)), 0
     offset = found.sparkSession.createDataFrame(sorted(first.items()), "part int, offset int")
-    return found.join(F.broadcast(offset), "part").select((F.col("offset") + F.col("seq")).alias("grp"), "row", "id", "label", "v", "reach"), total
+    return found.join(offset, "part").select((F.col("offset") + F.col("seq")).alias("grp"), "row", "id", "label", "v", "reach"), total
 
 
 def _needed(blocks: DataFrame, groups: DataFrame, n_groups: int, dim: int, test, name: str) -> DataFrame:

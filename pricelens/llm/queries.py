@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm import chat, exact_dedup, hard_negatives, hmm, knn, mixing, near_dedup, quality, repair, sentencepiece_text, suffix_dedup, token_files
+from pricelens.llm import chat, exact_dedup, hard_negatives, hmm, knn, mixing, near_dedup, quality, repair, sentencepiece_text, simhash, suffix_dedup, token_files
 from pricelens.llm.common import bound_batches
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -114,6 +114,16 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = simhash.edited_fingerprints(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # how many other documents lie within the radius, of every twentieth
+    probes = docs.where(F.col("doc_id") % 20 == 0)
+    near = simhash.within_radius(probes, docs)
+    return docs.join(near.withColumnRenamed("fp", "probe"), (F.col("fp") == F.col("probe")) & (F.col("doc_id") % 20 == 0), "left").select(
+        "doc_id", "n_chars", "edited_sha256", simhash.as_hex("fp").alias("fingerprint"), simhash.as_hex("edited_fp").alias("edited_fingerprint"),
+        simhash.likeness("fp", "edited_fp").alias("near_edited"), simhash.likeness("fp", "next_fp").alias("near_next"), (F.col("n_near") - 1).alias("n_near"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
@@ -127,6 +137,7 @@ QUERIES = {
     "op10_chat": op10_chat,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_repair": op12_repair,
+    "op13_simhash": op13_simhash,
 }
 
 _OP2 = """
