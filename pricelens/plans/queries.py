@@ -117,6 +117,24 @@ def page_query_params(spark, sf) -> DataFrame:
                     X.query_param("url", "ref").alias("ref"))
 
 
+# Levels around a page in the deep-page query: every hundredth page lies this deep.
+DEEP, SHALLOW = 2500, 40
+
+
+def deep_page_select(spark, sf) -> DataFrame:
+    """Every page inside nested boxes, some thousands deep: boxes inside boxes,
+    the heading and the links through a chain of descendant and child steps."""
+    pages = _tbl(spark, sf, "pages")
+    levels = F.when(F.col("page_id") % 100 == 0, DEEP).otherwise(SHALLOW + F.col("page_id") % 10).cast("int")
+    boxed = pages.select("page_id", F.concat(F.repeat(F.lit('<div class="box lvl">'), levels), "html").alias("html"))
+    n = F.col("nodes")
+    return shred(boxed).select(
+        "page_id", F.size(S.select(n, "div.lvl div.box.lvl")).cast("bigint").alias("n_inner"),
+        S.first(S.texts_of(S.select(n, "div.box div.lvl > div.box h1"))).alias("h1"),
+        F.size(S.select(n, "div.lvl div.box li > a")).cast("bigint").alias("n_links"),
+        F.size(S.select(n, "li div.box")).cast("bigint").alias("n_inside_out"))
+
+
 def page_number_expand(spark, sf) -> DataFrame:
     p = _tbl(spark, sf, "pages")
     n = F.greatest(F.coalesce(X.query_param("url", "page").try_cast("bigint"), F.lit(1)), F.lit(1))

@@ -42,14 +42,16 @@ REJECT_SCHEMA = T.StructType([
 
 REJECT_COLS = [f.name for f in REJECT_SCHEMA.fields]
 
-# One parsed HTML element.  css_path is a canonical selector path such as
-# "/html/body/div#content.c1.c2/h1" (classes sorted, "/ . # %" escaped).
+# One parsed HTML element.  Its descendants are the nodes numbered ord + 1 to
+# last; parent is -1 for a top element; classes are sorted and distinct.
 NODE_TYPE = T.StructType([
     T.StructField("ord", T.IntegerType()),
     T.StructField("parent", T.IntegerType()),
+    T.StructField("last", T.IntegerType()),
     T.StructField("tag", T.StringType()),
+    T.StructField("id", T.StringType()),
+    T.StructField("classes", T.ArrayType(T.StringType())),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("css_path", T.StringType()),
     T.StructField("sib_tag_pos", T.IntegerType()),
     T.StructField("texts", T.ArrayType(T.StringType())),
 ])

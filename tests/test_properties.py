@@ -153,6 +153,20 @@ def test_selector_regex_equals_structural_match(html, sel):
     assert [n["ord"] for n in nodes if rx.search(n["css_path"])] == _structural(nodes, sel)
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(trees(), min_size=1, max_size=4), st.lists(selectors, min_size=4, max_size=8))
+def test_select_equals_structural_match(spark, htmls, sels):
+    from pyspark.sql import functions as F
+    from pricelens.functions import select as S
+    from pricelens.operators.shred import shred
+    pages = ["<html><body>" + h + "</body></html>" for h in htmls]
+    df = shred(spark.createDataFrame(list(enumerate(pages)), "page_id int, html string"))
+    cols = [F.transform(S.select(F.col("nodes"), _css(sel)), lambda n: n["ord"]).alias(f"s{i}") for i, sel in enumerate(sels)]
+    for r in df.select("page_id", *cols).collect():
+        nodes = parse_nodes(pages[r.page_id])
+        assert [r[f"s{i}"] for i in range(len(sels))] == [_structural(nodes, sel) for sel in sels]
+
+
 # ---- similar names: prefix + size filtering is exact ---------------------
 from pricelens.operators.compare import similar_names  # noqa: E402
 

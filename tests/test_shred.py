@@ -93,10 +93,37 @@ def parse_nodes_raw(html):
     return _build(html)
 
 
-def test_too_deep_page_has_no_nodes():
-    from pricelens.operators.shred import MAX_DEPTH
-    assert len(parse_nodes("<div>" * MAX_DEPTH + "deep")) == MAX_DEPTH
-    assert parse_nodes("<div>" * (MAX_DEPTH + 1) + "deep") is None
+def test_deep_page_is_read(spark):
+    deep = "<div class='l'>" * 5000 + "<ul><li><a href='x'>deep</a></li></ul>" + "</div>" * 4990 + "<a href='y'>up</a>"
+    df = spark.createDataFrame([(1, "u", deep)], "page_id long, url string, html string")
+    n = F.col("nodes")
+    got = shred(df).select(F.size(S.select(n, "div")).alias("divs"), S.attrs_of(S.select(n, "div.l div.l li > a"), "href").alias("links"),
+                           S.attrs_of(S.select(n, "div.l > a"), "href").alias("up"), F.size(S.select(n, "div div")).alias("inner")).first()
+    assert tuple(got) == (5000, ["x"], ["y"], 4999)
+
+
+def test_nodes_hold_intervals_and_no_paths(spark):
+    ns = parse_nodes("<div><p>a<b>c</b><p>d<br><img></div><ul><li>1<li>2")
+    inside = {n["ord"]: {m["ord"] for m in ns if n["ord"] < m["ord"] <= n["last"]} for n in ns}
+    for n in ns:  # exactly the nodes whose chain of parents leads here
+        want = set()
+        for m in ns:
+            p = m["parent"]
+            while p >= 0:
+                if p == n["ord"]:
+                    want.add(m["ord"])
+                p = ns[p]["parent"]
+        assert inside[n["ord"]] == want
+    df = shred(spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string"))
+    assert "css_path" not in df.schema["nodes"].dataType.elementType.names
+    plan = df.select(S.select(F.col("nodes"), "div.a p > b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan.upper()
+
+
+def test_many_containers(spark):
+    h = "<div class='c'><p><a href='1'></a></p></div><i><a href='2'></a></i>" * 300
+    df = shred(spark.createDataFrame([(1, "u", h)], "page_id long, url string, html string"))
+    assert df.select(S.attrs_of(S.select(F.col("nodes"), ".c a"), "href").alias("x")).first().x == ["1"] * 300
 
 
 def test_unknown_marked_section_keeps_the_rest():
@@ -105,14 +132,23 @@ def test_unknown_marked_section_keeps_the_rest():
 
 
 def test_unparsed_page_is_rejected(spark):
-    from pricelens.operators.shred import MAX_DEPTH, shred
     from pricelens.plans.sites import LayoutA, LayoutB
-    pages = spark.createDataFrame([(1, "http://h/?product_id=1&itemno=1", "<b>" * (MAX_DEPTH + 1), None)],
+    pages = spark.createDataFrame([(1, "http://h/?product_id=1&itemno=1", None, None)],
                                   "page_id long, url string, html string, fetched_at timestamp")
     for adapter in (LayoutA(), LayoutB()):
         assert adapter.extract(shred(pages)).first().extract_error == "html"
 
 
+def test_page_the_parser_gives_up_on_has_no_nodes(monkeypatch):
+    from pricelens.operators import shred as M
+
+    def fail(self, data):
+        raise AssertionError("beyond repair")
+
+    monkeypatch.setattr(M._TreeBuilder, "feed", fail)
+    assert parse_nodes("<p>a</p>") is None
+
+
 def test_links_and_headings_do_not_nest():
     ns = parse_nodes('<ul><li><a href="1">img<a href="2">name</li></ul><h2>one<h3>two</h3>')
     links = _by(ns, "ul > li > a")
