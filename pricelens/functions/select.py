@@ -16,7 +16,6 @@ are plain Column lambdas (``has_attr``, ``attr_contains``, ``nth_of_type``).
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,77 +60,65 @@ def _chain(css: str) -> list[list[tuple]]:
     return runs
 
 
-def _matches(n: Column, part: tuple) -> Column:
-    """Whether a node is what one compound asks for; the cheapest test first."""
+# The expressions are put together as SQL text: a selector is some hundred
+# nested calls, and one parse is far cheaper than building them one by one.
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _matches(n: str, part: tuple) -> str:
+    """Whether node ``n`` is what one compound asks for; the cheapest test first."""
     tag, ident, classes = part
-    tests = [] if tag is None else [n["tag"] == F.lit(tag)]
+    tests = [] if tag is None else [f"{n}.tag = {_quoted(tag)}"]
     if ident is not None:
-        tests.append(n["id"].eqNullSafe(F.lit(ident)))
-    tests += [F.array_contains(n["classes"], F.lit(c)) for c in classes]
-    return reduce(lambda a, b: a & b, tests) if tests else n["tag"].isNotNull()
+        tests.append(f"{n}.id <=> {_quoted(ident)}")
+    return " AND ".join(tests + [f"array_contains({n}.classes, {_quoted(c)})" for c in classes]) or f"{n}.tag IS NOT NULL"
 
 
-def _run_test(nodes: Column, n: Column, run: list[tuple], inside) -> Column:
-    """Whether ``n`` ends a run of child steps whose top passes ``inside``."""
-    cond = _matches(n, run[-1])
+def _run_test(nodes: str, run: list[tuple], inside: str | None) -> str:
+    """Whether node ``n`` ends a run of child steps whose top lies in the intervals ``inside``."""
+    n, tests = "n", [_matches("n", run[-1])]
     for part in reversed(run[:-1]):
-        n = F.get(nodes, n["parent"])
-        cond = cond & _matches(n, part)
-    return F.coalesce(cond & inside(n), F.lit(False))
+        n = f"get({nodes}, {n}.parent)"
+        tests.append(_matches(n, part))
+    if inside:
+        tests.append(_lies_inside(f"{n}.ord", inside))
+    return f"coalesce({' AND '.join(tests)}, false)"
 
 
-def _outermost(selected: Column) -> Column:
+def _outermost(selected: str) -> str:
     """The intervals of the selected nodes that lie in no other one, in order.
     Mostly none lies in another, and nothing needs gathering one by one."""
-    none = F.array().cast("array<struct<lo:int,hi:int>>")
-    spans = F.transform(selected, lambda n: F.struct(n["ord"].alias("lo"), n["last"].alias("hi")))
-
-    def reduced(s: Column) -> Column:
-        rest = F.greatest(F.size(s) - 1, F.lit(0))
-        nested = F.exists(F.zip_with(F.slice(s, F.lit(1), rest), F.slice(s, F.lit(2), rest), lambda a, b: b["lo"] <= a["hi"]), lambda x: x)
-        kept = F.aggregate(s, none, lambda out, i: F.when(
-            (F.size(out) > 0) & F.coalesce(i["lo"] <= F.get(out, F.size(out) - 1)["hi"], F.lit(False)), out).otherwise(F.concat(out, F.array(i))))
-        return F.when(nested, kept).otherwise(s)
-
-    return F.get(F.transform(F.array(spans), reduced), 0)
-
+    spans = f"transform({selected}, n -> named_struct('lo', n.ord, 'hi', n.last))"
+    rest = "greatest(size(s) - 1, 0)"
+    nested = f"exists(zip_with(slice(s, 1, {rest}), slice(s, 2, {rest}), (a, b) -> b.lo <= a.hi), x -> x)"
+    kept = "aggregate(s, cast(array() AS array<struct<lo:int,hi:int>>), (out, i) -> " \
+           "if(size(out) > 0 AND coalesce(i.lo <= get(out, size(out) - 1).hi, false), out, concat(out, array(i))))"
+    return f"get(transform(array({spans}), s -> if({nested}, {kept}, s)), 0)"
 
-def _lies_inside(n: Column, intervals: Column) -> Column:
-    """Binary search: the last interval that starts before the node ends behind it."""
-    size = F.size(intervals)
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
-    start = F.struct(F.lit(0).alias("lo"), size.alias("hi"))
 
-    def halve(s: Column, _) -> Column:
-        mid = F.shiftright(s["lo"] + s["hi"], 1)
-        before = F.get(intervals, mid)["lo"] < n["ord"]
-        return F.when(s["lo"] >= s["hi"], s).when(before, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))) \
-            .otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi")))
-
-    few = F.exists(intervals, lambda i: (i["lo"] < n["ord"]) & (n["ord"] <= i["hi"]))
-    many = F.get(intervals, F.aggregate(steps, start, halve)["lo"] - 1)["hi"] >= n["ord"]
-    return F.when(size <= 8, few).otherwise(F.coalesce(many, F.lit(False)))
+def _lies_inside(place: str, intervals: str) -> str:
+    """Binary search: the last interval that starts before the place ends behind it."""
+    few = f"exists({intervals}, i -> i.lo < {place} AND {place} <= i.hi)"
+    mid = "shiftright(s.lo + s.hi, 1)"
+    found = f"aggregate(sequence(0, cast(ceil(log2(size({intervals}) + 1)) AS int)), named_struct('lo', 0, 'hi', size({intervals})), (s, _) -> " \
+            f"CASE WHEN s.lo >= s.hi THEN s WHEN get({intervals}, {mid}).lo < {place} THEN named_struct('lo', {mid} + 1, 'hi', s.hi) " \
+            f"ELSE named_struct('lo', s.lo, 'hi', {mid}) END).lo"
+    return f"if(size({intervals}) <= 8, {few}, coalesce(get({intervals}, {found} - 1).hi >= {place}, false))"
 
 
 def select(nodes, css: str, where=None) -> Column:
-    """Nodes matching ``css`` (document order); ``where`` adds a lambda."""
-    col = F.col(nodes) if isinstance(nodes, str) else nodes
+    """Nodes matching ``css`` (document order); ``where`` adds a lambda.
+    ``nodes`` names the column, or is it."""
+    name = nodes if isinstance(nodes, str) else nodes._jc.toString()
+    if not re.fullmatch(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)*", name):
+        raise ValueError(f"select needs a column, not an expression: {name}")
     runs = _chain(css)
-
-    def chosen(k: int, inside) -> Column:
-        def test(n):
-            cond = _run_test(col, n, runs[k], inside)
-            return cond if where is None or k < len(runs) - 1 else cond & where(n)
-        return F.filter(col, test)
-
-    def next_run(k: int):
-        return lambda intervals: chosen(k, lambda n: _lies_inside(n, intervals))
-
-    out = chosen(0, lambda n: n["ord"].isNotNull())
-    for k in range(1, len(runs)):
+    out = f"filter({name}, n -> {_run_test(name, runs[0], None)})"
+    for k, run in enumerate(runs[1:]):
         # one element to transform: the intervals are computed once, not for every node
-        out = F.get(F.transform(F.array(_outermost(out)), next_run(k)), 0)
-    return out
+        out = f"get(transform(array({_outermost(out)}), o{k} -> filter({name}, n -> {_run_test(name, run, f'o{k}')})), 0)"
+    return F.expr(out) if where is None else F.filter(F.expr(out), where)
 
 
 # ---- the same selectors over css_path: a debugging aid and an independent check --
