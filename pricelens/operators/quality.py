@@ -1,6 +1,9 @@
 """Record quality: required fields, first-seen dedup, rejects, audit, profile.
 
-Dedup is skew-safe: the survivor of each key is found with a
+Dedup is skew-safe.  Over stored records (``split_first_seen``) a first pass
+finds the winners by a packed order key, hash-aggregated over a few fixed-width
+columns, and a second keeps them by row number; whole records do not move.
+Over records that are not to be read twice, the survivor of each key is found with a
 ``min(struct(order..., row id))`` aggregate, which Spark combines map-side
 (partial aggregation), so a key holding a third of all rows still ships one
 row per map task.  ``split_quality`` returns that aggregate as the clean
@@ -55,6 +58,60 @@ def first_seen(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
             .select(*df.columns))
 
 
+# ---- first seen in two phases, over stored rows ---------------------------------
+ROW_ID = "_row"
+# Order fields a packed key takes, and the bits of each; one more tells null from
+# all values.  A decimal of 38 digits holds 126 bits.
+_PACKED = {"timestamp": 60, "timestamp_ntz": 60, "bigint": 64, "int": 32, "smallint": 16, "tinyint": 8, "date": 32}
+_PACKED_BITS = 126
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """``df`` with a number for every row, to be stored with it."""
+    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
+
+
+def packed_order(df: DataFrame, order: list[str]) -> Column | None:
+    """The order fields as one decimal that sorts like them (nulls first), or
+    null if they are not numbers or times, or together too wide."""
+    kinds = dict(df.dtypes)
+    if any(kinds[c] not in _PACKED for c in order) or sum(_PACKED[kinds[c]] + 1 for c in order) > _PACKED_BITS:
+        return None
+    whole = lambda n: F.lit(str(n)).cast("decimal(38,0)")  # noqa: E731  a literal may be beyond 64 bits
+    out = whole(0)
+    for c in order:
+        kind, bits = kinds[c], _PACKED[kinds[c]]
+        number = F.unix_micros(F.col(c).cast("timestamp")) if kind.startswith("timestamp") else F.unix_date(c) if kind == "date" else F.col(c)
+        place = number.cast("decimal(38,0)") + whole((1 << (bits - 1)) + 1)
+        out = (out * whole(1 << (bits + 1)) + F.coalesce(place, whole(0))).cast("decimal(38,0)")
+    return out
+
+
+def winner_words(stored: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Phase 1, over keys, order fields and row numbers alone: which rows are the
+    first of their key, 64 row numbers to a row (``word``, ``bits``).
+
+    Both aggregates run on fixed-width buffers by hash: the packed order key with
+    the row's number, then the numbers as bits."""
+    packed = packed_order(stored, order)
+    if packed is None or ROW_ID not in stored.columns:
+        raise ValueError(f"no packed order key for {order}")
+    first = stored.select(*keys, packed.alias("_o"), ROW_ID).groupBy(*keys).agg(F.min_by(ROW_ID, "_o").alias(ROW_ID))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col(ROW_ID) % 64).cast("int"))
+    return first.groupBy(F.shiftright(ROW_ID, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+
+
+def split_first_seen(stored: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Phase 2: (the first row of every key, all others).  ``stored`` rows are
+    looked up by number in the words of phase 1: while those are small enough to
+    broadcast (an eighth of a byte or more a row), no row moves."""
+    words = winner_words(stored, keys, order)
+    marked = stored.join(words, F.shiftright(stored[ROW_ID], 6) == words["_word"], "left") \
+        .withColumn("_first", F.coalesce(F.getbit("_bits", (F.col(ROW_ID) % 64).cast("int")) == 1, F.lit(False)))
+    rest = [c for c in stored.columns if c != ROW_ID]
+    return marked.where("_first").select(*rest), marked.where("not _first").select(*rest)
+
+
 def tag_quality(records: DataFrame, order: list[str] | None = None,
                 run_cols: list[str] | None = None) -> DataFrame:
     """Add ``reject_reason`` (null = clean).
@@ -82,7 +139,8 @@ def split_quality(records: DataFrame, order: list[str] | None = None,
                   run_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(clean catalogue, rejects) without shuffling whole records.
 
-    The clean catalogue is the first-seen aggregate itself (the record rides
+    Stored records that carry a row number (``with_row_id``) are split in two
+    phases, see ``split_first_seen``.  Others are not read twice: the clean catalogue is the first-seen aggregate itself (the record rides
     in the min struct; map-side combining ships one row per id per map
     task).  Rejects need only id, name and URL: the duplicate check joins
     that narrow projection with the survivors' order keys.  Same results as
@@ -96,19 +154,25 @@ def split_quality(records: DataFrame, order: list[str] | None = None,
               .when(missing_required(), F.lit(MISSING)))
     pre = records.withColumn("reject_reason", reason)
     ok = pre.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    good = first_seen(ok.drop(*[c for c in ("extract_error",) if has_err]), keys, order)
     narrow = ["product_name", "request_url", "_source"]
+    if ROW_ID in records.columns and packed_order(records, order) is not None:
+        good, repeated = split_first_seen(ok.drop(*[c for c in ("extract_error",) if has_err]), keys, order)
+        failed = pre.filter(F.col("reject_reason").isNotNull())
+        return good, _reject_rows(failed).unionByName(_reject_rows(repeated.withColumn("reject_reason", F.lit(DUPLICATE))))
+    good = first_seen(ok.drop(*[c for c in ("extract_error", ROW_ID) if c in ok.columns]), keys, order)
     ordkey = F.struct(*[F.col(c) for c in order])
     winners = ok.groupBy(*keys).agg(F.min(ordkey).alias("_win"))
     dups = (ok.select(*keys, *order, *narrow).join(winners, keys)
             .filter(ordkey != F.col("_win"))
             .withColumn("reject_reason", F.lit(DUPLICATE)))
     failed = pre.filter(F.col("reject_reason").isNotNull())
-    cols = [F.col("reject_reason").alias("reason"), F.col("product_id").alias("item_id"),
-            F.col("product_name").alias("item_name"), F.col("request_url").alias("item_url"),
-            F.col("_source")]
-    bad = failed.select(*cols).unionByName(dups.select(*cols))
-    return good, bad.select(*REJECT_COLS)
+    return good, _reject_rows(failed).unionByName(_reject_rows(dups))
+
+
+def _reject_rows(tagged: DataFrame) -> DataFrame:
+    return tagged.select(F.col("reject_reason").alias("reason"), F.col("product_id").alias("item_id"),
+                         F.col("product_name").alias("item_name"), F.col("request_url").alias("item_url"),
+                         F.col("_source")).select(*REJECT_COLS)
 
 
 def clean(tagged: DataFrame) -> DataFrame:
@@ -116,12 +180,7 @@ def clean(tagged: DataFrame) -> DataFrame:
 
 
 def rejects(tagged: DataFrame) -> DataFrame:
-    return tagged.filter(F.col("reject_reason").isNotNull()).select(
-        F.col("reject_reason").alias("reason"),
-        F.col("product_id").alias("item_id"),
-        F.col("product_name").alias("item_name"),
-        F.col("request_url").alias("item_url"),
-        F.col("_source")).select(*REJECT_COLS)
+    return _reject_rows(tagged.filter(F.col("reject_reason").isNotNull()))
 
 
 def run_audit(df: DataFrame, ts_col: str, group: str = "_source") -> DataFrame:

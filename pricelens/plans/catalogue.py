@@ -82,11 +82,12 @@ def build_catalogue_split(pages: DataFrame, adapter, site: str | None = None,
                           steps: Iterable[Step] = (), run_ts=None,
                           staged: bool = True, observation=None,
                           staging=None, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(clean catalogue, rejects): the scale path.  The clean side is one
-    partial aggregate, rejects a narrow join.  Records are staged once when
-    both sides (or several sinks) consume them; a caller that only needs the
-    clean catalogue passes ``staged=False`` and reads the pages once (the
-    metrics node in ``extract_records`` keeps that single read from
+    """(clean catalogue, rejects): the scale path.  Records are stored once with
+    a row number; the first of each id are found over narrow columns by hash and
+    kept by number, so whole records are not shuffled.  A caller that only needs
+    the clean catalogue's few columns may pass ``staged=False``: the pages are
+    read once and nothing is stored, but records ride in a sort-based aggregate
+    (the metrics node in ``extract_records`` keeps that single read from
     evaluating the selectors twice).  ``columns`` names the record fields the
     caller needs: the others are dropped before the dedup moves whole records."""
     recs = run_chain(extract_records(pages, adapter, site, run_ts, observation), steps)
@@ -94,6 +95,7 @@ def build_catalogue_split(pages: DataFrame, adapter, site: str | None = None,
         keep = {*columns, "product_id", "product_name", "request_url", "_source", "fetched_at", "page_id", "extract_error"}
         recs = recs.select(*[c for c in recs.columns if c in keep])
     if staged:
+        recs = Q.with_row_id(recs)
         recs = staging.stage(recs, "records") if staging is not None else stage(recs, "records")
     return Q.split_quality(recs, order=["fetched_at", "page_id"])
 

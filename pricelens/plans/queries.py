@@ -513,8 +513,8 @@ def _site_split(spark, sf, which: str, staged: bool = True, columns: list[str] |
 
 def site_a_catalogue(spark, sf) -> DataFrame:
     """Rendered layout-A pages -> shred -> extract -> quality -> clean.
-    Only the clean side is consumed: the pages are read once, unstaged."""
-    return _catalogue_rows(_site_split(spark, sf, "A", staged=False)[0])
+    Whole records are wanted: they are stored, and the first of each id kept by row number."""
+    return _catalogue_rows(_site_split(spark, sf, "A")[0])
 
 
 def site_a_rejects(spark, sf) -> DataFrame:
@@ -522,7 +522,7 @@ def site_a_rejects(spark, sf) -> DataFrame:
 
 
 def site_b_catalogue(spark, sf) -> DataFrame:
-    return _catalogue_rows(_site_split(spark, sf, "B", staged=False)[0])
+    return _catalogue_rows(_site_split(spark, sf, "B")[0])
 
 
 def site_b_rejects(spark, sf) -> DataFrame:
