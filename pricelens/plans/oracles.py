@@ -487,6 +487,16 @@ SELECT coalesce(a.product_id, b.product_id) AS product_id, a.p AS price_a, b.p A
 FROM a FULL OUTER JOIN b ON a.product_id = b.product_id"""
 
 
+# the same runs, read from the bucketed table
+ORACLES["bucketed_run_diff"] = ORACLES["published_run_diff"]
+ORACLES["bucketed_price_history"] = ORACLES["published_price_history"]
+
+ORACLES["table_as_of_version"] = """
+SELECT 'PART/' || CAST(p_partkey AS VARCHAR) AS product_id, p_retailprice AS price_then,
+       CASE WHEN p_type IN ('PROMO', 'ECONOMY') THEN p_retailprice ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) - p_size AS DOUBLE) END AS price_now,
+       CASE WHEN p_size <= 25 THEN 0 ELSE 1 END::BIGINT AS first_version, 3::BIGINT AS n_versions FROM part"""
+
+
 ORACLES["site_a_ladder_histogram"] = f"""
 WITH {_SITE_A}
 SELECT CAST(CASE WHEN p_size > 10 THEN 3 ELSE 2 END AS BIGINT) AS ladder_len, count(*) AS n

@@ -19,10 +19,12 @@ from pricelens.functions import text as X
 from pricelens.operators import compare as C
 from pricelens.operators import quality as Q
 from pricelens.operators.links import count_to, frontier
-from pricelens.operators.partitioning import spread
+from pricelens.operators.partitioning import slots, spread
 from pricelens.operators.shred import shred
 from pricelens.session import ensure_conf, scratch_dir
+from pricelens.sinks import bucketed as B
 from pricelens.sinks import publish as P
+from pricelens.sinks.versioned import VersionedTable
 from pricelens.sources.pages import read_catalogue
 from pricelens.sources.tables import table
 
@@ -597,16 +599,50 @@ def site_a_ladder_histogram(spark, sf) -> DataFrame:
 def table_latest_snapshot(spark, sf) -> DataFrame:
     """D-13 over the appendable table: two runs appended (idempotently, the
     second one twice), then the newest record per product."""
-    path = scratch_dir(spark, "history-table") + "/table"
-    P.append_idempotent(_part_products(spark, sf), path)
-    P.append_idempotent(_second_run(spark, sf), path)
-    P.append_idempotent(_second_run(spark, sf), path)
-    t = spark.read.parquet(path).select("product_id", "_created_date",
-                                        C.current_price("price").alias("price"))
-    last = C.latest_per_key(t, ["product_id"], ["_created_date"])
+    last = B.latest(spark, _bucketed_runs(spark, sf))
     return last.select("product_id", F.date_format("_created_date", STAMP).alias("created"), "price")
 
 
+def _bucketed_runs(spark, sf) -> str:
+    """A bucketed table of both runs, the second one loaded twice; its name."""
+    path = scratch_dir(spark, "history-table")
+    table, buckets = "runs_" + path.rsplit("-", 1)[1], slots(spark)
+    B.append_bucketed(_part_products(spark, sf), table, buckets, path=path)
+    B.append_bucketed(_second_run(spark, sf), table, buckets, path=path)
+    B.append_bucketed(_second_run(spark, sf), table, buckets, path=path)
+    return table
+
+
+def bucketed_run_diff(spark, sf) -> DataFrame:
+    """D-11 between two runs of the bucketed table, without an exchange."""
+    return B.run_diff(spark, _bucketed_runs(spark, sf), "2024-01-01", "2024-01-02")
+
+
+def bucketed_price_history(spark, sf) -> DataFrame:
+    """D-10 over the bucketed table, without an exchange."""
+    return B.history(spark, _bucketed_runs(spark, sf)).withColumnRenamed("period", "day")
+
+
+def table_as_of_version(spark, sf) -> DataFrame:
+    """The versioned table after a partial load, the whole run, the same run
+    again (which adds no version) and the next day's run: every product's newest
+    price as of the second version and now, and the version that first had it."""
+    t = VersionedTable(spark, scratch_dir(spark, "versioned"))
+    first = t.append(_part_products(spark, sf, F.col("p_size") <= 25))
+    whole = t.append(_part_products(spark, sf))
+    t.append(_part_products(spark, sf))
+    t.append(_second_run(spark, sf))
+
+    def newest(df: DataFrame, name: str) -> DataFrame:
+        p = df.select("product_id", "_created_date", C.current_price("price").alias("price"))
+        return C.latest_per_key(p, ["product_id"], ["_created_date"]).select("product_id", F.col("price").alias(name))
+
+    early = t.read(first).select("product_id", F.lit(0).cast("bigint").alias("since"))
+    return newest(t.read(whole), "price_then").join(newest(t.read(), "price_now"), "product_id").join(early, "product_id", "left") \
+        .select("product_id", "price_then", "price_now", F.coalesce("since", F.lit(1).cast("bigint")).alias("first_version"),
+                F.lit(len(t.history())).cast("bigint").alias("n_versions"))
+
+
 def site_b_profile(spark, sf) -> DataFrame:
     """D-14 on pipeline output: null and blank rates per field and duplicate
     ids in site B's clean catalogue."""

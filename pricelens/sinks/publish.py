@@ -70,7 +70,13 @@ def read_partitioned(spark: SparkSession, root: str, fmt: str = "json") -> DataF
 TABLE_PARTITIONS = ["_source", "snapshot_date"]
 
 
-def _one_per_key(df: DataFrame, keys) -> DataFrame:
+def snapshot_day():
+    """The UTC day of a record's stamp; a record without a stamp has a day of
+    its own name (a blank one would be read back as null)."""
+    return F.coalesce(F.nullif(F.concat_ws("-", *date_parts(F.col("_created_date"))), F.lit("")), F.lit("undated"))
+
+
+def one_per_key(df: DataFrame, keys) -> DataFrame:
     """One row per key: of several, the smallest by its other columns in order."""
     others = [c for c in df.columns if c not in keys]
     return (df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_r"))
@@ -83,7 +89,7 @@ def _new_rows(df: DataFrame, existing: DataFrame | None, keys) -> DataFrame:
     ``existing`` is narrowed to the partitions the batch touches (a semi join
     on partition columns, which dynamic partition pruning turns into a
     partition filter at the scan) and read with the key columns only."""
-    batch = _one_per_key(df.select(*PRODUCT_COLS).withColumn(
+    batch = one_per_key(df.select(*PRODUCT_COLS).withColumn(
         "snapshot_date", F.concat_ws("-", *date_parts(F.col("_created_date")))), [*keys, *TABLE_PARTITIONS])
     if existing is None:
         return batch
