@@ -142,6 +142,15 @@ WITH links AS (
   wanted AS (SELECT {_canon('url')} AS k, min(url) AS url FROM links GROUP BY ALL)
 SELECT url FROM wanted WHERE k NOT IN (SELECT {_canon('url')} FROM pages)""",
 
+    "frontier_next_run": f"""
+WITH pg AS (
+    SELECT list_transform(regexp_extract_all(html, '<a href="([^"]*)"', 1), lambda x: {_dec('x')}) AS hs,
+           regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS o FROM pages),
+  links AS (SELECT o, unnest(hs) AS h, generate_subscripts(hs, 1) = len(hs) AS is_last FROM pg),
+  urls AS (SELECT CASE WHEN starts_with(h, '/') THEN o || h ELSE h END AS url, is_last FROM links),
+  wanted AS (SELECT {_canon('url')} AS k, min(url) AS url, bool_and(is_last) AS new FROM urls GROUP BY 1)
+SELECT url FROM wanted WHERE new""",
+
     "spec_split": f"""
 WITH t AS (SELECT p_partkey, {_TITLE} AS title FROM part),
   s AS (SELECT p_partkey, title, regexp_extract(title, {_SPEC_RX}, 0) AS product_spec FROM t)
@@ -581,3 +590,34 @@ WITH t AS (SELECT p_partkey, p_type, p_brand, p_name, regexp_extract({_TITLE}, {
   k AS (SELECT p_partkey, p_type, {_norm('p_brand')} || '|' || {_norm('p_name')} || '|' || {_norm('spec')} AS match_key FROM t),
   g AS (SELECT match_key, count(*) AS n_products, count(DISTINCT p_type) AS n_sources FROM k GROUP BY match_key)
 SELECT p_partkey, p_type, match_key, n_products, n_sources, n_sources > 1 AS cross_source FROM k JOIN g USING (match_key)"""
+
+# ---- prices over time, groups of similar products --------------------------------
+ORACLES["price_in_force"] = f"""
+WITH p AS (SELECT l_partkey, l_shipdate AS since, min(CASE WHEN l_quantity <> 0 THEN l_extendedprice / l_quantity END) AS in_force
+           FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL)
+SELECT q.l_orderkey, q.l_linenumber, q.l_partkey, q.l_suppkey, p.in_force, strftime(p.since, {FMT}) AS since
+FROM (SELECT * FROM lineitem WHERE l_returnflag <> 'A') q ASOF LEFT JOIN p ON q.l_partkey = p.l_partkey AND q.l_shipdate >= p.since"""
+
+ORACLES["price_intervals"] = """
+WITH m AS (SELECT l_partkey, strftime(l_shipdate, '%Y-%m') AS month, min(floor(l_extendedprice / l_quantity / 1000)::BIGINT) AS price FROM lineitem GROUP BY ALL),
+r AS (SELECT month, row_number() OVER (ORDER BY month) AS no, lead(month) OVER (ORDER BY month) AS next FROM (SELECT DISTINCT month FROM m)),
+x AS (SELECT m.*, no, next, CASE WHEN lag(no) OVER w = no - 1 AND lag(price) OVER w IS NOT DISTINCT FROM price THEN 0 ELSE 1 END AS new
+      FROM m JOIN r USING (month) WINDOW w AS (PARTITION BY l_partkey ORDER BY no)),
+i AS (SELECT *, sum(new) OVER (PARTITION BY l_partkey ORDER BY no) AS island FROM x)
+SELECT l_partkey, min(month) AS valid_from, arg_max_null(next, no) AS valid_to, min(price) AS price FROM i GROUP BY l_partkey, island"""
+
+ORACLES["similar_group_cheapest"] = """
+WITH RECURSIVE named AS (
+  SELECT p_partkey, concat_ws(' ', p_name, p_type, 'lot' || (p_partkey // 40)::VARCHAR, 's' || p_size::VARCHAR) AS p_name FROM part),
+n AS (
+  SELECT p_name AS name, min(p_partkey) AS node, list_distinct(regexp_extract_all(lower(p_name), '[a-z0-9]+')) AS toks FROM named GROUP BY p_name),
+e AS MATERIALIZED (
+  SELECT a.node AS s, b.node AS d FROM n a JOIN n b ON a.node <> b.node
+  WHERE len(list_intersect(a.toks, b.toks)) >= 0.6 * (len(a.toks) + len(b.toks) - len(list_intersect(a.toks, b.toks))) AND len(list_intersect(a.toks, b.toks)) > 0),
+w AS (SELECT node AS s, node AS d FROM n UNION SELECT w.s, e.d FROM w JOIN e ON w.d = e.s),
+g AS (SELECT s AS node, min(d) AS grp FROM w GROUP BY s),
+pg AS (SELECT p_partkey, grp FROM named JOIN n ON p_name = name JOIN g ON g.node = n.node),
+o AS (SELECT grp, l_suppkey, min(CASE WHEN l_quantity <> 0 THEN l_extendedprice / l_quantity END) AS price FROM lineitem JOIN pg ON l_partkey = p_partkey GROUP BY ALL),
+b AS (SELECT grp, (min({'p': price, 's': l_suppkey}) FILTER (price IS NOT NULL)) AS best, max(price) AS max_price, count(l_suppkey) AS n_sources FROM o GROUP BY grp)
+SELECT b.grp, best.s AS cheapest_source, best.p AS cheapest_price, max_price, max_price - best.p AS spread, n_sources,
+       (SELECT count(*) FROM pg WHERE pg.grp = b.grp) AS n_products FROM b"""

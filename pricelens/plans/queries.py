@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 from pricelens.functions import select as S
 from pricelens.functions import text as X
 from pricelens.operators import compare as C
+from pricelens.operators import history as H
 from pricelens.operators import quality as Q
+from pricelens.operators.groups import similar_groups
 from pricelens.operators.links import count_to, frontier
 from pricelens.operators.partitioning import slots, spread
 from pricelens.operators.shred import shred
-from pricelens.session import ensure_conf, scratch_dir
+from pricelens.operators.visited import VisitedSet
+from pricelens.session import ensure_conf, scratch_dir, stage
 from pricelens.sinks import bucketed as B
 from pricelens.sinks import publish as P
 from pricelens.sinks.versioned import VersionedTable
@@ -154,6 +157,22 @@ def page_frontier(spark, sf) -> DataFrame:
     return frontier(links, _tbl(spark, sf, "pages"))
 
 
+def frontier_next_run(spark, sf) -> DataFrame:
+    """The frontier across runs: a first run sees every page's links but the
+    last, a second one the pages as they are; what the second must request is
+    what no page showed the first."""
+    sh = stage(_shredded(spark, sf).select("url", S.attrs_of(S.select(F.col("nodes"), "a"), "href").alias("hrefs")), "page-hrefs")
+    origin = X.first_match(F.col("url"), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    whole = lambda hrefs: sh.select(F.explode(hrefs).alias("href"), origin.alias("origin")) \
+        .select(F.when(F.col("href").startswith("/"), F.concat("origin", "href")).otherwise(F.col("href")).alias("url"))
+    visited = VisitedSet(spark, scratch_dir(spark, "visited"))
+    first = visited.unseen(whole(F.slice("hrefs", F.lit(1), F.greatest(F.size("hrefs") - 1, F.lit(0)))))
+    visited.add(first)
+    second = stage(visited.unseen(whole(F.col("hrefs"))), "frontier")
+    visited.add(second)
+    return second.select("url")
+
+
 # ---------------------------------------------------------------- text functions on part
 def _title(c_name="p_name") -> Column:
     """Product titles with pack specs in several shapes (from every row)."""
@@ -429,6 +448,49 @@ def similar_match(spark, sf) -> DataFrame:
     return C.similar_names(_tbl(spark, sf, "part"), "p_name", SIMILARITY)
 
 
+# Names alike enough to be one product under several spellings.
+GROUP_SIMILARITY = 0.6
+
+
+def similar_group_cheapest(spark, sf) -> DataFrame:
+    """D-08 and D-09: products grouped by chains of similar names; per group its
+    products, the supplier with the cheapest offer, and the spread."""
+    # names alone have two words: with type, lot and size they differ by degrees
+    name = F.concat_ws(" ", "p_name", "p_type", F.concat(F.lit("lot"), (F.col("p_partkey") / 40).cast("bigint").cast("string")),
+                       F.concat(F.lit("s"), F.col("p_size").cast("string")))
+    part = _tbl(spark, sf, "part").select("p_partkey", name.alias("p_name"))
+    groups = similar_groups(part, "p_partkey", "p_name", GROUP_SIMILARITY).select("p_partkey", "grp")
+    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n_products"))
+    offers = _offers(spark, sf).groupBy("l_partkey", "l_suppkey").agg(F.min("unit_price").alias("price"))
+    offers = offers.join(groups, F.col("l_partkey") == F.col("p_partkey")).groupBy("grp", "l_suppkey").agg(F.min("price").alias("price"))
+    best = C.cheapest_source(offers, "grp", "l_suppkey", "price", one_offer_per_source=True).drop("n_offers")
+    return best.join(sizes, "grp")
+
+
+def price_in_force(spark, sf) -> DataFrame:
+    """D-10: every returned or open sale with the price its part had in force
+    when it shipped, across suppliers: the last one published (flag A) by then."""
+    li = _tbl(spark, sf, "lineitem").select(*OFFER_KEY, "l_shipdate", "l_returnflag", F.try_divide("l_extendedprice", "l_quantity").alias("price"))
+    published = li.where("l_returnflag = 'A'")
+    asked = li.where("l_returnflag <> 'A'").select(*OFFER_KEY, "l_shipdate")
+    found = H.price_in_force(asked, published, "l_partkey", "l_shipdate")
+    return found.select(*OFFER_KEY, "in_force", F.date_format("since", STAMP).alias("since"))
+
+
+def price_intervals(spark, sf) -> DataFrame:
+    """D-10 and D-11: monthly price levels (whole thousands) as validity intervals;
+    all but the last three months at once, those one after another as runs come in."""
+    level = F.floor(F.col("unit_price") / 1000).cast("bigint").alias("price")
+    months = stage(_offers(spark, sf).select("l_partkey", F.date_format("l_shipdate", "yyyy-MM").alias("month"), level)
+                   .groupBy("l_partkey", "month").agg(F.min("price").alias("price")), "months")
+    # one row a month
+    last = sorted(r[0] for r in months.select("month").distinct().collect())[-3:]
+    out = H.price_intervals(months.where(~F.col("month").isin(last)), "l_partkey", "month", "price")
+    for m in last:
+        out = H.extend_intervals(stage(out, "intervals"), months.where(F.col("month") == m), "l_partkey", m, "price")
+    return out
+
+
 # ---------------------------------------------------------------- publishing
 def _part_products(spark, sf, where: Column | None = None) -> DataFrame:
     part = _tbl(spark, sf, "part")
@@ -660,7 +722,6 @@ def walk_categories(spark, sf) -> DataFrame:
 
 def _walk(spark, sf, pages, adapter, home: str) -> DataFrame:
     from pricelens.operators.links import walk
-    from pricelens.session import stage
     reached, _ = walk(stage(pages(_tbl(spark, sf, "part")), "walk-pages"), adapter, [home])
     return reached.select("url", "page_type", "cate_url", "subcate_url")
 
