@@ -19,6 +19,7 @@ string, so its turns meet in one task.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,6 +55,9 @@ def fingerprint(paths) -> str:
 
 
 BY_FINGERPRINT = {fingerprint(paths): name for name, (paths, _) in LAYOUTS.items()}
+# Layouts in the order they are tried where a table or record has further known
+# fields: the most paths first, then as listed above.
+BY_PATHS = sorted(LAYOUTS, key=lambda name: -len(LAYOUTS[name][0]))
 
 
 def field_paths(kind: T.DataType, at: str = "") -> list[str]:
@@ -66,8 +70,12 @@ def field_paths(kind: T.DataType, at: str = "") -> list[str]:
 
 
 def layout_of(df: DataFrame) -> str:
-    """The layout whose fingerprint the table's schema has."""
-    name = BY_FINGERPRINT.get(fingerprint(field_paths(df.schema)))
+    """The layout whose fingerprint the table's schema has; if it has further
+    known fields, the layout with the most paths that are all there.  Names
+    count whatever their case, as columns do."""
+    fields = [p.lower() for p in field_paths(df.schema)]
+    whole = [fingerprint(fields), *[fingerprint(LAYOUTS[name][0]) for name in BY_PATHS if set(LAYOUTS[name][0]) <= set(fields)]]
+    name = next((BY_FINGERPRINT[f] for f in whole if f in BY_FINGERPRINT), None)
     if name is None:
         raise ValueError(f"no known chat layout has the fields {field_paths(df.schema)}")
     return name
@@ -101,8 +109,9 @@ def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
 
 def json_layouts(df: DataFrame, json_col: str = "record") -> DataFrame:
     """``df`` with ``layout``: the layout each JSON record's field paths select,
-    those of all keys or, if no layout has them, of the keys with a value.  A
-    list has the keys of any of its elements."""
+    those of all keys or, if no layout has them, of the keys with a value; else
+    the layout with the most paths that are all among the keys.  A list has the
+    keys of any of its elements."""
     v = F.try_parse_json(F.col(f"`{json_col}`"))
     names = F.create_map(*[F.lit(x) for kv in BY_FINGERPRINT.items() for x in kv])
 
@@ -114,7 +123,8 @@ def json_layouts(df: DataFrame, json_col: str = "record") -> DataFrame:
 
     # a null is a variant, but no string
     prints = [F.sha2(F.concat_ws("\n", *[F.when(has(p, kind), F.lit(p)) for p in KNOWN_PATHS]), 256) for kind in ("variant", "string")]
-    return df.withColumn("layout", F.coalesce(*[F.try_element_at(names, p) for p in prints]))
+    some = [F.when(reduce(lambda a, b: a & b, [F.coalesce(has(p, "variant"), F.lit(False)) for p in LAYOUTS[name][0]]), F.lit(name)) for name in BY_PATHS]
+    return df.withColumn("layout", F.coalesce(*[F.try_element_at(names, p) for p in prints], *some))
 
 
 def json_turns(df: DataFrame, id_col: str = "conv_id", json_col: str = "record") -> DataFrame:

@@ -25,27 +25,41 @@ def _bitmaps(cells: DataFrame, name: str) -> DataFrame:
     return stage(cells.groupBy(F.bitmap_bucket_number("cell").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("_bits")), name)
 
 
-def _marked(df: DataFrame, key, bits: int, maps: DataFrame) -> DataFrame:
-    """``df`` with ``_maybe``: whether its key's cell is set."""
-    cell = F.col("_cell")
+def fresh(df: DataFrame, *stems: str) -> list[str]:
+    """Column names like ``stems`` that ``df`` does not have, whatever their case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in stems:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def _marked(df: DataFrame, key, bits: int, maps: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with whether its key's cell is set, and that column's name."""
+    c, bucket, word, maybe = fresh(df, "_cell", "_bucket", "_bits", "_maybe")
+    maps = maps.select(F.col("_bucket").alias(bucket), F.col("_bits").alias(word))
+    cell = F.col(c)
     at = F.bitmap_bit_position(cell)
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(word), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     on = F.coalesce(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0, F.lit(False))
     # the bitmaps take bits / 8 bytes at most
-    rows = df.withColumn("_cell", _cell(key, bits)).join(F.broadcast(maps), F.bitmap_bucket_number(cell) == F.col("_bucket"), "left")
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns], on.alias("_maybe"))
+    rows = df.withColumn(c, _cell(key, bits)).join(F.broadcast(maps), F.bitmap_bucket_number(cell) == F.col(bucket), "left")
+    return rows.select(*[F.col(f"`{x}`") for x in df.columns], on.alias(maybe)), maybe
 
 
 def possibly_repeated(df: DataFrame, key: str, rows: int) -> DataFrame:
     """The rows whose key other rows may have too: none that has is missing."""
     bits = filter_bits(rows)
     hits = df.select(_cell(F.col(key), bits).alias("cell")).groupBy("cell").count().where("count > 1")
-    return _marked(df, F.col(key), bits, _bitmaps(hits, "repeated-cells")).where("_maybe").drop("_maybe")
+    marked, maybe = _marked(df, F.col(key), bits, _bitmaps(hits, "repeated-cells"))
+    return marked.where(F.col(maybe)).drop(maybe)
 
 
 def split_by_keys(df: DataFrame, key: str, keys: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     """``df``'s rows whose key may be in the one-column ``keys``, and those whose surely is not."""
     bits = filter_bits(rows)
     cells = keys.select(_cell(F.col(keys.columns[0]), bits).alias("cell")).dropDuplicates()
-    marked = _marked(df, F.col(key), bits, _bitmaps(cells, "key-cells"))
-    return marked.where("_maybe").drop("_maybe"), marked.where("not _maybe").drop("_maybe")
+    marked, maybe = _marked(df, F.col(key), bits, _bitmaps(cells, "key-cells"))
+    return marked.where(F.col(maybe)).drop(maybe), marked.where(~F.col(maybe)).drop(maybe)

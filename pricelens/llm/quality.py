@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import byte_slices, slots, stage, text_bytes
+from pricelens.llm.filters import fresh
 
 LABELLED = 4000
 ROUNDS = 4
@@ -335,17 +336,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     model = fit(docs, labels, id_col, text_col, label_col, used, rounds)
     names = {"score", "content_score", "meta_score"}
     kept = [c for c in (keep or [id_col]) if c.lower() not in names]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("_text"), *[F.col(f"`{c}`").alias(f"_m{j}") for j, c in enumerate(used)])
+    text, *metas = fresh(docs, "_text", *[f"_m{j}" for j in range(len(used))])
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias(text), *[F.col(f"`{c}`").alias(m) for m, c in zip(metas, used, strict=True)])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, "_text", SLICE_BYTES):
+            for part in byte_slices(batch, text, SLICE_BYTES):
                 n = part.num_rows
                 if isinstance(model, float):
                     scores = (np.full(n, model),) * 3
                 else:
-                    m = meta_features([part.column(f"_m{j}") for j in range(len(used))]) if used else np.zeros((n, META_SIZE), np.float32)
-                    scores = model.score([text_features(part.column("_text")), m])
+                    m = meta_features([part.column(m) for m in metas]) if used else np.zeros((n, META_SIZE), np.float32)
+                    scores = model.score([text_features(part.column(text)), m])
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(s, pa.float64()) for s in scores],
                                                  kept + ["score", "content_score", "meta_score"])
 

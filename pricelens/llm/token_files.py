@@ -30,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -131,8 +132,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tok = Tokenizer.from_file(path)
-        # the strings of special tokens inside a text are ordinary text
-        self.tok.encode_special_tokens = True
+        # strings that the library cuts texts at before anything else
+        self.added = sorted({t["content"] for t in spec.get("added_tokens") or ()})
         pre = spec.get("pre_tokenizer") or {}
         self.byte_level = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") \
             and pre.get("use_regex", True) and spec["model"].get("unk_token") in (None, "", "<|endoftext|>")
@@ -156,10 +157,31 @@ class Encoder:
         if not self.byte_level:
             ids = self._batch([b.decode() for b in (buf[offs[i]:offs[i + 1]].tobytes() for i in range(n))])
             return np.array([x for y in ids for x in y], self.dtype), np.array([len(y) for y in ids], np.int64)
+        marked = self._marked(col)
+        if marked.any():
+            return self._mixed(col, marked)
         starts = _cuts(buf, offs)
         ids, begin = self.memory.look_up(buf, starts)
         return ids, np.diff(begin[np.searchsorted(starts, offs)])
 
+    def _marked(self, col: pa.Array) -> np.ndarray:
+        """The texts that hold an added token's string."""
+        hit = np.zeros(len(col), bool)
+        for s in self.added:
+            hit |= pc.match_substring(col, s).fill_null(False).to_numpy(zero_copy_only=False)
+        return hit
+
+    def _mixed(self, col: pa.Array, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marked texts as the library encodes them whole, the others by chunks."""
+        ids, n = self.encode(col.filter(pa.array(~marked)))
+        whole = [np.array(x, self.dtype) for x in self._batch(col.filter(pa.array(marked)).to_pylist())]
+        counts = np.zeros(len(col), np.int64)
+        counts[~marked], counts[marked] = n, [len(x) for x in whole]
+        own = np.repeat(marked, counts)
+        out = np.zeros(len(own), self.dtype)
+        out[own], out[~own] = np.concatenate(whole), ids
+        return out, counts
+
     def _distinct(self, chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Distinct chunks in another order, their ids end to end and where each one's end.
 

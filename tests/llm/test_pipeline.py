@@ -99,3 +99,18 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+CLASHING = ["_cell", "_bucket", "_bits", "_maybe", "_gone", "_text", "_m0", "_M1"]
+
+
+def test_columns_of_the_pipelines_own_names_stay(spark, sf_dir):
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHING})
+    plain = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for stage in (P.quality_stage, P.near_stage):
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in stage(spark, plain, sf_dir).collect())
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in CLASHING)

@@ -48,11 +48,11 @@ def test_token_file_reads_back():
 
 def test_encoder_matches_the_library():
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(tokenizer_path(TOKENIZER))
-    tok.encode_special_tokens = True
+    tok = Tokenizer.from_file(tokenizer_path(TOKENIZER))  # as the library reads it, nothing switched
     coder = token_files.Encoder(tokenizer_path(TOKENIZER))
     rng = random.Random(2)
-    texts = HARD + ["".join(rng.choice("ab é\n '1.<　\t") for _ in range(rng.randrange(60))) for _ in range(300)]
+    texts = HARD + ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", " x\n<|endoftext|>\n\n y ", "<|endoftext|", "é<|endoftext|>é" * 50] \
+        + ["".join(rng.choice("ab é\n '1.<　\t") for _ in range(rng.randrange(60))) for _ in range(300)]
     for _ in range(2):  # the second time from memory
         ids, n = coder.encode(pa.array(texts))
         ends = np.cumsum(n)
@@ -267,6 +267,33 @@ def test_chat_layouts(spark):
         chat.canonical_turns(spark.createDataFrame([(1, "q")], "conv_id long, question string"))
 
 
+def test_chat_layout_with_further_known_fields(spark):
+    known = sorted({p.split("[")[0] for paths, _ in chat.LAYOUTS.values() for p in paths})
+    turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yes")], "conv_id long, turn long, role string, text string")
+    want = [tuple(r) for r in chat.canonical_turns(turns).orderBy("turn").collect()]
+    for name in known:
+        if name not in ("turn", "role", "text"):
+            more = turns.withColumn(name, F.lit("mine"))
+            assert chat.layout_of(more) == "turn_rows" and [tuple(r) for r in chat.canonical_turns(more).orderBy("turn").collect()] == want
+    assert chat.layout_of(turns.withColumns({n: F.lit("mine") for n in known if n not in turns.columns})) == "turn_rows"
+    shouted = turns.toDF("CONV_ID", "Turn", "ROLE", "Text")
+    assert [tuple(r) for r in chat.canonical_turns(shouted).orderBy("turn").collect()] == want
+    # of several layouts that are there, the one with the most paths
+    both = spark.createDataFrame([(1, "i", "x", "o", "p", "c")], "conv_id long, instruction string, input string, output string, prompt string, completion string")
+    assert chat.layout_of(both) == "instruction_input_output"
+    with pytest.raises(ValueError):
+        chat.layout_of(turns.drop("role").withColumn("prompt", F.lit("p")))
+
+
+def test_chat_json_records_with_further_fields(spark):
+    rows = [(1, '{"system": "s", "messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]}'),
+            (2, '{"prompt": "p", "response": "r", "input": ""}'), (3, '{"prompt": "p"}')]
+    df = spark.createDataFrame(rows, "conv_id long, record string")
+    assert {r.conv_id: r.layout for r in chat.json_layouts(df).collect()} == {1: "messages", 2: "prompt_response", 3: None}
+    got = sorted((r.conv_id, r.turn, r.role, r.text) for r in chat.json_turns(df).collect())
+    assert got == [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "user", "p"), (2, 1, "assistant", "r")]
+
+
 def test_chat_json_records(spark):
     records = [{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "id": 3},
                {"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}, {"prompt": "q", "response": "a"},
