@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pricelens.llm import exact_dedup, mixing, near_dedup, quality, sentencepiece_text
 from pricelens.llm.common import bound_batches, scratch_dir, stage
-from pricelens.llm.filters import split_by_keys
+from pricelens.llm.filters import fresh, split_by_keys
 from pricelens.llm.queries import PIECES, tokenizer_path
 
 
@@ -33,9 +33,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     more) the document with the smallest id stays; one without an id stays."""
     bound_batches(spark)
     # few documents go, so the others need not be shuffled to be found
-    gone = stage(near_dedup.near_dedup(docs.select("doc_id", "text")).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")), "near-gone")
+    name, = fresh(docs, "_gone")
+    gone = stage(near_dedup.near_dedup(docs.select("doc_id", "text")).where("not kept and doc_id is not null").select(F.col("doc_id").alias(name)), "near-gone")
     some, clean = split_by_keys(docs, "doc_id", gone, gone.count())
-    return clean.unionByName(some.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti"))
+    return clean.unionByName(some.join(gone, F.col("doc_id") == F.col(name), "left_anti"))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
