@@ -296,3 +296,23 @@ def test_within_radius_finds_all(spark, monkeypatch):
     df = spark.createDataFrame([(p,) for p in signed], "fp long")
     got = {r.fp: r.n_near for r in simhash.within_radius(df.limit(100), df).collect()}
     assert got == {p: sum(bin((p ^ q) % 2**64).count("1") <= 3 for q in signed) for p in set(signed[:100])}
+
+
+def test_simhash_query(spark, tmp_path):
+    from pricelens.llm.queries import op13_simhash
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(20, 120))) for _ in range(60)]
+    rows = [(i, texts[i % 45] if i % 7 else texts[3]) for i in range(100)] + [(100, None), (120, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in op13_simhash(spark, str(tmp_path)).collect()}
+    prints = {i: int(got[i].fingerprint, 16) for i in got}
+    alike = lambda a, b: 1 - bin(a ^ b).count("1") / 64
+    for k, (i, t) in enumerate(rows):
+        j, u = rows[(k + 1) % len(rows)]
+        t, u = t or "", u or ""
+        cut = len(t) // 4
+        assert got[i].edited_sha256 == hashlib.sha256((t[:len(t) - cut] + u[:cut]).encode()).hexdigest() and got[i].n_chars == len(t)
+        assert got[i].near_edited == alike(prints[i], int(got[i].edited_fingerprint, 16)) and got[i].near_next == alike(prints[i], prints[j])
+        near = sum(bin(prints[i] ^ p).count("1") <= 3 for p in prints.values()) - 1
+        assert got[i].n_near == (near if i % 20 == 0 else None)
