@@ -77,6 +77,13 @@ def _norm(c: str) -> str:
     return f"regexp_replace(lower({c}), '[[:space:][:punct:]]+', '', 'g')"
 
 
+_REJECTS = f"""
+WITH {_PART_RECORDS}
+SELECT 'missing id or name' AS reason, product_id AS item_id, product_name AS item_name, request_url AS item_url
+FROM c WHERE NOT ok
+UNION ALL
+SELECT 'duplicate item found', product_id, product_name, request_url FROM k WHERE rn > 1"""
+
 ORACLES: dict[str, str] = {
     "cheapest_source": """
 WITH o AS (SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_shipdate, l_quantity,
@@ -100,6 +107,8 @@ SELECT page_id, CASE WHEN page_id % 100 = 0 THEN 2499 ELSE 39 + page_id % 10 END
        NULLIF({_dec("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, '') AS h1,
        length(regexp_extract_all(html, '<li><a href="([^"]*)"', 1))::BIGINT AS n_links, 0::BIGINT AS n_inside_out FROM pages""",
 
+    "archive_pages": "SELECT page_id, url, sha256(html) AS html_sha256, length(html)::BIGINT AS n_chars FROM pages",
+
     "page_links": f"""
 SELECT page_id, CAST(pos - 1 AS BIGINT) AS pos, {_dec('href')} AS href FROM (
   SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) AS pos
@@ -246,12 +255,8 @@ FROM l""",
 WITH {_PART_RECORDS}
 SELECT product_id, product_name, request_url, p_partkey FROM k WHERE rn = 1""",
 
-    "rejects": f"""
-WITH {_PART_RECORDS}
-SELECT 'missing id or name' AS reason, product_id AS item_id, product_name AS item_name, request_url AS item_url
-FROM c WHERE NOT ok
-UNION ALL
-SELECT 'duplicate item found', product_id, product_name, request_url FROM k WHERE rn > 1""",
+    "rejects": _REJECTS,
+    "stream_rejects": _REJECTS,
 
     "first_seen": _FIRST_SEEN,
     "stream_first_seen": _FIRST_SEEN,

@@ -140,6 +140,15 @@ def deep_page_select(spark, sf) -> DataFrame:
         F.size(S.select(n, "li div.box")).cast("bigint").alias("n_inside_out"))
 
 
+def archive_pages(spark, sf) -> DataFrame:
+    """Every page written to an archive of compressed records and read back."""
+    from pricelens.sources.archive import read_archive, write_archive
+    path = scratch_dir(spark, "page-archive")
+    write_archive(_tbl(spark, sf, "pages").select("page_id", "url", "html"), path)
+    return read_archive(spark, path).select(
+        "page_id", "url", F.sha2("html", 256).alias("html_sha256"), F.length("html").cast("bigint").alias("n_chars"))
+
+
 def page_number_expand(spark, sf) -> DataFrame:
     p = _tbl(spark, sf, "pages")
     n = F.greatest(F.coalesce(X.query_param("url", "page").try_cast("bigint"), F.lit(1)), F.lit(1))
@@ -550,6 +559,18 @@ def stream_first_seen(spark, sf) -> DataFrame:
     return _events_first(out)
 
 
+def stream_rejects(spark, sf) -> DataFrame:
+    """Records landed over time; repeats of an id are rejected as they arrive."""
+    from pricelens.streaming import rejects as R
+    from pricelens.streaming.dedup import land_in_order
+    base = scratch_dir(spark, "stream-rejects")
+    n = land_in_order(_part_records(spark, sf).withColumn("run_end", F.lit("2024-01-02 00:00:00").cast("timestamp")),
+                      f"{base}/landing", ["p_partkey"], slices=4)
+    R.run_reject_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", order=["p_partkey"],
+                        files_per_trigger=max(1, n // 2))
+    return R.read_rejects(spark, f"{base}/out").select("reason", "item_id", "item_name", "item_url")
+
+
 # ---------------------------------------------------------------- full catalogue job on rendered pages
 def _catalogue_rows(df: DataFrame) -> DataFrame:
     p, c = F.col("price"), F.get(F.col("product_category"), 0)
