@@ -4,8 +4,10 @@ the micro-batch that brought them, and a run's state goes when the run ends.
 A record without id or name is a reject and touches no state.  Of the others the
 first of (run, id) is clean and every later one is a reject.  Within a micro-batch
 ``order`` decides which is first, across micro-batches arrival does: what has left
-as clean is not taken back.  Where files land in ``order``, as fetchers write them,
-the two agree and the rejects equal those of the batch job.
+as clean is not taken back.  Where micro-batches follow ``order`` the rejects equal
+those of the batch job.  Spark's file source takes files by the time they were last
+written, so files that one job writes at once have no order among micro-batches:
+do not split such a load by ``files_per_trigger``.
 
 State is one flag a (run, id).  Its event time is the end of the run (``run_end``),
 so when the watermark, the newest run's end less ``lateness``, passes that end, the
