@@ -15,8 +15,9 @@ partitions.  Scores come from the scaled forward recursion over whole texts.
 
 The texts are read and cut into words once, into blocks of a bounded number of
 bytes: a block's distinct words and its texts as indices into them.  Words'
-counts are summed over all blocks, dealt out by word hash, and each block gets
-its own words' counts back, so neither texts nor the vocabulary travel.  For
+counts are summed over all blocks by an aggregate on word hashes, and each block
+gets its own words' counts back by a join, so texts do not travel and no task
+holds the words of all blocks.  For
 training, the token sequence of a document is cut into segments of ``SEGMENT``
 tokens, all of which are used; scoring does not cut.
 
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import byte_slices, slots, stage, words
+from pricelens.llm.common import byte_slices, stage, words
 
 STATES = 6
 CLASSES = 4096
@@ -122,43 +123,65 @@ def encode_blocks(df: DataFrame, id_col: str, text_col: str, folds: int) -> Data
     return stage(docs.mapInArrow(encode, _BLOCKS), "hmm-blocks")
 
 
-def global_counts(blocks: DataFrame) -> DataFrame:
-    """Per block, its words' training counts over all documents: (block, part,
-    at, counts), stored, with each part's totals in rows of block -1.
-
-    A word's block counts meet by hash range, at most one entry a block."""
-    n = slots(blocks.sparkSession)
+def word_entries(blocks: DataFrame) -> DataFrame:
+    """A row a distinct word of each block: (block, at, word, n), ``at`` its place
+    in the block and ``n`` its training count there."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                h, c = np.frombuffer(r["hashes"], "<u8"), np.frombuffer(r["counts"], "<i8")
-                ends = np.searchsorted(h, edges(n))
-                out = [(r["block"], p, int(a), h[a:b].tobytes(), c[a:b].tobytes()) for p, (a, b) in enumerate(zip(np.append(0, ends), np.append(ends, len(h)), strict=True)) if b > a]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["block", "part", "at", "hashes", "counts"])
-
-    def add_up(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        hashes = [np.frombuffer(r["hashes"], "<u8") for r in rows]
-        all_h, place = np.unique(np.concatenate(hashes), return_inverse=True)
-        total = np.bincount(place, np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows]).astype(np.float64), len(all_h)).astype(np.int64)
-        # class masses of the base model: training count and number of known words of each class
-        cls = _hash_class(all_h)
-        mass = np.concatenate((np.bincount(cls, total, CLASSES + 1), np.bincount(cls, total > 0, CLASSES + 1), [(total == 1).sum()]))
-        out = [{"block": -1, "part": rows[0]["part"], "at": 0, "n": int(total.sum()), "v": int((total > 0).sum()), "counts": mass.astype("<f8").tobytes()}]
-        at = 0
-        for r, h in zip(rows, hashes, strict=True):
-            out.append({"block": r["block"], "part": r["part"], "at": r["at"], "n": 0, "v": 0, "counts": total[place[at:at + len(h)]].astype("<i8").tobytes()})
-            at += len(h)
-        return pa.Table.from_pylist(out)
-
-    dealt = blocks.select("block", "hashes", "counts").mapInArrow(deal, "block long, part long, at long, hashes binary, counts binary")
-    return stage(dealt.groupBy("part").applyInArrow(add_up, "block long, part long, at long, n long, v long, counts binary"), "hmm-counts")
-
-
-def edges(n: int) -> np.ndarray:
-    """Where the hash space is cut into ``n`` equal ranges."""
-    return np.array([(i << 64) // n for i in range(1, n)], np.uint64)
+            for block, hashes, counts in zip(*(batch.column(i) for i in range(3)), strict=True):
+                h = np.frombuffer(hashes.as_buffer(), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), block.as_py())), pa.array(np.arange(len(h), dtype=np.int32)),
+                                                  pa.array(h), pa.array(np.frombuffer(counts.as_buffer(), "<i8"))], ["block", "at", "word", "n"])
+
+    return blocks.select("block", "hashes", "counts").mapInArrow(deal, "block long, at int, word long, n long")
+
+
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """Every word's training count over all documents: (word, n), stored.
+
+    A hash aggregate that combines in the map tasks and spills: no task holds more
+    than its memory of a word range, however many blocks there are."""
+    return stage(word_entries(blocks).groupBy("word").agg(F.sum("n").alias("n")), "hmm-words")
+
+
+def class_counts(totals: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Training count and number of known words of each class, and how many words
+    were seen once; summed by class, so at most CLASSES + 1 rows come here."""
+    cls = F.when(F.col("word") == F.lit(_signed(END_HASH)), CLASSES).otherwise(F.col("word").bitwiseAND(F.lit(CLASSES - 1)))
+    got = totals.where("n > 0").groupBy(cls.cast("int").alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("once")).toArrow()
+    c, n, v, once = (got.column(i).to_numpy() for i in range(4))
+    mass, known = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
+    mass[c], known[c] = n, v
+    return mass, known, int(once.sum())
+
+
+def counts_of_blocks(blocks: DataFrame, totals: DataFrame) -> DataFrame:
+    """Per block the counts over all documents of its words, in their order."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            block, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.append(0, np.flatnonzero(np.diff(block)) + 1)
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(block)], strict=True):
+                if held and block[a] != now:
+                    yield pa.RecordBatch.from_pydict({"block": [now], "found": [_longs(np.concatenate(held))]})
+                    held = []
+                if b > a:
+                    now = int(block[a])
+                    held.append(n[a:b])
+        if held:
+            yield pa.RecordBatch.from_pydict({"block": [now], "found": [_longs(np.concatenate(held))]})
+
+    # a word of every block is one row of ``totals``: a skewed join splits its entries
+    found = word_entries(blocks).select("block", "at", "word").join(totals, "word").select("block", "at", "n")
+    return found.repartition("block").sortWithinPartitions("block", "at").select("block", "n").mapInArrow(pack, "block long, found binary")
+
+
+def _signed(h: int) -> int:
+    """A 64-bit hash as Spark's long of the same bits."""
+    return h - (1 << 64) if h >> 63 else h
 
 
 def _hash_class(h: np.ndarray) -> np.ndarray:
@@ -302,20 +325,17 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     """Every document's id with ``held_out``, ``n_tokens``, ``n_known``,
     ``train_tokens``, ``base_score`` and ``score`` (log10 probabilities)."""
     blocks = encode_blocks(df, id_col, text_col, folds)
-    counts = global_counts(blocks)
-    total, vocab, mass = 0, 0, np.zeros(2 * (CLASSES + 1) + 1)
-    # one row a part of fixed size, summed here a batch at a time
-    for r in counts.where("block = -1").select("n", "v", "counts").toLocalIterator():
-        total, vocab, mass = total + r["n"], vocab + r["v"], mass + np.frombuffer(r["counts"], "<f8")
+    totals = word_counts(blocks)
+    mass, known, once = class_counts(totals)
+    total, vocab = int(mass.sum()), int(known.sum())
     space = total + ADD * (vocab + 1)
     # the share of words seen once estimates that of words not seen (Good-Turing)
-    unseen = min(0.5, (mass[-1] + ADD) / (total + 1))
+    unseen = min(0.5, (once + ADD) / (total + 1))
     # base probability of each class and of the unknown word
-    mass = (mass[:CLASSES + 1] + ADD * mass[CLASSES + 1:-1]) / space
+    mass = (mass + ADD * known) / space
     unknown = ADD / space
     model = train(blocks, mass, unseen, rounds) if total else Model.initial(np.full(CLASSES + 1, 1 / (CLASSES + 1)), unseen)
-    given = counts.where("block >= 0").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "counts"))).alias("found"))
-    full = blocks.select("block", "ids", "null_ids", "held_out", "n_words", "tokens", "order", "hashes").join(given, "block")
+    full = blocks.select("block", "ids", "null_ids", "held_out", "n_words", "tokens", "order", "hashes").join(counts_of_blocks(blocks, totals), "block")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(divide="ignore"):
@@ -323,7 +343,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
         for batch in batches:
             for row in batch.to_pylist():
                 n, held, tokens, hashes = _sequences(row)
-                c = np.concatenate([np.frombuffer(f["counts"], "<i8") for f in row["found"]])
+                c = np.frombuffer(row["found"], "<i8")
                 cls = np.where(c > 0, _hash_class(hashes), CLASSES + 1)
                 base = np.log10((c + ADD) / space)
                 ends = np.cumsum(n)

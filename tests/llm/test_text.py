@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from pricelens.llm import chat, hmm, knn, quality, sentencepiece_text, token_files
@@ -363,3 +364,24 @@ def test_knn_edges(spark):
     with pytest.raises(Exception, match="beyond 64 bits"):
         knn.knn_join(big, F.col("vec_id") == 1).collect()
 
+
+
+def test_class_counts_over_blocks(spark):
+    words = [f"w{i % 97}" for i in range(500)] + ["once", "twice", "twice"]
+    docs = _texts(spark, [" ".join(words[i::7]) for i in range(7)] * 2 + [""]).repartition(5)
+    blocks = hmm.encode_blocks(docs, "doc_id", "text", 10)
+    totals = hmm.word_counts(blocks)
+    got = {r.word: r.n for r in totals.collect()}
+    held = {r.doc_id for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 10 == 0}
+    want = Counter(hmm._signed(xxhash.xxh64_intdigest(w)) for r in docs.collect() if r.doc_id not in held for w in [*(x.encode() for x in r.text.split()), b""])
+    assert {k: n for k, n in got.items() if n} == want
+    mass, known, once = hmm.class_counts(totals)
+    cls = hmm._hash_class(np.array([k % (1 << 64) for k in want], np.uint64))
+    assert mass.tolist() == np.bincount(cls, list(want.values()), hmm.CLASSES + 1).tolist()
+    assert known.tolist() == np.bincount(cls, minlength=hmm.CLASSES + 1).tolist()
+    assert once == sum(n == 1 for n in want.values())
+    sizes = {r.block: len(r.hashes) // 8 for r in blocks.collect()}
+    found = {r.block: np.frombuffer(r.found, "<i8") for r in hmm.counts_of_blocks(blocks, totals).collect()}
+    assert {b: len(c) for b, c in found.items()} == sizes
+    for r in blocks.collect():
+        assert found[r.block].tolist() == [got[h] for h in np.frombuffer(r.hashes, "<i8").tolist()]
