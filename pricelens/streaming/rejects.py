@@ -24,6 +24,7 @@ bounds their number.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pricelens.operators import quality as Q
 from pricelens.session import ensure_conf, ensure_streaming_conf
+from pricelens.streaming.audit import StreamAudit, audited
 
 RUN_END = "run_end"
 LATENESS = "1 hour"
@@ -96,19 +98,25 @@ def close_run(spark: SparkSession, landing: str, run_end, lateness: str = LATENE
 
 
 def run_reject_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, order: list[str],
-                      files_per_trigger: int | None = None, lateness: str = LATENESS) -> dict[str, int]:
-    """availableNow run over what has landed; returns ``state_rows`` left and ``rows`` read."""
+                      files_per_trigger: int | None = None, lateness: str = LATENESS, audit: str | None = None) -> dict[str, int]:
+    """availableNow run over what has landed; returns ``state_rows`` left and ``rows``
+    read.  With ``audit``, every micro-batch leaves its counts under that folder."""
     ensure_conf(spark)
     ensure_streaming_conf(spark)
     reader = spark.readStream.schema(spark.read.parquet(landing).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    q = (tagged_stream(reader.parquet(landing), order, lateness)
-         .writeStream.format("parquet").outputMode("append").option("path", out)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    tagged = tagged_stream(reader.parquet(landing), order, lateness)
+    if audit is not None:
+        tagged = audited(tagged)
+    with StreamAudit(spark, audit) if audit is not None else nullcontext() as log:
+        q = (tagged.writeStream.format("parquet").outputMode("append").option("path", out)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        if log is not None:
+            log.wait(q)
     ops = [o for p in q.recentProgress for o in p["stateOperators"]]
     late = sum(o["numRowsDroppedByWatermark"] for o in ops)
     if late:
