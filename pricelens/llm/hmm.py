@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from pricelens.llm.common import byte_slices, stage, words
 
 STATES = 6
+# a power of two, below 2 ** 16 - 1
 CLASSES = 4096
 ROUNDS = 3
 SEGMENT = 256
@@ -55,7 +56,7 @@ PRIOR = 0.05
 # the end token's place in the table of words (no word is empty)
 END_HASH = xxhash.xxh64_intdigest(b"")
 
-_BLOCKS = "block long, ids binary, null_ids binary, held_out binary, n_words binary, tokens binary, order binary, hashes binary, counts binary"
+_BLOCKS = "block long, ids binary, null_ids binary, held_out binary, n_words binary, tokens binary, order binary, hashes binary, classes binary, counts binary"
 
 
 def _longs(x) -> bytes:
@@ -82,7 +83,8 @@ def _block(doc_ids: pa.Array, text: pa.Array, held: np.ndarray, block: int) -> d
     return {"block": block, "ids": _longs(doc_ids.fill_null(0).to_numpy(zero_copy_only=False)),
             "null_ids": np.packbits(doc_ids.is_null().to_numpy(zero_copy_only=False)).tobytes(),
             "held_out": np.packbits(held).tobytes(), "n_words": _longs(n + 1),
-            "tokens": zlib.compress(_shuffled(number[tokens]), 1), "order": order.tobytes(), "hashes": hashes.astype("<u8").tobytes(), "counts": _longs(counts)}
+            "tokens": zlib.compress(_shuffled(number[tokens]), 1), "order": order.tobytes(), "hashes": hashes.astype("<u8").tobytes(),
+            "classes": _hash_class(hashes).astype("<u2").tobytes(), "counts": _longs(counts)}
 
 
 def _shuffled(x: np.ndarray) -> bytes:
@@ -157,26 +159,41 @@ def class_counts(totals: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def counts_of_blocks(blocks: DataFrame, totals: DataFrame) -> DataFrame:
-    """Per block the counts over all documents of its words, in their order."""
+    """Per block the words whose count over all documents is not the block's own:
+    their places, ascending, and counts.  A block without such words has no row."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
+
+        def out():
+            at, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            return pa.RecordBatch.from_pydict({"block": [now], "places": [np.ascontiguousarray(at, "<u4").tobytes()], "found": [_longs(n)]})
+
         for batch in batches:
-            block, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            block, at, n = (batch.column(i).to_numpy() for i in range(3))
             cuts = np.append(0, np.flatnonzero(np.diff(block)) + 1)
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(block)], strict=True):
                 if held and block[a] != now:
-                    yield pa.RecordBatch.from_pydict({"block": [now], "found": [_longs(np.concatenate(held))]})
+                    yield out()
                     held = []
                 if b > a:
                     now = int(block[a])
-                    held.append(n[a:b])
+                    held.append((at[a:b], n[a:b]))
         if held:
-            yield pa.RecordBatch.from_pydict({"block": [now], "found": [_longs(np.concatenate(held))]})
+            yield out()
 
     # a word of every block is one row of ``totals``: a skewed join splits its entries
-    found = word_entries(blocks).select("block", "at", "word").join(totals, "word").select("block", "at", "n")
-    return found.repartition("block").sortWithinPartitions("block", "at").select("block", "n").mapInArrow(pack, "block long, found binary")
+    own = word_entries(blocks).withColumnRenamed("n", "own")
+    found = own.join(totals, "word").where("n <> own").select("block", "at", "n")
+    return found.repartition("block").sortWithinPartitions("block", "at").mapInArrow(pack, "block long, places binary, found binary")
+
+
+def with_totals(counts: np.ndarray, places: bytes | None, found: bytes | None) -> np.ndarray:
+    """A block's own counts, those of ``places`` replaced."""
+    out = counts.copy()
+    if places is not None:
+        out[np.frombuffer(places, "<u4")] = np.frombuffer(found, "<i8")
+    return out
 
 
 def _signed(h: int) -> int:
@@ -280,26 +297,26 @@ class Model:
 
 
 def _sequences(row: dict):
-    """A block's (ids, held out, tokens of each, token indices, hashes)."""
+    """A block's (tokens of each text, held out, token indices, classes of its words)."""
     n = np.frombuffer(row["n_words"], "<i8")
     held = np.unpackbits(np.frombuffer(row["held_out"], np.uint8), count=len(n)).astype(bool)
     tokens = np.frombuffer(row["order"], "<u4").astype(np.int64)[_unshuffled(zlib.decompress(row["tokens"]))]
-    return n, held, tokens, np.frombuffer(row["hashes"], "<u8")
+    return n, held, tokens, np.frombuffer(row["classes"], "<u2").astype(np.int64)
 
 
 def train(blocks: DataFrame, mass: np.ndarray, unseen: float, rounds: int) -> Model:
     """Baum-Welch over all training documents, ``rounds`` passes."""
     model = Model.initial(mass, unseen)
-    texts = blocks.select("n_words", "held_out", "tokens", "order", "hashes")
+    texts = blocks.select("n_words", "held_out", "tokens", "order", "classes")
     for _ in range(rounds):
         def expect(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             sums = None
             for batch in batches:
                 for row in batch.to_pylist():
-                    n, held, tokens, hashes = _sequences(row)
+                    n, held, tokens, classes = _sequences(row)
                     use = np.repeat(~held, n)
                     if use.any():
-                        got = model.expected(_hash_class(hashes)[tokens[use]], n[~held])
+                        got = model.expected(classes[tokens[use]], n[~held])
                         sums = got if sums is None else tuple(x + y for x, y in zip(sums, got, strict=True))
             if sums is not None:
                 # classes -1 and -2 - j stand for the start and the move to state j
@@ -335,16 +352,16 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     mass = (mass + ADD * known) / space
     unknown = ADD / space
     model = train(blocks, mass, unseen, rounds) if total else Model.initial(np.full(CLASSES + 1, 1 / (CLASSES + 1)), unseen)
-    full = blocks.select("block", "ids", "null_ids", "held_out", "n_words", "tokens", "order", "hashes").join(counts_of_blocks(blocks, totals), "block")
+    full = blocks.select("block", "ids", "null_ids", "held_out", "n_words", "tokens", "order", "classes", "counts").join(counts_of_blocks(blocks, totals), "block", "left")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(divide="ignore"):
             class_log = np.log10(np.append(mass, unknown))
         for batch in batches:
             for row in batch.to_pylist():
-                n, held, tokens, hashes = _sequences(row)
-                c = np.frombuffer(row["found"], "<i8")
-                cls = np.where(c > 0, _hash_class(hashes), CLASSES + 1)
+                n, held, tokens, classes = _sequences(row)
+                c = with_totals(np.frombuffer(row["counts"], "<i8"), row["places"], row["found"])
+                cls = np.where(c > 0, classes, CLASSES + 1)
                 base = np.log10((c + ADD) / space)
                 ends = np.cumsum(n)
                 add = lambda x: np.add.reduceat(x[tokens], ends - n)
