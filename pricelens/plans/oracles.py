@@ -258,6 +258,10 @@ SELECT product_id, product_name, request_url, p_partkey FROM k WHERE rn = 1""",
     "rejects": _REJECTS,
     "stream_rejects": _REJECTS,
 
+    "sketch_rollup": """
+SELECT event_type, count(*) AS n_rows, count(value) AS n_values, min(value) AS value_min, max(value) AS value_max,
+  count(DISTINCT user_id) AS exact_distinct, TRUE AS distinct_ok, TRUE AS quantile_ok FROM events GROUP BY event_type""",
+
     "first_seen": _FIRST_SEEN,
     "stream_first_seen": _FIRST_SEEN,
 

@@ -408,6 +408,18 @@ def bulk_price(spark, sf) -> DataFrame:
     return C.bulk_price(_offers(spark, sf), "l_partkey", "l_quantity", "unit_price", BULK_QUANTITY)
 
 
+def sketch_rollup(spark, sf) -> DataFrame:
+    """Summaries stored per source and day, merged per source, and checked against
+    exact figures of all records."""
+    from pricelens.operators import sketches as K
+    ev = _tbl(spark, sf, "events").select("event_type", "ts", "user_id", "value")
+    path = scratch_dir(spark, "day-sketches")
+    K.write_days(K.day_sketches(ev, "event_type", "ts", "user_id", "value"), path)
+    rolled = K.rollup(K.read_days(spark, path), "_source", quantiles={"median": 0.5})
+    return K.with_bounds(rolled, ev, "event_type", "user_id", "value", "median", 0.5).select(
+        F.col("_source").alias("event_type"), "n_rows", "n_values", "value_min", "value_max", "exact_distinct", "distinct_ok", "quantile_ok")
+
+
 def price_history(spark, sf) -> DataFrame:
     o = _offers(spark, sf)
     return C.price_history(o, "l_partkey", F.date_format("l_shipdate", "yyyy-MM"), "unit_price") \
