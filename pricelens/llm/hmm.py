@@ -1,25 +1,30 @@
 """Language-model scoring with a hidden Markov model over word classes.
 
 Every word's count in the training documents gives the base (unigram) model.
-A word belongs to one of a fixed number of classes by its hash; the end of a
-text and the unknown word are classes of their own.  The model emits a class
-from a latent state and then a word from its class as the base model would:
+With N training tokens there are C classes by hash, C the power of two at or
+above the root of N; a word that makes up 1 / C of the tokens or more (there are
+at most C such), the end of a text and the unknown word are classes of their own.
+So the classes grow with the corpus, and the model's tables with its root.  The
+model emits a class from a latent state and then a word from its class as the
+base model would:
 
     log P(text) = log P_hmm(classes) + sum over tokens of
                   [log P_base(word) - log P_base(class)]
 
 which is a probability over texts of known and unknown words.  Baum-Welch
 trains the states: each task adds up its expected counts of starts,
-transitions and emissions, and the counts are summed by (state, class) across
+transitions and emissions, and the counts are summed by ranges of classes across
 partitions.  Scores come from the scaled forward recursion over whole texts.
 
 The texts are read and cut into words once, into blocks of a bounded number of
 bytes: a block's distinct words and its texts as indices into them.  Words'
 counts are summed over all blocks by an aggregate on word hashes, and each block
 gets its own words' counts back by a join, so texts do not travel and no task
-holds the words of all blocks.  For
-training, the token sequence of a document is cut into segments of ``SEGMENT``
-tokens, all of which are used; scoring does not cut.
+holds the words of all blocks.  Training
+works on segments of ``SEGMENT`` tokens side by side: each segment's product of
+transitions and emissions carries the forward vector into the next one and the
+backward vector into the one before, so the expected counts are those of whole
+texts.
 
 Defined results: a null text is empty and is the end token alone; a null id
 scores like any other and, its crc32 being null, counts as training; repeated
@@ -39,10 +44,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import byte_slices, stage, words
+from pricelens.llm.common import byte_slices, slots, stage, words
 
 STATES = 6
-CLASSES = 4096
 ROUNDS = 3
 SEGMENT = 256
 # segments worked on at once
@@ -50,6 +54,8 @@ SEGMENTS = 2048
 BLOCK_BYTES = 8 << 20
 ADD = 0.1
 FOLDS = 10
+# classes whose expected counts travel in one row
+RANGE = 4096
 # share of the class frequencies mixed into every state's emissions
 PRIOR = 0.05
 # the end token's place in the table of words (no word is empty)
@@ -145,15 +151,39 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     return stage(word_entries(blocks).groupBy("word").agg(F.sum("n").alias("n")), "hmm-words")
 
 
-def class_counts(totals: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """Training count and number of known words of each class, and how many words
-    were seen once; summed by class, so at most CLASSES + 1 rows come here."""
-    cls = F.when(F.col("word") == F.lit(_signed(END_HASH)), CLASSES).otherwise(F.col("word").bitwiseAND(F.lit(CLASSES - 1)))
-    got = totals.where("n > 0").groupBy(cls.cast("int").alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("once")).toArrow()
-    c, n, v, once = (got.column(i).to_numpy() for i in range(4))
-    mass, known = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    mass[c], known[c] = n, v
-    return mass, known, int(once.sum())
+class Classes:
+    """Words of their own class (hashes in ascending order), then ``buckets``
+    classes by hash, a power of two; the unknown word comes after them."""
+
+    def __init__(self, own: np.ndarray, buckets: int):
+        self.own, self.buckets, self.size = own, buckets, len(own) + buckets
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """Class of each word hash."""
+        at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
+        return np.where(self.own[at] == h, at, len(self.own) + (h & np.uint64(self.buckets - 1)).astype(np.int64))
+
+
+def class_counts(totals: DataFrame) -> tuple[Classes, np.ndarray, np.ndarray, int]:
+    """The classes, training count and number of known words of each, and how many
+    words were seen once.
+
+    With C buckets, words of 1 / C of all tokens or more number at most C, so at
+    most 2 C + 1 rows come here, C being below twice the root of the tokens."""
+    seen = totals.where("n > 0")
+    total, once = (int(x or 0) for x in seen.agg(F.sum("n"), F.count_if(F.col("n") == 1)).first())
+    buckets = 1 << ((max(total - 1, 0).bit_length() + 1) // 2)
+    own = (F.col("n") >= -(-total // buckets)) | (F.col("word") == _signed(END_HASH))
+    alone = seen.where(own).select("word", "n").toArrow()
+    word = alone.column(0).to_numpy().astype(np.int64).view(np.uint64)
+    classes = Classes(np.unique(np.append(word, np.uint64(END_HASH))), buckets)
+    got = seen.where(~own).groupBy(F.col("word").bitwiseAND(F.lit(buckets - 1)).alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).toArrow()
+    mass, known = np.zeros(classes.size), np.zeros(classes.size)
+    at = classes.of(word)
+    mass[at], known[at] = alone.column(1).to_numpy(), 1
+    at = len(classes.own) + got.column(0).to_numpy()
+    mass[at], known[at] = got.column(1).to_numpy(), got.column(2).to_numpy()
+    return classes, mass, known, once
 
 
 def counts_of_blocks(blocks: DataFrame, totals: DataFrame) -> DataFrame:
@@ -184,14 +214,9 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _hash_class(h: np.ndarray) -> np.ndarray:
-    """Class of each word hash; the end token has class CLASSES."""
-    return np.where(h == np.uint64(END_HASH), CLASSES, (h % np.uint64(CLASSES)).astype(np.int64))
-
-
 # --------------------------------------------------------------- the model
 class Model:
-    """start [K], move [K, K], emit [K, CLASSES + 2]; the last class is the unknown word."""
+    """start [K], move [K, K], emit [K, classes + 1]; the last class is the unknown word."""
 
     def __init__(self, start, move, emit):
         self.start, self.move, self.emit = start, move, emit
@@ -230,25 +255,75 @@ class Model:
         back[order] = out
         return back
 
+    def _across(self, obs: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Of each segment the product of its emissions and the transitions between
+        them, [n, K, K] and up to a factor: what a forward vector, predicted for
+        its first token, becomes by its end."""
+        out, table = np.empty((len(size), STATES, STATES)), np.ascontiguousarray(self.emit.T)
+        order = np.argsort(-size, kind="stable")
+        for lo in range(0, len(size), SEGMENTS):
+            which = order[lo:lo + SEGMENTS]
+            b, m = begin[which], size[which]
+            active = np.searchsorted(-m, -np.arange(int(m[0])), side="left").tolist()
+            a = np.eye(STATES) * table[obs[b]][:, None, :]
+            for t, k in enumerate(active[1:], 1):
+                x = (a[:k].reshape(-1, STATES) @ self.move).reshape(k, STATES, STATES) * table[obs[b[:k] + t]][:, None, :]
+                # a factor a segment, often enough that nothing underflows
+                a[:k] = x / x.sum(axis=(1, 2), keepdims=True) if t % 8 == 0 else x
+            out[which] = a / a.sum(axis=(1, 2), keepdims=True)
+        return out
+
+    def _carried(self, obs: np.ndarray, begin: np.ndarray, size: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each segment (a text's in a row, ``parts`` of each text) the forward
+        vector at the end of the one before and the backward vector at its own end."""
+        before, after = np.ones((len(size), STATES)), np.ones((len(size), STATES))
+        first = np.cumsum(parts) - parts
+        order = np.argsort(-parts, kind="stable")
+        order = order[parts[order] > 1]
+        if not len(order):
+            return before, after
+        first, count = first[order], parts[order]
+        # only the segments of texts of several
+        long = np.repeat(parts > 1, parts)
+        place = np.cumsum(long) - 1
+        through = self._across(obs, begin[long], size[long])
+        active = np.searchsorted(-count, -np.arange(int(count[0])), side="left").tolist()
+        a = np.broadcast_to(self.start, (len(order), STATES))
+        for j, k in enumerate(active[1:], 1):
+            a = np.einsum("ni,nij->nj", a[:k], through[place[first[:k] + j - 1]])
+            a = a / a.sum(axis=1, keepdims=True)
+            before[first[:k] + j] = a
+            a = a @ self.move
+        b = np.ones((0, STATES))
+        for j in range(len(active) - 1, 0, -1):
+            k = active[j]
+            b = np.concatenate((b, np.ones((k - len(b), STATES))))
+            b = np.einsum("nij,nj->ni", through[place[first[:k] + j]], b) @ self.move.T
+            b = b / b.sum(axis=1, keepdims=True)
+            after[first[:k] + j - 1] = b
+        return before, after
+
     def expected(self, obs: np.ndarray, n: np.ndarray):
-        """Baum-Welch expected counts over segments of the sequences."""
+        """Baum-Welch expected counts over the whole sequences, segment by segment."""
         begin = np.cumsum(n) - n
         parts = -(-n // SEGMENT)
         which = np.repeat(np.arange(len(n)), parts)
         nth = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
         begin = begin[which] + nth * SEGMENT
         size = np.minimum(SEGMENT, n[which] - nth * SEGMENT)
+        before, after = self._carried(obs, begin, size, parts)
         start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, self.emit.shape[1]))
         table = np.ascontiguousarray(self.emit.T)
         order = np.argsort(-size, kind="stable")
         first = nth[order] == 0
-        begin, size = begin[order], size[order]
+        begin, size, before, after = begin[order], size[order], before[order], after[order]
         for lo in range(0, len(size), SEGMENTS):
-            b, m, f = begin[lo:lo + SEGMENTS], size[lo:lo + SEGMENTS], first[lo:lo + SEGMENTS]
+            at = slice(lo, lo + SEGMENTS)
+            b, m, f, prev, tail = begin[at], size[at], first[at], before[at], after[at]
             steps = int(m[0])
             active = np.searchsorted(-m, -np.arange(steps), side="left")
             alpha, scale, seen = [], [], []
-            a = np.broadcast_to(self.start, (len(m), STATES))
+            a = np.where(f[:, None], self.start, prev @ self.move)
             for t in range(steps):
                 k = active[t]
                 o = obs[b[:k] + t]
@@ -259,19 +334,26 @@ class Model:
                 alpha.append(a)
                 scale.append(s)
                 seen.append((o, e))
-            beta = np.ones((active[-1], STATES))
+
+            def ending(t, k, alpha=alpha, tail=tail):
+                """Backward vectors of the segments from row ``k`` on, which end at ``t``."""
+                x = tail[k:len(alpha[t])]
+                return x / (alpha[t][k:] * x).sum(axis=1, keepdims=True)
+
+            beta = ending(steps - 1, 0)
             gammas, classes = [], []
             for t in range(steps - 1, -1, -1):
                 g = alpha[t] * beta
                 gammas.append(g)
                 classes.append(seen[t][0])
+                w = seen[t][1] * beta / scale[t]
                 if t:
-                    w = seen[t][1] * beta / scale[t]
                     k = active[t]
                     move += alpha[t - 1][:k].T @ w
-                    grown = np.ones((active[t - 1], STATES))
-                    grown[:k] = w @ self.move.T
-                    beta = grown
+                    beta = np.concatenate((w @ self.move.T, ending(t - 1, k)))
+                else:
+                    # from the segment before
+                    move += prev[~f].T @ w[~f]
             start += gammas[-1][f].sum(axis=0)
             g, c = np.concatenate(gammas), np.concatenate(classes)
             for k in range(STATES):
@@ -287,10 +369,15 @@ def _sequences(row: dict):
     return n, held, tokens, np.frombuffer(row["hashes"], "<u8")
 
 
-def train(blocks: DataFrame, mass: np.ndarray, unseen: float, rounds: int) -> Model:
-    """Baum-Welch over all training documents, ``rounds`` passes."""
-    model = Model.initial(mass, unseen)
-    texts = blocks.select("n_words", "held_out", "tokens", "order", "hashes")
+def train(blocks: DataFrame, classes: Classes, mass: np.ndarray, unseen: float, rounds: int) -> Model:
+    """Baum-Welch over all training documents, ``rounds`` passes.
+
+    A round's counts are a table of states by classes from each task; tasks are as
+    many as the session's shuffle partitions at most, whatever the input."""
+    model, spark = Model.initial(mass, unseen), blocks.sparkSession
+    width = classes.size + 1 + STATES
+    texts = blocks.select("n_words", "held_out", "tokens", "order", "hashes").coalesce(slots(spark))
+    kind = "at int, v binary"
     for _ in range(rounds):
         def expect(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             sums = None
@@ -299,25 +386,30 @@ def train(blocks: DataFrame, mass: np.ndarray, unseen: float, rounds: int) -> Mo
                     n, held, tokens, hashes = _sequences(row)
                     use = np.repeat(~held, n)
                     if use.any():
-                        got = model.expected(_hash_class(hashes)[tokens[use]], n[~held])
+                        got = model.expected(classes.of(hashes)[tokens[use]], n[~held])
                         sums = got if sums is None else tuple(x + y for x, y in zip(sums, got, strict=True))
             if sums is not None:
-                # classes -1 and -2 - j stand for the start and the move to state j
-                all_ = np.concatenate((sums[2][:, :CLASSES + 1], sums[0][:, None], sums[1]), axis=1)
-                cls = np.concatenate((np.arange(all_.shape[1] - 1 - STATES), [-1], -2 - np.arange(STATES)))
-                k, at = np.nonzero(all_)
-                yield pa.RecordBatch.from_pydict({"state": pa.array(k, pa.int32()), "class": pa.array(cls[at], pa.int32()), "n": pa.array(all_[k, at])})
-
-        # at most STATES * (CLASSES + 2 + STATES) rows
-        got = texts.mapInArrow(expect, "state int, class int, n double").groupBy("state", "class").agg(F.sum("n").alias("n")).toArrow()
+                # the known classes, then the start and the moves
+                all_ = np.concatenate((sums[2][:, :classes.size], sums[0][:, None], sums[1]), axis=1).astype("<f4")
+                for at in range(0, width, RANGE):
+                    yield pa.RecordBatch.from_pydict({"at": pa.array([at], pa.int32()), "v": pa.array([all_[:, at:at + RANGE].tobytes()], pa.binary())})
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {}
+            for batch in batches:
+                for at, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    sums[at] = sums.get(at, 0) + np.frombuffer(v, "<f4").astype(np.float64)
+            for at, v in sums.items():
+                yield pa.RecordBatch.from_pydict({"at": pa.array([at], pa.int32()), "v": pa.array([v.tobytes()], pa.binary())})
+
+        # a row a range of classes
+        got = texts.mapInArrow(expect, kind).repartition(min(slots(spark), -(-width // RANGE)), "at").mapInArrow(merge, kind).toArrow()
         if not got.num_rows:
             return model
-        k, c, x = (got.column(i).to_numpy() for i in range(3))
-        start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES + 1))
-        emit[k[c >= 0], c[c >= 0]] = x[c >= 0]
-        start[k[c == -1]] = x[c == -1]
-        move[k[c < -1], -2 - c[c < -1]] = x[c < -1]
-        model = Model.of_counts(start, move, emit, mass, unseen)
+        all_ = np.zeros((STATES, width))
+        for at, v in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
+            all_[:, at:at + RANGE] = np.frombuffer(v).reshape(STATES, -1)
+        model = Model.of_counts(all_[:, classes.size], all_[:, classes.size + 1:], all_[:, :classes.size], mass, unseen)
     return model
 
 
@@ -326,7 +418,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     ``train_tokens``, ``base_score`` and ``score`` (log10 probabilities)."""
     blocks = encode_blocks(df, id_col, text_col, folds)
     totals = word_counts(blocks)
-    mass, known, once = class_counts(totals)
+    classes, mass, known, once = class_counts(totals)
     total, vocab = int(mass.sum()), int(known.sum())
     space = total + ADD * (vocab + 1)
     # the share of words seen once estimates that of words not seen (Good-Turing)
@@ -334,7 +426,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
     # base probability of each class and of the unknown word
     mass = (mass + ADD * known) / space
     unknown = ADD / space
-    model = train(blocks, mass, unseen, rounds) if total else Model.initial(np.full(CLASSES + 1, 1 / (CLASSES + 1)), unseen)
+    model = train(blocks, classes, mass, unseen, rounds) if total else Model.initial(np.full(classes.size, 1 / classes.size), unseen)
     full = blocks.select("block", "ids", "null_ids", "held_out", "n_words", "tokens", "order", "hashes").join(counts_of_blocks(blocks, totals), "block")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,7 +436,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds:
             for row in batch.to_pylist():
                 n, held, tokens, hashes = _sequences(row)
                 c = np.frombuffer(row["found"], "<i8")
-                cls = np.where(c > 0, _hash_class(hashes), CLASSES + 1)
+                cls = np.where(c > 0, classes.of(hashes), classes.size)
                 base = np.log10((c + ADD) / space)
                 ends = np.cumsum(n)
                 add = lambda x: np.add.reduceat(x[tokens], ends - n)

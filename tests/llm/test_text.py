@@ -128,7 +128,7 @@ def _brute(model, classes):
 
 def test_forward_and_expected_counts():
     rng = np.random.default_rng(1)
-    mass = rng.uniform(0.1, 1, hmm.CLASSES + 1)
+    mass = rng.uniform(0.1, 1, 100)
     model = hmm.Model.initial(mass / mass.sum(), 0.01)
     assert model.emit.sum(axis=1) == pytest.approx(1) and model.move.sum(axis=1) == pytest.approx(1)
     n = np.array([3, 1, 700, 40])
@@ -136,17 +136,16 @@ def test_forward_and_expected_counts():
     ends = np.cumsum(n)
     assert model.log10(obs, n) == pytest.approx([_brute(model, obs[a:b]) for a, b in zip(ends - n, ends, strict=True)])
     start, move, emit = model.expected(obs, n)
-    # every token is emitted once; every segment but its first token is moved to
+    # every token is emitted once; every token of a text but the first is moved to
     assert emit.sum() == pytest.approx(n.sum()) and start.sum() == pytest.approx(len(n))
-    segments = sum(-(-k // hmm.SEGMENT) for k in n.tolist())
-    assert move.sum() == pytest.approx(n.sum() - segments)
+    assert move.sum() == pytest.approx(n.sum() - len(n))
     assert np.bincount(obs, minlength=emit.shape[1]) == pytest.approx(emit.sum(axis=0))
     before = model.log10(obs, n).sum()
     assert hmm.Model.of_counts(start, move, emit[:, :-1], mass / mass.sum(), 0.01).log10(obs, n).sum() > before
 
 
 def test_expected_counts_against_enumeration():
-    mass = np.full(hmm.CLASSES + 1, 1 / (hmm.CLASSES + 1))
+    mass = np.full(50, 1 / 50)
     model = hmm.Model.initial(mass, 0.01)
     obs = [4, 9, 4]
     want = np.zeros((hmm.STATES, hmm.STATES))
@@ -161,6 +160,61 @@ def test_expected_counts_against_enumeration():
     assert model.expected(np.array(obs), np.array([3]))[1] == pytest.approx(want / total)
 
 
+@pytest.mark.parametrize("length", [1, 255, 256, 257, 700, 1024])
+def test_expected_counts_carry_across_segments(length):
+    rng = np.random.default_rng(length)
+    mass = rng.uniform(0.1, 1, 30)
+    model = hmm.Model.initial(mass / mass.sum(), 0.01)
+    model.move = rng.dirichlet(np.ones(hmm.STATES), hmm.STATES)  # forgets slowly or fast
+    obs = rng.integers(0, 31, length)
+    alpha, beta = np.empty((length, hmm.STATES)), np.ones((length, hmm.STATES))
+    for t in range(length):
+        alpha[t] = (model.start if t == 0 else alpha[t - 1] @ model.move) * model.emit[:, obs[t]]
+        alpha[t] /= alpha[t].sum()
+    for t in range(length - 2, -1, -1):
+        beta[t] = model.move @ (model.emit[:, obs[t + 1]] * beta[t + 1])
+        beta[t] /= beta[t].sum()
+    gamma = alpha * beta
+    gamma /= gamma.sum(axis=1, keepdims=True)
+    move, emit = np.zeros((hmm.STATES, hmm.STATES)), np.zeros((hmm.STATES, 31))
+    for t in range(length):
+        emit[:, obs[t]] += gamma[t]
+        if t:
+            x = alpha[t - 1][:, None] * model.move * (model.emit[:, obs[t]] * beta[t])
+            move += x / x.sum()
+    # among other texts, whose segments are worked on side by side
+    others = [rng.integers(0, 31, k) for k in (3, 600, 256)]
+    got = model.expected(np.concatenate([others[0], obs, *others[1:]]), np.array([3, length, 600, 256]))
+    rest = model.expected(np.concatenate(others), np.array([3, 600, 256]))
+    for have, less, want in zip(got, rest, (gamma[0], move, emit), strict=True):
+        assert have - less == pytest.approx(want, abs=1e-9)
+
+
+def test_classes_grow_with_the_corpus(spark):
+    sizes = []
+    for n in (40, 4000):
+        # a word in every second place, and words that occur once
+        words = [("the", f"w{i}")[i % 2] for i in range(n)]
+        totals = hmm.word_counts(hmm.encode_blocks(_texts(spark, [None, " ".join(words)]), "doc_id", "text", 1000))
+        classes, mass, _, _ = hmm.class_counts(totals)
+        assert mass.sum() == n + 2 and classes.buckets ** 2 >= n + 2 > classes.buckets ** 2 / 4
+        the, end = classes.of(np.array([xxhash.xxh64_intdigest(b"the"), hmm.END_HASH], np.uint64)).tolist()
+        assert the < len(classes.own) and end < len(classes.own) and mass[the] == n // 2 and mass[end] == 2
+        sizes.append(classes.size)
+    assert sizes[1] > 5 * sizes[0]
+
+
+def test_states_help_on_held_out_texts(spark):
+    rng = random.Random(8)
+    # each text keeps to one of two vocabularies, of which every word is known
+    texts = [" ".join(f"{'ab'[i % 2]}{rng.randrange(30)}" for _ in range(400)) for i in range(200)]
+    rows = [r for r in hmm.score(_texts(spark, texts)).collect() if r.held_out]
+    assert len(rows) > 10 and all(r.n_known == r.n_tokens for r in rows)
+    # nothing comes from the unknown word's mass here
+    gain = sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
+    assert gain > 0.1
+
+
 def test_language_model(spark):
     rng = random.Random(3)
     texts = [" ".join(rng.choice(["The", "the", "cat", "sat", "on", "a", "mat", f"w{rng.randrange(40)}"]) for _ in range(rng.randrange(60))) for _ in range(60)] + [None, "", "the  \n cat\x0bé"]
@@ -375,10 +429,10 @@ def test_class_counts_over_blocks(spark):
     held = {r.doc_id for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 10 == 0}
     want = Counter(hmm._signed(xxhash.xxh64_intdigest(w)) for r in docs.collect() if r.doc_id not in held for w in [*(x.encode() for x in r.text.split()), b""])
     assert {k: n for k, n in got.items() if n} == want
-    mass, known, once = hmm.class_counts(totals)
-    cls = hmm._hash_class(np.array([k % (1 << 64) for k in want], np.uint64))
-    assert mass.tolist() == np.bincount(cls, list(want.values()), hmm.CLASSES + 1).tolist()
-    assert known.tolist() == np.bincount(cls, minlength=hmm.CLASSES + 1).tolist()
+    classes, mass, known, once = hmm.class_counts(totals)
+    cls = classes.of(np.array([k % (1 << 64) for k in want], np.uint64))
+    assert mass.tolist() == np.bincount(cls, list(want.values()), classes.size).tolist()
+    assert known.tolist() == np.bincount(cls, minlength=classes.size).tolist()
     assert once == sum(n == 1 for n in want.values())
     sizes = {r.block: len(r.hashes) // 8 for r in blocks.collect()}
     found = {r.block: np.frombuffer(r.found, "<i8") for r in hmm.counts_of_blocks(blocks, totals).collect()}
