@@ -1,8 +1,9 @@
 """Quality classifier by co-training.
 
 Two logistic classifiers see different views of a document: its text (how
-often each byte and each pair of kinds of bytes occurs in the whole text, and
-how its words and lines repeat) and its page metadata (language, source,
+often each ASCII byte, each pair of kinds of bytes and, hashed, each further
+character and pair of such occurs in the whole text, and how its words and lines
+repeat) and its page metadata (language, source,
 declared length).  They start from labelled documents.  In each round both
 label all unlabelled documents, and what one is confident of, by its
 calibration, is added to what the other learns from.  At the end the calibrated views are
@@ -10,14 +11,16 @@ combined by weights fitted on labelled rows that neither learned from, and
 score every document.
 
 Fitting takes a bounded sample of labels, documented here: at most ``LABELLED``
-labelled documents, those of smallest hash; the others count as unlabelled.
+labelled documents, those of smallest hash, a row each; the others count as
+unlabelled.
 Every unlabelled document is scored in each round, on the executors, which sum
 what a Newton step takes over the confident ones; the driver sees matrices of
 the features' size alone.  Scoring covers every document and whole texts.
 
 Defined results: a null text is empty; null metadata is a value of its own; a
 label is the majority of its id's rows (a tie counts as good), null labels and
-labels of unknown ids are ignored; without labels of both classes every
+labels of unknown ids are ignored; of a labelled id's documents the one whose
+text and metadata have the least hash is learned from; without labels of both classes every
 document has the share of good labels, or 1 without any, as its score, so
 nothing is rejected blindly; null ids are scored but never learned from;
 repeated rows are scored each; an empty table gives an empty table; other
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import byte_slices, slots, stage, text_bytes
+from pricelens.llm.common import byte_slices, mix64, slots, stage, text_bytes
 from pricelens.llm.filters import fresh
 
 LABELLED = 4000
@@ -58,8 +61,28 @@ for _k, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQR
                              b"!", b"'\"()[]{}<>", b"#", b"$%", b"&*", b"|", b"+-=/\\_", b"@^`~")):
     _KIND[list(_chars)] = _k
 _KIND[list(range(32))] = np.where(np.arange(32) == 10, 4, 14)
-# ASCII bytes, pairs of kinds, and five figures of the whole text
-TEXT_SIZE = 128 + 256 + 5
+# places for characters beyond ASCII, and as many for pairs of neighbours
+CHARS = 64
+# ASCII bytes, pairs of kinds, five figures of the whole text, further characters and their pairs
+TEXT_SIZE = 128 + 256 + 5 + 2 * CHARS
+
+
+def _further(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the characters beyond ASCII and of neighbours among them, hashed to places."""
+    at = np.flatnonzero(t >= 0xC0)
+    lead, after = t[at].astype(np.uint64), np.append(t, np.zeros(3, np.uint8))[at[:, None] + np.arange(1, 4)].astype(np.uint64) & np.uint64(63)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    point = np.zeros(len(at), np.uint64)
+    for k, mask in ((2, 31), (3, 15), (4, 7)):
+        of = size == k
+        x = lead[of] & np.uint64(mask)
+        for j in range(k - 1):
+            x = x << np.uint64(6) | after[of, j]
+        point[of] = x
+    one = mix64(point) % np.uint64(CHARS)
+    near = at[1:] == at[:-1] + size[:-1]
+    two = mix64(point[:-1][near] << np.uint64(32) | point[1:][near]) % np.uint64(CHARS)
+    return tuple(np.bincount(x.astype(np.int64), minlength=CHARS) for x in (one, two))
 
 
 def text_features(col: pa.Array) -> np.ndarray:
@@ -77,8 +100,10 @@ def text_features(col: pa.Array) -> np.ndarray:
         row[128:384] = np.sqrt(np.bincount(kind[:-1] * 16 + kind[1:], minlength=256) / len(t))
         lines, words = t.tobytes().split(b"\n"), t.tobytes().split()
         again = sum(map(bytes.__eq__, words, words[1:]))
-        row[384:] = (len(set(lines)) / len(lines), len(set(words)) / max(1, len(words)), again / max(1, len(words)),
-                     min(1.0, len(words) / len(t) * 4), np.log1p(len(t)) / 12)
+        row[384:389] = (len(set(lines)) / len(lines), len(set(words)) / max(1, len(words)), again / max(1, len(words)),
+                        min(1.0, len(words) / len(t) * 4), np.log1p(len(t)) / 12)
+        if (kind == 15).any():
+            row[389:] = np.sqrt(np.concatenate(_further(t)) / len(t))
     return out
 
 
@@ -318,8 +343,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 
     kind = dict(rows.dtypes)["id"]
     schema = f"id {kind}, good int, x binary, m binary"
-    # at most LABELLED rows of some 2.5 KB, but for repeated ids
-    seen = rows.where("_good is not null").mapInArrow(see, schema).orderBy("id", "x").toArrow()
+    # a row an id, chosen as the rows are read: at most LABELLED rows of some 3 KB come here
+    own = [c for c in rows.columns if c != "id"]
+    one = rows.where("_good is not null").groupBy("id").agg(F.min_by(F.struct(*own), F.xxhash64("text", *[c for c in own if c.startswith("m")])).alias("_one"))
+    seen = one.select("id", "_one.*").mapInArrow(see, schema).orderBy("id").toArrow()
     views = [text_bytes(seen.column(c))[0].view(np.float32).reshape(seen.num_rows, -1) if seen.num_rows else np.zeros((0, 1), np.float32) for c in ("x", "m")]
     y = np.array(seen.column("good").to_pylist(), np.float64)
     if len(np.unique(y)) < 2:

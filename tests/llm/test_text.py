@@ -275,6 +275,80 @@ def test_quality_learns_from_all_unlabelled_documents(spark, monkeypatch):
     assert model.taught[-1][0] >= sum(r[3] == "junk" for r in rows[400:])
 
 
+class _PlainPool:
+    """The pool by brute force: each row's lesson is kept, not derived."""
+
+    def __init__(self, views):
+        self.views, self.said, self.known = views, [np.full(len(views[0]), -1), np.full(len(views[0]), -1)], 0
+
+    def _learn(self, past):
+        for teachers in past[self.known:]:
+            for a, (line, high, low) in enumerate(teachers):
+                for i, x in enumerate(self.views[a]):
+                    at = float(x.astype(np.float64) @ line[:-1] + line[-1])
+                    if self.said[1 - a][i] < 0 and (at >= high or at <= low):
+                        self.said[1 - a][i] = int(at >= high)
+        self.known = len(past)
+
+    def confident(self, lines, past):
+        self._learn(past)
+        out = []
+        for a, line in enumerate(lines):
+            at = (self.views[a] @ line[:-1] + line[-1])[self.said[1 - a] < 0]
+            out.append(np.bincount(quality._bin(at), minlength=quality.BINS))
+        return out, len(self.views[0])
+
+    def newton(self, lines, past):
+        self._learn(past)
+        out = []
+        for v, said, line in zip(self.views, self.said, lines, strict=True):
+            d = len(line)
+            rows, s1, s2, g, h = 0, np.zeros(d - 1), np.zeros(d - 1), np.zeros(d), np.zeros((d, d))
+            for x, y in zip(v[said >= 0].astype(np.float64), said[said >= 0], strict=True):
+                z = np.append(x, 1.0)
+                p = 1 / (1 + math.exp(-min(30, max(-30, z @ line))))
+                rows, s1, s2, g, h = rows + 1, s1 + x, s2 + x * x, g + z * (y - p), h + np.outer(z, z) * (p * (1 - p) + 1e-9)
+            out.append(np.concatenate(([rows], s1, s2, g, h[np.triu_indices(d)])))
+        return out
+
+
+def test_quality_equals_brute_force_cotraining(spark, monkeypatch):
+    monkeypatch.setattr(quality, "CONFIDENT", 0.9)
+    rows = list(_quality_rows(random.Random(5), 240))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([r[:5] for r in rows], schema).repartition(3)
+    labels = spark.createDataFrame([(r[0], r[5]) for r in rows if r[0] < 80], "doc_id long, quality int")
+    model = quality.fit(docs, labels, "doc_id", "text", "quality", list(quality.META), 2)
+    views = [quality.text_features(pa.array([r[1] for r in rows])), quality.meta_features([pa.array([r[j] for r in rows]) for j in (2, 3, 4)])]
+    plain = quality.CoTrained([v[:80] for v in views], np.array([r[5] for r in rows[:80]], np.float64), _PlainPool([v[80:] for v in views]), 2)
+    assert model.taught == plain.taught and sum(map(sum, model.taught)) > 0
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs, labels, rounds=2).collect()}
+    assert [got[r[0]] for r in rows] == pytest.approx(plain.score(views)[0].tolist(), abs=1e-6)
+
+
+@pytest.mark.parametrize("good, bad", [("日月火水木金土山川田", "口目耳手足車門馬鳥魚"), ("абвгдежзик", "лмнопрстуф"), ("กขคงจฉชซญฐ", "ดตถทธนบปผฝ")])
+def test_quality_in_other_scripts(spark, good, bad):
+    rng = random.Random(6)
+    # nothing but the characters tells, in texts without spaces
+    rows = [(i, "".join(rng.choice(bad if i % 4 == 0 else good) for _ in range(rng.randint(40, 90))), "xx", f"s{i % 3}", 60) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(0, 300, 1) if i % 2 or i % 8 == 0], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
+    assert all((got[i] >= 0.5) == (i % 4 > 0) for i in range(300) if not (i % 2 or i % 8 == 0))
+
+
+def test_quality_learns_from_a_row_of_a_repeated_id(spark, monkeypatch):
+    rows = list(_quality_rows(random.Random(1), 120))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([r[:5] for r in rows], schema)
+    many = docs.unionByName(spark.range(20000).selectExpr("3L doc_id", "concat('%%% ', id) text", "'en' lang", "'s0' source", "9L n_chars"))
+    labels = spark.createDataFrame([(r[0], r[5]) for r in rows if r[0] % 2 or r[0] % 8 == 0], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "CoTrained", lambda views, y, pool, rounds: seen.append(len(y)))
+    quality.fit(many, labels, "doc_id", "text", "quality", list(quality.META), 1)
+    assert seen == [labels.count()]
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None, None, None, None), (None, "a", "x", "y", 3), (1, "", None, None, -4)], "doc_id long, text string, lang string, source string, n_chars long")
     none = spark.createDataFrame([], "doc_id long, quality int")
