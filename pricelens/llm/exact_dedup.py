@@ -1,15 +1,17 @@
 """Exact dedup by two-pass Bloom filtering, in DataFrame functions only.
 
 Pass 1 hashes every text to two cells of a filter and keeps the cells that
-more than one row hits; the kept cells are packed into bitmaps.  Pass 2 looks
-each row's cells up: a row with a cell of its own cannot have an equal and
-passes straight through, with its payload, unshuffled.  Only the rest, the
-possibly repeated, meet on the SHA-256 of their text, which decides.
-
-The filter has ``BITS_A_ROW`` bits a row, rounded up to a power of two, and
-``MAX_FILTER_BITS`` at most, so the broadcast bitmaps never take more than
-``MAX_FILTER_BITS / 8`` bytes.  With more rows than that suits, more rows count
-as possibly repeated and shuffle; the result stays exact.
+more than one row hits.  The filter has ``CELLS_A_ROW`` cells a row, however many
+rows there are: its cells are counted by a shuffle of numbers, never held.  The
+kept cells alone are folded into bitmaps of ``BITS_A_CELL`` bits a kept cell.
+Pass 2 looks each row's cells up: a row with a cell of its own cannot have an
+equal and passes straight through, with its payload, unshuffled.  Only the rest,
+the possibly repeated, meet on the SHA-256 of their text, which decides.
+
+The bitmaps have ``MAX_FILTER_BITS`` at most, so the broadcast never takes more
+than ``MAX_FILTER_BITS / 8`` bytes.  They grow with the texts that repeat (and one
+row in some 2,000 that shares a cell by chance); with more repeated texts than suits, more rows count as possibly
+repeated and shuffle, and the result stays exact.
 
 Defined results: a null text counts as empty; a null id never stays while
 another does (if all are null, ``keep_id`` is null and all are kept); rows
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import stage
 
-BITS_A_ROW = 32
+CELLS_A_ROW = 4096
+BITS_A_CELL = 32
 MAX_FILTER_BITS = 1 << 30
 PROBES = 2
 OUTPUTS = ["keep_id", "group_size", "kept", "text_sha256"]
@@ -37,11 +40,21 @@ def _cells(text, bits: int) -> list:
 
 
 def repeated_cells(df: DataFrame, text_col: str, bits: int) -> DataFrame:
-    """Pass 1: the cells hit by two rows or more, as bitmaps of 32,768 cells."""
+    """Pass 1: the cells hit by two rows or more."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     hits = df.select(F.explode(F.array_distinct(F.array(*_cells(text, bits)))).alias("cell")).groupBy("cell").count()
-    return hits.where("count > 1").groupBy(F.bitmap_bucket_number("cell").alias("bucket")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
+    return hits.where("count > 1").select("cell")
+
+
+def _folded(cell, bits: int):
+    """The place of a filter cell among ``bits``, numbered from 1."""
+    return F.pmod(F.xxhash64(cell), F.lit(bits)) + 1
+
+
+def bitmaps(cells: DataFrame, bits: int) -> DataFrame:
+    """Cells folded into bitmaps of 32,768 places."""
+    place = _folded(F.col("cell"), bits)
+    return cells.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
 
 
 def _is_set(bitmap, cell):
@@ -51,26 +64,34 @@ def _is_set(bitmap, cell):
     return F.coalesce(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0, F.lit(False))
 
 
-def filter_bits(rows: int, most: int = MAX_FILTER_BITS) -> int:
-    """Bits of a filter for ``rows`` rows: whole bitmaps, a power of two."""
-    return min(most, max(32768, 1 << (max(1, rows) * BITS_A_ROW - 1).bit_length()))
+def filter_bits(keys: int, each: int) -> int:
+    """Cells of a filter for ``keys`` keys at ``each`` a key: whole bitmaps, a power of two."""
+    return max(32768, 1 << (max(1, keys) * each - 1).bit_length())
 
 
-def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None) -> DataFrame:
-    """Every row of ``df`` with ``keep_id`` (the largest id of its equals),
-    ``group_size``, ``kept`` and ``text_sha256``; ``where("kept")`` dedups."""
-    bits = bits or filter_bits(df.count())
-    seen = stage(repeated_cells(df, text_col, bits), "repeated-cells")
+def marked(df: DataFrame, id_col: str, text_col: str, bits: int | None = None, most: int = MAX_FILTER_BITS) -> DataFrame:
+    """Every row as ``_row`` with its ``_id``, the ``_sha`` of its text and ``_maybe``,
+    whether another row may have the same text (never false where one has)."""
+    bits = bits or filter_bits(df.count(), CELLS_A_ROW)
+    cells = stage(repeated_cells(df, text_col, bits), "repeated-cells")
+    places = min(most, filter_bits(cells.count(), BITS_A_CELL))
+    seen = stage(bitmaps(cells, places), "repeated-bitmaps")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{id_col}`").alias("_id"),
-                     F.sha2(text, 256).alias("_sha"), *[c.alias(f"_cell{i}") for i, c in enumerate(_cells(text, bits))])
+                     F.sha2(text, 256).alias("_sha"), *[_folded(c, places).alias(f"_cell{i}") for i, c in enumerate(_cells(text, bits))])
     maybe = F.lit(True)
     for i in range(PROBES):
-        # at most bits / 8 bytes, whatever the input
+        # at most ``most`` / 8 bytes, whatever the input
         maps = F.broadcast(seen.select(F.col("bucket").alias(f"_bucket{i}"), F.col("bits").alias(f"_bits{i}")))
         rows = rows.join(maps, F.bitmap_bucket_number(f"_cell{i}") == F.col(f"_bucket{i}"), "left")
         maybe = maybe & _is_set(F.col(f"_bits{i}"), F.col(f"_cell{i}"))
-    rows = rows.select("_row", "_id", "_sha", maybe.alias("_maybe"))
+    return rows.select("_row", "_id", "_sha", maybe.alias("_maybe"))
+
+
+def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None, most: int = MAX_FILTER_BITS) -> DataFrame:
+    """Every row of ``df`` with ``keep_id`` (the largest id of its equals),
+    ``group_size``, ``kept`` and ``text_sha256``; ``where("kept")`` dedups."""
+    rows = marked(df, id_col, text_col, bits, most)
     alone = rows.where("not _maybe").select("_row", "_sha", F.col("_id").alias("_keep"), F.lit(1).cast("bigint").alias("_size"), F.lit(True).alias("_kept"))
     some = rows.where("_maybe")
     # map-side combining leaves one row a task of a hot text here, and the

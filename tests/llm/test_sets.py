@@ -57,6 +57,19 @@ def test_exact_dedup_saturated_filter_is_still_exact(spark, corpus):
     assert key(exact_dedup.exact_dedup(docs, bits=8)) == key(exact_dedup.exact_dedup(docs))
 
 
+def test_exact_dedup_bitmaps_grow_with_repeats_not_with_rows(spark):
+    # 60,000 rows have far more cells than the bitmaps have bits; 40 of the texts repeat
+    docs = spark.range(60000).selectExpr("id doc_id", "concat('text ', if(id >= 59960, id - 59960, id)) text")
+    most = 32768
+    maybe = exact_dedup.marked(docs, "doc_id", "text", most=most).where("_maybe").select("_id").collect()
+    assert {r._id for r in maybe} >= {*range(40), *range(59960, 60000)} and len(maybe) < 100
+    got = exact_dedup.exact_dedup(docs, most=most)
+    assert got.where("group_size = 2").count() == 80 and got.where("kept").count() == 59960
+    # a filter that more repeats than its bits fill is still exact
+    twice = docs.unionByName(docs)
+    assert exact_dedup.exact_dedup(twice, most=8).where("group_size < 2").count() == 0
+
+
 def test_exact_dedup_clashing_names_and_null_ids(spark):
     d = spark.createDataFrame([(1, "a", "x", 5), (None, "a", "y", 6), (None, "b", "z", 7)], "doc_id long, text string, Kept string, _row int")
     out = exact_dedup.exact_dedup(d)
