@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pricelens.llm.chunks import ChunkMemory
 from pricelens.llm.common import byte_slices, gather, text_bytes
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # units longer than this are merged with a heap
 LONG = 96
 # units remembered from batch to batch in a worker
@@ -360,13 +360,16 @@ def round_trip(df: DataFrame, model_path: str, text_col: str = "text", output: s
 def _encode(df: DataFrame, model_path: str, text_col: str, output: str, decoded: str | None) -> DataFrame:
     made = [output] + [decoded] * bool(decoded)
     def fn(kept):
+        def one(piece: pa.RecordBatch) -> pa.RecordBatch:
+            # a function of its own, so that nothing is held while the next batch is gathered
+            ids, n = model(model_path).encode(piece.column(text_col))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(ids, pa.int32()))
+            more = [lists] + [pa.array(model(model_path).decode(ids, n), pa.string())] * bool(decoded)
+            return pa.RecordBatch.from_arrays([piece.column(c) for c in kept] + more, kept + made)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in gather(batches, text_col, SLICE_BYTES):
-                for piece in byte_slices(batch, text_col, 2 * SLICE_BYTES):
-                    ids, n = model(model_path).encode(piece.column(text_col))
-                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(ids, pa.int32()))
-                    more = [lists] + [pa.array(model(model_path).decode(ids, n), pa.string())] * bool(decoded)
-                    yield pa.RecordBatch.from_arrays([piece.column(c) for c in kept] + more, kept + made)
+                yield from map(one, byte_slices(batch, text_col, SLICE_BYTES))
         return run
     return _with(df, dict(zip(made, ("array<int>", "string"))), fn)
 
