@@ -15,6 +15,8 @@ Design rules used throughout:
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -191,7 +193,8 @@ def similar_names(df: DataFrame, name_col: str, threshold: float) -> DataFrame:
                        & ((total <= together) if short else (total > together)))
                 .select(F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")))
 
-    cand = met(single, True).unionByName(met(double, False)).distinct()
+    # names are as many as the products: never broadcast on the size of a packed file
+    cand = met(single, True).unionByName(met(double, False)).distinct().hint("merge")
     na = names.select(F.col("name").alias("name_a"), F.col("toks").alias("ta"), F.col("n").alias("count_a"))
     nb = names.select(F.col("name").alias("name_b"), F.col("toks").alias("tb"), F.col("n").alias("count_b"))
     pairs = cand.join(na, "name_a").join(nb, "name_b")
@@ -203,6 +206,64 @@ def similar_names(df: DataFrame, name_col: str, threshold: float) -> DataFrame:
     return out.filter(F.col("jaccard") >= F.lit(threshold))
 
 
+# Places that the subsets of a name's tokens for one partner length may fill;
+# names that would need more meet in pairs.
+SUBSET_PLACES = 2048
+
+
+def shared_needed(la: int, lb: int, threshold: float) -> int | None:
+    """Fewest tokens sets of la and lb must share for a Jaccard >= threshold."""
+    # the quotient is the one similar_names tests, so both agree on every pair
+    return next((s for s in range(1, min(la, lb) + 1) if s / (la + lb - s) >= threshold), None)
+
+
+def _token_subsets(lengths: list[int], threshold: float) -> tuple[list[tuple], list[int]]:
+    """(len, lo, hi, pick) for every pair of lengths lo <= hi that can be
+    similar: the places of each subset of a sorted token set of ``len`` whose
+    size is the number to share; and the lengths of the pairs that have too many."""
+    picks, beyond = [], set()
+    for lo, hi in ((a, b) for a in lengths for b in lengths if a <= b):
+        if lo / hi < threshold:  # even if the smaller set lies inside the larger
+            continue
+        need = shared_needed(lo, hi, threshold)
+        if need is None:
+            continue
+        if comb(hi, need) * need > SUBSET_PLACES:
+            beyond |= {lo, hi}
+            continue
+        picks += [(n, lo, hi, list(pick)) for n in {lo, hi} for pick in combinations(range(n), need)]
+    return picks, sorted(beyond)
+
+
+def similar_links(names: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between the nodes of ``names`` (node bigint, name: one row a
+    name) that connect exactly what chains of ``similar_names`` pairs connect.
+
+    Two names of la and lb tokens are similar if and only if they share some
+    ``shared_needed(la, lb)`` tokens.  So all names of either length that hold the
+    same such subset are similar across, and a star to the least of them connects
+    them: links grow with the names, not with the pairs of a group.  Where a
+    length has too many subsets, its names meet in pairs (``similar_names``)."""
+    toks = names.select("node", "name", F.array_sort(tokens("name")).alias("toks")).withColumn("len", F.size("toks")).where("len > 0")
+    # one row a length
+    lengths = sorted(r[0] for r in toks.select("len").distinct().collect())
+    picks, beyond = _token_subsets(lengths, threshold)
+    spark = names.sparkSession
+    picks = spark.createDataFrame(picks, "len int, lo int, hi int, pick array<int>")
+    held = toks.join(F.broadcast(picks), "len").select(
+        "node", "len", "lo", "hi", F.concat_ws(" ", F.transform("pick", lambda i: F.get("toks", i))).alias("key"))
+    meet = ["lo", "hi", "key"]
+    first = (held.groupBy(*meet).agg(F.min("node").alias("a"), F.max("node").alias("_z"), F.min("len").alias("_s"), F.max("len").alias("_l"))
+             .where("a < _z AND _s = lo AND _l = hi").select(*meet, "a"))
+    links = held.join(first.hint("merge"), meet).where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    if not beyond:
+        return links
+    long = toks.where(F.col("len").isin(beyond))
+    ids = lambda c: long.select(F.col("name").alias(f"name_{c}"), F.col("node").alias(c))
+    pairs = similar_names(long, "name", threshold).join(ids("a").hint("merge"), "name_a").join(ids("b").hint("merge"), "name_b")
+    return links.unionByName(pairs.select("a", "b"))
+
+
 # ---- D-09 ------------------------------------------------------------------
 def cheapest_source(offers: DataFrame, key: str, source: str, price: str,
                     tie: list[str] | None = None, one_offer_per_source: bool = False) -> DataFrame:

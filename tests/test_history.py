@@ -126,3 +126,49 @@ def test_similar_groups_chain(spark):
     rows = [(1, "red steel plate big"), (2, "red steel plate"), (3, "red steel"), (4, "blue nut"), (5, "red steel plate"), (6, None), (7, "!!!")]
     got = {r.id: r.grp for r in similar_groups(spark.createDataFrame(rows, "id long, name string"), "id", "name", 0.6).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1, 6: 6, 7: 7}
+
+
+def _components(nodes, edges):
+    least = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            m = min(least[a], least[b])
+            changed |= least[a] != m or least[b] != m
+            least[a] = least[b] = m
+    return least
+
+
+def test_similar_groups_equal_brute_force(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    names = [" ".join(rng.sample(words[:9], rng.randint(1, 6))) for _ in range(60)] + ["", "--", None]
+    # names too long for subsets: chains that differ by a few words
+    base = rng.sample(words, 22)
+    for _ in range(25):
+        base = [rng.choice(words) if rng.random() < 0.12 else w for w in base]
+        names.append(" ".join(dict.fromkeys(base)))
+    rows = list(enumerate(names, 100))
+    sets = {i: set((n or "").split()) - {"--"} for i, n in rows}
+    for t in (0.3, 0.5, 0.6, 0.9):
+        edges = [(i, j) for i in sets for j in sets if i < j and (sets[i] & sets[j] or (names[i - 100] is not None and names[i - 100] == names[j - 100]))
+                 and (names[i - 100] == names[j - 100] or len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= t)]
+        got = {r.id: r.grp for r in similar_groups(spark.createDataFrame(rows, "id long, name string"), "id", "name", t).collect()}
+        assert got == _components(sets, edges)
+
+
+def test_similar_groups_links_grow_with_the_names(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr("pricelens.operators.groups.match_groups", lambda links: seen.append(links.count()) or match_groups(links))
+    names = spark.range(300).select("id", F.concat(F.lit("old blue ring s7 lot"), "id").alias("name"))
+    groups = similar_groups(names, "id", "name", 0.6)
+    assert [tuple(r) for r in groups.groupBy("grp").count().collect()] == [(0, 300)]
+    assert seen[0] < 300 * 5  # of 44,850 pairs
+
+
+def test_similar_groups_broadcast_no_names(spark, capsys):
+    names = spark.range(50).select("id", F.concat(F.lit("old blue ring s7 lot"), "id").alias("name"))
+    similar_groups(names, "id", "name", 0.6).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
