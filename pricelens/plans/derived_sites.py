@@ -1,7 +1,8 @@
 """Product pages rendered from the ``part`` table, one per row, per layout.
 
 The driver tables hold no shop markup, so these render it with Column string
-functions (narrow, no shuffle), covering every branch of the adapters: error
+functions (the narrow rows are dealt out first: a page is some hundred times
+as large, and the tasks that render pages shred them), covering every branch of the adapters: error
 pages, blank ids, category text without CJK or Latin letters, missing
 brand, missing old price, malformed and blank bulk-discount lines, RRP and
 look-alike keys, several name spans, and ids repeated across rows.  The
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.operators.partitioning import spread
+from pricelens.operators.partitioning import deal_rows
 
 HOST_A = "http://shop-a.example"
 HOST_B = "https://web.shop-b.example"
@@ -82,7 +83,7 @@ def site_a_pages(part: DataFrame) -> DataFrame:
         F.lit('</div></body></html>'))
     error = F.lit('<html><body><div id="content"><h1>Product not found!</h1></div></body></html>')
     html = F.when((t == "ECONOMY") & (sz <= 3), error).otherwise(product)
-    return spread(part).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
+    return deal_rows(part).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
                        F.timestamp_micros(F.lit(PAGE_EPOCH_US) + F.col("p_partkey") * F.lit(1000000)).alias("fetched_at"),
                        F.lit("A").alias("site"), F.lit("product").alias("page_type"))
 
@@ -116,7 +117,7 @@ def site_b_pages(part: DataFrame) -> DataFrame:
         F.lit('</div></div></div>'),
         F.lit('<div id="Detail"><div class="right"><div class="detail-item" id="chapter-2"><div class="content">'),
         F.lit('<p>'), F.col("p_name"), F.lit('</p><p>'), t, F.lit('</p></div></div></div></div></body></html>'))
-    return spread(part).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
+    return deal_rows(part).select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"),
                        F.timestamp_micros(F.lit(PAGE_EPOCH_US) + F.col("p_partkey") * F.lit(1000000)).alias("fetched_at"),
                        F.lit("B").alias("site"), F.lit("product").alias("page_type"))
 

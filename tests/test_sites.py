@@ -177,3 +177,16 @@ def test_record_stamp_is_fetch_time_or_run_stamp(pages_a):
     run = datetime(2024, 5, 1, 12, 0, 0)
     stamped = build_catalogue(pages_a, LayoutA(source="SHOPA"), site="A", run_ts=run)
     assert {r._created_date for r in Q.clean(stamped).collect()} == {run}
+
+
+def test_pages_are_rendered_in_tasks_of_bounded_rows(spark, tmp_path):
+    """Millions of part rows lie in one file split; each brings a page to shred."""
+    from pricelens.plans import derived_sites as D
+    part = spark.range(7000).select(
+        F.col("id").alias("p_partkey"), F.lit("old ring").alias("p_name"), F.lit("Brand#1").alias("p_brand"),
+        F.lit("SMALL").alias("p_type"), F.lit(7).alias("p_size"), F.lit(900.0).alias("p_retailprice"))
+    part.coalesce(1).write.parquet(str(tmp_path / "part"))
+    part = spark.read.parquet(str(tmp_path / "part"))
+    for pages in (D.site_a_pages(part), D.site_b_pages(part)):
+        sizes = [r["count"] for r in pages.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 7000 and len(sizes) == 3 and max(sizes) <= 2500
