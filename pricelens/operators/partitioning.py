@@ -25,12 +25,18 @@ def spread(df: DataFrame) -> DataFrame:
 ROWS_PER_TASK = 2500
 
 
-def deal_rows(df: DataFrame, rows: int = ROWS_PER_TASK) -> DataFrame:
-    """``df``, a table as it is read, in tasks of about ``rows`` rows (the count
-    comes from the file footers), or in ``pricelens.partitions``, if that is set."""
+def tasks_for(df: DataFrame) -> int:
+    """Tasks of about ``ROWS_PER_TASK`` rows that ``df`` makes, a table as it is
+    read (the count comes from the file footers)."""
+    return max(1, -(-df.count() // ROWS_PER_TASK))
+
+
+def deal_rows(df: DataFrame) -> DataFrame:
+    """``df``, a table as it is read, in ``tasks_for`` tasks, or in
+    ``pricelens.partitions``, if that is set."""
     if df.isStreaming or df.sparkSession.conf.get(SETTING, None) is not None:
         return spread(df)
-    return df.repartition(max(1, -(-df.count() // rows)))
+    return df.repartition(tasks_for(df))
 
 
 def slots(spark) -> int:

@@ -312,3 +312,20 @@ def test_appends_keep_one_row_per_key(spark, tmp_path):
             assert t.count() == t.select("product_id", "_created_date").distinct().count() == n
     finally:
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_more_pages_land_in_more_files(spark, tmp_path, monkeypatch):
+    """A file is a task at most: four files kept four tasks busy at any size."""
+    from pricelens.plans import queries as PQ
+    from pricelens.streaming import dedup as D
+    landed = []
+    land = D.land_in_order
+    monkeypatch.setattr(D, "land_in_order", lambda df, path, *a, **k: landed.append(path) or land(df, path, *a, **k))
+    monkeypatch.setattr("pricelens.operators.partitioning.ROWS_PER_TASK", 200)
+    spark.range(1700).select(
+        F.col("id").alias("p_partkey"), F.lit("old ring").alias("p_name"), F.lit("Brand#1").alias("p_brand"),
+        F.lit("SMALL").alias("p_type"), F.lit(7).alias("p_size"), F.lit(900.0).alias("p_retailprice")) \
+        .coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    assert PQ.stream_catalogue(spark, str(tmp_path)).count() == 1700
+    sizes = [r["count"] for r in spark.read.parquet(landed[0]).groupBy(F.input_file_name().alias("f")).count().collect()]
+    assert len(sizes) == 9 and sum(sizes) == 1700
