@@ -18,6 +18,8 @@ records that are no responses are passed over.  Undecodable bytes become U+FFFD.
 
 Loads: tasks write under ``_temporary``; the commit drops what attempts that lost
 have left and renames the load's folder, so a load is seen whole or not at all.
+A failed load's folder is renamed and deleted, and tasks that still run cannot
+make it again (on a store that makes parent folders by itself, they can).
 Streams: folders and files must land under names that ascend (those of the writer
 do), for the offset is the last name read.  A file cut short raises.
 """
@@ -251,6 +253,8 @@ class _Writer(DataSourceArrowWriter):
     def __init__(self, path: str):
         self.path = path
         self.load = f"load-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        # made here and by no task: one that outlives a failed load must not make it again
+        store_of(path)[0].create_dir(self._folder, recursive=True)
 
     @property
     def _folder(self) -> str:
@@ -266,7 +270,6 @@ class _Writer(DataSourceArrowWriter):
                 # a row at a time: an input batch may hold many long pages
                 for i in range(batch.num_rows):
                     if out is None:
-                        store.create_dir(self._folder, recursive=True)
                         out = store.open_output_stream(f"{self._folder}/{name}", compression=None)
                     out.write(record_of(batch.slice(i, 1).to_pylist()[0]))
         finally:
@@ -278,6 +281,7 @@ class _Writer(DataSourceArrowWriter):
         store, root = store_of(self.path)
         names = {m.name for m in messages if m is not None and m.name}
         if not names:
+            self.abort(messages)
             return
         for f in store.get_file_info(pafs.FileSelector(self._folder)):
             if f.base_name not in names:
@@ -287,7 +291,10 @@ class _Writer(DataSourceArrowWriter):
     def abort(self, messages: list) -> None:
         store, _ = store_of(self.path)
         if store.get_file_info(self._folder).type == pafs.FileType.Directory:
-            store.delete_dir(self._folder)
+            # under another name first, so that no late task adds a file while it is emptied
+            gone = f"{self._folder}-aborted"
+            store.move(self._folder, gone)
+            store.delete_dir(gone)
 
 
 class PageArchive(DataSource):

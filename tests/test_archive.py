@@ -90,6 +90,39 @@ def test_a_failed_load_leaves_nothing(spark, tmp_path):
     assert left == []
 
 
+def test_a_task_that_outlives_a_failed_load_leaves_nothing(tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyspark
+
+    class Task:
+        get = classmethod(lambda cls: cls())
+        partitionId = taskAttemptId = lambda self: 0  # noqa: N815
+
+    monkeypatch.setattr(pyspark, "TaskContext", Task)
+    rows = pa.RecordBatch.from_pylist([{"page_id": 1, "html": "<p>"}] * 2)
+    writer = A._Writer(str(tmp_path / "a"))
+
+    def late(first):
+        # the driver gives the load up while the task is at work
+        yield from first
+        writer.abort([])
+        yield rows
+
+    # a file opened after the load was given up
+    with pytest.raises(OSError):
+        writer.write(late([]))
+    assert os.listdir(tmp_path / "a" / "_temporary") == []
+    # one opened before
+    writer = A._Writer(str(tmp_path / "a"))
+    writer.write(late([rows]))
+    assert os.listdir(tmp_path / "a" / "_temporary") == []
+    # a load without rows
+    writer = A._Writer(str(tmp_path / "a"))
+    writer.commit([writer.write(iter(()))])
+    assert os.listdir(tmp_path / "a" / "_temporary") == []
+    assert A.archive_files(str(tmp_path / "a")) == []
+
+
 def test_stream_restarts_from_its_offset(spark, tmp_path):
     path, out = str(tmp_path / "a"), str(tmp_path / "out")
 
